@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loretable.llm.common import table
+from loretable.llm.common import id_remainder, table
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loretable.llm import toxicity
+
+    docs, held_out = table(spark, sf_dir, "documents"), id_remainder(3) == 1
+    model = toxicity.fit(docs.where(~held_out), table(spark, sf_dir, "labels"), "toxic")
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +29,21 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, tau=4)
 
 
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loretable.llm.bpe_tree import round_trip
+
+    return round_trip(table(spark, sf_dir, "documents"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loretable.llm import quality
+
+    docs, held_out = table(spark, sf_dir, "documents"), id_remainder(5) == 0
+    model = quality.fit(docs.where(~held_out), table(spark, sf_dir, "labels"), "quality")
+    scored = quality.score(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loretable.llm.exact_dedup import exact_groups
 
@@ -40,8 +64,11 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 """
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op8_byte_bpe": op8_byte_bpe,
+    "op9_quality": op9_quality,
     "op10_exact_dedup": op10_exact_dedup,
 }
 ORACLE_SQL = {"op10_exact_dedup": OP10_SQL}
