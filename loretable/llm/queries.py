@@ -17,6 +17,12 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loretable.llm.embedding_dedup import near_embeddings
+
+    return near_embeddings(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loretable.llm.packing import best_fit_packing
 
@@ -65,6 +71,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_byte_bpe": op8_byte_bpe,
