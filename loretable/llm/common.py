@@ -30,10 +30,10 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dir[app]
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write df as a table in the shared folder and read it back: cuts lineage, survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

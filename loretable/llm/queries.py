@@ -23,6 +23,14 @@ def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_embeddings(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loretable.llm.language_model import score_documents
+
+    held_out = id_remainder(7) == 2
+    scored = score_documents(table(spark, sf_dir, "documents"), ~held_out, order=2)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loretable.llm.packing import best_fit_packing
 
@@ -72,6 +80,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
+    "op3_language_model": op3_language_model,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_byte_bpe": op8_byte_bpe,
