@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loretable.llm import warc
 from loretable.llm.common import id_remainder, table
 
 
@@ -31,6 +34,25 @@ def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document enters with a quick estimate, is revised to its exact count, and gets a second
+    version; the last batch is sent twice, as after a lost answer."""
+    from loretable.llm import token_counts
+    from loretable.llm.common import shared_dir
+
+    docs = table(spark, sf_dir, "documents")
+    ledger = token_counts.TokenLedger(spark, f"{shared_dir(spark)}/ledger-{uuid4().hex}")
+    ledger.apply("estimates", token_counts.estimated_counts(docs, "word_bpe_49k"))
+    exact = token_counts.count_tokens(docs, op="revise")
+    ledger.apply("exact", exact)
+    ledger.apply("exact", exact)
+    return ledger.totals()
+
+
+def op6_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derive(table(spark, sf_dir, "pages"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loretable.llm.packing import best_fit_packing
 
@@ -81,10 +103,12 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op3_language_model": op3_language_model,
+    "op4_token_counts": op4_token_counts,
+    "op6_warc_derivatives": op6_warc_derivatives,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_quality": op9_quality,
     "op10_exact_dedup": op10_exact_dedup,
 }
-ORACLE_SQL = {"op10_exact_dedup": OP10_SQL}
+ORACLE_SQL = {"op6_warc_derivatives": warc.ORACLE_SQL, "op10_exact_dedup": OP10_SQL}
