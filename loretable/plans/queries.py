@@ -1,4 +1,627 @@
-"""Registered queries of the knowledge-base operators and their SQL."""
+"""Registered queries of the knowledge-base operators over the driver's tables, and their SQL."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from loretable.operators import aliases as al
+from loretable.operators import audit, chunking, context, gates, graph, indexes, lookup, merge, recall, responses, sections
+from loretable.operators import characters as ch
+from loretable.plans import testtables as tt
+from loretable.schemas import CANON
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql.strip()
+        return f
+
+    return register
+
+
+def _entries(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    return indexes.mentions(tt.canon(spark, sf_dir), kind)
+
+
+def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names with their counts, rare ones thinned so that all classes of aliases occur."""
+    posts = indexes.postings(_entries(spark, sf_dir, "characters"), ("name",))
+    counts = posts.groupBy("name").agg(F.sum("n").alias("n"))
+    brand = tt.table(spark, sf_dir, "part").select(F.concat_ws(" ", "p_name", "p_brand").alias("name"), F.lit(1).alias("n")).groupBy("name").agg(F.sum("n").alias("n"))
+    return counts.unionByName(brand).select("name", F.col("n").alias("count"))
+
+
+NAMES = """names AS (
+  SELECT name, count(*) AS cnt FROM facts GROUP BY name UNION ALL SELECT p_name || ' ' || p_brand, count(*) FROM part GROUP BY p_name || ' ' || p_brand)"""
+PAIRS = f"""{NAMES}, pairs AS (
+  SELECT a.name AS alias, c.name AS canonical_candidate, a.cnt AS alias_count, c.cnt AS canonical_count, a.cnt / c.cnt AS ratio
+  FROM names a JOIN names c ON contains(c.name, a.name) AND a.name <> c.name WHERE length(a.name) >= 2 AND c.cnt > 0)"""
+RULES = f"""{PAIRS}, failed AS (
+  SELECT *, (CASE WHEN length(canonical_candidate) < 3 THEN 1 ELSE 0 END) + (CASE WHEN canonical_count < 10 THEN 1 ELSE 0 END) + (CASE WHEN ratio >= 0.4 THEN 1 ELSE 0 END) AS fails FROM pairs
+), ruled AS (
+  SELECT *, CASE WHEN ratio >= 0.5 THEN 'freq_close_skip' WHEN fails = 0 THEN 'substring_auto' WHEN fails = 1 AND canonical_count >= 5 THEN 'substring_review' ELSE 'substring_weak' END AS rule FROM failed)"""
+#: Names and brands: the rarer, longer name is the canonical one, so most pairs are close in count.
+
+
+def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return al.classified(al.containment(_names(spark, sf_dir)))
+
+
+def _confirmed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Last words of part names stand for the least name that ends with them."""
+    parts = tt.table(spark, sf_dir, "part").select(F.element_at(F.split("p_name", " "), 2).alias("alias"), F.col("p_name").alias("canonical"))
+    return parts.groupBy("alias").agg(F.min("canonical").alias("canonical"))
+
+
+def _auto(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = tt.table(spark, sf_dir, "part").select(F.element_at(F.split("p_name", " "), 2).alias("alias"), F.col("p_name").alias("canonical"))
+    return parts.groupBy("alias").agg(F.max("canonical").alias("canonical"))
+
+
+def _blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Confirmed pairs whose last word has an e are blocked."""
+    return al.unordered(_confirmed(spark, sf_dir).where("contains(alias, 'e')").select(F.col("alias").alias("a"), F.col("canonical").alias("b")))
+
+
+def _aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return al.fact_aliases(_confirmed(spark, sf_dir), _auto(spark, sf_dir), _blocked(spark, sf_dir))
+
+
+LAYERS = """ends AS (SELECT split_part(p_name, ' ', 2) AS alias, min(p_name) AS least, max(p_name) AS most FROM part GROUP BY split_part(p_name, ' ', 2)
+), layers AS (SELECT alias, CASE WHEN contains(alias, 'e') THEN most ELSE least END AS canonical, CASE WHEN contains(alias, 'e') THEN 'auto' ELSE 'confirmed' END AS alias_source FROM ends
+  WHERE NOT (contains(alias, 'e') AND most = least))"""
+APPEAR = f"""{LAYERS}, appear AS (
+  SELECT coalesce(canonical, name) AS canonical_name, name AS raw_name, chunk_id, pos, chapter_hint, char_start, action, emotion, coalesce(alias_source, 'identity') AS alias_source
+  FROM facts LEFT JOIN layers ON name = alias)"""
+
+
+def _appearances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = tt.canon(spark, sf_dir)
+    kb = c.select("chunk_id", "source_file", "chapter_hint", "char_start", "char_end", F.struct("characters").alias("canon"))
+    return ch.appearances(kb, _aliases(spark, sf_dir))
+
+
+def _kb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge.master(tt.canon(spark, sf_dir), tt.styles(spark, sf_dir))
+
+
+# ---- indexes
+
+
+@query(f"WITH {tt.FACTS} SELECT name, chunk_id, count(*) AS n, min(pos) AS first_pos FROM facts GROUP BY name, chunk_id")
+def m2_character_postings(spark, sf_dir):
+    return indexes.postings(_entries(spark, sf_dir, "characters"), ("name",))
+
+
+def _array_sql(key: str, value: str, name: str) -> str:
+    return f"SELECT {key}, string_agg(v, '|' ORDER BY c, p) AS {name} FROM (SELECT {key}, {value} AS v, min(chunk_id) AS c, arg_min(pos, chunk_id || lpad(CAST(pos AS VARCHAR), 9, '0')) AS p FROM facts WHERE {value} <> '' GROUP BY {key}, {value}) x GROUP BY {key}"
+
+
+@query(f"""
+WITH {tt.FACTS}, base AS (SELECT name, count(*) AS count, count(DISTINCT chunk_id) AS chunk_count, min(chunk_id) AS first_chunk, max(chunk_id) AS last_chunk FROM facts GROUP BY name)
+SELECT base.name, count, chunk_count, first_chunk, last_chunk, actions, emotions
+FROM base JOIN ({_array_sql('name', 'action', 'actions')}) a ON base.name = a.name JOIN ({_array_sql('name', 'emotion', 'emotions')}) e ON base.name = e.name""")
+def m2_character_index(spark, sf_dir):
+    i = indexes.index(tt.canon(spark, sf_dir), "characters")
+    return i.select("name", "count", F.size("chunks").cast("bigint").alias("chunk_count"), F.col("chunks")[0].alias("first_chunk"), F.element_at("chunks", -1).alias("last_chunk"), F.array_join("actions", "|").alias("actions"), F.array_join("emotions", "|").alias("emotions"))
+
+
+@query(f"WITH {tt.FACTS} SELECT location, count(*) AS count, count(DISTINCT chunk_id) AS chunk_count, min(chunk_id) AS first_chunk, max(chunk_id) AS last_chunk FROM facts GROUP BY location")
+def m3_location_index(spark, sf_dir):
+    return indexes.counts(indexes.postings(_entries(spark, sf_dir, "locations"), ("location",)), ("location",)).drop("first_at")
+
+
+@query(f"""
+WITH {tt.FACTS}, base AS (SELECT event, count(*) AS count, count(DISTINCT chunk_id) AS chunk_count FROM facts GROUP BY event)
+SELECT base.event, count, chunk_count, causes, results FROM base JOIN ({_array_sql('event', 'cause', 'causes')}) a ON base.event = a.event JOIN ({_array_sql('event', 'result', 'results')}) e ON base.event = e.event""")
+def m4_event_index(spark, sf_dir):
+    i = indexes.index(tt.canon(spark, sf_dir), "events")
+    return i.select("event", "count", F.size("chunks").cast("bigint").alias("chunk_count"), F.array_join("causes", "|").alias("causes"), F.array_join("results", "|").alias("results"))
+
+
+@query(f"WITH {tt.FACTS} SELECT person_a, person_b, count(*) AS count, string_agg(DISTINCT chunk_id, '|' ORDER BY chunk_id) AS chunks FROM facts GROUP BY person_a, person_b")
+def m5_relationship_index(spark, sf_dir):
+    return indexes.index(tt.canon(spark, sf_dir), "relationships").select("person_a", "person_b", "count", F.array_join("chunks", "|").alias("chunks"))
+
+
+@query(f"""
+WITH {tt.STYLES}, items AS (SELECT 'narration_tone' AS dimension, tone AS value FROM styles UNION ALL SELECT 'dialogue_density', density FROM styles
+  UNION ALL SELECT 'style_tag', tag1 FROM styles UNION ALL SELECT 'style_tag', tag2 FROM styles UNION ALL SELECT 'total', 'records' FROM styles)
+SELECT dimension, value, count(*) AS count FROM items WHERE value <> '' GROUP BY dimension, value""")
+def m6_style_histogram(spark, sf_dir):
+    return indexes.style_histogram(tt.styles(spark, sf_dir))
+
+
+MERGED = f"""{tt.FACTS}, canon AS (SELECT chunk_id, max(source_file) AS source_file, max(chapter_hint) AS chapter_hint, max(char_start) AS char_start, max(char_start) + count(*) AS char_end, count(*) AS n FROM facts GROUP BY chunk_id),
+{tt.STYLES}"""
+
+
+@query(f"""
+WITH {MERGED} SELECT coalesce(c.chunk_id, s.chunk_id) AS chunk_id, coalesce(CASE WHEN c.chunk_id IS NOT NULL THEN c.source_file ELSE s.source_file END, '') AS source_file, coalesce(c.chapter_hint, '') AS chapter_hint,
+  c.char_start, c.char_end, c.n AS characters, s.tone, s.tag1 || '/' || s.tag2 AS tags FROM canon c FULL OUTER JOIN styles s ON c.chunk_id = s.chunk_id""")
+def m1_master_merge(spark, sf_dir):
+    kb = _kb(spark, sf_dir)
+    return kb.select("chunk_id", "source_file", "chapter_hint", "char_start", "char_end", F.when(F.col("canon").isNotNull(), F.size("canon.characters")).cast("bigint").alias("characters"), F.col("style.narration_tone").alias("tone"), F.when(F.col("style").isNotNull(), F.array_join("style.style_tags", "/")).alias("tags"))
+
+
+@query(f"WITH {MERGED} SELECT count(*) AS total_chunks, count(c.chunk_id) AS canon_chunks, count(s.chunk_id) AS style_chunks FROM canon c FULL OUTER JOIN styles s ON c.chunk_id = s.chunk_id")
+def m7_kb_header(spark, sf_dir):
+    return merge.header(_kb(spark, sf_dir))
+
+
+@query(f"""
+WITH {MERGED}, listed AS (SELECT chunk_id,
+    chr(10) || '**人物行为**：' || chr(10) || string_agg('- ' || name || '：' || action || '（' || emotion || '）', chr(10) ORDER BY pos) || chr(10) || '**关系互动**：' || chr(10)
+    || string_agg('- ' || s_name || ' × ' || c_name || '：' || interaction, chr(10) ORDER BY pos) || chr(10) || '**地点**：' || string_agg(location, ', ' ORDER BY pos) || chr(10) || '**时间**：' || string_agg(marker, ', ' ORDER BY pos) AS body FROM facts GROUP BY chunk_id)
+SELECT coalesce(c.chunk_id, s.chunk_id) AS chunk_id,
+  '## [' || coalesce(c.chunk_id, s.chunk_id) || '] ' || coalesce(c.chapter_hint, '') || chr(10) || '**位置**：字符 ' || coalesce(CAST(c.char_start AS VARCHAR), '') || '–' || coalesce(CAST(c.char_end AS VARCHAR), '')
+  || CASE WHEN c.chunk_id IS NOT NULL THEN chr(10) || '**摘要**：' || c.chapter_hint || ' ' || c.source_file || l.body ELSE '' END
+  || CASE WHEN s.chunk_id IS NOT NULL THEN chr(10) || '**风格**：语气：' || s.tone || ' | 对话密度：' || s.density || ' | 标签：' || s.tag1 || ' / ' || s.tag2 ELSE '' END || chr(10) AS markdown
+FROM canon c FULL OUTER JOIN styles s ON c.chunk_id = s.chunk_id LEFT JOIN listed l ON l.chunk_id = c.chunk_id""")
+def m8_chunk_markdown(spark, sf_dir):
+    return merge.chunk_markdown(_kb(spark, sf_dir))
+
+
+# ---- lists
+
+
+def _page_sql(key: str) -> str:
+    return f"""
+WITH {tt.FACTS}, posts AS (SELECT {key} AS entity, chunk_id, count(*) AS n, min(pos) AS p FROM facts GROUP BY {key}, chunk_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY chunk_id) AS place FROM posts),
+per AS (SELECT entity, CAST(sum(n) AS BIGINT) AS count, count(*) AS chunks, min(chunk_id || lpad(CAST(p AS VARCHAR), 9, '0')) AS seen_at, string_agg(CASE WHEN place <= 5 THEN chunk_id END, ', ' ORDER BY chunk_id) AS shown FROM ranked GROUP BY entity)
+SELECT row_number() OVER (ORDER BY count DESC, seen_at) AS rank, entity, count, shown || CASE WHEN chunks > 5 THEN ' 等 ' || CAST(chunks AS VARCHAR) || ' 个' ELSE '' END AS chunk_preview FROM per ORDER BY count DESC, seen_at LIMIT 50"""
+
+
+@query(_page_sql("name"))
+def q6_list_characters(spark, sf_dir):
+    return lookup.entity_page(indexes.postings(_entries(spark, sf_dir, "characters"), ("name",)), "name", 50)
+
+
+@query(_page_sql("location"))
+def q6_list_locations(spark, sf_dir):
+    return lookup.entity_page(indexes.postings(_entries(spark, sf_dir, "locations"), ("location",)), "location", 50)
+
+
+# ---- aliases
+
+
+@query(f"WITH {tt.FACTS}, {PAIRS} SELECT alias, canonical_candidate, alias_count, canonical_count FROM pairs")
+def a1_alias_pairs(spark, sf_dir):
+    return al.containment(_names(spark, sf_dir))
+
+
+@query(f"""WITH {tt.FACTS}, {RULES} SELECT alias, canonical_candidate, ratio, rule, CASE rule WHEN 'substring_auto' THEN 'high' WHEN 'substring_review' THEN 'medium' ELSE 'low' END AS confidence, rule = 'substring_auto' AS auto_accept FROM ruled""")
+def a2_alias_classes(spark, sf_dir):
+    return _candidates(spark, sf_dir).select("alias", "canonical_candidate", "ratio", "rule", "confidence", "auto_accept")
+
+
+@query(f"""WITH {tt.FACTS}, {RULES} SELECT alias, canonical_candidate AS canonical FROM (SELECT *, row_number() OVER (PARTITION BY alias ORDER BY canonical_count DESC, length(canonical_candidate) DESC, canonical_candidate) AS r FROM ruled WHERE rule = 'substring_auto') x WHERE r = 1""")
+def a4_alias_map(spark, sf_dir):
+    return al.alias_map(_candidates(spark, sf_dir))
+
+
+@query(f"WITH {LAYERS} SELECT alias, canonical, alias_source FROM layers")
+def a6_fact_aliases(spark, sf_dir):
+    return _aliases(spark, sf_dir)
+
+
+@query("""WITH ends AS (SELECT split_part(p_name, ' ', 2) AS alias, min(p_name) AS least, max(p_name) AS most FROM part GROUP BY split_part(p_name, ' ', 2)),
+nick AS (SELECT n_name AS alias, r_name AS canonical FROM nation JOIN region ON n_regionkey = r_regionkey)
+SELECT alias, canonical, 'nickname' AS alias_source FROM nick UNION ALL
+SELECT alias, CASE WHEN contains(alias, 'e') THEN most ELSE least END, CASE WHEN contains(alias, 'e') THEN 'auto' ELSE 'confirmed' END FROM ends WHERE NOT (contains(alias, 'e') AND most = least)""")
+def a7_query_aliases(spark, sf_dir):
+    nations = tt.table(spark, sf_dir, "nation").join(tt.table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_name").alias("alias"), F.col("r_name").alias("canonical"))
+    return al.query_aliases(nations, _confirmed(spark, sf_dir), _auto(spark, sf_dir), _blocked(spark, sf_dir))
+
+
+@query(f"""WITH {tt.FACTS}, {RULES} SELECT count(*) AS total, count(*) FILTER (rule = 'substring_auto') AS accepted, count(*) FILTER (rule = 'substring_review') AS review, count(*) FILTER (rule IN ('freq_close_skip', 'substring_weak')) AS low FROM ruled""")
+def a8_review_totals(spark, sf_dir):
+    return al.review_totals(_candidates(spark, sf_dir))
+
+
+@query()
+def a8_review_rows(spark, sf_dir):
+    return al.review_rows(_candidates(spark, sf_dir))
+
+
+# ---- characters
+
+
+@query(f"WITH {tt.FACTS}, {APPEAR} SELECT canonical_name, raw_name, chunk_id, pos, chapter_hint, char_start, action, emotion, alias_source FROM appear")
+def p1_appearances(spark, sf_dir):
+    return _appearances(spark, sf_dir).drop("char_end")
+
+
+@query(f"WITH {tt.FACTS}, {APPEAR} SELECT alias_source, count(*) AS count FROM appear GROUP BY alias_source")
+def p2_alias_sources(spark, sf_dir):
+    return ch.source_counts(_appearances(spark, sf_dir))
+
+
+TOP_ACTIONS = "SELECT canonical_name, value, n, rank FROM (SELECT canonical_name, value, n, row_number() OVER (PARTITION BY canonical_name ORDER BY n DESC, seen_at) AS rank FROM (SELECT canonical_name, {v} AS value, count(*) AS n, min(chunk_id || lpad(CAST(pos AS VARCHAR), 9, '0'){part}) AS seen_at FROM {src} GROUP BY canonical_name, {v}) x) y WHERE rank <= 20"
+
+
+@query(f"""
+WITH {tt.FACTS}, {APPEAR}, base AS (SELECT canonical_name, count(*) AS mention_count, count(DISTINCT chunk_id) AS chunk_count, min(chunk_id) AS first_chunk, max(chunk_id) AS last_chunk FROM appear GROUP BY canonical_name),
+al AS (SELECT canonical_name, string_agg(DISTINCT raw_name, '|' ORDER BY raw_name) AS aliases FROM appear WHERE raw_name <> canonical_name GROUP BY canonical_name),
+act AS (SELECT canonical_name, string_agg(value, '|' ORDER BY rank) AS top_actions FROM ({TOP_ACTIONS.format(v='action', part='', src='appear')}) z GROUP BY canonical_name)
+SELECT base.canonical_name, mention_count, chunk_count, first_chunk, last_chunk, coalesce(aliases, '') AS aliases, top_actions FROM base LEFT JOIN al ON base.canonical_name = al.canonical_name LEFT JOIN act ON base.canonical_name = act.canonical_name""")
+def p3_profiles(spark, sf_dir):
+    p = ch.profiles(_appearances(spark, sf_dir), with_chunks=False)
+    return p.select("canonical_name", "mention_count", "chunk_count", "first_chunk", "last_chunk", F.array_join("aliases", "|").alias("aliases"), F.array_join("top_actions", "|").alias("top_actions"))
+
+
+@query(f"""
+WITH {tt.FACTS}, {APPEAR}, parts AS (SELECT canonical_name, chunk_id, pos, split_part(emotion, '、', 1) AS token, '1' AS k FROM appear UNION ALL SELECT canonical_name, chunk_id, pos, split_part(emotion, '、', 2), '2' FROM appear)
+{TOP_ACTIONS.format(v='token', part=' || k', src='parts')}""")
+def p4_top_emotions(spark, sf_dir):
+    return ch.top_values(_appearances(spark, sf_dir), "emotion", tokens=True)
+
+
+@query(f"WITH {tt.FACTS}, n AS (SELECT DISTINCT name FROM facts) SELECT count(*) AS names, count(*) AS ascii_names, false AS looks_right FROM n")
+def p5_encoding_check(spark, sf_dir):
+    return ch.encoding_check(_entries(spark, sf_dir, "characters").select("name").distinct(), "name")
+
+
+@query(f"WITH {tt.FACTS}, {APPEAR} SELECT canonical_name, count(*) AS mention_count FROM appear GROUP BY canonical_name ORDER BY mention_count DESC, canonical_name LIMIT 10")
+def p6_top_profiles(spark, sf_dir):
+    return ch.top_profiles(ch.profile_counts(_appearances(spark, sf_dir))).select("canonical_name", "mention_count")
+
+
+# ---- look-ups
+
+
+def _queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = tt.table(spark, sf_dir, "part")
+    return parts.select(F.explode(F.array("p_name", F.element_at(F.split("p_name", " "), 2), F.concat(F.lit("  "), "p_name"), "p_brand", F.lit(" "))).alias("query")).distinct()
+
+
+def _resolved(spark: SparkSession, sf_dir: str, facts: DataFrame) -> DataFrame:
+    nicknames = tt.table(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("alias")).agg(F.min("p_name").alias("canonical"))
+    return lookup.resolve(_queries(spark, sf_dir), ch.profile_counts(facts), ch.observed_aliases(facts), nicknames)
+
+
+@query(f"""
+WITH {tt.FACTS}, {APPEAR}, asked AS (SELECT DISTINCT unnest([p_name, split_part(p_name, ' ', 2), '  ' || p_name, p_brand, ' ']) AS query FROM part),
+known AS (SELECT canonical_name, count(*) AS n FROM appear GROUP BY canonical_name),
+seen AS (SELECT raw_name, canonical_name FROM (SELECT a.raw_name, a.canonical_name, row_number() OVER (PARTITION BY a.raw_name ORDER BY k.n DESC, a.canonical_name DESC) AS r FROM (SELECT DISTINCT raw_name, canonical_name FROM appear WHERE raw_name <> canonical_name) a JOIN known k ON k.canonical_name = a.canonical_name) x WHERE r = 1),
+nick AS (SELECT p_brand, min(p_name) AS canonical FROM part GROUP BY p_brand)
+SELECT query, coalesce(k.canonical_name, s.canonical_name, n2.canonical_name) IS NOT NULL AS matched, coalesce(k.canonical_name, s.canonical_name, n2.canonical_name) AS canonical_name,
+  CASE WHEN k.canonical_name IS NOT NULL THEN 'canonical' WHEN s.canonical_name IS NOT NULL THEN 'observed_alias' WHEN n2.canonical_name IS NOT NULL THEN 'query_alias' END AS match_type
+FROM asked LEFT JOIN known k ON k.canonical_name = trim(query) LEFT JOIN seen s ON s.raw_name = trim(query) LEFT JOIN nick n ON n.p_brand = trim(query) LEFT JOIN known n2 ON n2.canonical_name = n.canonical""")
+def q1_resolve_names(spark, sf_dir):
+    return _resolved(spark, sf_dir, _appearances(spark, sf_dir))
+
+
+@query(f"""
+WITH {tt.FACTS}, ways AS (SELECT person_a AS person, person_b AS related_person, chunk_id, pos, interaction FROM facts UNION ALL SELECT person_b, person_a, chunk_id, pos, interaction FROM facts WHERE person_a <> person_b),
+per AS (SELECT person, related_person, count(DISTINCT chunk_id) AS overlap_chunk_count, arg_min(interaction, chunk_id || lpad(CAST(pos AS VARCHAR), 9, '0')) AS interaction_sample, min(chunk_id) AS sample_chunk_id FROM ways GROUP BY person, related_person)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY person ORDER BY overlap_chunk_count DESC, related_person) AS rank FROM per) x WHERE rank <= 3""")
+def q2_relationship_candidates(spark, sf_dir):
+    return lookup.relationship_candidates(_entries(spark, sf_dir, "relationships"))
+
+
+@query(f"""
+WITH {tt.FACTS}, {APPEAR}, met AS (SELECT canonical_name, location, count(*) AS overlap_chunk_count, min(a.chunk_id) AS sample_chunk_id FROM (SELECT DISTINCT canonical_name, chunk_id FROM appear) a JOIN (SELECT DISTINCT location, chunk_id FROM facts) l ON a.chunk_id = l.chunk_id GROUP BY canonical_name, location)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY canonical_name ORDER BY overlap_chunk_count DESC, location) AS rank FROM met) x WHERE rank <= 3""")
+def q3_location_candidates(spark, sf_dir):
+    return lookup.location_candidates(_appearances(spark, sf_dir), _entries(spark, sf_dir, "locations"))
+
+
+@query(f"""WITH {tt.FACTS}, {APPEAR} SELECT canonical_name, place, raw_name, chunk_id, chapter_hint, action, emotion, alias_source FROM (SELECT *, row_number() OVER (PARTITION BY canonical_name ORDER BY chunk_id, pos) AS place FROM appear) x WHERE place <= 3""")
+def q4_appearance_samples(spark, sf_dir):
+    return lookup.samples(_appearances(spark, sf_dir), 3)
+
+
+def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    facts = _appearances(spark, sf_dir)
+    return lookup.person_results(_resolved(spark, sf_dir, facts), ch.profiles(facts, with_chunks=False), lookup.relationship_candidates(_entries(spark, sf_dir, "relationships")), lookup.location_candidates(facts, _entries(spark, sf_dir, "locations")), lookup.samples(facts, 3))
+
+
+@query()
+def q5_person_json(spark, sf_dir):
+    return lookup.json_results(_results(spark, sf_dir))
+
+
+@query(f"""
+WITH {tt.FACTS}, hits AS (
+  SELECT chunk_id, 'characters' AS field, string_agg(v, ', ' ORDER BY pos, k) AS hit FROM (SELECT chunk_id, pos, 1 AS k, name AS v FROM facts UNION ALL SELECT chunk_id, pos, 2, action FROM facts UNION ALL SELECT chunk_id, pos, 3, emotion FROM facts) x WHERE contains(v, 'IN') GROUP BY chunk_id
+  UNION ALL SELECT chunk_id, 'events', string_agg(v, ', ' ORDER BY pos, k) FROM (SELECT chunk_id, pos, 1 AS k, event AS v FROM facts UNION ALL SELECT chunk_id, pos, 2, cause FROM facts UNION ALL SELECT chunk_id, pos, 3, result FROM facts) x WHERE contains(v, 'IN') GROUP BY chunk_id
+  UNION ALL SELECT chunk_id, 'locations', string_agg(location, ', ' ORDER BY pos) FROM facts WHERE contains(location, 'IN') GROUP BY chunk_id
+  UNION ALL SELECT chunk_id, 'summary', max(chapter_hint || ' ' || source_file) FROM facts WHERE contains(chapter_hint || ' ' || source_file, 'IN') GROUP BY chunk_id)
+SELECT chunk_id, field, CASE WHEN length(hit) > 200 THEN substr(hit, 1, 200) || '...' ELSE hit END AS hit FROM hits""")
+def q7_search(spark, sf_dir):
+    return lookup.search(_kb(spark, sf_dir), "IN").select("chunk_id", "field", "hit")
+
+
+@query(f"WITH {tt.DOCS} SELECT chunk_id, CASE WHEN lang = 'en' THEN chunk_id ELSE chunk_id || ' [' || lang || ']' END AS evidence FROM docs")
+def q8_evidence_tags(spark, sf_dir):
+    chunks = tt.doc_chunks(spark, sf_dir)
+    typed = chunks.select("chunk_id", F.when(F.col("lang") == "en", "story_scene").otherwise(F.col("lang")).alias("section_type"))
+    return lookup.evidence(chunks.select("chunk_id"), typed)
+
+
+@query(f"WITH {tt.FACTS} SELECT chunk_id, string_agg(marker, '|' ORDER BY p) AS ids FROM (SELECT chunk_id, marker, min(pos) AS p FROM facts GROUP BY chunk_id, marker) x GROUP BY chunk_id")
+def q9_normalized_ids(spark, sf_dir):
+    padded = F.transform("time_markers", lambda t: F.concat(F.lit(" 　"), t, F.lit("\t")))
+    return tt.canon(spark, sf_dir).select("chunk_id", F.array_join(lookup.normalized_ids(padded), "|").alias("ids"))
+
+
+@query()
+def q10_person_cards(spark, sf_dir):
+    return lookup.person_card(_results(spark, sf_dir))
+
+
+# ---- contexts
+
+
+def _tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _queries(spark, sf_dir).select("query", F.explode(F.array(F.lit("continue_writing"), F.lit("rewrite"), F.lit("other"))).alias("mode")).withColumn("source_text", F.when(F.col("mode") == "rewrite", F.concat(F.lit("about "), "query")))
+
+
+@query()
+def x1_generation_contexts(spark, sf_dir):
+    built = context.contexts(context.validate(_tasks(spark, sf_dir))[0], _results(spark, sf_dir))
+    return built.select("query", "mode", F.to_json("context").alias("context"))
+
+
+@query("WITH asked AS (SELECT DISTINCT unnest([p_name, split_part(p_name, ' ', 2), '  ' || p_name, p_brand, ' ']) AS query FROM part) SELECT query, 'other' AS mode, 'unknown mode' AS reason FROM asked")
+def x2_rejected_tasks(spark, sf_dir):
+    return context.validate(_tasks(spark, sf_dir))[1].select("query", "mode", "reason")
+
+
+@query()
+def x3_prompts(spark, sf_dir):
+    return context.prompts(context.contexts(context.validate(_tasks(spark, sf_dir))[0], _results(spark, sf_dir)), prefix=" Be brief. ")
+
+
+# ---- chunks and gates
+
+
+@query("SELECT doc_id, i AS pos, p AS paragraph FROM (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY k) - 1 AS i, p FROM (SELECT doc_id, k, trim(parts[k], ' ' || chr(9) || chr(13)) AS p FROM (SELECT doc_id, string_split(text, chr(10)) AS parts, unnest(range(1, CAST(len(string_split(text, chr(10))) AS BIGINT) + 1)) AS k FROM documents) a) b WHERE p <> '') c")
+def k2_paragraphs(spark, sf_dir):
+    return tt.table(spark, sf_dir, "documents").select("doc_id", F.posexplode(chunking.paragraphs(F.col("text"), "\\n")).alias("pos", "paragraph"))
+
+
+@query()
+def k4_chunks(spark, sf_dir):
+    return chunking.chunk_documents(tt.raw_texts(spark, sf_dir), most=500, gap="\\n", ends=".!?").drop("text")
+
+
+@query("SELECT 'doc' || CAST(doc_id AS VARCHAR) AS source_name, 'utf-8-sig' AS encoding, CAST(sum(length(text)) AS BIGINT) AS total_chars FROM documents GROUP BY doc_id")
+def k7_run_summary(spark, sf_dir):
+    raw = tt.raw_texts(spark, sf_dir)
+    return chunking.run_summary(raw, chunking.chunk_documents(raw, most=500, gap="\\n", ends=".!?")).select("source_name", "encoding", "total_chars")
+
+
+@query("SELECT doc_id, array_to_string(string_split(text, chr(10))[1:2], chr(10)) || CASE WHEN len(string_split(text, chr(10))) > 2 THEN chr(10) ELSE '' END AS text FROM documents")
+def s2_limit_lines(spark, sf_dir):
+    return chunking.limited(tt.table(spark, sf_dir, "documents").select("doc_id", "text"), limit_lines=2)
+
+
+GATED = f"""{tt.DOCS}, gate AS (SELECT chunk_id, CASE WHEN length(trim(text)) < 200 THEN 'too_short (' || CAST(length(trim(text)) AS VARCHAR) || ' chars < 200)' END AS reason FROM docs)"""
+
+
+@query(f"WITH {GATED} SELECT chunk_id, reason FROM gate")
+def g1_structural_gate(spark, sf_dir):
+    return gates.gated(tt.doc_chunks(spark, sf_dir)).select("chunk_id", F.col("structural_reason").alias("reason"))
+
+
+@query(f"WITH {tt.LOG} SELECT DISTINCT chunk_id FROM log WHERE status IN ('success', 'structural_chunk')")
+def g2_done_ids(spark, sf_dir):
+    return gates.done_ids(tt.state_log(spark, sf_dir))
+
+
+PENDING = f"{tt.DOCS}, {tt.LOG}, pending AS (SELECT chunk_id, doc_id, lang FROM docs WHERE trim(text) <> '' AND chunk_id NOT IN (SELECT chunk_id FROM log WHERE status <> 'failed'))"
+
+
+@query(f"WITH {PENDING} SELECT chunk_id, doc_id, lang FROM pending")
+def g3_pending(spark, sf_dir):
+    return gates.pending(tt.doc_chunks(spark, sf_dir), tt.state_log(spark, sf_dir)).select("chunk_id", "doc_id", "lang")
+
+
+@query(f"WITH {PENDING} SELECT chunk_id FROM pending ORDER BY chunk_id LIMIT 100 OFFSET 20")
+def g4_page(spark, sf_dir):
+    return gates.page(gates.pending(tt.doc_chunks(spark, sf_dir), tt.state_log(spark, sf_dir)).select("chunk_id"), 20, 100)
+
+
+@query(f"""WITH {tt.DOCS}, {tt.LOG} SELECT (SELECT count(*) FROM docs) AS total, (SELECT count(DISTINCT chunk_id) FROM log WHERE status <> 'failed') AS done_before, count(*) FILTER (status = 'success') AS success, count(*) FILTER (status = 'failed') AS failed, count(*) FILTER (status = 'structural_chunk') AS structural, count(*) AS processed FROM log""")
+def g6_run_summary(spark, sf_dir):
+    log = tt.state_log(spark, sf_dir)
+    return gates.run_summary(tt.doc_chunks(spark, sf_dir), log, log)
+
+
+# ---- responses
+
+
+def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return responses.checked(tt.responses(spark, sf_dir), "canon")
+
+
+@query(f"WITH {tt.DOCS} SELECT chunk_id, 'chunk_id: ' || chunk_id || chr(10) || chr(10) || text AS content, 2048 AS max_tokens FROM docs")
+def r1_requests(spark, sf_dir):
+    made = responses.requests(tt.doc_chunks(spark, sf_dir), "system").select("chunk_id", F.from_json("request", "struct<messages:array<struct<role:string,content:string>>,max_tokens:int>").alias("r"))
+    return made.select("chunk_id", F.col("r.messages")[1]["content"].alias("content"), F.col("r.max_tokens").alias("max_tokens"))
+
+
+@query(f"WITH {tt.ANSWERS} SELECT chunk_id, attempt, valid, cut AS truncated FROM answers")
+def r5_validated(spark, sf_dir):
+    return _checked(spark, sf_dir).select("chunk_id", "attempt", "valid", "truncated")
+
+
+@query(f"""WITH {tt.ANSWERS}, per AS (SELECT chunk_id, count(*) AS attempts, least(count(*) FILTER (cut), 2) AS stage, bool_or(valid) AS ok FROM answers GROUP BY chunk_id)
+SELECT chunk_id, attempts, CAST(stage AS INTEGER) AS stage, CASE stage WHEN 0 THEN 1024 ELSE 1536 END AS max_tokens FROM per WHERE NOT ok AND attempts <= 2""")
+def r9_next_requests(spark, sf_dir):
+    return responses.next_requests(_checked(spark, sf_dir))
+
+
+@query(f"""WITH {tt.ANSWERS}, per AS (SELECT chunk_id, count(*) AS n, bool_or(valid) AS ok, min(CASE WHEN valid THEN attempt END) AS first, max(attempt) AS last FROM answers GROUP BY chunk_id)
+SELECT chunk_id, CASE WHEN ok THEN 'success' ELSE 'failed' END AS status, CASE WHEN ok THEN first ELSE last END AS attempt FROM per WHERE ok OR n > 2""")
+def r11_accepted(spark, sf_dir):
+    return responses.accepted(_checked(spark, sf_dir)).select("chunk_id", "status", "attempt")
+
+
+@query("""WITH e AS (SELECT *, 'u' || CAST(user_id AS VARCHAR) || '_' || CAST(event_id // 50 AS VARCHAR) AS chunk_id FROM events WHERE event_type IN ('click', 'purchase'))
+SELECT chunk_id, arg_min(event_type, event_id) AS summary, 'n' || CAST(max(user_id) AS VARCHAR) AS name FROM e GROUP BY chunk_id""")
+def r12_overlaid(spark, sf_dir):
+    good = responses.accepted(_checked(spark, sf_dir))
+    meta = good.select("chunk_id", F.lit("old").alias("summary"), F.lit("f").alias("source_file"))
+    return responses.overlaid(meta, good, CANON).select("chunk_id", "summary", F.col("characters")[0]["name"].alias("name"))
+
+
+# ---- section types
+
+WORDS = {"author_meta": ("^the\\b", "\\bof the\\b"), "front_matter": ("\\bcopyright\\b", "\\breserved\\b"), "in_universe_document": ("@",), "setting_exposition": ("\\|",)}
+
+
+def _scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sections.scan(tt.doc_chunks(spark, sf_dir), None, WORDS, ('"',), ("\\band\\b", "\\bund\\b"))
+
+
+SCANNED = f"""{tt.DOCS}, head AS (SELECT chunk_id, text, substr(text, 1, 500) AS h FROM docs), typed AS (SELECT chunk_id,
+  CASE WHEN regexp_matches(h, '(?im)^the\\b') OR regexp_matches(h, '(?im)\\bof the\\b') THEN 'author_meta' WHEN regexp_matches(h, '(?im)\\bcopyright\\b') OR regexp_matches(h, '(?im)\\breserved\\b') THEN 'front_matter'
+       WHEN contains(h, '@') THEN 'in_universe_document' WHEN contains(h, '|') THEN 'setting_exposition'
+       WHEN length(text) > 300 AND NOT contains(text, '"') AND len(regexp_extract_all(text, '\\band\\b')) + len(regexp_extract_all(text, '\\bund\\b')) < 3 THEN 'setting_exposition' END AS suggested_type FROM head)"""
+
+
+@query()
+def t1_section_scan(spark, sf_dir):
+    return _scanned(spark, sf_dir).select("chunk_id", "suggested_type", "confidence", F.array_join("reasons", "; ").alias("reasons"))
+
+
+@query()
+def t5_scan_summary(spark, sf_dir):
+    return sections.scan_summary(_scanned(spark, sf_dir))
+
+
+def _label_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.element_at(F.array(F.lit("author_meta"), F.lit("front_matter"), F.lit("story_scene"), F.lit("bogus"), F.lit("")), (F.col("event_id") % 5 + 1).cast("int"))
+    chunk = F.concat(F.lit("d"), F.lpad((F.col("event_id") % 1500).cast("string"), 9, "0"))
+    return tt.table(spark, sf_dir, "events").select(F.col("event_id").alias("line_no"), chunk.alias("chunk_id"), F.when(F.col("event_type") != "click", kind).alias("suggested_type"), kind.alias("section_type"))
+
+
+LABELS = "marks AS (SELECT event_id AS line_no, 'd' || lpad(CAST(event_id % 1500 AS VARCHAR), 9, '0') AS chunk_id, event_id % 5 AS k FROM events)"
+
+
+@query(f"WITH {LABELS} SELECT line_no, chunk_id, CASE WHEN k = 3 THEN 'unknown type bogus' ELSE 'missing section_type' END AS reason FROM marks WHERE k IN (3, 4)")
+def t6_rejected_labels(spark, sf_dir):
+    return sections.validated_labels(_label_entries(spark, sf_dir))[1].select("line_no", "chunk_id", "reason")
+
+
+@query(f"""WITH {LABELS}, {tt.DOCS}, last AS (SELECT chunk_id, arg_max(CASE k WHEN 0 THEN 'author_meta' ELSE 'front_matter' END, line_no) AS section_type FROM marks WHERE k IN (0, 1) GROUP BY chunk_id)
+SELECT docs.chunk_id, section_type FROM docs LEFT JOIN last ON docs.chunk_id = last.chunk_id""")
+def t7_apply_labels(spark, sf_dir):
+    good, _ = sections.validated_labels(_label_entries(spark, sf_dir))
+    return sections.apply_labels(tt.doc_chunks(spark, sf_dir), good)[0].select("chunk_id", "section_type")
+
+
+@query(f"""WITH {LABELS}, {tt.DOCS}, good AS (SELECT * FROM marks WHERE k IN (0, 1)), known AS (SELECT good.* FROM good WHERE chunk_id IN (SELECT chunk_id FROM docs))
+SELECT (SELECT count(*) FROM marks) AS entries, (SELECT count(*) FROM known) AS success, (SELECT count(DISTINCT chunk_id) FROM known) AS chunks_labelled, (SELECT count(*) FROM good) - (SELECT count(*) FROM known) AS errors, (SELECT count(*) FROM marks WHERE k IN (3, 4)) AS rejected""")
+def t8_apply_log(spark, sf_dir):
+    entries = _label_entries(spark, sf_dir)
+    good, rejected = sections.validated_labels(entries)
+    return sections.apply_log(entries, good, sections.apply_labels(tt.doc_chunks(spark, sf_dir), good)[1], rejected)
+
+
+@query(f"""WITH {LABELS}, {tt.DOCS}, last AS (SELECT chunk_id, arg_max(CASE k WHEN 0 THEN 'author_meta' ELSE 'front_matter' END, line_no) AS t FROM marks WHERE k IN (0, 1) GROUP BY chunk_id)
+SELECT coalesce(t, 'story_scene') AS section_type, count(*) AS count FROM docs LEFT JOIN last ON docs.chunk_id = last.chunk_id GROUP BY coalesce(t, 'story_scene')""")
+def t9_verify(spark, sf_dir):
+    good, _ = sections.validated_labels(_label_entries(spark, sf_dir))
+    return sections.verify(sections.apply_labels(tt.doc_chunks(spark, sf_dir), good)[0])
+
+
+# ---- recall, graph, audits
+
+
+@query(f"""WITH {tt.DOCS}, terms AS (SELECT DISTINCT split_part(p_name, ' ', 2) AS term FROM part)
+SELECT chunk_id, term, instr(text, term) - 1 AS pos, (length(text) - length(replace(text, term, ''))) // length(term) AS n FROM docs JOIN terms ON contains(text, term)""")
+def b1_recall(spark, sf_dir):
+    terms = tt.table(spark, sf_dir, "part").select(F.element_at(F.split("p_name", " "), 2).alias("term"))
+    return recall.mentions_in_text(tt.doc_chunks(spark, sf_dir), terms)
+
+
+@query("""WITH c AS (SELECT DISTINCT split_part(p_name, ' ', 2) AS alias, p_name AS canonical FROM part), s AS (SELECT alias, min(canonical) AS settled FROM c GROUP BY alias)
+SELECT 'several_canonicals' AS problem, alias, CAST(count(*) AS VARCHAR) AS detail FROM c GROUP BY alias HAVING count(*) > 1 UNION ALL SELECT 'against_confirmed', c.alias, canonical FROM c JOIN s ON c.alias = s.alias WHERE canonical <> settled""")
+def b2_exit_gate(spark, sf_dir):
+    c = tt.table(spark, sf_dir, "part").select(F.element_at(F.split("p_name", " "), 2).alias("alias"), F.col("p_name").alias("canonical"), F.array("p_brand").alias("evidence"))
+    return recall.exit_gate(c.dropDuplicates(["alias", "canonical"]), _confirmed(spark, sf_dir))
+
+
+@query(f"""WITH {tt.FACTS}, {APPEAR}, t AS (SELECT canonical_name AS subject, 'appears_in' AS predicate, chunk_id AS object, chunk_id FROM appear
+  UNION ALL SELECT canonical_name, 'appears_at', location, a.chunk_id FROM (SELECT DISTINCT canonical_name, chunk_id FROM appear) a JOIN (SELECT DISTINCT location, chunk_id FROM facts) l ON a.chunk_id = l.chunk_id
+  UNION ALL SELECT person_a, 'interacts_with', person_b, chunk_id FROM facts)
+SELECT subject, predicate, object, count(*) AS n, min(chunk_id) AS first_chunk FROM t GROUP BY subject, predicate, object""")
+def b3_triples(spark, sf_dir):
+    return graph.triples(_appearances(spark, sf_dir), _entries(spark, sf_dir, "locations"), _entries(spark, sf_dir, "relationships")).drop("evidence")
+
+
+@query(f"""WITH {tt.FACTS}, items AS (SELECT source_file AS source, chunk_id, pos AS p, 'time' AS kind, marker AS text FROM facts UNION ALL SELECT source_file, chunk_id, pos + 1000000, 'event', event FROM facts)
+SELECT source, row_number() OVER (PARTITION BY source ORDER BY chunk_id, p) AS place, chunk_id, kind, text FROM items""")
+def b4_timeline(spark, sf_dir):
+    return graph.timeline(tt.canon(spark, sf_dir))
+
+
+@query(f"""WITH {tt.FACTS}, per AS (SELECT chunk_id, max(source_file) AS source, count(*) AS n FROM facts GROUP BY chunk_id),
+pairs AS (SELECT DISTINCT source_file AS source, chunk_id, person_a, person_b FROM facts), firsts AS (SELECT source, person_a, person_b, min(chunk_id) AS f FROM pairs GROUP BY source, person_a, person_b),
+reused AS (SELECT p.chunk_id, count(*) AS r FROM pairs p JOIN firsts f ON p.source = f.source AND p.person_a = f.person_a AND p.person_b = f.person_b WHERE p.chunk_id > f.f GROUP BY p.chunk_id),
+scored AS (SELECT per.chunk_id, source, n, coalesce(r, 0) AS r, percent_rank() OVER (PARTITION BY source ORDER BY per.chunk_id) AS share FROM per LEFT JOIN reused ON per.chunk_id = reused.chunk_id),
+points AS (SELECT chunk_id, source, (CASE WHEN share BETWEEN 0.3 AND 0.7 THEN 1 ELSE 0 END) + (CASE WHEN n >= 3 THEN 1 ELSE 0 END) + (CASE WHEN n >= 6 THEN 1 ELSE 0 END) + (CASE WHEN n >= 4 THEN 1 ELSE 0 END) + (CASE WHEN r >= 3 THEN 1 ELSE 0 END) AS points FROM scored)
+SELECT chunk_id, source, points, CASE WHEN points >= 4 THEN 'L3' WHEN points >= 2 THEN 'L2' ELSE 'L1' END AS level FROM points""")
+def b5_risk_levels(spark, sf_dir):
+    return graph.risk_levels(tt.canon(spark, sf_dir))
+
+
+@query("SELECT role AS label, CASE WHEN turn % 2 = 0 THEN 'high' ELSE 'low' END AS severity, count(*) AS count FROM conversations WHERE role IN ('user', 'assistant') AND trim(text) <> '' GROUP BY role, CASE WHEN turn % 2 = 0 THEN 'high' ELSE 'low' END")
+def b6_review_tallies(spark, sf_dir):
+    findings = tt.table(spark, sf_dir, "conversations").select(F.col("role").alias("label"), F.when(F.col("turn") % 2 == 0, "high").otherwise("low").alias("severity"), F.col("text").alias("evidence"))
+    return audit.finding_tallies(audit.checked_findings(findings, ["user", "assistant"]).where("problem is null"))
+
+
+@query("""WITH r AS (SELECT event_type AS a, 'm' || CAST(user_id % 7 AS VARCHAR) AS b, CASE WHEN value > 50 THEN event_type WHEN value > 20 THEN 'm' || CAST(user_id % 7 AS VARCHAR) END AS w FROM events),
+s AS (SELECT a AS candidate, coalesce(w = a, false) AS won, coalesce(w = b, false) AS lost FROM r UNION ALL SELECT b, coalesce(w = b, false), coalesce(w = a, false) FROM r)
+SELECT candidate, count(*) AS compared, count(*) FILTER (won) AS wins, count(*) FILTER (lost) AS losses, count(*) FILTER (won) / count(*) AS win_rate FROM s GROUP BY candidate""")
+def b7_preferences(spark, sf_dir):
+    b = F.concat(F.lit("m"), (F.col("user_id") % 7).cast("string"))
+    reviews = tt.table(spark, sf_dir, "events").select(F.col("event_type").alias("candidate_a"), b.alias("candidate_b"), F.when(F.col("value") > 50, F.col("event_type")).when(F.col("value") > 20, b).alias("winner"), F.array("event_type").alias("tags_a"), F.array(b).alias("tags_b"))
+    return audit.preferences(reviews)[1]
+
+
+@query("""WITH f AS (SELECT p_name AS character, 'f' || CAST(p_partkey AS VARCHAR) AS field, CASE WHEN p_size % 5 = 0 THEN 'TODO' ELSE p_type END AS value, p_size, 'd' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') AS chunk_id FROM part)
+SELECT character, field, CASE WHEN value = 'TODO' THEN 'placeholder' ELSE 'no evidence' END AS problem FROM f WHERE value = 'TODO' OR p_size % 2 = 0 OR chunk_id NOT IN (SELECT 'd' || lpad(CAST(doc_id AS VARCHAR), 9, '0') FROM documents)
+UNION ALL SELECT character, field, 'evidence chunk missing' FROM f WHERE p_size % 2 <> 0 AND chunk_id NOT IN (SELECT 'd' || lpad(CAST(doc_id AS VARCHAR), 9, '0') FROM documents)""")
+def b8_package_audit(spark, sf_dir):
+    p = tt.table(spark, sf_dir, "part").select(F.col("p_name").alias("character"), F.concat(F.lit("f"), F.col("p_partkey").cast("string")).alias("field"), F.when(F.col("p_size") % 5 == 0, "TODO").otherwise(F.col("p_type")).alias("value"), "p_size", F.concat(F.lit("d"), F.lpad(F.col("p_partkey").cast("string"), 9, "0")).alias("chunk_id"))
+    return audit.package_audit(p.select("character", "field", "value"), p.where("p_size % 2 <> 0").select("character", "field", "chunk_id"), tt.doc_chunks(spark, sf_dir))
+
+
+@query("SELECT 'character' AS kind, count(*) AS items, count(*) FILTER (contains(text, lang)) AS grounded, 0 AS notices FROM documents UNION ALL SELECT 'location', count(*), count(*) FILTER (contains(text, source)), 0 FROM documents UNION ALL SELECT 'summary', count(*), 0, count(*) FILTER (n_chars < 100 OR n_chars > 200) FROM documents UNION ALL SELECT 'dialogue', count(*), count(*), count(*) FILTER (n_chars > 30) FROM documents")
+def b9_grounding(spark, sf_dir):
+    docs = tt.doc_chunks(spark, sf_dir)
+    canon = docs.select("chunk_id", F.array(F.struct(F.col("lang").alias("name"))).alias("characters"), F.array("source_name").alias("locations"), F.col("text").alias("summary"))
+    style = docs.select("chunk_id", F.array(F.struct(F.substring("text", 1, 40).alias("line"))).alias("key_dialogues"))
+    return audit.grounding_summary(audit.grounding(canon, style, docs))
+
+
+# ---- streams
+
+
+@query("SELECT event_type AS status, count(*) AS count FROM events GROUP BY event_type")
+def st2_running_counts(spark, sf_dir):
+    """The events table as a stream of files, counted by type; the counts must equal the batch's."""
+    from loretable.streaming.intake import running_counts, start_counts
+
+    schema = tt.table(spark, sf_dir, "events").schema
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/events.parque[t]")  # a pattern: the table may be one file
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    name = "running_" + next(tempfile._get_candidate_names()).replace("-", "_")
+    query = start_counts(running_counts(stream.withColumnRenamed("event_type", "status"), "status"), name, f"{named.rstrip('/')}/{name}" if named else tempfile.mkdtemp(prefix="spark-counts-"))
+    query.awaitTermination()
+    return spark.table(name)
