@@ -28,7 +28,7 @@ def decoded(data: bytes) -> tuple[str, str]:
 
 
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
-    """raw(source_name, source_file, encoding, text): one row per file."""
+    """raw(source_name, source_file, encoding, text): one row per file that is not empty."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "content")
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -45,7 +45,7 @@ def _stem() -> F.Column:
 
 def load_chunks(spark: SparkSession, path: str) -> DataFrame:
     """Chunk texts (*.txt, stripped) with their meta files' fields beside them where there are any."""
-    texts = spark.read.option("wholetext", True).option("pathGlobFilter", "*.txt").text(path).select(_stem().alias("chunk_id"), strip("value").alias("text"))
+    texts = spark.read.option("pathGlobFilter", "*.txt").text(path, wholetext=True).select(_stem().alias("chunk_id"), strip("value").alias("text"))
     meta = spark.read.schema("chunk_id string, source_file string, chapter_hint string, char_start bigint, char_end bigint, section_type string").option("multiLine", True).option("pathGlobFilter", "*.meta.json").json(path)
     return texts.join(meta.where("chunk_id is not null"), "chunk_id", "left")
 
@@ -54,11 +54,12 @@ def load_records(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame
     """Records of a folder of JSON files (without chunk_id: the file's name; of several with one id the
     last file by name), and the names of unreadable files."""
     fields = T.StructType.fromDDL(schema).add("_bad", T.StringType())
-    rows = spark.read.schema(fields).option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").option("pathGlobFilter", "*.json").json(path)
-    rows = rows.withColumn("_file", F.col("_metadata.file_name")).withColumn("chunk_id", F.coalesce(F.nullif("chunk_id", F.lit("")), _stem()))
-    good = rows.where("_bad is null").drop("_bad")
-    last = good.groupBy("chunk_id").agg(F.max_by(F.struct(*[c for c in good.columns if c != "_file"]), "_file").alias("r")).select("r.*")
-    return last, rows.where("_bad is not null").select(F.col("_file").alias("file"))
+    texts = spark.read.option("pathGlobFilter", "*.json").text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), _stem().alias("stem"), "value")
+    rows = texts.withColumn("r", F.from_json("value", fields, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))
+    bad = F.col("r").isNull() | F.col("r._bad").isNotNull()
+    good = rows.where(~bad).select("file", "stem", "r.*").drop("_bad").withColumn("chunk_id", F.coalesce(F.nullif("chunk_id", F.lit("")), "stem")).drop("stem")
+    last = good.groupBy("chunk_id").agg(F.max_by(F.struct(*[c for c in good.columns if c != "file"]), "file").alias("r")).select("r.*")
+    return last, rows.where(bad).select("file")
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
@@ -73,7 +74,7 @@ def read_jsonl(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame,
 def read_alias_map(spark: SparkSession, path: str) -> DataFrame:
     from loretable.operators.aliases import mapping_rows
 
-    return mapping_rows(spark.read.option("wholetext", True).text(path), "value")
+    return mapping_rows(spark.read.text(path, wholetext=True), "value")
 
 
 def read_block_pairs(spark: SparkSession, path: str) -> DataFrame:
@@ -81,7 +82,7 @@ def read_block_pairs(spark: SparkSession, path: str) -> DataFrame:
     from loretable.operators.aliases import unordered
 
     pair = "array<struct<a:string,b:string>>"
-    texts = spark.read.option("wholetext", True).text(path)
+    texts = spark.read.text(path, wholetext=True)
     alone = texts.where("ltrim(value) like '[%'").select(F.inline(F.from_json("value", pair)))
     under = texts.where("ltrim(value) like '{%'").select(F.explode(F.from_json("value", "map<string,string>")).alias("k", "v")).where("ltrim(v) like '[%'").select(F.inline(F.from_json("v", pair)))
     return unordered(alone.unionByName(under))
