@@ -32,8 +32,8 @@ def pieces(docs: DataFrame, capacity: int = 4096, tokenizer: str | None = None,
         model = word_tokens(path)
         for b in batches:
             docs_, texts = b.column(0), b.column(1)
-            for lo in range(0, b.num_rows, 1000):
-                coded, counts = model.encode(texts.slice(lo, 1000).to_pylist())
+            for lo in range(0, b.num_rows, 300):
+                coded, counts = model.encode(texts.slice(lo, 300).to_pylist())
                 # one end id behind each text
                 counts = np.asarray(counts) + 1
                 stream = np.full(counts.sum(), end_id, "<u4")
@@ -46,7 +46,7 @@ def pieces(docs: DataFrame, capacity: int = 4096, tokenizer: str | None = None,
                 data = memoryview(stream).cast("B")
                 crc = [zlib.crc32(data[4 * a : 4 * e]) for a, e in zip(at.tolist(), (at + length).tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [docs_.slice(lo, 1000).take(pa.array(doc)), pa.array(piece.astype(np.int32)), pa.array(piece * capacity), pa.array(length), pa.array(crc, pa.int64())],
+                    [docs_.slice(lo, 300).take(pa.array(doc)), pa.array(piece.astype(np.int32)), pa.array(piece * capacity), pa.array(length), pa.array(crc, pa.int64())],
                     ["doc_id", "piece", "start", "length", "ids_crc32"],
                 )
 

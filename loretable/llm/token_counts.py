@@ -106,8 +106,8 @@ def count_tokens(docs: DataFrame, versions: dict[str, str] | None = None, op: st
         from loretable.llm.word_tokens import word_tokens
 
         for b in batches:
-            for lo in range(0, b.num_rows, 1000):
-                part = b.slice(lo, 1000)
+            for lo in range(0, b.num_rows, 300):
+                part = b.slice(lo, 300)
                 texts = part.column(3).to_pylist()
                 for version, path in files.items():
                     if path.endswith(".tiktoken"):

@@ -10,12 +10,12 @@ change their length in lower case (from U+0130) go through the tokenizers librar
 from __future__ import annotations
 
 import json
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 
 #: Characters of text handled at once, and distinct parts remembered; both bound memory, not results.
-AT_ONCE, REMEMBERED = 3_000_000, 500_000
+AT_ONCE, REMEMBERED = 1_000_000, 400_000
 #: Longest part merged here; texts with longer ones go to the library.
 LONGEST = 2000
 #: Below this code point, lower-casing is one to one and characters are their own composed form.
@@ -137,10 +137,7 @@ class WordTokens:
     """Texts to the vocabulary's ids."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
+        self.path = path
         with open(path, encoding="utf-8") as f:
             self.merges = Merges(json.load(f)["model"])
         self.weights = np.random.default_rng(0).integers(1, 2**63, (2, LONGEST), np.uint64) * np.uint64(2) + np.uint64(1)
@@ -152,6 +149,15 @@ class WordTokens:
         self.at, self.size = np.empty(0, np.int64), np.empty(0, np.int64)  # where their ids are
         self.pool, self.used = np.empty(1 << 16, np.uint16), 0
 
+    @cached_property
+    def model(self):
+        """The library's tokenizer, loaded when a text first needs it."""
+        from tokenizers import Tokenizer
+
+        model = Tokenizer.from_file(self.path)
+        model.encode_special_tokens = True
+        return model
+
     def _library(self, text: str) -> np.ndarray:
         return np.array(self.model.encode(text, add_special_tokens=False).ids, "<u4")
 
