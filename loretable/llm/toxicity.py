@@ -17,6 +17,7 @@ from dataclasses import dataclass, field, replace
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +30,8 @@ SAMPLE_ROWS, CALIBRATION = 20_000, 0.3
 STEMS, STRENGTH = (8, 7, 6, 5, 4, 3), 8.0
 #: Standard errors by which log-odds are drawn towards zero.
 CAUTION = 2.0
+#: Min-hashes by which near copies in the sample are found.
+SKETCH = 4
 #: Documents of the sample that a token must occur in to have an estimate of its own.
 LEAST_DOCUMENTS = 3
 #: Each token loses so many times the mean gain of tokens in clean text, and at least so much, so that
@@ -156,12 +159,35 @@ def _counted(sample: DataFrame) -> DataFrame:
     return sample.select("text", "y").mapInArrow(work, "kind int, token binary, y int, n long")
 
 
+def _apart(sample: DataFrame) -> DataFrame:
+    """sample without all but one of near copies: of texts that agree in any of a few min-hashes of their
+    word triples, the smallest doc_id stays. A group of copies says no more than one text."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for text in b.column(1).to_pylist():
+                words = text.lower().encode().split()
+                triples = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+                out.append([min(xxhash.xxh3_64_intdigest(t, seed) for t in triples) for seed in range(SKETCH)])
+            columns = np.array(out, np.uint64).reshape(-1, SKETCH).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c) for c in columns.T]], ["doc_id", *[f"m{k}" for k in range(SKETCH)]])
+
+    names = [f"m{k}" for k in range(SKETCH)]
+    rows = sample.select("doc_id", "text").mapInArrow(work, "doc_id long, " + ", ".join(f"{m} long" for m in names))
+    for m in names:
+        rows = rows.groupBy(m).agg(F.min(F.struct("doc_id", *[n for n in names if n != m])).alias("r")).select(m, "r.*")
+    ids = materialize(rows.select("doc_id"), "apart")
+    # as many ids as the sample has rows at most
+    return sample.join(F.broadcast(ids), "doc_id", "left_semi")
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> ToxicityModel:
     """A model from the labelled rows of docs, at most about sample_rows of them.
 
     Without rows of both labels the model scores every text alike, below one half.
     """
-    sample = bounded_sample(labelled(docs, labels, label), sample_rows).dropDuplicates(["text"])
+    sample = _apart(materialize(bounded_sample(labelled(docs, labels, label), sample_rows), "labelled"))
     part = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(11)), F.lit(1000)) < int(1000 * CALIBRATION)
     sample = materialize(sample.select("text", "y", part.alias("calibrates")), "sample")
     counting, calibrating = sample.where("not calibrates"), sample.where("calibrates")
