@@ -17,11 +17,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loretable.llm.common import materialize
+from loretable.llm.common import materialize, share_of
 from loretable.llm.components import connected_components
 
 #: Vectors (chosen by a hash) that the codebooks are fitted on, and codebook sizes at most.
-SAMPLE, CODES = 8192, 128
+SAMPLE, CODES = 16_384, 1024
 #: Vectors wanted in a cell on average when the codebooks' size is chosen.
 PER_CELL = 16
 #: Query vectors (chosen by a hash) for measuring recall, and the recall to reach with one direction.
@@ -105,7 +105,7 @@ def _usable() -> F.Column:
 
 
 def fit_grid(distinct: DataFrame, n: int, codes: int = CODES, sample: int = SAMPLE) -> Grid:
-    chosen = distinct if n <= sample else distinct.where(F.pmod(F.xxhash64("uid", F.lit(5)), F.lit(1 << 20)) < int(sample / n * (1 << 20)))
+    chosen = distinct if n <= sample else distinct.where(share_of("uid", sample / n, 5))
     rows = chosen.select("uid", "embedding").toPandas().sort_values("uid")["embedding"]
     k = int(np.clip(np.ceil(np.sqrt(n / PER_CELL)), 1, codes))
     return Grid(np.stack([np.asarray(v, np.float64) for v in rows]), k)
@@ -113,7 +113,7 @@ def fit_grid(distinct: DataFrame, n: int, codes: int = CODES, sample: int = SAMP
 
 def cells_needed(distinct: DataFrame, grid: Grid, n: int, threshold: float, recall: float, queries: int = QUERIES) -> int:
     """Cells to visit for the target recall, measured on some query vectors against all vectors."""
-    chosen = distinct if n <= queries else distinct.where(F.pmod(F.xxhash64("uid", F.lit(6)), F.lit(1 << 20)) < max(1, int(queries / n * (1 << 20))))
+    chosen = distinct if n <= queries else distinct.where(share_of("uid", queries / n, 6))
     q = chosen.select("uid", "label", "embedding").toPandas().sort_values("uid")
     if q.empty:
         return 1
