@@ -47,19 +47,22 @@ def documents_of(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """doc_id, text, y for documents with a label of 0 or 1; repeated labels count once (the largest)."""
-    y = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).where("doc_id is not null and y in (0, 1)")
-    y = y.groupBy("doc_id").agg(F.max("y").alias("y"))
-    return documents_of(docs).join(y, "doc_id")
+def share_of(column: str, share: float, seed: int) -> Column:
+    """True for about that share of the rows, by a hash of a column; the same rows on every run."""
+    return F.pmod(F.xxhash64(F.col(column), F.lit(seed)), F.lit(1 << 40)) < int(min(1.0, share) * (1 << 40))
+
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int) -> DataFrame:
+    """doc_id, text, y for documents with a label of 0 or 1, about bound of them at most.
 
-def bounded_sample(df: DataFrame, bound: int, column: str = "doc_id") -> DataFrame:
-    """About bound rows at most, chosen by a hash of the id; the whole of df if it holds no more."""
-    n = df.count()
-    if n <= bound:
-        return df
-    return df.where(F.pmod(F.xxhash64(F.col(column), F.lit(7)), F.lit(1_000_000)) < int(1_000_000 * bound / n))
+    Labels are chosen first, by a hash of the id; as there are about bound of them at most, they are
+    broadcast, and no text is shuffled. Repeated labels count once (the largest).
+    """
+    y = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).where("doc_id is not null and y in (0, 1)")
+    y = y.groupBy("doc_id").agg(F.max("y").alias("y"))
+    n = y.count()
+    chosen = y if n <= bound else y.where(share_of("doc_id", bound / n, 7))
+    return documents_of(docs).join(F.broadcast(chosen), "doc_id")
 
 
 def member_test(keys: DataFrame, column: str, log2_bits: int = 26):

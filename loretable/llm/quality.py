@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loretable.llm.common import bounded_sample, documents_of, labelled
+from loretable.llm.common import documents_of, labelled_sample
 
 #: Labelled rows that the network is trained on at most, chosen by a hash of the id, and the bytes
 #: that whole texts of them may hold together in the driver.
@@ -164,7 +164,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows:
 
     None without rows of both labels: every text then scores one half.
     """
-    rows = bounded_sample(labelled(docs, labels, label), sample_rows).select("doc_id", F.encode("text", "UTF-8").alias("text"), "y").toPandas().sort_values("doc_id")
+    rows = labelled_sample(docs, labels, label, sample_rows).select("doc_id", F.encode("text", "UTF-8").alias("text"), "y").toPandas().sort_values("doc_id")
     texts, y = [bytes(t) for t in rows["text"]], rows["y"].to_numpy(np.float32)
     room = np.cumsum([len(t) for t in texts]) <= SAMPLE_BYTES
     texts, y = [t for t, ok in zip(texts, room, strict=True) if ok], y[room]

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loretable.llm.common import documents_of, materialize, without
+from loretable.llm.common import documents_of, materialize, share_of, without
 from loretable.llm.components import connected_components
 
 #: Fingerprints read to the driver to choose parts and thresholds. They only steer speed, not results.
@@ -258,8 +258,7 @@ def near_links(fps: DataFrame, tau: int = 4, block: int = BLOCK) -> DataFrame:
     Enough of them that everything within tau bits is connected, and none beyond tau bits.
     """
     n = fps.count()
-    share = min(1.0, SAMPLE / max(n, 1))
-    sample = fps.where(F.pmod(F.xxhash64("fp", F.lit(3)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).toPandas()["fp"]
+    sample = fps.where(share_of("fp", SAMPLE / max(n, 1), 3)).toPandas()["fp"]
     parts = allot(np.random.default_rng(0).permutation(np.sort(sample.to_numpy(np.int64))).view(np.uint64), n, tau)
     rows = fps.mapInArrow(_emit(parts), "part byte, key long, right byte, fp long")
 

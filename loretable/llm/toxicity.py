@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loretable.llm.common import bounded_sample, documents_of, labelled, materialize
+from loretable.llm.common import documents_of, labelled_sample, materialize, share_of
 
 #: Labelled rows that a model is fitted on at most, chosen by a hash of the id, and the share of them
 #: that calibrates (the others give the counts).
@@ -30,6 +30,8 @@ SAMPLE_ROWS, CALIBRATION = 20_000, 0.3
 STEMS, STRENGTH = (8, 7, 6, 5, 4, 3), 8.0
 #: Standard errors by which log-odds are drawn towards zero.
 CAUTION = 2.0
+#: Counts that a task holds before it gives them out.
+HELD_COUNTS = 300_000
 #: Min-hashes by which near copies in the sample are found.
 SKETCH = 4
 #: Documents of the sample that a token must occur in to have an estimate of its own.
@@ -140,9 +142,13 @@ def probability(model: ToxicityModel, strongest: float, total: float) -> float:
 def _counted(sample: DataFrame) -> DataFrame:
     """(kind, token, y, n): in how many texts of each label each word and each beginning occurs."""
 
+    def rows(counts: dict[tuple, int]) -> pa.RecordBatch:
+        kind, token, y = zip(*counts, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(token, pa.binary()), pa.array(y, pa.int32()), pa.array(list(counts.values()), pa.int64())], ["kind", "token", "y", "n"])
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[tuple, int] = {}
         for b in batches:
-            counts: dict[tuple, int] = {}
             for text, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 words = {w.strip(PUNCTUATION) for w in text.lower().encode().split()}
                 decoded = [w.decode("utf-8", "replace") for w in words]
@@ -152,9 +158,11 @@ def _counted(sample: DataFrame) -> DataFrame:
                     for w in {x[:n] for x in decoded if len(x) >= n}:
                         key = (n, w.encode(), y)
                         counts[key] = counts.get(key, 0) + 1
-            if counts:
-                kind, token, y = zip(*counts, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(token, pa.binary()), pa.array(y, pa.int32()), pa.array(list(counts.values()), pa.int64())], ["kind", "token", "y", "n"])
+                if len(counts) > HELD_COUNTS:
+                    yield rows(counts)
+                    counts = {}
+        if counts:
+            yield rows(counts)
 
     return sample.select("text", "y").mapInArrow(work, "kind int, token binary, y int, n long")
 
@@ -187,8 +195,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: i
 
     Without rows of both labels the model scores every text alike, below one half.
     """
-    sample = _apart(materialize(bounded_sample(labelled(docs, labels, label), sample_rows), "labelled"))
-    part = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(11)), F.lit(1000)) < int(1000 * CALIBRATION)
+    sample = _apart(materialize(labelled_sample(docs, labels, label, sample_rows), "labelled"))
+    part = share_of("doc_id", CALIBRATION, 11)
     sample = materialize(sample.select("text", "y", part.alias("calibrates")), "sample")
     counting, calibrating = sample.where("not calibrates"), sample.where("calibrates")
     sizes = {r.y: r["count"] for r in counting.groupBy("y").count().collect()}
