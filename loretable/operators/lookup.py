@@ -54,12 +54,19 @@ def _top(rows: DataFrame, key: str, name: str, most: int | None) -> DataFrame:
 
 
 def loose_relations(relations: DataFrame, queries: DataFrame) -> DataFrame:
-    """Relation entries whose pair text holds a queried name as part of a longer one, as if it were that
-    name's own: (query, related_person, chunk_id, pos, interaction)."""
-    key = F.concat("person_a", F.lit("|"), "person_b")
-    hit = relations.join(F.broadcast(queries.select("query").distinct().limit(10_000)), key.contains(F.col("query")))
-    exact = (F.col("person_a") == F.col("query")) | (F.col("person_b") == F.col("query"))
-    return hit.where(~exact).select("query", F.col("person_a").alias("related_person"), "chunk_id", "pos", "interaction")
+    """Relation entries of pairs in which a queried name stands only inside a longer one, as if it were
+    that name's own: (query, related_person, chunk_id, pos, interaction). The longer names are found by
+    the containment join of the aliases, not by comparing all queries with all pairs."""
+    from loretable.operators.aliases import containment
+
+    asked = queries.select(F.col("query").alias("name"))
+    people = relations.select(F.explode(F.array("person_a", "person_b")).alias("name"))
+    inside = containment(asked.unionByName(people).distinct().withColumn("count", F.lit(1)))
+    longer = inside.join(asked.distinct(), F.col("alias") == F.col("name"), "left_semi").select(F.col("alias").alias("query"), F.col("canonical_candidate").alias("longer"))
+    entry = ["person_a", "person_b", "chunk_id", "pos", "interaction"]
+    hits = [relations.join(longer, F.col(side) == F.col("longer")).select("query", *entry) for side in ("person_a", "person_b")]
+    rows = hits[0].unionByName(hits[1]).dropDuplicates(["query", "chunk_id", "pos"])
+    return rows.where("person_a <> query and person_b <> query").select("query", F.col("person_a").alias("related_person"), "chunk_id", "pos", "interaction")
 
 
 def samples(facts: DataFrame, most: int) -> DataFrame:
