@@ -20,13 +20,13 @@ from loretable.llm.common import documents_of, labelled_sample
 
 #: Labelled rows that the network is trained on at most, chosen by a hash of the id, and the bytes
 #: that whole texts of them may hold together in the driver.
-SAMPLE_ROWS, SAMPLE_BYTES = 3000, 24_000_000
+SAMPLE_ROWS, SAMPLE_BYTES = 4000, 24_000_000
 #: Bytes per step, steps that a filter spans, size of a byte's embedding, filters.
 STEP, SPAN, EMBED, FILTERS = 4, 3, 8, 24
 #: Steps of a pooling cell; cells of a chunk, and cells from one chunk to the next (the rest overlaps).
 CELL, CHUNK, HOP = 16, 8, 6
 #: Documents of a training step, passes over the sample, learning rate.
-BATCH, PASSES, RATE = 32, 7, 0.01
+BATCH, PASSES, RATE = 32, 9, 0.01
 #: Bytes convolved at once; bounds memory for very long texts.
 AT_ONCE = 1 << 20
 
