@@ -54,15 +54,18 @@ def values_in_order(entries: DataFrame, keys: tuple[str, ...], value: str) -> Da
 
 
 def index(records: DataFrame, kind: str) -> DataFrame:
-    """An entity's count, chunks and distinct values as arrays in the order of first sight, for export."""
+    """An entity's count, chunks and distinct values as arrays in the order of first sight, for export.
+
+    One pass over the records: entries are spread into (entity, list, value), counted with their first
+    place by one aggregation, and only those counted rows are gathered per entity.
+    """
     keys, values = KINDS[kind]
-    entries = mentions(records, kind)
-    posts = postings(entries, keys)
-    out = posts.groupBy(*keys).agg(F.sum("n").alias("count"), F.array_sort(F.collect_list("chunk_id")).alias("chunks"), F.min(F.struct("chunk_id", "first_pos")).alias("first_at"))
-    for v in values:
-        ordered = values_in_order(entries, keys, v).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("first_at", v))).alias("x")).select(*keys, F.col(f"x.{v}").alias(f"{v}s"))
-        out = out.join(ordered, list(keys), "left").withColumn(f"{v}s", F.coalesce(f"{v}s", F.array().cast("array<string>")))
-    return out
+    item = lambda name, c: F.struct(F.lit(name).alias("list"), F.col(c).alias("value"))
+    spread = mentions(records, kind).select(*keys, "chunk_id", "pos", F.inline(F.array(item("chunk", "chunk_id"), *[item(v, v) for v in values]))).where("value <> ''")
+    counted = spread.groupBy(*keys, "list", "value").agg(F.count("*").alias("n"), F.min(F.struct("chunk_id", "pos")).alias("first_at"))
+    of = lambda name, c: F.when(F.col("list") == name, c)
+    arrays = [F.transform(F.array_sort(F.collect_list(of(v, F.struct("first_at", "value")))), lambda x: x["value"]).alias(f"{v}s") for v in values]
+    return counted.groupBy(*keys).agg(F.sum(of("chunk", F.col("n"))).alias("count"), F.array_sort(F.collect_list(of("chunk", F.col("value")))).alias("chunks"), F.min(of("chunk", F.col("first_at"))).alias("first_at"), *arrays)
 
 
 def ranked(indexed: DataFrame, keys: tuple[str, ...]) -> DataFrame:
