@@ -25,7 +25,7 @@ from loretable.llm.common import documents_of, labelled_sample, materialize, sha
 
 #: Labelled rows that a model is fitted on at most, chosen by a hash of the id, and the share of them
 #: that calibrates (the others give the counts).
-SAMPLE_ROWS, CALIBRATION = 20_000, 0.3
+SAMPLE_ROWS, CALIBRATION = 15_000, 0.3
 #: Lengths of the beginnings that serve as priors, and the strength of each prior in documents.
 STEMS, STRENGTH = (8, 7, 6, 5, 4, 3), 8.0
 #: Standard errors by which log-odds are drawn towards zero.
@@ -35,7 +35,7 @@ HELD_COUNTS = 300_000
 #: Min-hashes by which near copies in the sample are found.
 SKETCH = 4
 #: Documents of the sample that a token must occur in to have an estimate of its own.
-LEAST_DOCUMENTS = 3
+LEAST_DOCUMENTS = 4
 #: Each token loses so many times the mean gain of tokens in clean text, and at least so much, so that
 #: clean text drifts downwards.
 DRIFT, LEAST_DRIFT = 2.0, 0.005
@@ -217,7 +217,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: i
             a, b = a + 0.5, b + 0.5
             odds = np.log(a / b) - np.log(prior / (1 - prior))
             target[token] = float(np.sign(odds) * max(0.0, abs(odds) - CAUTION * np.sqrt(1 / a + 1 / b)))
-        tables[kind] = here
+        if kind:
+            tables[kind] = here
+    del counts, tables
 
     gains = calibrating.where("y = 0").select("text").mapInArrow(_gains(sample, model), "n long, gain double").agg(F.sum("gain"), F.sum("n")).first()
     model.drift = max(LEAST_DRIFT, DRIFT * gains[0] / gains[1]) if gains[1] else LEAST_DRIFT
