@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -89,19 +90,21 @@ def member_test(keys: DataFrame, column: str, log2_bits: int = 26):
     return lambda c: maybe(F.pmod(F.xxhash64(c), F.lit(1 << log2_bits)))
 
 
-def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """docs without the rows whose doc_id is in dropped, and one row for each doc_id.
+def without(docs: DataFrame, decided: DataFrame, key: Callable[[Column], Column]) -> DataFrame:
+    """docs without the rows that decided marks as not kept; rows of equal doc_id and key stay once.
 
-    Only rows that a fixed-size filter takes for dropped or repeated ids are shuffled to be decided
-    by a join; the whole texts of all the others stay where they are read.
+    decided: doc_id, key, kept for each row of docs, kept the same for equal doc_id and key (nulls
+    count as equal). key: column function of the text (null: empty) that gave decided's key. Of
+    several rows of equal doc_id and key the longest text stays, then the smallest. Only rows whose
+    doc_id a fixed-size filter takes for one of those that go or repeat are shuffled to be decided by
+    a join; the whole texts of all the others stay where they are read.
     """
-    ids = F.col("doc_id").cast("long")
-    repeated = docs.groupBy(ids.alias("_id")).count().where("count > 1").select("_id", F.lit(False).alias("_drop"))
-    asked = dropped.select(ids.alias("_id"), F.lit(True).alias("_drop")).unionByName(repeated).groupBy("_id").agg(F.max("_drop").alias("_drop"))
-    asked = materialize(asked, "asked")
+    pairs = decided.groupBy(F.col("doc_id").cast("long").alias("_id"), F.col("key").alias("_key")).agg(F.min("kept").alias("_kept"), F.count("*").alias("_n"))
+    asked = materialize(pairs.where("not _kept or _n > 1").select("_id", "_key", "_kept"), "asked")
     maybe = member_test(asked, "_id")
+    ids, text = F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit(""))
     flagged = docs.withColumn("_maybe", maybe(ids))
     sure = flagged.where("not _maybe").drop("_maybe")
-    open_ = flagged.where("_maybe").drop("_maybe")
-    decided = open_.join(asked, ids.eqNullSafe(F.col("_id")), "left").where("_drop is null or not _drop").drop("_id", "_drop")
-    return sure.unionByName(decided.dropDuplicates(["doc_id"]))
+    open_ = flagged.where("_maybe").select(F.struct(*docs.columns).alias("_row"), ids.alias("_i"), key(text).alias("_k"), F.struct((-F.length(text)).alias("n"), text.alias("t")).alias("_order"))
+    decided = open_.join(asked, F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_key")), "left").where("_kept is null or _kept")
+    return sure.unionByName(decided.groupBy("_i", "_k").agg(F.min_by("_row", "_order").alias("_row")).select("_row.*"))

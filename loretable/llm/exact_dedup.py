@@ -61,5 +61,9 @@ def exact_groups(docs: DataFrame, content_hash=F.md5) -> DataFrame:
 
 
 def exact_dedup(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns; rows repeated with one doc_id stay once."""
-    return without(docs, exact_groups(docs).where("not kept").select("doc_id"))
+    """The documents that stay, with all their columns: one row of each group of equal texts.
+
+    Rows are decided by doc_id and text, so null and repeated doc_ids lose no text.
+    """
+    groups = exact_groups(docs).select("doc_id", F.col("text_sha256").alias("key"), "kept")
+    return without(docs, groups, lambda text: F.sha2(normalized(text), 256))

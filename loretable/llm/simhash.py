@@ -16,7 +16,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loretable.llm.common import documents_of, materialize, share_of, without
@@ -48,15 +48,21 @@ def fingerprint(text: bytes, shingle: int) -> int:
     return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 5) -> DataFrame:
-    """(doc_id, fp) with fp as a signed long; null and empty texts have fp 0."""
+def text_key(text: Column) -> Column:
+    """What tells whole texts apart in tables that do not hold them."""
+    return F.sha2(text, 256)
+
+
+def fingerprints(docs: DataFrame, shingle: int = 5, keyed: bool = False) -> DataFrame:
+    """(doc_id, fp) with fp as a signed long; null and empty texts have fp 0. keyed: the text's key too."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.fromiter((fingerprint(t, shingle) for t in b.column(1).cast(pa.large_binary()).to_pylist()), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64)), *b.columns[2:]], ["doc_id", "fp", "key"][: b.num_columns])
 
-    return documents_of(docs).mapInArrow(work, "doc_id long, fp long")
+    texts = documents_of(docs)
+    return texts.withColumn("key", text_key(F.col("text"))).mapInArrow(work, "doc_id long, fp long, key string") if keyed else texts.mapInArrow(work, "doc_id long, fp long")
 
 
 @dataclass(frozen=True)
@@ -301,6 +307,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, tau: int = 4) -> DataFram
 
 
 def near_dedup(docs: DataFrame, shingle: int = 5, tau: int = 4) -> DataFrame:
-    """The documents that stay, one of each component (the smallest doc_id), with all their columns."""
-    classes = near_duplicates(docs, shingle, tau)
-    return without(docs, classes.where("not (doc_id <=> component_id)").select("doc_id"))
+    """The documents that stay, one row of each component (the smallest doc_id), with all their columns.
+
+    Rows are decided by doc_id and text, so null and repeated doc_ids lose no text.
+    """
+    fps = materialize(fingerprints(docs, shingle, keyed=True), "fingerprints")
+    roots = connected_components(near_links(materialize(fps.select("fp").distinct(), "distinct"), tau))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    rows = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("doc_id", "key", order.alias("order"), F.coalesce("root", "fp").alias("root"))
+    best = rows.groupBy("root").agg(F.min("order").alias("best"))
+    return without(docs, rows.join(best, "root").select("doc_id", "key", F.col("order").eqNullSafe(F.col("best")).alias("kept")), text_key)

@@ -72,6 +72,17 @@ def test_null_ids(spark):
     assert sorted((r.doc_id or -1, r.keep_id or -1, r.kept) for r in got) == [(-1, -1, True), (-1, 3, False), (3, 3, True)]
 
 
+@pytest.mark.parametrize("dedup", [exact_dedup, simhash.near_dedup])
+def test_null_and_repeated_ids_lose_no_text(spark, dedup):
+    """Rows go by id and text: a null or repeated id of which one text is a copy keeps its others."""
+    text = {c: " ".join(f"{c}{i}" for i in range(60)) for c in "abcdef"}
+    rows = [(3, text["a"]), (None, text["a"]), (None, text["b"]), (None, text["c"]), (7, text["d"]), (7, text["a"]), (7, text["e"]), (8, text["f"]), (8, text["f"])]
+    rows += [(None, text["c"])]
+    got = dedup(frame(spark, rows)).collect()
+    want = [(3, text["a"]), (7, text["d"]), (7, text["e"]), (8, text["f"]), (None, text["b"]), (None, text["c"])]
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(want, key=str)
+
+
 def test_components(spark):
     rng = random.Random(5)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + [(i, i + 1) for i in range(400, 460)] + [(7, 7), (None, 3)]
