@@ -3,9 +3,10 @@
 Unit vectors are cut into two halves, each quantised by a codebook of its own; the product of both
 codebooks is a grid of cells. A vector visits cells in the order of the sum of both halves'
 distances (multi-sequence order), as many as are needed for a target recall, and what stands in them
-is verified by cosine in double precision. How many that is, is measured: for a bounded set of query
+is verified by cosine in double precision. How many that is, is measured: for blocks of query
 vectors all true partners in the whole table are found by brute force, and the rank at which each
-partner's cell would have been visited is counted.
+partner's cell would have been visited is counted, until enough queries have shown partners. Where
+they stay too few, vectors perturbed to the threshold's cosine give the least number of cells.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,8 +26,11 @@ from loretable.llm.components import connected_components
 SAMPLE, CODES = 16_384, 1024
 #: Vectors wanted in a cell on average when the codebooks' size is chosen.
 PER_CELL = 16
-#: Query vectors (chosen by a hash) for measuring recall, and the recall to reach with one direction.
-QUERIES, RECALL = 256, 0.999
+#: Query vectors (chosen by a hash) in the first block for measuring recall (each next one is twice as
+#: large), queries asked in all, queries with partners that are enough, recall to reach with one direction.
+QUERIES, ASKED, ENOUGH, RECALL = 256, 4096, 64, 0.999
+#: With fewer queries with partners: share of pairs at just the threshold's cosine that must find each other.
+LEAST_RECALL = 0.99
 #: Vectors of a cell that one task holds at once; fuller cells are dealt into blocks.
 BLOCK = 2048
 
@@ -111,19 +116,28 @@ def fit_grid(distinct: DataFrame, n: int, codes: int = CODES, sample: int = SAMP
     return Grid(np.stack([np.asarray(v, np.float64) for v in rows]), k)
 
 
-def cells_needed(distinct: DataFrame, grid: Grid, n: int, threshold: float, recall: float, queries: int = QUERIES) -> int:
-    """Cells to visit for the target recall, measured on some query vectors against all vectors."""
-    chosen = distinct if n <= queries else distinct.where(share_of("uid", queries / n, 6))
-    q = chosen.select("uid", "label", "embedding").toPandas().sort_values("uid")
-    if q.empty:
-        return 1
+def least_cells(grid: Grid, x: np.ndarray, threshold: float, recall: float = LEAST_RECALL, copies: int = 4) -> int:
+    """Cells for that recall of unit vectors and their copies, turned to the threshold's cosine at random.
+
+    A pair is found if one of both visits the other's cell. Closer pairs are found more often.
+    """
+    x = np.repeat(x, copies, axis=0)
+    away = np.random.default_rng(0).normal(size=x.shape)
+    away -= (away * x).sum(axis=1, keepdims=True) * x
+    y = threshold * x + np.sqrt(max(0.0, 1 - threshold**2)) * away / np.maximum(np.sqrt((away * away).sum(axis=1, keepdims=True)), 1e-12)
+    ranks = np.sort(np.minimum(grid.rank(x, grid.own(y)), grid.rank(y, grid.own(x))))
+    return int(ranks[int(np.ceil(recall * len(ranks))) - 1])
+
+
+def _partner_ranks(distinct: DataFrame, grid: Grid, q: pd.DataFrame, threshold: float) -> pd.DataFrame:
+    """(query, rank, n): how many true partners in the whole table each query has at each rank."""
     uid, label = q["uid"].to_numpy(np.int64), q["label"].to_numpy(np.int64)
     x = unit(np.stack([np.asarray(v, np.float64) for v in q["embedding"]]))
     shared = distinct.sparkSession.sparkContext.broadcast((uid, label, x, grid))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uid, label, x, grid = shared.value
-        counts = np.zeros(0, np.int64)
+        counts: dict[tuple[int, int], int] = {}
         for b in batches:
             for lo in range(0, b.num_rows, 2000):
                 part = b.slice(lo, 2000)
@@ -131,17 +145,42 @@ def cells_needed(distinct: DataFrame, grid: Grid, n: int, threshold: float, reca
                 near = (x @ y.T >= threshold) & (label[:, None] == part.column(1).to_numpy(zero_copy_only=False)) & (uid[:, None] != part.column(0).to_numpy(zero_copy_only=False))
                 i, j = np.nonzero(near)
                 if len(i):
-                    ranks = np.bincount(grid.rank(x[i], grid.own(y)[j]))
-                    counts = np.pad(counts, (0, max(0, len(ranks) - len(counts))))
-                    counts[: len(ranks)] += ranks
-        at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], ["rank", "n"])
+                    pairs, n = np.unique(np.stack((i, grid.own(y)[j])), axis=1, return_counts=True)
+                    for k in zip(pairs[0].tolist(), grid.rank(x[pairs[0]], pairs[1]).tolist(), n.tolist(), strict=True):
+                        counts[k[:2]] = counts.get(k[:2], 0) + k[2]
+        keys = np.array(list(counts), np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays([pa.array(uid[keys[:, 0]]), pa.array(keys[:, 1]), pa.array(np.fromiter(counts.values(), np.int64, len(counts)))], ["query", "rank", "n"])
 
-    ranks = distinct.select("uid", "label", "embedding").mapInArrow(work, "rank long, n long").groupBy("rank").agg(F.sum("n").alias("n")).toPandas().sort_values("rank")
+    return distinct.select("uid", "label", "embedding").mapInArrow(work, "query long, rank long, n long").groupBy("query", "rank").agg(F.sum("n").alias("n")).toPandas()
+
+
+def cells_needed(distinct: DataFrame, grid: Grid, n: int, threshold: float, recall: float, queries: int = QUERIES, asked: int = ASKED, enough: int = ENOUGH) -> int:
+    """Cells to visit for the target recall, measured on some query vectors against all vectors.
+
+    Blocks of queries are asked until enough of them have shown partners, or all vectors or about
+    asked of them are through. Each query with partners counts alike. If they are fewer than enough
+    though not all vectors were asked, the result is least_cells at least.
+    """
+    found, first, seen, block = [], None, 0, queries
+    while seen < n:
+        block = min(block, max(1, asked - seen))
+        chosen = distinct if seen + block >= n else distinct.where(share_of("uid", (seen + block) / n, 6))
+        q = chosen.where(~share_of("uid", seen / n, 6)).select("uid", "label", "embedding").toPandas().sort_values("uid")
+        seen, block = seen + block, block * 2
+        if len(q):
+            first = q if first is None else first
+            found.append(_partner_ranks(distinct, grid, q, threshold))
+        if sum(f["query"].nunique() for f in found) >= enough or seen >= asked:
+            break
+    least = 1
+    if sum(f["query"].nunique() for f in found) < enough and seen < n:
+        some = first if first is not None else distinct.select("uid", "embedding").limit(queries).toPandas()
+        least = least_cells(grid, unit(np.stack([np.asarray(v, np.float64) for v in some["embedding"]])), threshold)
+    ranks = pd.concat(found) if found else pd.DataFrame({"rank": []})
     if ranks.empty:
-        return 1
-    reached = ranks["n"].cumsum() >= recall * ranks["n"].sum()
-    return int(ranks["rank"][reached].iloc[0])
+        return least
+    share = (ranks["n"] / ranks.groupby("query")["n"].transform("sum")).groupby(ranks["rank"]).sum().sort_index().cumsum()
+    return max(least, int(share.index[share >= recall * share.iloc[-1] - 1e-9][0]))
 
 
 def near_embeddings(vectors: DataFrame, threshold: float = 0.93, recall: float = RECALL, block: int = BLOCK) -> DataFrame:

@@ -77,3 +77,34 @@ def test_visits_are_the_nearest_cells_in_order():
         assert np.allclose(np.take_along_axis(total, visits, 1), np.sort(total, axis=1)[:, :cells])
     assert (grid.visits(x, 1)[:, 0] == grid.own(x)).all()
     assert (grid.rank(x, grid.visits(x, 6)[:, 5]) == 6).all()
+
+
+def test_cells_without_evidence(spark):
+    """No query has a partner: pairs at the threshold must still find each other, not only in their own cell."""
+    rng = np.random.default_rng(2)
+    x = e.unit(rng.normal(size=(3000, 32)))
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(x)]
+    distinct = spark.createDataFrame([(i, y, v) for i, v, y in rows], "uid long, label long, embedding array<float>")
+    grid = e.Grid(x, 14)
+    cells = e.cells_needed(distinct, grid, len(x), 0.93, e.RECALL, queries=64, asked=128)
+    assert cells > 1
+    fresh = e.unit(rng.normal(size=(500, 32)))
+    away = rng.normal(size=fresh.shape)
+    away -= (away * fresh).sum(axis=1, keepdims=True) * fresh
+    near = 0.93 * fresh + math.sqrt(1 - 0.93**2) * e.unit(away)
+    ranks = np.minimum(grid.rank(fresh, grid.own(near)), grid.rank(near, grid.own(fresh)))
+    assert (ranks <= 1).mean() < 0.9 < 0.97 < (ranks <= cells).mean()
+
+
+def test_queries_count_alike_and_blocks_follow(spark):
+    """A dense cluster does not outweigh other queries, and further blocks are asked."""
+    rng = np.random.default_rng(4)
+    x = e.unit(rng.normal(size=(400, 16)))
+    y = e.unit(x + rng.normal(size=x.shape) * 0.07)
+    dense = e.unit(x[0] + rng.normal(size=(300, 16)) * 0.001)
+    every = np.concatenate((x, y, dense))
+    distinct = spark.createDataFrame([(i, 1, v.tolist()) for i, v in enumerate(every)], "uid long, label long, embedding array<float>")
+    grid = e.Grid(every, 10)
+    cells = e.cells_needed(distinct, grid, len(every), 0.9, 0.97, queries=8, enough=len(every))
+    ranks = grid.rank(x, grid.own(y))[(x * y).sum(axis=1) >= 0.9]
+    assert (ranks <= cells).mean() >= 0.95
