@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from loretable.llm.common import documents_of, labelled_sample
 
 #: Labelled rows that the network is trained on at most, chosen by a hash of the id, and the bytes
-#: that whole texts of them may hold together in the driver.
-SAMPLE_ROWS, SAMPLE_BYTES = 4000, 24_000_000
+#: that whole texts of them may hold together in the driver. Where all of them do not fit, texts of
+#: more than 1 / LONG of these bytes come last.
+SAMPLE_ROWS, SAMPLE_BYTES, LONG = 4000, 24_000_000, 64
 #: Bytes per step, steps that a filter spans, size of a byte's embedding, filters.
 STEP, SPAN, EMBED, FILTERS = 4, 3, 8, 24
 #: Steps of a pooling cell; cells of a chunk, and cells from one chunk to the next (the rest overlaps).
@@ -159,15 +160,41 @@ def _gradients(m: QualityModel, batch: list[np.ndarray], y: np.ndarray) -> list[
     return [embed, filters, bias, dense]
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows: int = SAMPLE_ROWS) -> QualityModel | None:
+def within(sizes: np.ndarray, y: np.ndarray, room: int) -> np.ndarray:
+    """Which texts to train on, of those given in hash order, so that their bytes fit the room.
+
+    All, if they fit. Else each label first takes its share of the room by rows from texts that are
+    not long, then all others in turn; a text too long for what is left is passed over alone.
+    """
+    take = np.zeros(len(sizes), bool)
+    left = {k: room * (y == k).sum() / max(1, len(y)) for k in (0, 1)}
+    for i in np.flatnonzero(sizes <= room // LONG):
+        if sizes[i] <= left[int(y[i])]:
+            take[i] = True
+            left[int(y[i])] -= sizes[i]
+    rest = room - sizes[take].sum()
+    for i in (*np.flatnonzero(~take & (sizes <= room // LONG)), *np.flatnonzero(sizes > room // LONG)):
+        if sizes[i] <= rest:
+            take[i] = True
+            rest -= sizes[i]
+    return take
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES) -> QualityModel | None:
     """A network trained on the labelled rows of docs, at most about sample_rows of them.
 
-    None without rows of both labels: every text then scores one half.
+    Their whole texts hold at most sample_bytes (UTF-8) together; which ones are read is chosen from
+    ids and lengths, in the order of a hash. None without rows of both labels (that fit): every text
+    then scores one half.
     """
-    rows = labelled_sample(docs, labels, label, sample_rows).select("doc_id", F.encode("text", "UTF-8").alias("text"), "y").toPandas().sort_values("doc_id")
+    labelled = labelled_sample(docs, labels, label, sample_rows).withColumn("key", F.xxhash64("doc_id", "text"))
+    sizes = labelled.select("key", F.octet_length("text").alias("size"), "y").distinct().toPandas().sort_values(["key", "size"])
+    chosen = sizes["key"][within(sizes["size"].to_numpy(np.int64), sizes["y"].to_numpy(), sample_bytes)]
+    if len(chosen) < len(sizes):
+        labelled = labelled.join(F.broadcast(docs.sparkSession.createDataFrame([(int(k),) for k in chosen], "key long")), "key", "left_semi")
+    one = labelled.dropDuplicates(["key"]) if labelled.count() > len(chosen) else labelled
+    rows = one.select("doc_id", F.encode("text", "UTF-8").alias("text"), "y").toPandas().sort_values("doc_id")
     texts, y = [bytes(t) for t in rows["text"]], rows["y"].to_numpy(np.float32)
-    room = np.cumsum([len(t) for t in texts]) <= SAMPLE_BYTES
-    texts, y = [t for t, ok in zip(texts, room, strict=True) if ok], y[room]
     return train(texts, y) if len(y) and 0 < y.sum() < len(y) else None
 
 

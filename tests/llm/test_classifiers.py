@@ -102,6 +102,25 @@ def test_quality_without_labels(spark):
     assert quality.score(frame(spark, []), model).count() == 0
 
 
+def test_quality_with_a_huge_labelled_text(spark):
+    """A text beyond the bound, or nearly all of it, at the smallest id leaves the others to train on."""
+    rows = quality_rows(300, 10)
+    for huge in (70_000, 59_000):
+        table = spark.createDataFrame([(1, 1), *((i, y) for i, _, y in rows)], "doc_id long, quality int")
+        model = quality.fit(frame(spark, [(1, "x " * (huge // 2)), *(r[:2] for r in rows)]), table, sample_bytes=60_000)
+        assert model is not None
+        fresh = quality_rows(60, 5000)
+        assert np.mean([(quality.predict(model, t.encode()) >= 0.3) == bool(y) for _, t, y in fresh]) > 0.9
+
+
+def test_training_texts_within_the_bound():
+    sizes, y = np.array([900, 5, 10, 12, 900, 3, 15, 14]), np.array([0, 1, 0, 1, 1, 0, 1, 0])
+    for room in (0, 40, 640, 1000, 5000):
+        take = quality.within(sizes, y, room)
+        assert sizes[take].sum() <= room and (take.all() if room == 5000 else True)
+    assert quality.within(sizes, y, 930).tolist() == [False, True, True, True, False, True, True, True]
+
+
 def test_network_covers_every_byte_and_matches_plain_loops(monkeypatch):
     m = quality.QualityModel.fresh(np.random.default_rng(1))
     text = bytes(np.random.default_rng(2).integers(1, 256, 5000, dtype=np.uint8))
