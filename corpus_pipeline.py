@@ -8,7 +8,7 @@ from loretable.llm import quality, toxicity
 from loretable.llm.common import materialize, table
 from loretable.llm.exact_dedup import exact_dedup
 from loretable.llm.packing import best_fit_packing
-from loretable.llm.simhash import near_dedup
+from loretable.llm.simhash import similar_dedup
 
 #: No SQL: two stages are trained models, and two link or pack by search.
 ORACLE_SQL = None
@@ -30,8 +30,8 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One of each group of near copies stays."""
-    return near_dedup(docs)
+    """One of each group of near copies stays (word five-shingles at least 0.8 alike)."""
+    return similar_dedup(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,12 +14,13 @@ from itertools import combinations
 from math import comb
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loretable.llm.common import documents_of, materialize, share_of, without
+from loretable.llm.common import documents_of, materialize, member_test, share_of, without
 from loretable.llm.components import connected_components
 
 #: Fingerprints read to the driver to choose parts and thresholds. They only steer speed, not results.
@@ -28,20 +29,29 @@ SAMPLE = 2000
 BLOCK = 4096
 #: Groups up to this size are compared all at once, larger ones node by node.
 SMALL = 16
+#: The pipeline's stage: bits within which texts become candidates, and the Jaccard similarity of near copies.
+STAGE_TAU, SIMILAR = 14, 0.8
 
 
-def fingerprint(text: bytes, shingle: int) -> int:
-    """64 bits: bit i is set if it is set in over half of the shingles' XXH64 (seed 42)."""
+def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
+    """XXH64 (seed 42) of every shingle of words, in order; of all words if they are fewer; none of a blank text."""
     words = text.lower().split()  # bytes: lowers A-Z only, splits at [\x20\x09-\x0D]
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     if len(words) <= shingle:
-        return xxhash.xxh64_intdigest(joined, 42)
+        return np.array([xxhash.xxh64_intdigest(joined, 42)], np.uint64)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     h64 = xxhash.xxh64_intdigest
-    hashes = np.array([h64(joined[s:e], 42) for s, e in zip(starts[: -shingle + 1 or None].tolist(), ends[shingle - 1 :].tolist(), strict=True)], np.uint64)
+    return np.array([h64(joined[s:e], 42) for s, e in zip(starts[: -shingle + 1 or None].tolist(), ends[shingle - 1 :].tolist(), strict=True)], np.uint64)
+
+
+def fingerprint(text: bytes, shingle: int) -> int:
+    """64 bits: bit i is set if it is set in over half of the shingles' XXH64 (seed 42)."""
+    hashes = shingle_hashes(text, shingle)
+    if not len(hashes):
+        return 0
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 16):
         ones += np.unpackbits(hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
@@ -196,7 +206,17 @@ def group_links(fp: np.ndarray, right: np.ndarray, within: bool, tau: int) -> li
     return out
 
 
-def _compare(tau: int):
+def group_pairs(fp: np.ndarray, right: np.ndarray, within: bool, tau: int) -> list[tuple[int, int]]:
+    """Every pair of one group: left with left (if within) and left with right."""
+    left, out = fp[right == 0], []
+    for rows in [fp[right != 0], *([left] if within else [])]:
+        for lo in range(0, len(rows), 256):
+            i, j = np.nonzero(np.bitwise_count(rows[lo : lo + 256, None] ^ left) <= tau)
+            out += zip(left[j].tolist(), rows[lo + i].tolist(), strict=True)
+    return out
+
+
+def _compare(tau: int, pairs_of=group_links):
     """Over rows sorted by group with left ones first: links found in each group.
 
     A group is held up to its BLOCK of left rows; right ones are streamed past it.
@@ -228,7 +248,7 @@ def _compare(tau: int):
             for at in np.flatnonzero(sizes > SMALL):
                 s = slice(starts[at], starts[at] + sizes[at])
                 if right[s][0] == 0:
-                    pairs = group_links(fp[s], right[s], bool(bi[s][0] == bj[s][0]), tau)
+                    pairs = pairs_of(fp[s], right[s], bool(bi[s][0] == bj[s][0]), tau)
                     if pairs:
                         yield pack(pairs)
 
@@ -263,9 +283,20 @@ def near_links(fps: DataFrame, tau: int = 4, block: int = BLOCK) -> DataFrame:
 
     Enough of them that everything within tau bits is connected, and none beyond tau bits.
     """
+    return _met(fps, tau, block).mapInArrow(_compare(tau), "a long, b long")
+
+
+def near_pairs(fps: DataFrame, tau: int, block: int = BLOCK) -> DataFrame:
+    """(a, b): every pair of distinct fingerprints that differ in at most tau bits, once, with a < b."""
+    found = _met(fps, tau, block, emit_cost=300.0).mapInArrow(_compare(tau, group_pairs), "a long, b long")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
+
+
+def _met(fps: DataFrame, tau: int, block: int, emit_cost: float = 40.0) -> DataFrame:
+    """Rows for _compare, sorted by group: part, key, two block numbers, right, fp."""
     n = fps.count()
     sample = fps.where(share_of("fp", SAMPLE / max(n, 1), 3)).toPandas()["fp"]
-    parts = allot(np.random.default_rng(0).permutation(np.sort(sample.to_numpy(np.int64))).view(np.uint64), n, tau)
+    parts = allot(np.random.default_rng(0).permutation(np.sort(sample.to_numpy(np.int64))).view(np.uint64), n, tau, emit_cost)
     rows = fps.mapInArrow(_emit(parts), "part byte, key long, right byte, fp long")
 
     # Buckets beyond a block are dealt into blocks by a hash; every two of its blocks meet in a task of their own.
@@ -285,7 +316,7 @@ def near_links(fps: DataFrame, tau: int = 4, block: int = BLOCK) -> DataFrame:
             "fp",
         )
     keys = ["part", "key", "bi", "bj"]
-    return dealt.repartition(*keys).sortWithinPartitions(*keys, "right").mapInArrow(_compare(tau), "a long, b long")
+    return dealt.repartition(*keys).sortWithinPartitions(*keys, "right")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, tau: int = 4) -> DataFrame:
@@ -313,7 +344,80 @@ def near_dedup(docs: DataFrame, shingle: int = 5, tau: int = 4) -> DataFrame:
     """
     fps = materialize(fingerprints(docs, shingle, keyed=True), "fingerprints")
     roots = connected_components(near_links(materialize(fps.select("fp").distinct(), "distinct"), tau))
+    return _one_of_each(docs, fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")))
+
+
+def _one_of_each(docs: DataFrame, rooted: DataFrame) -> DataFrame:
+    """The row of docs with the smallest (doc_id, key) of each root; rooted: doc_id, key, root."""
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
-    rows = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("doc_id", "key", order.alias("order"), F.coalesce("root", "fp").alias("root"))
+    rows = rooted.select("doc_id", "key", order.alias("order"), "root")
     best = rows.groupBy("root").agg(F.min("order").alias("best"))
     return without(docs, rows.join(best, "root").select("doc_id", "key", F.col("order").eqNullSafe(F.col("best")).alias("kept")), text_key)
+
+
+def _shingle_sets(docs: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
+    """(node, words): sorted distinct shingle hashes of the texts of nodes (key, node)."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo in range(0, b.num_rows, 128):  # sets are larger than their texts
+                part = b.slice(lo, 128)
+                sets = [np.unique(shingle_hashes(t, shingle)).tobytes() for t in part.column(1).cast(pa.large_binary()).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], ["key", "words"])
+
+    maybe = member_test(nodes, "key")
+    texts = documents_of(docs).select(text_key(F.col("text")).alias("key"), "text").where(maybe(F.col("key")))
+    sets = texts.mapInArrow(work, "key string, words binary").join(nodes, "key")
+    return materialize(sets.groupBy("node").agg(F.min("words").alias("words")), "sets")
+
+
+def _similar(similarity: float):
+    @F.pandas_udf("boolean")
+    def alike(a: pd.Series, b: pd.Series) -> pd.Series:
+        def test(x: bytes, y: bytes) -> bool:
+            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            return both >= similarity * (len(x) + len(y) - both)
+
+        return pd.Series([test(x, y) for x, y in zip(a, b, strict=True)], dtype=bool)
+
+    return alike
+
+
+def similar_dedup(docs: DataFrame, shingle: int = 5, tau: int = STAGE_TAU, similarity: float = SIMILAR) -> DataFrame:
+    """One document of each group of near copies stays (the smallest doc_id), with all its columns.
+
+    Candidates are all pairs of texts whose fingerprints differ in at most tau bits; linked are those
+    whose sets of word shingles have a Jaccard similarity of at least similarity, computed in full.
+    Candidates are tested in rounds, nearest first; those already joined by tested links are left out.
+    """
+    fps = materialize(fingerprints(docs, shingle, keyed=True), "fingerprints")
+    nodes = materialize(fps.groupBy("key").agg(F.min("fp").alias("fp")).withColumn("node", F.monotonically_increasing_id()), "nodes")
+    near = materialize(near_pairs(materialize(nodes.select("fp").distinct(), "distinct"), tau), "near")
+    ends = nodes.select("fp", "node")
+    left, right = ends.toDF("a", "x"), ends.toDF("b", "y")
+    pairs = near.join(left, "a").join(right, "b").select("x", "y", F.bit_count(F.col("a").bitwiseXOR(F.col("b"))).alias("bits"))
+    equal = ends.toDF("fp", "x").join(ends.toDF("fp", "y"), "fp").where("x < y").select("x", "y", F.lit(0).alias("bits"))
+    todo = materialize(pairs.unionByName(equal), "pairs")
+    asked = todo.select(F.col("x").alias("node")).union(todo.select("y")).distinct()
+    sets = _shingle_sets(docs, nodes.join(asked, "node").select("key", "node"), shingle)
+    size = sets.select("node", F.length("words").alias("size"))
+    sized = todo.join(size.toDF("x", "sx"), "x").join(size.toDF("y", "sy"), "y")
+    todo = materialize(sized.where(F.least("sx", "sy") >= similarity * F.greatest("sx", "sy")).select("x", "y", "bits"), "pairs")
+    alike, links, roots, most = _similar(similarity), None, None, 4
+    while not todo.isEmpty():
+        turn = F.row_number().over(Window.partitionBy("x").orderBy("bits", F.xxhash64("y")))
+        ranked = materialize(todo.withColumn("turn", turn), "ranked")
+        now = ranked.where(F.col("turn") <= most).join(sets.toDF("x", "wx"), "x").join(sets.toDF("y", "wy"), "y")
+        found = materialize(now.where(alike("wx", "wy")).select(F.col("x").alias("a"), F.col("y").alias("b")), "linked")
+        links = found if links is None else links.unionByName(found)
+        roots = materialize(connected_components(links), "roots")
+        rest = ranked.where(F.col("turn") > most).join(roots.toDF("x", "rx"), "x", "left").join(roots.toDF("y", "ry"), "y", "left")
+        todo = materialize(rest.where("coalesce(rx, x) <> coalesce(ry, y)").select("x", "y", "bits"), "pairs")
+        most *= 8
+    rooted = fps.join(nodes.select("key", "node"), "key")
+    if roots is not None:
+        rooted = rooted.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    else:
+        rooted = rooted.withColumn("root", F.col("node"))
+    return _one_of_each(docs, rooted)

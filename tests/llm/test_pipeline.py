@@ -1,4 +1,5 @@
 import importlib
+import random
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -55,3 +56,32 @@ def test_stage_list():
     entry = importlib.import_module("__spark_entry__")
     assert {f"op{n}_" for n in range(1, 11)} == {k.split("_")[0] + "_" for k in entry.queries() if k.startswith("op")}
     assert "pipeline" in entry.queries()
+
+
+def test_simhash_stage_finds_planted_near_copies(spark):
+    """Copies at a similarity of 0.8 to 0.95 go; texts that are less alike stay, null and repeated ids too."""
+    rng = random.Random(11)
+    shingles = lambda w: {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    rows, copies = [], []
+    for i in range(60):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.randint(150, 600))]
+        copy = list(words)
+        aim = rng.uniform(0.81, 0.95)
+        while True:
+            next_ = list(copy)
+            next_[rng.randrange(len(copy))] = f"n{rng.randrange(5000)}"
+            a, b = shingles(words), shingles(next_)
+            if len(a & b) / len(a | b) < aim:
+                break
+            copy = next_
+        rows += [(i, " ".join(words)), (1000 + i, " ".join(copy))]
+        copies.append(1000 + i)
+        # half of it is new: stays
+        rows.append((2000 + i, " ".join(words[: len(words) // 2] + [f"h{rng.randrange(5000)}" for _ in range(len(words) // 2)])))
+    rows += [(None, "one text"), (None, "another text"), (5, "a second text of one id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = corpus_pipeline.STAGES[3][1](spark, docs, "").collect()
+    left = {r.doc_id for r in got}
+    assert set(range(60)) <= left and set(range(2000, 2060)) <= left
+    assert sum(c in left for c in copies) <= 3
+    assert sum(r.doc_id is None for r in got) == 2 and sum(r.doc_id == 5 for r in got) == 2
