@@ -101,3 +101,25 @@ def test_long_page(spark):
     page = "<p>" + "x <i>y</i> " * 60_000 + "<!-- " + "z" * 200_000
     got = warc.derive(spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")).where(F.col("record_type") == "conversion").first()
     assert got.block.startswith("x y x y")
+
+
+def test_references_and_attributes(spark):
+    """References are resolved once; numbers of no character and unknown names stay; quotes of any kind."""
+    cases = {
+        "&#233;&#xE9;&#XE9;&#128578;": "ééé😊"[:3] + "🙂",
+        "&amp;lt; &#38;lt; &#x26;#60;": "&lt; &lt; &#60;",
+        "&#0; &#xD800; &#1114112; &unknown; & ; &": "&#0; &#xD800; &#1114112; &unknown; & ; &",
+        "a\t\r b<p><br/> <i>c</i> </p>\n\n d": "a b\nc\nd",
+        "<style\n>x</style><!-- <p> --><noscript>y</noscript>z": "z",
+        "<scripts>kept</scripts>": "kept",
+    }
+    rows = [(k, "u", f"<html class=q lang='fr'><body><a\nhref=x></a>{html}") for k, html in enumerate(cases)]
+    got = warc.derive(spark.createDataFrame(rows, "page_id int, url string, html string")).collect()
+    assert [r.block for r in sorted((r for r in got if r.record_type == "conversion"), key=lambda r: r.page_id)] == list(cases.values())
+    assert all("language: fr\r\nlinks: 1\r\n" in r.block for r in got if r.record_type == "metadata")
+
+
+def test_date_is_never_left_out(spark):
+    page = spark.createDataFrame([(1, "u", PAGE)], "page_id int, url string, html string")
+    assert all("\r\nWARC-Date: 2024-05-06T07:08:09Z\r\n" in r.warc for r in warc.rendered(warc.derive(page), "2024-05-06T07:08:09Z").collect())
+    assert all(re.search(r"\r\nWARC-Date: \d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ\r\n", r.warc) for r in warc.rendered(warc.derive(page)).collect())
