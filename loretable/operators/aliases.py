@@ -15,20 +15,17 @@ def containment(names: DataFrame, longest: int = LONGEST) -> DataFrame:
     """(alias, canonical_candidate, alias_count, canonical_count): names of two or more characters that
     stand inside another one, which has a positive count.
 
-    Each name is spread into its distinct inner parts, which are looked up by an equi-join; only names
-    beyond a length are compared with contains, and only as the longer side.
+    Each name is spread into its distinct inner parts of at most longest characters, which are looked up by
+    an equi-join. An alias beyond that length is looked up by its first longest characters, and whether
+    the whole of it stands there is tested on what meets; so no name is compared with all others.
     """
     base = names.select("name", F.col("count").cast("bigint").alias("count")).where("name is not null")
-    short = base.where(F.length("name") <= longest)
     n = F.length("name")
-    parts = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda a: F.transform(F.sequence(F.lit(2), F.greatest(n - 1, F.lit(2))), lambda k: F.when((a + k - 1 <= n) & (k < n), F.substring(F.col("name"), a, k)))))
-    inner = short.where("length(name) > 2 and count > 0").select(F.col("name").alias("canonical_candidate"), F.col("count").alias("canonical_count"), F.explode(F.array_distinct(F.filter(parts, lambda p: p.isNotNull()))).alias("alias"))
-    found = inner.join(base.select(F.col("name").alias("alias"), F.col("count").alias("alias_count")), "alias")
-    far = base.where((F.length("name") > longest) & (F.col("count") > 0)).select(F.col("name").alias("canonical_candidate"), F.col("count").alias("canonical_count"))
-    other = base.where("length(name) >= 2").select(F.col("name").alias("alias"), F.col("count").alias("alias_count"))
-    late = far.join(other, F.col("canonical_candidate").contains(F.col("alias")) & (F.col("alias") != F.col("canonical_candidate")))
-    columns = ["alias", "canonical_candidate", "alias_count", "canonical_count"]
-    return found.select(columns).unionByName(late.select(columns))
+    parts = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda a: F.transform(F.sequence(F.lit(2), F.greatest(F.least(n - 1, F.lit(longest)), F.lit(2))), lambda k: F.when((a + k - 1 <= n) & (k < n), F.substring(F.col("name"), a, k)))))
+    inner = base.where("length(name) > 2 and count > 0").select(F.col("name").alias("canonical_candidate"), F.col("count").alias("canonical_count"), F.explode(F.array_distinct(F.filter(parts, lambda p: p.isNotNull()))).alias("part"))
+    asked = base.where("length(name) >= 2").select(F.substring("name", 1, longest).alias("part"), F.col("name").alias("alias"), F.col("count").alias("alias_count"))
+    whole = (F.length("alias") <= longest) | (F.col("canonical_candidate").contains(F.col("alias")) & (F.col("alias") != F.col("canonical_candidate")))
+    return inner.join(asked, "part").where(whole).select("alias", "canonical_candidate", "alias_count", "canonical_count")
 
 
 def classified(pairs: DataFrame) -> DataFrame:

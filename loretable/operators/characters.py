@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loretable.functions.text import or_null, strip
+from loretable.operators.indexes import ARRAY_ITEMS
 
 TOP = 20
 TOKEN_MARKS = "[、，,]"
@@ -51,8 +52,8 @@ def observed_aliases(facts: DataFrame) -> DataFrame:
 
 
 def profiles(facts: DataFrame, most: int = TOP, with_chunks: bool = True) -> DataFrame:
-    """A character's aliases, counts, chunks and top values as arrays. with_chunks=False leaves the chunk
-    list, which grows with the corpus, to the long table of facts."""
+    """A character's aliases, counts, first chunks (at most ARRAY_ITEMS) and top values as arrays. The whole
+    chunk list, which grows with the corpus, is in the long table of facts; with_chunks=False gives none."""
     out = profile_counts(facts)
     arrays = {
         "aliases": observed_aliases(facts).groupBy("canonical_name").agg(F.array_sort(F.collect_list("alias")).alias("aliases")),
@@ -60,7 +61,9 @@ def profiles(facts: DataFrame, most: int = TOP, with_chunks: bool = True) -> Dat
         "top_emotions": _ranked_array(top_values(facts, "emotion", most, tokens=True), "top_emotions"),
     }
     if with_chunks:
-        arrays["chunk_ids"] = facts.select("canonical_name", "chunk_id").distinct().groupBy("canonical_name").agg(F.array_sort(F.collect_list("chunk_id")).alias("chunk_ids"))
+        place = F.row_number().over(Window.partitionBy("canonical_name").orderBy("chunk_id"))
+        first = facts.select("canonical_name", "chunk_id").distinct().withColumn("place", place).where(F.col("place") <= ARRAY_ITEMS)
+        arrays["chunk_ids"] = first.groupBy("canonical_name").agg(F.array_sort(F.collect_list("chunk_id")).alias("chunk_ids"))
     for name, df in arrays.items():
         out = out.join(df, "canonical_name", "left").withColumn(name, F.coalesce(name, F.array().cast("array<string>")))
     return out
@@ -70,8 +73,13 @@ def _ranked_array(ranked: DataFrame, name: str) -> DataFrame:
     return ranked.groupBy("canonical_name").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "value"))), lambda x: x["value"]).alias(name))
 
 
-def top_profiles(counts: DataFrame, most: int = 10) -> DataFrame:
-    return counts.orderBy(F.desc("mention_count"), "canonical_name").limit(most)
+def top_profiles(counts: DataFrame, observed: DataFrame | None = None, most: int = 10) -> DataFrame:
+    """The most mentioned profiles, with their observed aliases (canonical_name, alias) as one text if given."""
+    top = counts.orderBy(F.desc("mention_count"), "canonical_name").limit(most)
+    if observed is None:
+        return top
+    named = observed.join(top.select("canonical_name"), "canonical_name").groupBy("canonical_name").agg(F.array_join(F.array_sort(F.collect_set("alias")), ", ").alias("aliases"))
+    return top.join(named, "canonical_name", "left").withColumn("aliases", F.coalesce("aliases", F.lit("")))
 
 
 def encoding_check(names: DataFrame, column: str = "canonical_name") -> DataFrame:

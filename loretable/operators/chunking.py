@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -93,35 +93,48 @@ def located(text: str, parts: list[str]) -> list[tuple[int, int]]:
     return out
 
 
+def chunked(text: str, title: re.Pattern, starts: re.Pattern, gap: re.Pattern, most: int, ends: str) -> tuple[list[str], list[str]]:
+    """Hints and texts of one document's chunks."""
+    cuts = [m.start() for m in starts.finditer(text) if m.start()]
+    cut = [text[a:z] for a, z in zip([0, *cuts], [*cuts, len(text)], strict=True) if a < z]
+    titled = [bool(title.match(s)) for s in cut]
+    hints, made = [], []
+    for s, is_titled in zip(cut, titled, strict=True):
+        hint = s.splitlines()[0].strip()[:HINT_CHARS] if is_titled else WHOLE_HINT if not any(titled) else FRONT_HINT
+        parts = packed_paragraphs([p for x in gap.split(s) if (p := x.strip())], most, ends)
+        made += parts
+        hints += [hint] * len(parts)
+    return hints, made
+
+
 def chunk_documents(raw: DataFrame, most: int = MAX_CHARS, titles: str | None = None, gap: str = PARAGRAPH_GAP, ends: str = SENTENCE_ENDS) -> DataFrame:
     """The chunk table of raw(source_name, source_file, text).
 
-    Chapters and paragraphs are split by column functions; packing and locating, which run through a
-    document from its start, are done document by document in Arrow batches. Null texts give no chunk.
+    Packing and locating run through a document from its start, so each document is cut, packed and
+    located by one function in Arrow batches: its text goes to the worker once, chunks come back.
+    Null and blank texts give no chunk.
     """
-    split = F.split("text", f"(?mdU)(?=^(?:{titles or '|'.join(TITLES)}))", -1)
-    rows = raw.where("text is not null").select("source_name", "source_file", "text", F.transform(F.filter(split, lambda s: s != ""), lambda s: F.struct(s.alias("body"), paragraphs(s, gap).alias("parts"))).alias("sections"))
-    title = re.compile(f"(?:{titles or '|'.join(TITLES)})")
-
-    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            for name, file, text, cut in zip(f["source_name"], f["source_file"], f["text"], f["sections"], strict=True):
-                hints = [s["body"].splitlines()[0].strip()[:HINT_CHARS] if title.match(s["body"]) else FRONT_HINT for s in cut]
-                if len(cut) == 1 and not title.match(cut[0]["body"]):
-                    hints = [WHOLE_HINT]
-                made = [(h, c) for h, s in zip(hints, cut, strict=True) for c in packed_paragraphs(list(s["parts"]), most, ends)]
-                if made:
-                    places = located(text, [c for _, c in made])
-                    yield pd.DataFrame(
-                        [(f"{name}_{i:04d}", name, i, file, h, a, z, c) for i, ((h, c), (a, z)) in enumerate(zip(made, places, strict=True), 1)],
-                        columns=["chunk_id", "source_name", "chunk_idx", "source_file", "chapter_hint", "char_start", "char_end", "text"],
-                    )
-
-    return rows.mapInPandas(work, CHUNKS)
-
-
-def run_summary(raw: DataFrame, chunks: DataFrame, encoding: str = "encoding") -> DataFrame:
-    """Per source: encoding, characters, chunks, first and last chunk id."""
+    forms = f"(?:{titles or '|'.join(TITLES)})"
+    columns = [c.split()[0] for c in CHUNKS.split(", ")]
+    kinds = {"chunk_idx": pa.int32(), "char_start": pa.int64(), "char_end": pa.int64()}
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        title, starts, gaps = re.compile(forms), re.compile(f"(?m)^(?={forms})"), re.compile(gap)
+        for b in batches:
+            for lo in range(0, b.num_rows, 200):
+                out: list[tuple] = []
+                for name, file, text in zip(*[c.to_pylist() for c in b.slice(lo, 200).columns], strict=True):
+                    hints, made = chunked(text, title, starts, gaps, most, ends)
+                    out += [(f"{name}_{i:04d}", name, i, file, h, a, z, c) for i, (h, c, (a, z)) in enumerate(zip(hints, made, located(text, made), strict=True), 1)]
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kinds.get(c, pa.string())) for k, c in enumerate(columns)], columns)
+
+    return raw.where("text is not null").select("source_name", "source_file", "text").mapInArrow(work, CHUNKS)
+
+
+def run_summary(raw: DataFrame, chunks: DataFrame, encoding: str = "encoding", limit_chars: int | None = None, limit_lines: int | None = None) -> DataFrame:
+    """Per source: encoding, characters in all and within the limits, the limits, chunks, first and last chunk id."""
     per = chunks.groupBy("source_name").agg(F.count("*").alias("chunk_count"), F.min_by("chunk_id", "chunk_idx").alias("first_chunk"), F.max_by("chunk_id", "chunk_idx").alias("last_chunk"))
-    texts = raw.groupBy("source_name").agg(F.max(encoding).alias("encoding"), F.sum(F.length("text")).alias("total_chars"))
-    return texts.join(per, "source_name", "left").withColumn("chunk_count", F.coalesce("chunk_count", F.lit(0)))
+    texts = raw.withColumn("_total", F.length("text")).transform(limited, limit_chars, limit_lines).groupBy("source_name")
+    sums = texts.agg(F.max(encoding).alias("encoding"), F.sum("_total").alias("total_chars"), F.sum(F.length("text")).alias("processed_chars"))
+    limits = [F.lit(x).cast("int").alias(n) for n, x in (("limit_chars", limit_chars), ("limit_lines", limit_lines))]
+    return sums.join(per, "source_name", "left").select("source_name", "encoding", "total_chars", "processed_chars", *limits, F.coalesce("chunk_count", F.lit(0)).alias("chunk_count"), "first_chunk", "last_chunk")

@@ -2,49 +2,69 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from uuid import uuid4
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loretable.functions.tables import kept
+
+#: Terms that a task holds at once; more are looked for in rounds, with the same result.
 DICTIONARY_TERMS = 200_000
 
 
+_automata: dict = {}
+
+
+def _automaton(name: str, terms: list[str]):
+    """The automaton of a dictionary; a worker keeps that of the last one."""
+    if name not in _automata:
+        import ahocorasick
+
+        _automata.clear()
+        made = _automata[name] = ahocorasick.Automaton()
+        for t in terms:
+            made.add_word(t, t)
+        made.make_automaton()
+    return _automata[name]
+
+
 def mentions_in_text(chunks: DataFrame, terms: DataFrame, most_terms: int = DICTIONARY_TERMS) -> DataFrame:
-    """(chunk_id, term, pos, n): where each term first stands in a chunk, and how often.
+    """(chunk_id, term, pos, n): where each term first stands in a chunk, and how often (apart from itself).
 
-    terms(term): blank ones are left out. Up to most_terms terms go to all tasks, which look for the
-    longest term at each place; more terms than that are dealt into rounds of as many.
+    terms(term): blank ones are left out. Each term is found on its own, also inside others, by one
+    automaton over all of a task's terms. Up to most_terms terms go to all tasks; more terms than that
+    are dealt into rounds of as many, which changes no result. Null texts hold nothing.
     """
-    known = terms.where("term is not null and trim(term) <> ''").select("term").distinct()
+    known = terms.where("term is not null and trim(term) <> ''").select("term").distinct().persist()
     rounds = max(1, -(-known.count() // most_terms))
     out = None
     for k in range(rounds):
-        part = [r.term for r in known.where(F.pmod(F.xxhash64("term"), F.lit(rounds)) == k).toLocalIterator()]
-        shared = chunks.sparkSession.sparkContext.broadcast(sorted(part, key=lambda t: (-len(t), t)))
-
-        def work(frames: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            by_start: dict[str, list[str]] = {}
-            for t in shared.value:
-                by_start.setdefault(t[0], []).append(t)
-            starts = re.compile("[" + re.escape("".join(by_start)) + "]") if by_start else None
-            for f in frames:
+        part = known if rounds == 1 else known.where(F.pmod(F.xxhash64("term"), F.lit(rounds)) == k)
+        shared = chunks.sparkSession.sparkContext.broadcast(sorted(part.toPandas()["term"]))
+
+        def work(batches: Iterator[pa.RecordBatch], shared=shared, name=uuid4().hex) -> Iterator[pa.RecordBatch]:
+            look = _automaton(name, shared.value).iter if shared.value else lambda text: ()
+            for b in batches:
                 rows = []
-                for chunk, text in zip(f["chunk_id"], f["text"], strict=True):
+                for chunk, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                     found: dict[str, list[int]] = {}
-                    at = 0
-                    while starts and text and (m := starts.search(text, at)):
-                        hit = next((t for t in by_start[m[0]] if text.startswith(t, m.start())), None)
-                        at = m.start() + (len(hit) if hit else 1)
-                        if hit:
-                            found.setdefault(hit, []).append(m.start())
-                    rows += [(chunk, t, p[0], len(p)) for t, p in found.items()]
-                yield pd.DataFrame(rows, columns=["chunk_id", "term", "pos", "n"])
-
-        found = chunks.select("chunk_id", "text").mapInPandas(work, "chunk_id string, term string, pos long, n long")
+                    for end, t in look(text.as_py() or ""):
+                        at = end - len(t) + 1
+                        seen = found.get(t)
+                        if seen is None:
+                            found[t] = [at, 1, end]
+                        elif at > seen[2]:
+                            seen[1], seen[2] = seen[1] + 1, end
+                    rows += [(chunk, t, p, n) for t, (p, n, _) in found.items()]
+                kinds = (pa.string(), pa.string(), pa.int64(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], ["chunk_id", "term", "pos", "n"])
+
+        found = chunks.select("chunk_id", "text").mapInArrow(work, "chunk_id string, term string, pos long, n long")
         out = found if out is None else out.unionByName(found)
+    known.unpersist()
     return out
 
 
@@ -72,7 +92,7 @@ def recall_rounds(chunks: DataFrame, terms: DataFrame, aliases: DataFrame, known
         new = new_mentions(mentions_in_text(chunks, names), aliases, known)
         if out is not None:
             new = new.join(out, ["entity", "chunk_id"], "left_anti")
-        new = new.checkpoint() if chunks.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() else new.persist()
+        new = kept(new)
         grown = new.count()
         out = new if out is None else out.unionByName(new)
         if grown < least:

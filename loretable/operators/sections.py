@@ -9,6 +9,9 @@ from loretable.functions.text import lines
 from loretable.schemas import SECTION_TYPES
 
 HEAD_CHARS = 500
+# Reasons as they stand in the table of candidates.
+KEYWORD_REASON, LIST_REASON, BARE_REASON = "关键词命中: ", "编号列表占比 %d/%d", "无对话标记且叙事动词不足"
+EMPTY_REASON, NO_EVENTS_REASON = "canon 输出无事件且无角色", "canon 输出无事件"
 # Keyword forms by section type, in the order in which types are tried.
 KEYWORDS = {
     "author_meta": ("作者[按注]", "编者[按注]", "本[章卷](?:完|结束)", "(?:感谢|致谢)(?:读者|支持)", "求[票月推]", "上架感言", "请假条", "更新(?:说明|通知)", "番外预告"),
@@ -24,7 +27,7 @@ NUMBERED = "\\A\\d+[.、)]"
 def keyword_hits(text: Column, patterns: tuple[str, ...], most: int = 3) -> Column:
     """What the patterns match at the head of the text, in pattern order, at most so many."""
     head = F.substring(text, 1, HEAD_CHARS)
-    found = F.array(*[F.when(head.rlike(f"(?imdu){p}"), F.regexp_extract(head, f"(?imdu){p}", 0)) for p in patterns])
+    found = F.array(*[F.regexp_substr(head, F.lit(f"(?imdu){p}")) for p in patterns])
     return F.slice(F.filter(found, lambda x: x.isNotNull()), 1, most)
 
 
@@ -55,8 +58,8 @@ def scan(
     found = rows.select(
         "chunk_id",
         F.coalesce("k.type", F.when(listed | bare, "setting_exposition")).alias("suggested_type"),
-        F.when(F.col("k").isNotNull(), F.concat(F.lit("关键词命中: "), F.col("k.hits")))
-        .when(listed, F.format_string("编号列表占比 %d/%d", "numbered", "lines")).when(bare, "无对话标记且叙事动词不足").alias("first"),
+        F.when(F.col("k").isNotNull(), F.concat(F.lit(KEYWORD_REASON), F.col("k.hits")))
+        .when(listed, F.format_string(LIST_REASON, "numbered", "lines")).when(bare, BARE_REASON).alias("first"),
         F.col("k").isNotNull().alias("keyword"),
     ).where("suggested_type is not null")
     if canon is None:
@@ -64,7 +67,7 @@ def scan(
     else:
         found = found.join(canon.select("chunk_id", F.size("events").alias("events"), F.size("characters").alias("characters")), "chunk_id", "left")
     empty = (F.col("events") == 0) & (F.col("characters") == 0)
-    second = F.when(empty, "canon 输出无事件且无角色").when(F.col("events") == 0, "canon 输出无事件")
+    second = F.when(empty, EMPTY_REASON).when(F.col("events") == 0, NO_EVENTS_REASON)
     confidence = F.when((second.isNotNull() & F.col("keyword")) | F.coalesce(empty, F.lit(False)) & second.isNotNull(), "high").otherwise("uncertain")
     return found.select("chunk_id", "suggested_type", confidence.alias("confidence"), F.filter(F.array("first", second), lambda x: x.isNotNull()).alias("reasons"))
 
@@ -106,3 +109,10 @@ def apply_log(entries: DataFrame, good: DataFrame, unknown: DataFrame, rejected:
 def verify(chunks: DataFrame) -> DataFrame:
     """(section_type, count): chunks without a label count as story scenes."""
     return chunks.groupBy(F.coalesce("section_type", F.lit("story_scene")).alias("section_type")).agg(F.count("*").alias("count"))
+
+
+def verify_log(chunks: DataFrame, log: DataFrame) -> DataFrame:
+    """One row: chunks, tagged, untagged, and whether as many are tagged as the log says were labelled and applied."""
+    counts = chunks.agg(F.count("*").alias("total"), F.count(F.nullif("section_type", F.lit(""))).alias("tagged"))
+    both = counts.crossJoin(log.select("success", "chunks_labelled"))
+    return both.select("total", "tagged", (F.col("total") - F.col("tagged")).alias("untagged"), (F.col("tagged") == F.col("chunks_labelled")).alias("equals_chunks"), (F.col("tagged") == F.col("success")).alias("equals_success"))

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
+from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from loretable.functions.tables import scratch
 from loretable.operators import aliases as al
 from loretable.operators import audit, chunking, context, gates, graph, indexes, lookup, merge, recall, responses, sections
 from loretable.operators import characters as ch
 from loretable.plans import testtables as tt
 from loretable.schemas import CANON
+from loretable.sources import io
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -32,15 +34,17 @@ def _entries(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
 
 
 def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names with their counts, rare ones thinned so that all classes of aliases occur."""
+    """Names with their counts: of facts, of parts with their brands, and (rarer) first words of small parts' names."""
     posts = indexes.postings(_entries(spark, sf_dir, "characters"), ("name",))
     counts = posts.groupBy("name").agg(F.sum("n").alias("n"))
     brand = tt.table(spark, sf_dir, "part").select(F.concat_ws(" ", "p_name", "p_brand").alias("name"), F.lit(1).alias("n")).groupBy("name").agg(F.sum("n").alias("n"))
-    return counts.unionByName(brand).select("name", F.col("n").alias("count"))
+    word = tt.table(spark, sf_dir, "part").where("p_size <= 5").groupBy(F.split("p_name", " ")[0].alias("name")).agg(F.count("*").alias("n"))
+    return counts.unionByName(brand).unionByName(word).select("name", F.col("n").alias("count"))
 
 
 NAMES = """names AS (
-  SELECT name, count(*) AS cnt FROM facts GROUP BY name UNION ALL SELECT p_name || ' ' || p_brand, count(*) FROM part GROUP BY p_name || ' ' || p_brand)"""
+  SELECT name, count(*) AS cnt FROM facts GROUP BY name UNION ALL SELECT p_name || ' ' || p_brand, count(*) FROM part GROUP BY p_name || ' ' || p_brand
+  UNION ALL SELECT split_part(p_name, ' ', 1), count(*) FROM part WHERE p_size <= 5 GROUP BY split_part(p_name, ' ', 1))"""
 PAIRS = f"""{NAMES}, pairs AS (
   SELECT a.name AS alias, c.name AS canonical_candidate, a.cnt AS alias_count, c.cnt AS canonical_count, a.cnt / c.cnt AS ratio
   FROM names a JOIN names c ON contains(c.name, a.name) AND a.name <> c.name WHERE length(a.name) >= 2 AND c.cnt > 0)"""
@@ -48,7 +52,11 @@ RULES = f"""{PAIRS}, failed AS (
   SELECT *, (CASE WHEN length(canonical_candidate) < 3 THEN 1 ELSE 0 END) + (CASE WHEN canonical_count < 10 THEN 1 ELSE 0 END) + (CASE WHEN ratio >= 0.4 THEN 1 ELSE 0 END) AS fails FROM pairs
 ), ruled AS (
   SELECT *, CASE WHEN ratio >= 0.5 THEN 'freq_close_skip' WHEN fails = 0 THEN 'substring_auto' WHEN fails = 1 AND canonical_count >= 5 THEN 'substring_review' ELSE 'substring_weak' END AS rule FROM failed)"""
-#: Names and brands: the rarer, longer name is the canonical one, so most pairs are close in count.
+SHOWN = "printf('%.2f', round_even(CAST(ratio AS DECIMAL(38, 18)), 2))"
+FAILS = f"""array_to_string(list_filter([CASE WHEN length(canonical_candidate) < 3 THEN 'canonical太短(' || CAST(length(canonical_candidate) AS VARCHAR) || '字)' END,
+  CASE WHEN canonical_count < 10 THEN 'canonical低频(' || CAST(canonical_count AS VARCHAR) || '次)' END, CASE WHEN ratio >= 0.4 THEN '频率差不足(ratio=' || {SHOWN} || ')' END], lambda x: x IS NOT NULL), '; ')"""
+REASON = f"""CASE rule WHEN 'freq_close_skip' THEN '频率接近（ratio=' || {SHOWN} || '），可能是独立角色' WHEN 'substring_auto' THEN '子串简称，频率差显著(ratio=' || {SHOWN} || ')，canonical出现' || CAST(canonical_count AS VARCHAR) || '次'
+  WHEN 'substring_review' THEN '需人工确认：' || {FAILS} ELSE '弱候选，不建议合并：' || {FAILS} END"""
 
 
 def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +119,7 @@ SELECT base.name, count, chunk_count, first_chunk, last_chunk, actions, emotions
 FROM base JOIN ({_array_sql('name', 'action', 'actions')}) a ON base.name = a.name JOIN ({_array_sql('name', 'emotion', 'emotions')}) e ON base.name = e.name""")
 def m2_character_index(spark, sf_dir):
     i = indexes.index(tt.canon(spark, sf_dir), "characters")
-    return i.select("name", "count", F.size("chunks").cast("bigint").alias("chunk_count"), F.col("chunks")[0].alias("first_chunk"), F.element_at("chunks", -1).alias("last_chunk"), F.array_join("actions", "|").alias("actions"), F.array_join("emotions", "|").alias("emotions"))
+    return i.select("name", "count", "chunk_count", "first_chunk", "last_chunk", F.array_join("actions", "|").alias("actions"), F.array_join("emotions", "|").alias("emotions"))
 
 
 @query(f"WITH {tt.FACTS} SELECT location, count(*) AS count, count(DISTINCT chunk_id) AS chunk_count, min(chunk_id) AS first_chunk, max(chunk_id) AS last_chunk FROM facts GROUP BY location")
@@ -124,7 +132,7 @@ WITH {tt.FACTS}, base AS (SELECT event, count(*) AS count, count(DISTINCT chunk_
 SELECT base.event, count, chunk_count, causes, results FROM base JOIN ({_array_sql('event', 'cause', 'causes')}) a ON base.event = a.event JOIN ({_array_sql('event', 'result', 'results')}) e ON base.event = e.event""")
 def m4_event_index(spark, sf_dir):
     i = indexes.index(tt.canon(spark, sf_dir), "events")
-    return i.select("event", "count", F.size("chunks").cast("bigint").alias("chunk_count"), F.array_join("causes", "|").alias("causes"), F.array_join("results", "|").alias("results"))
+    return i.select("event", "count", "chunk_count", F.array_join("causes", "|").alias("causes"), F.array_join("results", "|").alias("results"))
 
 
 @query(f"WITH {tt.FACTS} SELECT person_a, person_b, count(*) AS count, string_agg(DISTINCT chunk_id, '|' ORDER BY chunk_id) AS chunks FROM facts GROUP BY person_a, person_b")
@@ -199,9 +207,18 @@ def a1_alias_pairs(spark, sf_dir):
     return al.containment(_names(spark, sf_dir))
 
 
-@query(f"""WITH {tt.FACTS}, {RULES} SELECT alias, canonical_candidate, ratio, rule, CASE rule WHEN 'substring_auto' THEN 'high' WHEN 'substring_review' THEN 'medium' ELSE 'low' END AS confidence, rule = 'substring_auto' AS auto_accept FROM ruled""")
+@query(f"""WITH {tt.FACTS}, {RULES} SELECT alias, canonical_candidate, ratio, rule, CASE rule WHEN 'substring_auto' THEN 'high' WHEN 'substring_review' THEN 'medium' ELSE 'low' END AS confidence, rule = 'substring_auto' AS auto_accept, {REASON} AS reason FROM ruled""")
 def a2_alias_classes(spark, sf_dir):
-    return _candidates(spark, sf_dir).select("alias", "canonical_candidate", "ratio", "rule", "confidence", "auto_accept")
+    return _candidates(spark, sf_dir).select("alias", "canonical_candidate", "ratio", "rule", "confidence", "auto_accept", "reason")
+
+
+RANKED = "CASE rule WHEN 'substring_auto' THEN 0 WHEN 'substring_review' THEN 1 ELSE 2 END, canonical_count DESC, length(canonical_candidate) DESC, canonical_candidate, alias"
+
+
+@query(f"WITH {tt.FACTS}, {RULES} SELECT alias, canonical_candidate, rule FROM ruled ORDER BY {RANKED} LIMIT 200")
+def a3_alias_order(spark, sf_dir):
+    """The head of the candidates in their order."""
+    return al.ordered(_candidates(spark, sf_dir)).select("alias", "canonical_candidate", "rule").limit(200)
 
 
 @query(f"""WITH {tt.FACTS}, {RULES} SELECT alias, canonical_candidate AS canonical FROM (SELECT *, row_number() OVER (PARTITION BY alias ORDER BY canonical_count DESC, length(canonical_candidate) DESC, canonical_candidate) AS r FROM ruled WHERE rule = 'substring_auto') x WHERE r = 1""")
@@ -228,7 +245,9 @@ def a8_review_totals(spark, sf_dir):
     return al.review_totals(_candidates(spark, sf_dir))
 
 
-@query()
+@query(f"""WITH {tt.FACTS}, {RULES}, cut AS (SELECT *, CASE rule WHEN 'substring_auto' THEN 1 WHEN 'substring_review' THEN 2 ELSE 3 END AS section FROM ruled)
+SELECT section, row_number() OVER (PARTITION BY section ORDER BY canonical_count DESC, length(canonical_candidate) DESC, canonical_candidate, alias) AS place,
+  '| ' || alias || ' | ' || canonical_candidate || ' | ' || CAST(alias_count AS VARCHAR) || ' | ' || CAST(canonical_count AS VARCHAR) || ' | ' || CASE WHEN section < 3 THEN {SHOWN} || ' | ' ELSE '' END || {REASON} || ' |' AS line FROM cut""")
 def a8_review_rows(spark, sf_dir):
     return al.review_rows(_candidates(spark, sf_dir))
 
@@ -271,9 +290,10 @@ def p5_encoding_check(spark, sf_dir):
     return ch.encoding_check(_entries(spark, sf_dir, "characters").select("name").distinct(), "name")
 
 
-@query(f"WITH {tt.FACTS}, {APPEAR} SELECT canonical_name, count(*) AS mention_count FROM appear GROUP BY canonical_name ORDER BY mention_count DESC, canonical_name LIMIT 10")
+@query(f"WITH {tt.FACTS}, {APPEAR} SELECT canonical_name, count(*) AS mention_count, coalesce(string_agg(DISTINCT CASE WHEN raw_name <> canonical_name THEN raw_name END, ', ' ORDER BY CASE WHEN raw_name <> canonical_name THEN raw_name END), '') AS aliases FROM appear GROUP BY canonical_name ORDER BY mention_count DESC, canonical_name LIMIT 10")
 def p6_top_profiles(spark, sf_dir):
-    return ch.top_profiles(ch.profile_counts(_appearances(spark, sf_dir))).select("canonical_name", "mention_count")
+    facts = _appearances(spark, sf_dir)
+    return ch.top_profiles(ch.profile_counts(facts), ch.observed_aliases(facts)).select("canonical_name", "mention_count", "aliases")
 
 
 # ---- look-ups
@@ -289,29 +309,41 @@ def _resolved(spark: SparkSession, sf_dir: str, facts: DataFrame) -> DataFrame:
     return lookup.resolve(_queries(spark, sf_dir), ch.profile_counts(facts), ch.observed_aliases(facts), nicknames)
 
 
-@query(f"""
-WITH {tt.FACTS}, {APPEAR}, asked AS (SELECT DISTINCT unnest([p_name, split_part(p_name, ' ', 2), '  ' || p_name, p_brand, ' ']) AS query FROM part),
+RESOLVED = f"""{tt.FACTS}, {APPEAR}, asked AS (SELECT DISTINCT unnest([p_name, split_part(p_name, ' ', 2), '  ' || p_name, p_brand, ' ']) AS query FROM part),
 known AS (SELECT canonical_name, count(*) AS n FROM appear GROUP BY canonical_name),
 seen AS (SELECT raw_name, canonical_name FROM (SELECT a.raw_name, a.canonical_name, row_number() OVER (PARTITION BY a.raw_name ORDER BY k.n DESC, a.canonical_name DESC) AS r FROM (SELECT DISTINCT raw_name, canonical_name FROM appear WHERE raw_name <> canonical_name) a JOIN known k ON k.canonical_name = a.canonical_name) x WHERE r = 1),
-nick AS (SELECT p_brand, min(p_name) AS canonical FROM part GROUP BY p_brand)
-SELECT query, coalesce(k.canonical_name, s.canonical_name, n2.canonical_name) IS NOT NULL AS matched, coalesce(k.canonical_name, s.canonical_name, n2.canonical_name) AS canonical_name,
+nick AS (SELECT p_brand, min(p_name) AS canonical FROM part GROUP BY p_brand),
+resolved AS (SELECT query, coalesce(k.canonical_name, s.canonical_name, n2.canonical_name) IS NOT NULL AS matched, coalesce(k.canonical_name, s.canonical_name, n2.canonical_name) AS canonical_name,
   CASE WHEN k.canonical_name IS NOT NULL THEN 'canonical' WHEN s.canonical_name IS NOT NULL THEN 'observed_alias' WHEN n2.canonical_name IS NOT NULL THEN 'query_alias' END AS match_type
-FROM asked LEFT JOIN known k ON k.canonical_name = trim(query) LEFT JOIN seen s ON s.raw_name = trim(query) LEFT JOIN nick n ON n.p_brand = trim(query) LEFT JOIN known n2 ON n2.canonical_name = n.canonical""")
+FROM asked LEFT JOIN known k ON k.canonical_name = trim(query) LEFT JOIN seen s ON s.raw_name = trim(query) LEFT JOIN nick n ON n.p_brand = trim(query) LEFT JOIN known n2 ON n2.canonical_name = n.canonical)"""
+
+
+@query(f"WITH {RESOLVED} SELECT * FROM resolved")
 def q1_resolve_names(spark, sf_dir):
     return _resolved(spark, sf_dir, _appearances(spark, sf_dir))
 
 
-@query(f"""
-WITH {tt.FACTS}, ways AS (SELECT person_a AS person, person_b AS related_person, chunk_id, pos, interaction FROM facts UNION ALL SELECT person_b, person_a, chunk_id, pos, interaction FROM facts WHERE person_a <> person_b),
-per AS (SELECT person, related_person, count(DISTINCT chunk_id) AS overlap_chunk_count, arg_min(interaction, chunk_id || lpad(CAST(pos AS VARCHAR), 9, '0')) AS interaction_sample, min(chunk_id) AS sample_chunk_id FROM ways GROUP BY person, related_person)
-SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY person ORDER BY overlap_chunk_count DESC, related_person) AS rank FROM per) x WHERE rank <= 3""")
+RELATED = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY person ORDER BY overlap_chunk_count DESC, related_person) AS rank FROM (
+  SELECT person, related_person, count(DISTINCT chunk_id) AS overlap_chunk_count, arg_min(interaction, chunk_id || lpad(CAST(pos AS VARCHAR), 9, '0')) AS interaction_sample, min(chunk_id) AS sample_chunk_id
+  FROM (SELECT person_a AS person, person_b AS related_person, chunk_id, pos, interaction FROM facts UNION ALL SELECT person_b, person_a, chunk_id, pos, interaction FROM facts WHERE person_a <> person_b) ways GROUP BY person, related_person) per) x WHERE rank <= 3"""
+LOCATED = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY canonical_name ORDER BY overlap_chunk_count DESC, location) AS rank FROM (
+  SELECT canonical_name, location, count(*) AS overlap_chunk_count, min(a.chunk_id) AS sample_chunk_id FROM (SELECT DISTINCT canonical_name, chunk_id FROM appear) a JOIN (SELECT DISTINCT location, chunk_id FROM facts) l ON a.chunk_id = l.chunk_id GROUP BY canonical_name, location) met) x WHERE rank <= 3"""
+
+
+@query(f"WITH {tt.FACTS} {RELATED}")
 def q2_relationship_candidates(spark, sf_dir):
     return lookup.relationship_candidates(_entries(spark, sf_dir, "relationships"))
 
 
-@query(f"""
-WITH {tt.FACTS}, {APPEAR}, met AS (SELECT canonical_name, location, count(*) AS overlap_chunk_count, min(a.chunk_id) AS sample_chunk_id FROM (SELECT DISTINCT canonical_name, chunk_id FROM appear) a JOIN (SELECT DISTINCT location, chunk_id FROM facts) l ON a.chunk_id = l.chunk_id GROUP BY canonical_name, location)
-SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY canonical_name ORDER BY overlap_chunk_count DESC, location) AS rank FROM met) x WHERE rank <= 3""")
+@query(f"""WITH {tt.FACTS}, asked AS (SELECT DISTINCT substr(s_name, 3) AS query FROM supplier WHERE s_suppkey % 3 = 0)
+SELECT query, person_a AS related_person, chunk_id, pos, interaction FROM facts JOIN asked ON query = substr(person_b, 3) OR query = substr(person_a, 3)""")
+def q2_loose_relations(spark, sf_dir):
+    """Names that stand only inside longer ones: suppliers without the first two letters."""
+    asked = tt.table(spark, sf_dir, "supplier").where("s_suppkey % 3 = 0").select(F.expr("substring(s_name, 3)").alias("query"))
+    return lookup.loose_relations(_entries(spark, sf_dir, "relationships"), asked)
+
+
+@query(f"WITH {tt.FACTS}, {APPEAR} {LOCATED}")
 def q3_location_candidates(spark, sf_dir):
     return lookup.location_candidates(_appearances(spark, sf_dir), _entries(spark, sf_dir, "locations"))
 
@@ -326,20 +358,36 @@ def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.person_results(_resolved(spark, sf_dir, facts), ch.profiles(facts, with_chunks=False), lookup.relationship_candidates(_entries(spark, sf_dir, "relationships")), lookup.location_candidates(facts, _entries(spark, sf_dir, "locations")), lookup.samples(facts, 3))
 
 
-@query()
+#: A resolved query with all that is known of its person, at most a few items of each kind.
+PEOPLE = f"""{RESOLVED},
+per_name AS (SELECT canonical_name, count(*) AS mention_count, min(chunk_id) AS first_chunk, max(chunk_id) AS last_chunk, list_sort(list(DISTINCT raw_name) FILTER (raw_name <> canonical_name)) AS aliases FROM appear GROUP BY canonical_name),
+tokens AS (SELECT canonical_name, chunk_id, pos, split_part(emotion, '、', 1) AS token, '1' AS k FROM appear UNION ALL SELECT canonical_name, chunk_id, pos, split_part(emotion, '、', 2), '2' FROM appear),
+acted AS (SELECT canonical_name, list(value ORDER BY rank) AS top_actions FROM ({TOP_ACTIONS.format(v='action', part='', src='appear')}) z GROUP BY canonical_name),
+felt AS (SELECT canonical_name, list(value ORDER BY rank) AS top_emotions FROM ({TOP_ACTIONS.format(v='token', part=' || k', src='tokens')}) z GROUP BY canonical_name),
+shown AS (SELECT canonical_name, list({{'raw_name': raw_name, 'chunk_id': chunk_id, 'chapter_hint': chapter_hint, 'action': action, 'emotion': emotion, 'alias_source': alias_source}} ORDER BY place) AS appearance_samples
+  FROM (SELECT *, row_number() OVER (PARTITION BY canonical_name ORDER BY chunk_id, pos) AS place FROM appear) x WHERE place <= 3 GROUP BY canonical_name),
+related AS (SELECT person AS canonical_name, list({{'related_person': related_person, 'overlap_chunk_count': overlap_chunk_count, 'interaction_sample': interaction_sample, 'sample_chunk_id': sample_chunk_id}} ORDER BY rank) AS relationship_candidates FROM ({RELATED}) x GROUP BY person),
+located AS (SELECT canonical_name, list({{'location': location, 'overlap_chunk_count': overlap_chunk_count, 'sample_chunk_id': sample_chunk_id}} ORDER BY rank) AS location_candidates FROM ({LOCATED}) x GROUP BY canonical_name),
+people AS (SELECT r.query, r.matched, r.canonical_name, r.match_type, CASE WHEN r.match_type = 'query_alias' THEN r.query END AS query_alias_input, coalesce(aliases, []) AS aliases, mention_count, first_chunk, last_chunk, coalesce(top_actions, []) AS top_actions, coalesce(top_emotions, []) AS top_emotions,
+  coalesce(appearance_samples, []) AS appearance_samples, coalesce(relationship_candidates, []) AS relationship_candidates, coalesce(location_candidates, []) AS location_candidates
+  FROM resolved r LEFT JOIN per_name USING (canonical_name) LEFT JOIN acted USING (canonical_name) LEFT JOIN felt USING (canonical_name) LEFT JOIN shown USING (canonical_name) LEFT JOIN related USING (canonical_name) LEFT JOIN located USING (canonical_name))"""
+
+
+@query(f"""WITH {PEOPLE} SELECT query, CAST(to_json({{'query': query, 'query_type': 'person', 'matched': matched, 'resolved_canonical_name': canonical_name, 'match_type': match_type, 'observed_aliases': aliases, 'query_alias_input': query_alias_input,
+  'appearance_samples': appearance_samples, 'notes': CASE WHEN NOT matched THEN ['{lookup.NO_MATCH_NOTE}'] WHEN match_type = 'query_alias' THEN ['{lookup.ORDER_NOTE}', '{lookup.SEPARATE_NOTE}', '{lookup.QUERY_NOTE}'] ELSE ['{lookup.ORDER_NOTE}', '{lookup.SEPARATE_NOTE}'] END}}) AS VARCHAR) AS json FROM people""")
 def q5_person_json(spark, sf_dir):
     return lookup.json_results(_results(spark, sf_dir))
 
 
 @query(f"""
 WITH {tt.FACTS}, hits AS (
-  SELECT chunk_id, 'characters' AS field, string_agg(v, ', ' ORDER BY pos, k) AS hit FROM (SELECT chunk_id, pos, 1 AS k, name AS v FROM facts UNION ALL SELECT chunk_id, pos, 2, action FROM facts UNION ALL SELECT chunk_id, pos, 3, emotion FROM facts) x WHERE contains(v, 'IN') GROUP BY chunk_id
-  UNION ALL SELECT chunk_id, 'events', string_agg(v, ', ' ORDER BY pos, k) FROM (SELECT chunk_id, pos, 1 AS k, event AS v FROM facts UNION ALL SELECT chunk_id, pos, 2, cause FROM facts UNION ALL SELECT chunk_id, pos, 3, result FROM facts) x WHERE contains(v, 'IN') GROUP BY chunk_id
-  UNION ALL SELECT chunk_id, 'locations', string_agg(location, ', ' ORDER BY pos) FROM facts WHERE contains(location, 'IN') GROUP BY chunk_id
-  UNION ALL SELECT chunk_id, 'summary', max(chapter_hint || ' ' || source_file) FROM facts WHERE contains(chapter_hint || ' ' || source_file, 'IN') GROUP BY chunk_id)
+  SELECT chunk_id, 'characters' AS field, string_agg(v, ', ' ORDER BY pos, k) AS hit FROM (SELECT chunk_id, pos, 1 AS k, name AS v FROM facts UNION ALL SELECT chunk_id, pos, 2, action FROM facts UNION ALL SELECT chunk_id, pos, 3, emotion FROM facts) x WHERE contains(v, 'NO') GROUP BY chunk_id
+  UNION ALL SELECT chunk_id, 'events', string_agg(v, ', ' ORDER BY pos, k) FROM (SELECT chunk_id, pos, 1 AS k, event AS v FROM facts UNION ALL SELECT chunk_id, pos, 2, cause FROM facts UNION ALL SELECT chunk_id, pos, 3, result FROM facts) x WHERE contains(v, 'NO') GROUP BY chunk_id
+  UNION ALL SELECT chunk_id, 'locations', string_agg(location, ', ' ORDER BY pos) FROM facts WHERE contains(location, 'NO') GROUP BY chunk_id
+  UNION ALL SELECT chunk_id, 'summary', max(chapter_hint || ' ' || source_file) FROM facts WHERE contains(chapter_hint || ' ' || source_file, 'NO') GROUP BY chunk_id)
 SELECT chunk_id, field, CASE WHEN length(hit) > 200 THEN substr(hit, 1, 200) || '...' ELSE hit END AS hit FROM hits""")
 def q7_search(spark, sf_dir):
-    return lookup.search(_kb(spark, sf_dir), "IN").select("chunk_id", "field", "hit")
+    return lookup.search(_kb(spark, sf_dir), "NO").select("chunk_id", "field", "hit")
 
 
 @query(f"WITH {tt.DOCS} SELECT chunk_id, CASE WHEN lang = 'en' THEN chunk_id ELSE chunk_id || ' [' || lang || ']' END AS evidence FROM docs")
@@ -355,7 +403,14 @@ def q9_normalized_ids(spark, sf_dir):
     return tt.canon(spark, sf_dir).select("chunk_id", F.array_join(lookup.normalized_ids(padded), "|").alias("ids"))
 
 
-@query()
+def _listed(title: str, items: str) -> str:
+    return f"|| chr(10) || '{title}:' || chr(10) || CASE WHEN len({items}) > 0 THEN array_to_string(list_transform({items}[1:5], lambda y: '  - ' || y), chr(10)) ELSE '  （无）' END"
+
+
+@query(f"""WITH {PEOPLE} SELECT query, CASE WHEN NOT matched THEN '查询词: ' || query || chr(10) || '{lookup.NO_MATCH_NOTE}' ELSE '查询词: ' || query || chr(10) || 'canonical: ' || canonical_name || chr(10) || 'match_type: ' || match_type || chr(10)
+  || 'observed aliases: ' || CASE WHEN len(aliases) > 0 THEN array_to_string(aliases, '、') ELSE '（无）' END || CASE WHEN match_type = 'query_alias' THEN chr(10) || 'query_alias_input: ' || query ELSE '' END || chr(10) || 'mention_count: ' || CAST(mention_count AS VARCHAR)
+  || chr(10) || 'first_chunk: ' || first_chunk || chr(10) || 'last_chunk: ' || last_chunk {_listed('actions', 'top_actions')} {_listed('emotions', 'top_emotions')}
+  {_listed('relations', "list_transform(relationship_candidates, lambda r: r.related_person || ' | ' || CAST(r.overlap_chunk_count AS VARCHAR))")} {_listed('places', "list_transform(location_candidates, lambda r: r.location || ' | ' || CAST(r.overlap_chunk_count AS VARCHAR))")} END AS card FROM people""")
 def q10_person_cards(spark, sf_dir):
     return lookup.person_card(_results(spark, sf_dir))
 
@@ -367,10 +422,17 @@ def _tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _queries(spark, sf_dir).select("query", F.explode(F.array(F.lit("continue_writing"), F.lit("rewrite"), F.lit("other"))).alias("mode")).withColumn("source_text", F.when(F.col("mode") == "rewrite", F.concat(F.lit("about "), "query")))
 
 
-@query()
+TASKS = f"""{PEOPLE}, tasks AS (SELECT people.*, mode, CASE WHEN mode = 'rewrite' THEN 'about ' || query ELSE '' END AS source_text, CASE match_type WHEN 'canonical' THEN '[' || query || '] is a canonical name'
+  WHEN 'observed_alias' THEN '[' || query || '] is an observed alias of [' || canonical_name || ']' WHEN 'query_alias' THEN '[' || query || '] is a query-time alias of [' || canonical_name || ']' ELSE 'no person matched in any layer' END AS query_resolution
+  FROM people CROSS JOIN (SELECT unnest(['continue_writing', 'rewrite']) AS mode) m)"""
+
+
+@query(f"""WITH {TASKS} SELECT query, mode, CAST(to_json({{'mode': mode, 'query': query, 'resolved_character': {{'matched': matched, 'canonical_name': canonical_name, 'match_type': match_type, 'observed_aliases': aliases, 'query_alias_input': query_alias_input,
+  'mention_count': coalesce(mention_count, 0), 'first_chunk': first_chunk, 'last_chunk': last_chunk}}, 'query_resolution': query_resolution, 'appearance_samples': appearance_samples, 'relationship_candidates': relationship_candidates, 'location_candidates': location_candidates,
+  'style_guidance': {{'status': 'placeholder', 'note': '{context.WORDING["style_note"]}', 'manual_style_hint': ''}}, 'source_text': source_text}}) AS VARCHAR) AS context FROM tasks""")
 def x1_generation_contexts(spark, sf_dir):
     built = context.contexts(context.validate(_tasks(spark, sf_dir))[0], _results(spark, sf_dir))
-    return built.select("query", "mode", F.to_json("context").alias("context"))
+    return built.select("query", "mode", F.to_json("context", {"ignoreNullFields": "false"}).alias("context"))
 
 
 @query("WITH asked AS (SELECT DISTINCT unnest([p_name, split_part(p_name, ' ', 2), '  ' || p_name, p_brand, ' ']) AS query FROM part) SELECT query, 'other' AS mode, 'unknown mode' AS reason FROM asked")
@@ -378,8 +440,29 @@ def x2_rejected_tasks(spark, sf_dir):
     return context.validate(_tasks(spark, sf_dir))[1].select("query", "mode", "reason")
 
 
-@query()
+W = context.WORDING
+
+
+def _items(rows: str, form: str) -> str:
+    return f"CASE WHEN len({rows}) > 0 THEN array_to_string(list_transform({rows}, lambda s: '  - ' || {form}), chr(10)) ELSE '  （无）' END"
+
+
+PROMPT = f"""CASE mode WHEN 'rewrite' THEN '{W["rewrite"][0]}' || chr(10) || '{W["rewrite"][1]}' || repeat(chr(10), 2) || '{W["source"]}' || chr(10) || regexp_replace(source_text, '^\\s+|\\s+$', '', 'g') ELSE '{W["continue_writing"][0]}' || chr(10) || '{W["continue_writing"][1]}' END || repeat(chr(10), 2)
+  || '{W["person"]}' || chr(10) || CASE WHEN matched THEN '  name: ' || canonical_name || chr(10) || '  matched by: ' || match_type || chr(10) || '  aliases: ' || CASE WHEN len(aliases) > 0 THEN array_to_string(aliases, '、') ELSE '（无）' END || chr(10) || '  resolution: ' || query_resolution
+    || chr(10) || '  mentions: ' || CAST(mention_count AS VARCHAR) || chr(10) || '  first chunk: ' || first_chunk || chr(10) || '  last chunk: ' || last_chunk ELSE '{W["unmatched"]}' END || repeat(chr(10), 2)
+  || '{W["appearances"]}' || chr(10) || {_items("appearance_samples", "s.chunk_id || ' | ' || s.raw_name || ' | ' || s.action || ' | ' || s.emotion")} || repeat(chr(10), 2)
+  || '{W["relations"]}' || chr(10) || {_items("relationship_candidates", "s.related_person || ' | ' || CAST(s.overlap_chunk_count AS VARCHAR) || ' | ' || s.interaction_sample")} || repeat(chr(10), 2)
+  || '{W["places"]}' || chr(10) || {_items("location_candidates", "s.location || ' | ' || CAST(s.overlap_chunk_count AS VARCHAR)")} || repeat(chr(10), 2) || '{W["style"]}' || chr(10) || '  {W["style_note"]}' || repeat(chr(10), 2) || '{W["closing"]}'"""
+
+
+@query(f"WITH {TASKS} SELECT query, mode, {PROMPT} AS prompt FROM tasks")
 def x3_prompts(spark, sf_dir):
+    """A blank prefix changes nothing."""
+    return context.prompts(context.contexts(context.validate(_tasks(spark, sf_dir))[0], _results(spark, sf_dir)), prefix=" \n ")
+
+
+@query(f"WITH {TASKS} SELECT query, mode, 'Be brief.' || repeat(chr(10), 2) || {PROMPT} AS prompt FROM tasks")
+def x4_prefixed_prompts(spark, sf_dir):
     return context.prompts(context.contexts(context.validate(_tasks(spark, sf_dir))[0], _results(spark, sf_dir)), prefix=" Be brief. ")
 
 
@@ -391,15 +474,45 @@ def k2_paragraphs(spark, sf_dir):
     return tt.table(spark, sf_dir, "documents").select("doc_id", F.posexplode(chunking.paragraphs(F.col("text"), "\\n")).alias("pos", "paragraph"))
 
 
-@query()
+#: Paragraphs of at most 500 characters, longer ones packed by sentences, packed into chunks and located: three left folds.
+PACKED = """parts AS (SELECT doc_id, source, text, list_filter(list_transform(string_split(text, chr(10)), lambda p: trim(p, ' ' || chr(9) || chr(13))), lambda p: p <> '') AS paras FROM documents WHERE text IS NOT NULL),
+sentences AS (SELECT doc_id, i, para, CASE WHEN length(para) > 500 THEN regexp_extract_all(para, '[^.!?]*[.!?]|[^.!?]+') ELSE []::VARCHAR[] END AS s FROM (SELECT doc_id, unnest(range(1, len(paras) + 1)) AS i, unnest(paras) AS para FROM parts) x),
+folded AS (SELECT doc_id, i, para, CASE WHEN s = [] THEN NULL ELSE list_reduce(list_transform(s, lambda x: {'done': []::VARCHAR[], 'open': x}), lambda a, x:
+    CASE WHEN length(a.open) + length(x.open) <= 500 THEN {'done': a.done, 'open': a.open || x.open}
+    ELSE {'done': a.done || CASE WHEN a.open <> '' THEN [a.open] ELSE []::VARCHAR[] END || CASE WHEN length(x.open) > 500 THEN list_transform(range(0, (length(x.open) - 1) // 500 * 500, 500), lambda k: substr(x.open, k + 1, 500)) ELSE []::VARCHAR[] END,
+          'open': CASE WHEN length(x.open) > 500 THEN substr(x.open, (length(x.open) - 1) // 500 * 500 + 1) ELSE x.open END} END, {'done': []::VARCHAR[], 'open': ''}) END AS f FROM sentences),
+items AS (SELECT doc_id, list({'done': []::VARCHAR[], 'open': CASE WHEN length(para) <= 500 THEN para END, 'long': CASE WHEN f IS NULL THEN []::VARCHAR[] WHEN f.open <> '' THEN f.done || [f.open] ELSE f.done END} ORDER BY i) AS x FROM folded GROUP BY doc_id),
+packed AS (SELECT doc_id, list_reduce(x, lambda a, p:
+    CASE WHEN p.open IS NOT NULL AND coalesce(length(a.open), 0) + length(p.open) + 1 <= 500 THEN {'done': a.done, 'open': CASE WHEN a.open IS NULL THEN p.open ELSE a.open || chr(10) || p.open END, 'long': []::VARCHAR[]}
+    ELSE {'done': a.done || CASE WHEN a.open IS NOT NULL THEN [a.open] ELSE []::VARCHAR[] END || p.long, 'open': p.open, 'long': []::VARCHAR[]} END, {'done': []::VARCHAR[], 'open': NULL::VARCHAR, 'long': []::VARCHAR[]}) AS p FROM items),
+chunked AS (SELECT doc_id, CASE WHEN p.open IS NOT NULL THEN p.done || [p.open] ELSE p.done END AS made FROM packed),
+placed AS (SELECT parts.doc_id, source, made, list_reduce(list_transform(made, lambda c: {'at': []::BIGINT[], 'last': 0::BIGINT, 'c': c}), lambda a, x: list_transform([strpos(substr(text, greatest(0, a.last - 200) + 1), substr(x.c, 1, 50))], lambda hit:
+    {'at': a.at || [CASE WHEN hit = 0 THEN a.last ELSE greatest(0, a.last - 200) + hit - 1 END], 'last': CASE WHEN hit = 0 THEN a.last ELSE greatest(0, a.last - 200) + hit - 1 END + length(x.c), 'c': ''})[1], {'at': []::BIGINT[], 'last': 0::BIGINT, 'c': ''}).at AS places FROM parts JOIN chunked ON parts.doc_id = chunked.doc_id),
+chunks AS (SELECT doc_id, source, unnest(range(1, len(made) + 1)) AS i, unnest(made) AS text, unnest(places) AS start FROM placed)"""
+
+
+@query(f"""WITH {PACKED} SELECT 'doc' || CAST(doc_id AS VARCHAR) || '_' || CASE WHEN i < 10000 THEN lpad(CAST(i AS VARCHAR), 4, '0') ELSE CAST(i AS VARCHAR) END AS chunk_id, 'doc' || CAST(doc_id AS VARCHAR) AS source_name, i AS chunk_idx,
+  source || '.txt' AS source_file, '正文' AS chapter_hint, start AS char_start, start + length(text) AS char_end, md5(text) AS text_md5 FROM chunks""")
 def k4_chunks(spark, sf_dir):
-    return chunking.chunk_documents(tt.raw_texts(spark, sf_dir), most=500, gap="\\n", ends=".!?").drop("text")
+    return chunking.chunk_documents(tt.raw_texts(spark, sf_dir), most=500, gap="\\n", ends=".!?").withColumn("text_md5", F.md5("text")).drop("text")
+
 
+@query("""WITH lines AS (SELECT doc_id, k, x, regexp_matches(x, '^(the|un|der)') AS titled, sum(CASE WHEN regexp_matches(x, '^(the|un|der)') THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY k) AS nth
+  FROM (SELECT doc_id, unnest(range(1, len(p) + 1)) AS k, unnest(p) AS x FROM (SELECT doc_id, string_split(lower(text), chr(10)) AS p FROM documents) a) b),
+cut AS (SELECT doc_id, nth, string_agg(x, chr(10) ORDER BY k) AS body, arg_min(x, k) AS head, bool_or(titled) AS titled, min(k) AS k, max(nth) OVER (PARTITION BY doc_id) AS most FROM lines GROUP BY doc_id, nth)
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY nth) AS nth, CASE WHEN most = 0 THEN '正文' WHEN titled THEN substr(regexp_replace(head, '^\\s+|\\s+$', '', 'g'), 1, 40) ELSE '前言' END AS hint, length(regexp_replace(body, '\\s+$', '')) AS n FROM cut WHERE body <> ''""")
+def k1_sections(spark, sf_dir):
+    cut = chunking.sections(tt.table(spark, sf_dir, "documents").select("doc_id", F.lower("text").alias("text")), "the|un|der")
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("section"))
+    return cut.select("doc_id", nth.alias("nth"), "hint", F.length(F.regexp_replace("section_text", r"\s+$", "")).alias("n"))
 
-@query("SELECT 'doc' || CAST(doc_id AS VARCHAR) AS source_name, 'utf-8-sig' AS encoding, CAST(sum(length(text)) AS BIGINT) AS total_chars FROM documents GROUP BY doc_id")
+
+@query(f"""WITH {PACKED} SELECT 'doc' || CAST(d.doc_id AS VARCHAR) AS source_name, 'utf-8-sig' AS encoding, CAST(length(text) AS BIGINT) AS total_chars, CAST(length(text) AS BIGINT) AS processed_chars, coalesce(n, 0) AS chunk_count,
+  CASE WHEN n > 0 THEN 'doc' || CAST(d.doc_id AS VARCHAR) || '_0001' END AS first_chunk, CASE WHEN n > 0 THEN 'doc' || CAST(d.doc_id AS VARCHAR) || '_' || lpad(CAST(n AS VARCHAR), 4, '0') END AS last_chunk
+FROM documents d LEFT JOIN (SELECT doc_id, count(*) AS n FROM chunks GROUP BY doc_id) c ON d.doc_id = c.doc_id""")
 def k7_run_summary(spark, sf_dir):
     raw = tt.raw_texts(spark, sf_dir)
-    return chunking.run_summary(raw, chunking.chunk_documents(raw, most=500, gap="\\n", ends=".!?")).select("source_name", "encoding", "total_chars")
+    return chunking.run_summary(raw, chunking.chunk_documents(raw, most=500, gap="\\n", ends=".!?")).drop("limit_chars", "limit_lines")
 
 
 @query("SELECT doc_id, array_to_string(string_split(text, chr(10))[1:2], chr(10)) || CASE WHEN len(string_split(text, chr(10))) > 2 THEN chr(10) ELSE '' END AS text FROM documents")
@@ -407,12 +520,19 @@ def s2_limit_lines(spark, sf_dir):
     return chunking.limited(tt.table(spark, sf_dir, "documents").select("doc_id", "text"), limit_lines=2)
 
 
-GATED = f"""{tt.DOCS}, gate AS (SELECT chunk_id, CASE WHEN length(trim(text)) < 200 THEN 'too_short (' || CAST(length(trim(text)) AS VARCHAR) || ' chars < 200)' END AS reason FROM docs)"""
+@query("SELECT doc_id, substr(text, 1, 77) AS text FROM documents")
+def s2_limit_chars(spark, sf_dir):
+    return chunking.limited(tt.table(spark, sf_dir, "documents").select("doc_id", "text"), limit_chars=77)
+
+
+GATED = f"""{tt.DOCS}, gate AS (SELECT chunk_id, CASE WHEN length(trim(text)) < 200 THEN 'too_short (' || CAST(length(trim(text)) AS VARCHAR) || ' chars < 200)'
+    WHEN len(full_) BETWEEN 1 AND 2 AND regexp_matches(full_[1], '^(Th|Un|De)') THEN 'title_pattern (' || CAST(len(full_) AS VARCHAR) || ' lines, first=' || chr(39) || substr(full_[1], 1, 30) || chr(39) || ')' END AS reason
+  FROM (SELECT *, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(13))), lambda x: x <> '') AS full_ FROM docs) f)"""
 
 
 @query(f"WITH {GATED} SELECT chunk_id, reason FROM gate")
 def g1_structural_gate(spark, sf_dir):
-    return gates.gated(tt.doc_chunks(spark, sf_dir)).select("chunk_id", F.col("structural_reason").alias("reason"))
+    return gates.gated(tt.doc_chunks(spark, sf_dir), titles="Th|Un|De").select("chunk_id", F.col("structural_reason").alias("reason"))
 
 
 @query(f"WITH {tt.LOG} SELECT DISTINCT chunk_id FROM log WHERE status IN ('success', 'structural_chunk')")
@@ -420,6 +540,18 @@ def g2_done_ids(spark, sf_dir):
     return gates.done_ids(tt.state_log(spark, sf_dir))
 
 
+@query(f"""WITH {GATED}, results AS (SELECT gate.chunk_id, CASE WHEN reason IS NOT NULL THEN 'structural_chunk' WHEN doc_id % 7 = 0 THEN 'failed' ELSE 'success' END AS status, reason, length(text) AS n, text FROM gate JOIN docs ON gate.chunk_id = docs.chunk_id)
+SELECT 'state' AS log, chunk_id, status AS detail FROM results UNION ALL SELECT 'structural', chunk_id, reason || ' / ' || CAST(n AS VARCHAR) FROM results WHERE status = 'structural_chunk'
+UNION ALL SELECT 'bad', chunk_id, 'no answer: ' || md5(substr(text, 1, 2000)) FROM results WHERE status = 'failed'""")
+def g5_log_rows(spark, sf_dir):
+    docs = gates.gated(tt.doc_chunks(spark, sf_dir), titles="Th|Un|De")
+    status = F.when(F.col("structural_reason").isNotNull(), "structural_chunk").when(F.col("doc_id") % 7 == 0, "failed").otherwise("success")
+    results = docs.select("chunk_id", status.alias("status"), F.coalesce("structural_reason", F.lit("no answer")).alias("reason"), F.length("text").alias("char_count"), F.col("text").alias("raw"))
+    state, structural, bad = gates.log_rows(results)
+    row = lambda df, name, detail: df.select(F.lit(name).alias("log"), "chunk_id", detail.alias("detail"))
+    return row(state, "state", F.col("status")).unionByName(row(structural, "structural", F.concat("reason", F.lit(" / "), F.col("char_count").cast("string")))).unionByName(row(bad, "bad", F.concat("reason", F.lit(": "), F.md5("raw_response"))))
+
+
 PENDING = f"{tt.DOCS}, {tt.LOG}, pending AS (SELECT chunk_id, doc_id, lang FROM docs WHERE trim(text) <> '' AND chunk_id NOT IN (SELECT chunk_id FROM log WHERE status <> 'failed'))"
 
 
@@ -463,10 +595,96 @@ def r9_next_requests(spark, sf_dir):
     return responses.next_requests(_checked(spark, sf_dir))
 
 
-@query(f"""WITH {tt.ANSWERS}, per AS (SELECT chunk_id, count(*) AS n, bool_or(valid) AS ok, min(CASE WHEN valid THEN attempt END) AS first, max(attempt) AS last FROM answers GROUP BY chunk_id)
-SELECT chunk_id, CASE WHEN ok THEN 'success' ELSE 'failed' END AS status, CASE WHEN ok THEN first ELSE last END AS attempt FROM per WHERE ok OR n > 2""")
+#: The record of a good answer, and what a cut one and one with a wrong key leave behind.
+RECORD = """'{"chunk_id": "' || chunk_id || '", "summary": "' || kind || '", "characters": [{"name": "n' || CAST(user_id AS VARCHAR) || '", "action": "a", "emotion": ""}], "events": [], "locations": ["' || kind || '"], "time_markers": [], "relationships": []}'"""
+ANSWERED = """'{"chunk_id": "x", "summary": "' || kind || '", "characters": [{"name": "n' || CAST(user_id AS VARCHAR) || '", "action": "a", "emotion": ""},], "events": [], "locations": ["' || kind || '"], "time_markers": [], "relationships": []}'"""
+
+
+@query(f"""WITH {tt.ANSWERS}, per AS (SELECT chunk_id, count(*) AS n, bool_or(valid) AS ok, coalesce(min(CASE WHEN valid THEN attempt END), max(attempt)) AS attempt FROM answers GROUP BY chunk_id)
+SELECT chunk_id, CASE WHEN ok THEN 'success' ELSE 'failed' END AS status, attempt, CASE WHEN ok THEN {RECORD} END AS json,
+  CASE WHEN ok THEN NULL WHEN cut THEN 'Unterminated string starting at: line 1 column 38 (char 37)' ELSE '$.summary: missing; $.summmary: not allowed' END AS reason,
+  CASE WHEN ok THEN NULL WHEN cut THEN substr({ANSWERED}, 1, 40) ELSE replace({ANSWERED}, '"summary"', '"summmary"') END AS raw FROM per JOIN answers USING (chunk_id, attempt) WHERE ok OR n > 2""")
 def r11_accepted(spark, sf_dir):
-    return responses.accepted(_checked(spark, sf_dir)).select("chunk_id", "status", "attempt")
+    return responses.accepted(_checked(spark, sf_dir))
+
+
+@query(f"""WITH {tt.ANSWERS} SELECT chunk_id, attempt, CASE WHEN cut THEN substr({ANSWERED}, 1, 40) WHEN valid THEN replace({ANSWERED}, '}},]', '}}]') ELSE replace(replace({ANSWERED}, '}},]', '}}]'), '"summary"', '"summmary"') END AS cleaned FROM answers""")
+def r3_cleaned(spark, sf_dir):
+    return _checked(spark, sf_dir).select("chunk_id", "attempt", "cleaned")
+
+
+@query("SELECT conv_id, turn, CASE WHEN turn % 3 = 2 THEN NULL ELSE regexp_replace(text, '^\\s+|\\s+$', '', 'g') END AS content FROM conversations")
+def r2_message_content(spark, sf_dir):
+    """Chat responses with a string, with parts, or without content."""
+    c = tt.table(spark, sf_dir, "conversations")
+    message = lambda content: F.to_json(F.struct(F.array(F.struct(F.struct(F.lit("assistant").alias("role"), content.alias("content")).alias("message"))).alias("choices")))
+    half = F.floor(F.length("text") / 2).cast("int")
+    piece = lambda x: F.struct(F.lit("text").alias("type"), x.alias("text"))
+    parts = F.array(piece(F.substring("text", F.lit(1), half)), piece(F.substring("text", half + 1, F.length("text"))))
+    raw = F.when(F.col("turn") % 3 == 0, message(F.col("text"))).when(F.col("turn") % 3 == 1, message(parts)).otherwise('{"choices": []}')
+    return c.select("conv_id", "turn", responses.message_content(raw).alias("content"))
+
+
+STYLE_KINDS = """styled AS (SELECT event_id, event_id % 4 AS k, 's' || CAST(event_id AS VARCHAR) AS chunk_id, event_type AS kind FROM events)"""
+
+
+def _style_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Style answers by event: tags with an alias, a repeated one and unknown ones; every fourth has an unknown density, one a wrong think block."""
+    e = tt.table(spark, sf_dir, "events")
+    k = F.col("event_id") % 4
+    density = F.when(k == 3, "odd").otherwise("高")
+    think = F.when(k == 1, "<think> \n</think>\n").when(k == 2, "<think>x</think>").otherwise("")
+    body = F.concat(think, F.lit('{"chunk_id": "?", "narration_tone": "'), "event_type", F.lit('", "dialogue_density": "'), density, F.lit('", "prose_features": ["a", "b", "c"], "key_dialogues": [{"speaker": "s", "line": "l"}], "style_tags": ["热血", " 温情 ", "热血", "nothing", "幽默"]}'))
+    return e.select(F.concat(F.lit("s"), F.col("event_id").cast("string")).alias("chunk_id"), F.lit(1).alias("attempt"), body.alias("raw"))
+
+
+@query(f"""WITH {STYLE_KINDS} SELECT chunk_id, k <> 3 AS valid, CASE WHEN k = 3 THEN '$.dialogue_density: not one of the allowed values' ELSE '' END AS violations,
+  '{{"chunk_id": "' || chunk_id || '", "narration_tone": "' || kind || '", "dialogue_density": "' || CASE WHEN k = 3 THEN 'odd' ELSE '高' END || '", "prose_features": ["a", "b", "c"], "key_dialogues": [{{"speaker": "s", "line": "l", "chunk_id": "' || chunk_id || '"}}], "style_tags": ["热血", "温情", "冷幽默"]}}' AS json FROM styled""")
+def r6_style_records(spark, sf_dir):
+    """Style records: ids overwritten, absent dialogue ids filled in, tags made uniform."""
+    rows = responses.checked(_style_answers(spark, sf_dir), "style")
+    return rows.select("chunk_id", "valid", F.array_join("violations", "; ").alias("violations"), "json")
+
+
+@query(f"WITH {STYLE_KINDS} SELECT chunk_id, CASE WHEN k = 2 THEN '<think>x</think>{{' ELSE '{{' END AS head FROM styled")
+def r4_think_block(spark, sf_dir):
+    """Only an empty think block in front goes (before the object is cut out)."""
+    rows = _style_answers(spark, sf_dir)
+    return rows.select("chunk_id", F.concat(F.substring_index(responses.without_empty_think(F.col("raw")), "{", 1), F.lit("{")).alias("head"))
+
+
+@query(f"""WITH {STYLE_KINDS} SELECT chunk_id, 1792 AS max_tokens FROM styled WHERE k = 0""")
+def r10_recovery_requests(spark, sf_dir):
+    return responses.recovery_requests(_ladder(spark, sf_dir))
+
+
+def _ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every second event three answers, two cut and one good; the good one is sparse for every fourth."""
+    e = _style_answers(spark, sf_dir).where("cast(substring(chunk_id, 2) as long) % 2 = 0")
+    sparse = F.expr("cast(substring(chunk_id, 2) as long) % 4 = 0")
+    full = F.replace(F.col("raw"), F.lit('[{"speaker": "s", "line": "l"}]'), F.lit('[{"speaker": "s", "line": "l"}, {"speaker": "s", "line": "m"}, {"speaker": "s", "line": "n"}]'))
+    good = F.replace(F.when(sparse, F.col("raw")).otherwise(full), F.lit("<think>x</think>"), F.lit(""))
+    cut = F.substring(good, 1, 60)
+    answers = F.array(*[F.struct(F.lit(n).alias("attempt"), c.alias("raw")) for n, c in ((1, cut), (2, cut), (3, good))])
+    return responses.checked(e.select("chunk_id", F.inline(answers)), "style")
+
+
+@query(f"""WITH {STYLE_KINDS} SELECT chunk_id, k = 0 AND event_id % 8 = 0 AS recovered, CASE WHEN k = 0 AND event_id % 8 <> 0 THEN 1 ELSE 3 END AS dialogues FROM styled WHERE k IN (0, 2)""")
+def r10_recovered(spark, sf_dir):
+    """Answers to recovery requests: every second one is good and taken, the others are cut and the old record stays."""
+    rows = _ladder(spark, sf_dir)
+    good = responses.accepted(rows)
+    again = rows.where("attempt = 3").join(responses.recovery_requests(rows), "chunk_id", "left_semi")
+    full = F.replace(F.col("raw"), F.lit('[{"speaker": "s", "line": "l"}]'), F.lit('[{"speaker": "s", "line": "l"}, {"speaker": "s", "line": "m"}, {"speaker": "s", "line": "n"}]'))
+    raw = F.when(F.expr("cast(substring(chunk_id, 2) as long) % 8 = 0"), full).otherwise(F.substring("raw", 1, 50))
+    out = responses.recovered(good, responses.checked(again.select("chunk_id", F.lit(1).alias("attempt"), raw.alias("raw")), "style"))
+    return out.select("chunk_id", "recovered", F.size(F.from_json("json", "struct<key_dialogues:array<string>>")["key_dialogues"]).alias("dialogues"))
+
+
+@query(f"WITH {STYLE_KINDS} SELECT chunk_id, '热血/温情/冷幽默' AS tags FROM styled")
+def r7_tags(spark, sf_dir):
+    rows = tt.table(spark, sf_dir, "events").select(F.concat(F.lit("s"), F.col("event_id").cast("string")).alias("chunk_id"), F.array(*map(F.lit, ("热血", " 温情 ", "热血", "nothing", "幽默"))).alias("tags"))
+    return rows.select("chunk_id", F.array_join(responses.uniform_tags(F.col("tags")), "/").alias("tags"))
 
 
 @query("""WITH e AS (SELECT *, 'u' || CAST(user_id AS VARCHAR) || '_' || CAST(event_id // 50 AS VARCHAR) AS chunk_id FROM events WHERE event_type IN ('click', 'purchase'))
@@ -483,32 +701,44 @@ WORDS = {"author_meta": ("^the\\b", "\\bof the\\b"), "front_matter": ("\\bcopyri
 
 
 def _scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sections.scan(tt.doc_chunks(spark, sf_dir), None, WORDS, ('"',), ("\\band\\b", "\\bund\\b"))
+    """Chunks that may be no story scenes; four in five have a canon record, some without events or characters."""
+    docs = tt.doc_chunks(spark, sf_dir)
+    some = lambda k: F.when(F.col("doc_id") % k == 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("x")))
+    return sections.scan(docs, docs.where("doc_id % 5 <> 0").select("chunk_id", some(2).alias("events"), some(3).alias("characters")), WORDS, ('"',), ("\\band\\b", "\\bund\\b"))
 
 
-SCANNED = f"""{tt.DOCS}, head AS (SELECT chunk_id, text, substr(text, 1, 500) AS h FROM docs), typed AS (SELECT chunk_id,
-  CASE WHEN regexp_matches(h, '(?im)^the\\b') OR regexp_matches(h, '(?im)\\bof the\\b') THEN 'author_meta' WHEN regexp_matches(h, '(?im)\\bcopyright\\b') OR regexp_matches(h, '(?im)\\breserved\\b') THEN 'front_matter'
-       WHEN contains(h, '@') THEN 'in_universe_document' WHEN contains(h, '|') THEN 'setting_exposition'
-       WHEN length(text) > 300 AND NOT contains(text, '"') AND len(regexp_extract_all(text, '\\band\\b')) + len(regexp_extract_all(text, '\\bund\\b')) < 3 THEN 'setting_exposition' END AS suggested_type FROM head)"""
+def _found(*patterns: str) -> str:
+    return "list_filter([" + ", ".join(f"nullif(regexp_extract(h, '(?im){p}'), '')" for p in patterns) + "], lambda x: x IS NOT NULL)"
 
 
-@query()
+SCANNED = f"""{tt.DOCS}, head AS (SELECT chunk_id, doc_id, text, substr(text, 1, 500) AS h, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(13))), lambda x: x <> '') AS rows_ FROM docs),
+hits AS (SELECT *, CASE {' '.join(f"WHEN len({_found(*p)}) > 0 THEN {{'type': '{k}', 'hits': {_found(*p)}}}" for k, p in WORDS.items())} END AS k, len(rows_) AS n, len(list_filter(rows_, lambda x: regexp_matches(x, '^[0-9]+[.、)]'))) AS numbered FROM (SELECT *, replace(h, '|', chr(1)) AS bars FROM head) b),
+typed AS (SELECT chunk_id, doc_id, k, CASE WHEN n > 5 AND numbered / n > 0.4 THEN '编号列表占比 ' || CAST(numbered AS VARCHAR) || '/' || CAST(n AS VARCHAR)
+  WHEN length(text) > 300 AND NOT contains(text, '"') AND len(regexp_extract_all(text, '\\band\\b')) + len(regexp_extract_all(text, '\\bund\\b')) < 3 THEN '无对话标记且叙事动词不足' END AS other FROM hits),
+scanned AS (SELECT chunk_id, coalesce(k.type, 'setting_exposition') AS suggested_type, CASE WHEN second IS NOT NULL AND (k IS NOT NULL OR second = 'canon 输出无事件且无角色') THEN 'high' ELSE 'uncertain' END AS confidence,
+  coalesce('关键词命中: ' || array_to_string(k.hits, ', '), other) || coalesce('; ' || second, '') AS reasons
+  FROM (SELECT *, CASE WHEN doc_id % 5 <> 0 AND doc_id % 6 = 0 THEN 'canon 输出无事件且无角色' WHEN doc_id % 5 <> 0 AND doc_id % 2 = 0 THEN 'canon 输出无事件' END AS second FROM typed) s WHERE k IS NOT NULL OR other IS NOT NULL)"""
+
+
+@query(f"WITH {SCANNED} SELECT * FROM scanned")
 def t1_section_scan(spark, sf_dir):
     return _scanned(spark, sf_dir).select("chunk_id", "suggested_type", "confidence", F.array_join("reasons", "; ").alias("reasons"))
 
 
-@query()
+@query(f"WITH {SCANNED} SELECT dimension, value, count(*) AS count FROM (SELECT 'total' AS dimension, 'all' AS value FROM scanned UNION ALL SELECT 'confidence', confidence FROM scanned UNION ALL SELECT 'type', suggested_type FROM scanned) x GROUP BY dimension, value")
 def t5_scan_summary(spark, sf_dir):
     return sections.scan_summary(_scanned(spark, sf_dir))
 
 
 def _label_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels over the whole range of documents and some beyond it."""
     kind = F.element_at(F.array(F.lit("author_meta"), F.lit("front_matter"), F.lit("story_scene"), F.lit("bogus"), F.lit("")), (F.col("event_id") % 5 + 1).cast("int"))
-    chunk = F.concat(F.lit("d"), F.lpad((F.col("event_id") % 1500).cast("string"), 9, "0"))
-    return tt.table(spark, sf_dir, "events").select(F.col("event_id").alias("line_no"), chunk.alias("chunk_id"), F.when(F.col("event_type") != "click", kind).alias("suggested_type"), kind.alias("section_type"))
+    chunk = F.concat(F.lit("d"), F.lpad((F.col("event_id") * 7 % F.col("ids")).cast("string"), 9, "0"))
+    ids = tt.table(spark, sf_dir, "documents").agg((F.floor(F.max("doc_id") * 1.25) + 2).alias("ids"))
+    return tt.table(spark, sf_dir, "events").crossJoin(ids).select(F.col("event_id").alias("line_no"), chunk.alias("chunk_id"), F.when(F.col("event_type") != "click", kind).alias("suggested_type"), kind.alias("section_type"))
 
 
-LABELS = "marks AS (SELECT event_id AS line_no, 'd' || lpad(CAST(event_id % 1500 AS VARCHAR), 9, '0') AS chunk_id, event_id % 5 AS k FROM events)"
+LABELS = "marks AS (SELECT event_id AS line_no, 'd' || lpad(CAST(event_id * 7 % (SELECT CAST(floor(max(doc_id) * 1.25) AS BIGINT) + 2 FROM documents) AS VARCHAR), 9, '0') AS chunk_id, event_id % 5 AS k FROM events)"
 
 
 @query(f"WITH {LABELS} SELECT line_no, chunk_id, CASE WHEN k = 3 THEN 'unknown type bogus' ELSE 'missing section_type' END AS reason FROM marks WHERE k IN (3, 4)")
@@ -538,6 +768,15 @@ def t9_verify(spark, sf_dir):
     return sections.verify(sections.apply_labels(tt.doc_chunks(spark, sf_dir), good)[0])
 
 
+@query(f"""WITH {LABELS}, {tt.DOCS}, good AS (SELECT * FROM marks WHERE k IN (0, 1) AND chunk_id IN (SELECT chunk_id FROM docs)), c AS (SELECT (SELECT count(*) FROM docs) AS total, count(DISTINCT chunk_id) AS tagged, count(*) AS success FROM good)
+SELECT total, tagged, total - tagged AS untagged, true AS equals_chunks, tagged = success AS equals_success FROM c""")
+def t9_verify_log(spark, sf_dir):
+    entries = _label_entries(spark, sf_dir)
+    good, rejected = sections.validated_labels(entries)
+    labelled, unknown = sections.apply_labels(tt.doc_chunks(spark, sf_dir), good)
+    return sections.verify_log(labelled, sections.apply_log(entries, good, unknown, rejected))
+
+
 # ---- recall, graph, audits
 
 
@@ -548,6 +787,18 @@ def b1_recall(spark, sf_dir):
     return recall.mentions_in_text(tt.doc_chunks(spark, sf_dir), terms)
 
 
+@query(f"""WITH {tt.DOCS}, terms AS (SELECT DISTINCT split_part(p_name, ' ', 2) AS term FROM part), m AS (SELECT chunk_id, term AS entity, row_number() OVER (PARTITION BY term ORDER BY chunk_id) AS place FROM docs JOIN terms ON contains(text, term) WHERE doc_id % 2 = 1)
+SELECT entity, count(*) AS chunk_count, string_agg(CASE WHEN place <= 20 THEN chunk_id END, ' ' ORDER BY chunk_id) AS evidence FROM m GROUP BY entity""")
+def b1_recall_rounds(spark, sf_dir):
+    """Rounds until nothing new is found; what stands in every other document is known before."""
+    docs = tt.doc_chunks(spark, sf_dir)
+    terms = tt.table(spark, sf_dir, "part").select(F.element_at(F.split("p_name", " "), 2).alias("term"))
+    known = recall.mentions_in_text(docs.where("doc_id % 2 = 0"), terms).select(F.col("term").alias("entity"), "chunk_id")
+    none = terms.select(F.col("term").alias("alias"), F.col("term").alias("canonical")).limit(0)
+    found = recall.evidence_chunks(recall.recall_rounds(docs, terms, none, known))
+    return found.withColumn("evidence", F.array_join("evidence", " "))
+
+
 @query("""WITH c AS (SELECT DISTINCT split_part(p_name, ' ', 2) AS alias, p_name AS canonical FROM part), s AS (SELECT alias, min(canonical) AS settled FROM c GROUP BY alias)
 SELECT 'several_canonicals' AS problem, alias, CAST(count(*) AS VARCHAR) AS detail FROM c GROUP BY alias HAVING count(*) > 1 UNION ALL SELECT 'against_confirmed', c.alias, canonical FROM c JOIN s ON c.alias = s.alias WHERE canonical <> settled""")
 def b2_exit_gate(spark, sf_dir):
@@ -558,9 +809,10 @@ def b2_exit_gate(spark, sf_dir):
 @query(f"""WITH {tt.FACTS}, {APPEAR}, t AS (SELECT canonical_name AS subject, 'appears_in' AS predicate, chunk_id AS object, chunk_id FROM appear
   UNION ALL SELECT canonical_name, 'appears_at', location, a.chunk_id FROM (SELECT DISTINCT canonical_name, chunk_id FROM appear) a JOIN (SELECT DISTINCT location, chunk_id FROM facts) l ON a.chunk_id = l.chunk_id
   UNION ALL SELECT person_a, 'interacts_with', person_b, chunk_id FROM facts)
-SELECT subject, predicate, object, count(*) AS n, min(chunk_id) AS first_chunk FROM t GROUP BY subject, predicate, object""")
+SELECT subject, predicate, object, CAST(sum(m) AS BIGINT) AS n, min(chunk_id) AS first_chunk, string_agg(CASE WHEN place <= 5 THEN chunk_id END, ' ' ORDER BY chunk_id) AS evidence
+FROM (SELECT subject, predicate, object, chunk_id, count(*) AS m, row_number() OVER (PARTITION BY subject, predicate, object ORDER BY chunk_id) AS place FROM t GROUP BY subject, predicate, object, chunk_id) x GROUP BY subject, predicate, object""")
 def b3_triples(spark, sf_dir):
-    return graph.triples(_appearances(spark, sf_dir), _entries(spark, sf_dir, "locations"), _entries(spark, sf_dir, "relationships")).drop("evidence")
+    return graph.triples(_appearances(spark, sf_dir), _entries(spark, sf_dir, "locations"), _entries(spark, sf_dir, "relationships")).withColumn("evidence", F.array_join("evidence", " "))
 
 
 @query(f"""WITH {tt.FACTS}, items AS (SELECT source_file AS source, chunk_id, pos AS p, 'time' AS kind, marker AS text FROM facts UNION ALL SELECT source_file, chunk_id, pos + 1000000, 'event', event FROM facts)
@@ -602,11 +854,13 @@ def b8_package_audit(spark, sf_dir):
     return audit.package_audit(p.select("character", "field", "value"), p.where("p_size % 2 <> 0").select("character", "field", "chunk_id"), tt.doc_chunks(spark, sf_dir))
 
 
-@query("SELECT 'character' AS kind, count(*) AS items, count(*) FILTER (contains(text, lang)) AS grounded, 0 AS notices FROM documents UNION ALL SELECT 'location', count(*), count(*) FILTER (contains(text, source)), 0 FROM documents UNION ALL SELECT 'summary', count(*), 0, count(*) FILTER (n_chars < 100 OR n_chars > 200) FROM documents UNION ALL SELECT 'dialogue', count(*), count(*), count(*) FILTER (n_chars > 30) FROM documents")
+@query("SELECT 'character' AS kind, count(*) AS items, count(*) FILTER (contains(text, lang)) AS grounded, 0 AS notices FROM documents UNION ALL SELECT 'location', count(*), count(*) FILTER (contains(text, source)), 0 FROM documents UNION ALL SELECT 'summary', count(*), 0, count(*) FILTER (n_chars < 100 OR n_chars > 200) FROM documents UNION ALL SELECT 'dialogue', count(*), count(*) FILTER (contains(text, trim(line))), count(*) FILTER (length(line) > 30) FROM (SELECT text, substr(text, length(text) // 2 + 1, 25 + doc_id % 10) || CASE WHEN doc_id % 3 = 0 THEN '§' ELSE '' END AS line FROM documents) d WHERE regexp_replace(line, '^\\s+|\\s+$', '', 'g') <> ''")
 def b9_grounding(spark, sf_dir):
     docs = tt.doc_chunks(spark, sf_dir)
     canon = docs.select("chunk_id", F.array(F.struct(F.col("lang").alias("name"))).alias("characters"), F.array("source_name").alias("locations"), F.col("text").alias("summary"))
-    style = docs.select("chunk_id", F.array(F.struct(F.substring("text", 1, 40).alias("line"))).alias("key_dialogues"))
+    middle = F.substring("text", F.floor(F.length("text") / 2).cast("int") + 1, (F.col("doc_id") % 10 + 25).cast("int"))
+    line = F.concat(middle, F.when(F.col("doc_id") % 3 == 0, "§").otherwise(""))
+    style = docs.select("chunk_id", F.array(F.struct(line.alias("line"))).alias("key_dialogues"))
     return audit.grounding_summary(audit.grounding(canon, style, docs))
 
 
@@ -620,8 +874,68 @@ def st2_running_counts(spark, sf_dir):
 
     schema = tt.table(spark, sf_dir, "events").schema
     stream = spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/events.parque[t]")  # a pattern: the table may be one file
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    name = "running_" + next(tempfile._get_candidate_names()).replace("-", "_")
-    query = start_counts(running_counts(stream.withColumnRenamed("event_type", "status"), "status"), name, f"{named.rstrip('/')}/{name}" if named else tempfile.mkdtemp(prefix="spark-counts-"))
+    name = f"running_{uuid4().hex}"
+    query = start_counts(running_counts(stream.withColumnRenamed("event_type", "status"), "status"), name, scratch(spark, "counts"))
     query.awaitTermination()
     return spark.table(name)
+
+
+@query(f"WITH {GATED} SELECT chunk_id, coalesce(reason, 'pending') AS went FROM gate")
+def st1_intake(spark, sf_dir):
+    """The documents table as a stream of files, gated into two tables; a second start finds nothing new."""
+    from loretable.streaming.intake import start_intake
+
+    schema = tt.table(spark, sf_dir, "documents").schema
+    paths = [scratch(spark, n) for n in ("pending", "structural", "intake")]
+    for _ in range(2):
+        stream = spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/documents.parque[t]").select(F.concat(F.lit("d"), F.lpad(F.col("doc_id").cast("string"), 9, "0")).alias("chunk_id"), "text")
+        start_intake(stream, *paths, titles="Th|Un|De").awaitTermination()
+    pending = spark.read.parquet(paths[0]).select("chunk_id", F.lit("pending").alias("went"))
+    return pending.unionByName(spark.read.parquet(paths[1]).select("chunk_id", F.col("reason").alias("went")))
+
+
+# ---- sinks and sources, written and read again
+
+
+@query(f"WITH {PACKED} SELECT 'doc' || CAST(doc_id AS VARCHAR) AS source_name, count(*) AS chunks, CAST(sum(length(text)) AS BIGINT) AS chars FROM chunks WHERE doc_id % 50 = 7 GROUP BY doc_id")
+def s7_chunk_tables(spark, sf_dir):
+    """Chunk tables by source; one source in fifty, as each is a folder."""
+    raw = tt.table(spark, sf_dir, "documents").where("doc_id % 50 = 7").select(F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("source_name"), F.concat("source", F.lit(".txt")).alias("source_file"), "text")
+    path = scratch(spark, "chunks")
+    io.write_chunks(chunking.chunk_documents(raw, most=500, gap="\\n", ends=".!?"), path)
+    return spark.read.parquet(path).groupBy("source_name").agg(F.count("*").alias("chunks"), F.sum(F.length("text")).alias("chars"))
+
+
+@query(f"WITH {tt.FACTS} SELECT location, count(*) AS count, count(DISTINCT chunk_id) AS chunk_count FROM facts GROUP BY location")
+def s8_index_as_json(spark, sf_dir):
+    path = scratch(spark, "index")
+    io.write_table(indexes.counts(indexes.postings(_entries(spark, sf_dir, "locations"), ("location",)), ("location",)).select("location", "count", "chunk_count"), path, "json")
+    return spark.read.schema("location string, count bigint, chunk_count bigint").json(path)
+
+
+@query("SELECT '| ' || p_name || ' | is | ' || p_type || ' | ' || CAST(count(*) AS VARCHAR) || ' | ' || min(p_brand) || ' |' AS line FROM part GROUP BY p_name, p_type")
+def s9_rendered_text(spark, sf_dir):
+    rows = tt.table(spark, sf_dir, "part").groupBy(F.col("p_name").alias("subject"), F.lit("is").alias("predicate"), F.col("p_type").alias("object")).agg(F.count("*").alias("n"), F.min("p_brand").alias("first_chunk"))
+    path = scratch(spark, "texts")
+    io.write_texts(graph.markdown_rows(rows), "line", path, "line")
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+@query("""SELECT event_id % 10 <> 3 AS good, CASE WHEN event_id % 10 = 3 THEN '{"id": ' || CAST(event_id AS VARCHAR) ELSE event_type END AS what FROM events WHERE event_id % 10 <> 4""")
+def s5_json_lines(spark, sf_dir):
+    """Events as JSON lines: every tenth is cut off, every tenth blank."""
+    e = tt.table(spark, sf_dir, "events")
+    cut = F.concat(F.lit('{"id": '), F.col("event_id").cast("string"))
+    line = F.when(F.col("event_id") % 10 == 3, cut).when(F.col("event_id") % 10 == 4, " ").otherwise(F.concat(cut, F.lit(', "kind": "'), "event_type", F.lit('"}')))
+    path = scratch(spark, "lines")
+    e.select(line.alias("value")).write.text(path)
+    good, bad = io.read_jsonl(spark, path, "id long, kind string")
+    return good.select(F.lit(True).alias("good"), F.col("kind").alias("what")).unionByName(bad.select(F.lit(False), F.col("line")).toDF("good", "what"))
+
+
+@query("SELECT trim(p_brand) AS alias, min(p_name) AS canonical FROM part GROUP BY p_brand")
+def s6_alias_maps(spark, sf_dir):
+    """Alias objects, one per brand, with blanks around and keys of metadata."""
+    rows = tt.table(spark, sf_dir, "part").groupBy("p_brand").agg(F.min("p_name").alias("name"))
+    made = rows.select(F.to_json(F.map_from_arrays(F.array(F.concat(F.lit(" "), "p_brand"), F.lit("_asset_layer"), F.lit("blank")), F.array(F.concat("name", F.lit("  ")), F.lit("x"), F.lit(" ")))).alias("json"))
+    return al.mapping_rows(made)

@@ -105,4 +105,4 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: Valid: clicks and purchases; cut: views; the others have a wrong key.
 ANSWERS = """answers AS (
   SELECT 'u' || CAST(user_id AS VARCHAR) || '_' || CAST(event_id // 50 AS VARCHAR) AS chunk_id, row_number() OVER (PARTITION BY user_id, event_id // 50 ORDER BY event_id) AS attempt,
-         event_type IN ('click', 'purchase') AS valid, event_type = 'view' AS cut FROM events)"""
+         event_type IN ('click', 'purchase') AS valid, event_type = 'view' AS cut, event_type AS kind, user_id FROM events)"""

@@ -63,12 +63,15 @@ def load_records(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
-    """Records of JSON lines, and malformed lines (file, line); blank lines are dropped."""
-    lines = spark.read.text(path).where("trim(value) <> ''").select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("line"))
+    """Records of JSON lines with their line_no, and malformed lines (file, line_no, line); blank lines are
+    dropped, but count. A line's number is found in its file: files are read whole for it (each is one
+    task's work), so very large files are better cut before."""
+    texts = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("at", "line"))
+    lines = texts.where("trim(line) <> ''").select("file", (F.col("at") + 1).cast("long").alias("line_no"), "line")
     fields = T.StructType.fromDDL(schema).add("_bad", T.StringType())
     rows = lines.withColumn("r", F.from_json("line", fields, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))
     bad = F.col("r").isNull() | F.col("r._bad").isNotNull()
-    return rows.where(~bad).select("r.*").drop("_bad"), rows.where(bad).select("file", "line")
+    return rows.where(~bad).select("line_no", "r.*").drop("_bad"), rows.where(bad).select("file", "line_no", "line")
 
 
 def read_alias_map(spark: SparkSession, path: str) -> DataFrame:

@@ -167,8 +167,9 @@ def test_recall(spark):
     terms = spark.createDataFrame([("安洁",), ("安洁莉特",), (" ",), ("杜",), (None,)], "term string")
     for most in (100, 1):
         found = recall.mentions_in_text(chunks, terms, most)
-        if most == 100:
-            assert {(r.chunk_id, r.term, r.pos, r.n) for r in found.collect()} == {("1", "安洁莉特", 0, 1), ("1", "安洁", 5, 2), ("2", "杜", 0, 1)}
+        assert {(r.chunk_id, r.term, r.pos, r.n) for r in found.collect()} == {("1", "安洁莉特", 0, 1), ("1", "安洁", 0, 3), ("2", "杜", 0, 1)}
+    repeated = recall.mentions_in_text(spark.createDataFrame([("1", "aaaaa")], "chunk_id string, text string"), spark.createDataFrame([("aa",), ("aaa",)], "term string"))
+    assert {(r.term, r.pos, r.n) for r in repeated.collect()} == {("aa", 0, 2), ("aaa", 0, 1)}
     known = spark.createDataFrame([("安洁莉特", "1")], "entity string, chunk_id string")
     new = recall.recall_rounds(chunks, terms, mapping(spark, [("安洁", "安洁莉特")]), known)
     assert [(r.entity, r.chunk_id) for r in new.collect()] == [("杜", "2")]
