@@ -10,6 +10,7 @@ batches may be sent twice or retried after a loss. Totals are the sum of all com
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -92,6 +93,16 @@ def vocabularies() -> dict[str, str]:
     return {"byte_bpe_50k": public_tokenizers.path("byte_bpe_50k.tiktoken"), "word_bpe_49k": public_tokenizers.path("word_bpe_49k.json")}
 
 
+@cache
+def byte_tokens(path: str, pattern: str):
+    """The library's tokenizer of a rank file, without special tokens."""
+    import tiktoken
+
+    from loretable.llm.bpe_tree import read_ranks
+
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=read_ranks(path), special_tokens={})
+
+
 def count_tokens(docs: DataFrame, versions: dict[str, str] | None = None, op: str = "insert") -> DataFrame:
     """Changes that set every document's count of tokens under each version; whole texts, null: 0.
 
@@ -102,7 +113,6 @@ def count_tokens(docs: DataFrame, versions: dict[str, str] | None = None, op: st
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import public_tokenizers
 
-        from loretable.llm.bpe_tree import codec
         from loretable.llm.word_tokens import word_tokens
 
         for b in batches:
@@ -111,7 +121,7 @@ def count_tokens(docs: DataFrame, versions: dict[str, str] | None = None, op: st
                 texts = part.column(3).to_pylist()
                 for version, path in files.items():
                     if path.endswith(".tiktoken"):
-                        encode = codec(path, public_tokenizers.PATTERN).encode
+                        encode = byte_tokens(path, public_tokenizers.PATTERN).encode_ordinary
                         n = np.array([len(encode(t)) for t in texts], np.int64)
                     else:
                         n = word_tokens(path).encode(texts)[1]

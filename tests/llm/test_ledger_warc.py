@@ -50,13 +50,11 @@ def test_counts_against_libraries(spark):
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    from loretable.llm.bpe_tree import codec
-
     texts = {1: "Hello, World's 12 ends", 2: None, 3: "", 4: "é " * 3000}
     docs = spark.createDataFrame([(i, t, "s", "en", "x") for i, t in texts.items()], "doc_id long, text string, source string, lang string, version string")
     got = {(r.version, r.doc_id): r.n_tokens for r in tc.count_tokens(docs).collect()}
     word = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    byte = codec(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).model
+    byte = tc.byte_tokens(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     for i, t in texts.items():
         assert got["word_bpe_49k", i] == len(word.encode(t or "", add_special_tokens=False).ids)
         assert got["byte_bpe_50k", i] == len(byte.encode_ordinary(t or ""))
