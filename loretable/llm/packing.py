@@ -1,4 +1,10 @@
-"""Best-fit packing of tokenised documents into sequences by a grouping genetic algorithm on islands."""
+"""Best-fit packing of tokenised documents into sequences by a grouping genetic algorithm on islands.
+
+Pieces are dealt into blocks; a block is packed by islands, whose elites migrate. The algorithm prefers
+fewer sequences and then a fill as uneven as can be, so that what room is left gathers in few of them.
+The emptiest sequences of each block are opened again, and their pieces are dealt into blocks of the next
+level, until one block is left: what the division into blocks costs is packed anew, level by level.
+"""
 
 from __future__ import annotations
 
@@ -17,6 +23,10 @@ from loretable.llm.word_tokens import vocabulary_path, word_tokens
 
 #: Pieces that are packed together. A block's islands hold a few assignments of so many pieces each.
 BLOCK = 4000
+#: One in so many of a block's sequences, the emptiest, goes on to the next level.
+OPENED = 12
+#: Spread of the noise by which the orders of an island's first assignments differ.
+NOISE = 0.03
 #: Islands of a block, assignments on each, generations between migrations, migrations, elites that move on.
 ISLANDS, POPULATION, GENERATIONS, EPOCHS, ELITES = 3, 4, 6, 2, 1
 
@@ -122,13 +132,11 @@ def mutate(a: list[list[int]], sizes: list[int], capacity: int, rng: np.random.G
 
 
 def evolve(population: list[list[list[int]]], sizes: list[int], capacity: int, rng: np.random.Generator, generations: int) -> list[list[list[int]]]:
-    """The population after some generations, best first. Ends early at the lower bound on bins."""
-    floor = -(-sum(sizes) // capacity)
+    """The population after some generations, best first. In each a crossover of two assignments, at
+    times mutated, takes the place of the worst unless it is worse still."""
     rated = sorted(((fitness(p, sizes, capacity), p) for p in population), key=lambda x: x[0], reverse=True)
-    for _ in range(generations):
-        if len(rated[0][1]) <= floor or len(rated) < 2:
-            break
-        x, y = sorted(rng.choice(len(rated), 2, replace=False).tolist())
+    for _ in range(generations if len(rated) > 1 else 0):
+        x, y = rng.choice(len(rated), 2, replace=False).tolist()
         child = crossover(rated[x][1], rated[y][1], sizes, capacity, rng)
         if rng.random() < 0.3:
             child = mutate(child, sizes, capacity, rng)
@@ -153,12 +161,26 @@ def pack(items: DataFrame, capacity: int = 4096, block: int = BLOCK) -> DataFram
 
     Pieces are dealt by a hash into blocks of about as many each; a block's pieces live on some
     islands, each evolving assignments of its own. After each epoch the elites of an island move to
-    the next one of its block by a shuffle; at last the best island's best one is taken. Blocks have
-    a bounded size, so no task grows with the data; what a block loses is less than one sequence.
+    the next one of its block by a shuffle; at last the best island's best one is taken (of equals the
+    first island's). All but its emptiest sequences are closed; the pieces of those are packed again
+    with those of other blocks. Blocks have a bounded size, so no task grows with the data, and each
+    level holds a small share of the one before.
     """
-    n = items.count()
-    blocks = max(1, -(-n // block))
-    keyed = items.select("key", "length", F.pmod(F.xxhash64("key"), F.lit(blocks)).alias("block"))
+    closed, level = None, 0
+    while True:
+        n = items.count()
+        blocks = max(1, -(-n // block))
+        placed = materialize(_packed_blocks(items, capacity, blocks, level), "placed")
+        done = placed.where("not open").select("key", "length", "sequence_id", "offset")
+        closed = done if closed is None else closed.unionByName(done)
+        if blocks == 1:
+            return closed
+        items, level = placed.where("open").select("key", "length"), level + 1
+
+
+def _packed_blocks(items: DataFrame, capacity: int, blocks: int, level: int) -> DataFrame:
+    """items with sequence_id, offset and open: whether their sequence goes on to the next level."""
+    keyed = items.select("key", "length", F.pmod(F.xxhash64("key", F.lit(level)), F.lit(blocks)).alias("block"))
     dealt = materialize(
         keyed.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("length", "key"))).alias("items")).select("block", "items", F.col("items.length").alias("sizes")), "pieces"
     )
@@ -184,11 +206,15 @@ def pack(items: DataFrame, capacity: int = 4096, block: int = BLOCK) -> DataFram
                 first = np.concatenate(([True], np.diff(a[order]) != 0))
                 offset = np.empty(len(s), np.int64)
                 offset[order] = run - np.repeat(run[first], np.diff(np.append(np.flatnonzero(first), len(s))))
-                yield pd.DataFrame({"block": blk, "at": np.arange(len(s)), "sequence_id": (int(blk) << 32) + a.astype(np.int64), "offset": offset})
+                fill = np.bincount(a, s)
+                emptiest = np.zeros(len(fill), bool)
+                if blocks > 1:
+                    emptiest[np.argsort(fill, kind="stable")[: -(-len(fill) // OPENED)]] = True
+                yield pd.DataFrame({"block": blk, "at": np.arange(len(s)), "sequence_id": (level << 56) + (int(blk) << 24) + a.astype(np.int64), "offset": offset, "open": emptiest[a]})
 
-    placed = best.join(dealt.select("block", "sizes"), "block").mapInPandas(place, "block long, at int, sequence_id long, offset long")
+    placed = best.join(dealt.select("block", "sizes"), "block").mapInPandas(place, "block long, at int, sequence_id long, offset long, open boolean")
     rows = dealt.select("block", F.posexplode("items").alias("at", "item")).select("block", "at", F.col("item.key").alias("key"), F.col("item.length").alias("length"))
-    return rows.join(placed, ["block", "at"]).select("key", "length", "sequence_id", "offset")
+    return rows.join(placed, ["block", "at"]).select("key", "length", "sequence_id", "offset", "open")
 
 
 def _island(capacity: int, epoch: int):
@@ -198,11 +224,9 @@ def _island(capacity: int, epoch: int):
                 sizes = np.asarray(sizes, np.int64).tolist()
                 rng = np.random.default_rng([epoch, int(block), int(island)])
                 population = [_bins(np.frombuffer(x, np.int32)) for x in (() if arrived is None else sorted(arrived))]
-                floor = -(-sum(sizes) // capacity)
-                if not population:
-                    population.append(seeded(sizes, capacity, rng, 0.02 * int(island)))
-                while len(population) < POPULATION and min(map(len, population)) > floor:
-                    population.append(seeded(sizes, capacity, rng, 0.05 * len(population)))
+                while len(population) < POPULATION:
+                    # the first island starts with plain best fit by falling size, so none ends worse than that
+                    population.append(seeded(sizes, capacity, rng, NOISE * (int(island) + len(population))))
                 found = evolve(population, sizes, capacity, rng, GENERATIONS)[:ELITES]
                 rated = [fitness(p, sizes, capacity) for p in found]
                 yield pd.DataFrame({"block": block, "island": island, "one": [_assignment(p, len(sizes)).tobytes() for p in found], "bins": [-r[0] for r in rated], "even": [r[1] for r in rated]})

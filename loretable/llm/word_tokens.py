@@ -3,8 +3,9 @@
 The vocabulary lower-cases, drops white space, splits text into runs of letters, single digits, runs
 of other characters and a few contractions, and merges byte pairs inside each of these parts. Parts
 are found for some megabytes of text at once by comparing neighbouring character classes; each
-distinct part is merged once and remembered by its hash. Texts with characters that may compose or
-change their length in lower case (from U+0130) go through the tokenizers library.
+distinct part is merged once and remembered by its hash (should two parts share one, their texts go
+through the tokenizers library). Texts with characters that may compose or change their length in
+lower case (from U+0130) go through it too.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from functools import cache, cached_property
 import numpy as np
 
 #: Characters of text handled at once, and distinct parts remembered; both bound memory, not results.
-AT_ONCE, REMEMBERED = 1_000_000, 400_000
+AT_ONCE, REMEMBERED = 500_000, 200_000
 #: Longest part merged here; texts with longer ones go to the library.
 LONGEST = 2000
 #: Below this code point, lower-casing is one to one and characters are their own composed form.
@@ -133,6 +134,10 @@ def _byte_names() -> list[str]:
     return [chr(next(spare) if b is None else b) for b in shown]
 
 
+class SharedHash(Exception):
+    """Two parts of one hash: their texts go through the library."""
+
+
 class WordTokens:
     """Texts to the vocabulary's ids."""
 
@@ -196,7 +201,11 @@ class WordTokens:
             odd |= long_
             keep = ~np.isin(text_of, list(long_))
             start, lens, text_of, hashes = start[keep], lens[keep], text_of[keep], hashes[keep]
-        ids, sizes = self._look_up(low, start, lens, hashes)
+        try:
+            ids, sizes = self._look_up(low, start, lens, hashes)
+        except SharedHash:
+            every = [self._library(t) for t in texts]
+            return np.concatenate(every), np.array([len(x) for x in every], np.int64)
         counts = np.bincount(text_of, sizes, minlength=len(texts)).astype(np.int64)
         if odd:
             cuts = np.split(ids, np.cumsum(counts)[:-1])
@@ -243,12 +252,14 @@ class WordTokens:
         if not len(start):
             return np.empty(0, np.uint16), np.empty(0, np.int64)
         distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if not np.array_equal(lens[first][inverse], lens):
-            raise ArithmeticError("two parts share a hash")
+        own_start, own_lens = start, lens
         start, lens = start[first], lens[first]
-        # what is remembered must agree in a second hash too
+        # equal hashes must agree in length and in a second hash too, also with what is remembered
         edges = np.cumsum(lens) - lens
         check = self._hash(low[ragged(start, lens)], edges, lens, 1)
+        again = self._hash(low[ragged(own_start, own_lens)], np.cumsum(own_lens) - own_lens, own_lens, 1)
+        if not (np.array_equal(lens[inverse], own_lens) and np.array_equal(check[inverse], again)):
+            raise SharedHash
         where = np.searchsorted(self.known, distinct)
         old = np.zeros(len(distinct), bool)
         inside = where < len(self.known)

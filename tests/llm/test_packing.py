@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from loretable.llm import packing
@@ -74,6 +75,44 @@ def test_genetic_steps_keep_every_item():
     assert packing.fitness(packing.evolve(population, sizes, 100, rng, 20)[0], sizes, 100) >= best
 
 
+def best_fit_decreasing(sizes, capacity):
+    rooms = []
+    for s in sorted(sizes, reverse=True):
+        fits = [k for k, room in enumerate(rooms) if room >= s]
+        k = min(fits, key=lambda k: rooms[k]) if fits else len(rooms)
+        rooms[k:k + 1] = [(rooms[k] if fits else capacity) - s]
+    return len(rooms)
+
+
+def test_search_beats_its_seeds(spark, monkeypatch):
+    """Crossover and migration run; over many blocks the count is that of best fit over the whole table, or less."""
+    rng = random.Random(3)
+    sizes = [rng.randint(20, 60) for _ in range(900)]
+    items = spark.createDataFrame([((i,), s) for i, s in enumerate(sizes)], "key struct<id:int>, length long")
+    got = packing.pack(items, 100, block=150).toPandas()
+    assert sorted(got.length) == sorted(sizes) and got.sequence_id.nunique() <= best_fit_decreasing(sizes, 100)
+    # in one task: children come about, and elites that arrive take part
+    calls = []
+    whole = packing.crossover
+    monkeypatch.setattr(packing, "crossover", lambda *x: calls.append(1) or whole(*x))
+    frame = pd.DataFrame({"block": [0], "island": [1], "sizes": [np.array(sizes[:150])], "arrived": [[]]})
+    one = next(packing._island(100, 0)(iter([frame])))
+    assert len(calls) == packing.GENERATIONS
+    elite = packing._assignment(packing.seeded(sizes[:150], 100, np.random.default_rng(0), 0.0), 150).tobytes()
+    frame["arrived"] = [[elite, one["one"][0]]]
+    two = next(packing._island(100, 1)(iter([frame])))
+    assert two["bins"][0] <= min(one["bins"][0], len(packing._bins(np.frombuffer(elite, np.int32)))) and len(calls) == 2 * packing.GENERATIONS
+
+
+def test_shared_hash_goes_through_the_library():
+    from loretable.llm.word_tokens import WordTokens
+
+    model = WordTokens(vocabulary_path("word_bpe_49k.json"))
+    model.weights[0][:] = 2  # all words of equal letters in any order share a hash
+    ids, counts = model.encode(["abc cab bca", "bac 12"])
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [library("abc cab bca"), library("bac 12")]
+
+
 def test_blocks_and_islands(spark):
     rng = random.Random(9)
     items = [((i,), rng.randint(1, 60)) for i in range(500)]
