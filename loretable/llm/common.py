@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _own_dir: dict[str, str] = {}
+#: Rows of a key that one task may hold in a join, and tasks that larger ones are dealt to.
+HOT, SALTS = 1000, 32
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,14 +20,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir.
+    """The folder that driver and executors share: spark.checkpoint.dir, or the context's checkpoint folder.
 
-    Only where the session names none (tests on one machine) a temporary folder stands in.
+    Where the session names none a temporary folder stands in on one machine; on a cluster, where
+    executors would not see each other's files, that is an error.
     """
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    named = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not named and context._jsc.sc().getCheckpointDir().isDefined():
+        named = context._jsc.sc().getCheckpointDir().get()
     if named:
         return named.rstrip("/")
-    app = spark.sparkContext.applicationId
+    if not context.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+    app = context.applicationId
     if app not in _own_dir:
         _own_dir[app] = tempfile.mkdtemp(prefix="spark-loretable-")
     return _own_dir[app]
@@ -90,6 +98,22 @@ def member_test(keys: DataFrame, column: str, log2_bits: int = 26):
     return lambda c: maybe(F.pmod(F.xxhash64(c), F.lit(1 << log2_bits)))
 
 
+def spread_join(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
+    """rows with the columns of groups (one row per key; size: how many rows have it), left outer.
+
+    Keys of more than HOT rows meet in SALTS tasks instead of one: their group's row is repeated for
+    each, and rows are dealt by their place in the input. Which keys are large is asked of a filter of
+    fixed size, on both sides alike; where there is none it is a plain join. No key may be null.
+    """
+    hot = materialize(groups.where(F.col(size) > HOT).select(key), "hot")
+    if not hot.head(1):
+        return rows.join(groups, key, "left")
+    large = member_test(hot, key)
+    salted = groups.withColumn("_salt", F.explode(F.when(large(F.col(key)), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
+    dealt = rows.withColumn("_salt", F.when(large(F.col(key)), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")).otherwise(0))
+    return dealt.join(salted, [key, "_salt"], "left").drop("_salt")
+
+
 def without(docs: DataFrame, decided: DataFrame, key: Callable[[Column], Column]) -> DataFrame:
     """docs without the rows that decided marks as not kept; rows of equal doc_id and key stay once.
 
@@ -103,8 +127,8 @@ def without(docs: DataFrame, decided: DataFrame, key: Callable[[Column], Column]
     asked = materialize(pairs.where("not _kept or _n > 1").select("_id", "_key", "_kept"), "asked")
     maybe = member_test(asked, "_id")
     ids, text = F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit(""))
-    flagged = docs.withColumn("_maybe", maybe(ids))
-    sure = flagged.where("not _maybe").drop("_maybe")
-    open_ = flagged.where("_maybe").select(F.struct(*docs.columns).alias("_row"), ids.alias("_i"), key(text).alias("_k"), F.struct((-F.length(text)).alias("n"), text.alias("t")).alias("_order"))
+    sure = docs.where(~maybe(ids))
+    row = F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns])
+    open_ = docs.where(maybe(ids)).select(row.alias("_row"), ids.alias("_i"), key(text).alias("_k"), F.struct((-F.length(text)).alias("n"), text.alias("t")).alias("_order"))
     decided = open_.join(asked, F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_key")), "left").where("_kept is null or _kept")
     return sure.unionByName(decided.groupBy("_i", "_k").agg(F.min_by("_row", "_order").alias("_row")).select("_row.*"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loretable.llm.common import materialize
+from loretable.llm.common import materialize, spread_join
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
@@ -13,7 +13,7 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", max_round
 
     Each round replaces links by links to the smallest neighbour (large star: larger neighbours;
     small star: smaller ones). All steps are grouped minima with map-side combining and joins on
-    nodes, so a hub with very many links is never gathered in one task, and the number of links
+    nodes in which a node with very many links is dealt to several tasks, and the number of links
     does not grow. Rounds grow with the logarithm of the longest path. Each round is written to the
     shared folder. Null ends and self links are ignored; no links give an empty table.
     """
@@ -23,12 +23,13 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", max_round
     before = None
     for _ in range(max_rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count("*").alias("n")), "least")
+        large = spread_join(both, least, "u", "n").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # every link now leads from a larger to a smaller node
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = materialize(large, "large")
+        low = materialize(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "low")
         small = (
-            large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            spread_join(large, low, "u", "n").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v")
             .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
         )

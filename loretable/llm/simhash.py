@@ -17,10 +17,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loretable.llm.common import documents_of, materialize, member_test, share_of, without
+from loretable.llm.common import documents_of, materialize, member_test, share_of, spread_join, without
 from loretable.llm.components import connected_components
 
 #: Fingerprints read to the driver to choose parts and thresholds. They only steer speed, not results.
@@ -29,8 +29,13 @@ SAMPLE = 2000
 BLOCK = 4096
 #: Groups up to this size are compared all at once, larger ones node by node.
 SMALL = 16
-#: The pipeline's stage: bits within which texts become candidates, and the Jaccard similarity of near copies.
-STAGE_TAU, SIMILAR = 14, 0.8
+#: The pipeline's stage: bits within which texts become candidates, the Jaccard similarity of near copies,
+#: and how many of its nearest ones a text of a large group meets in the first round (in each
+#: further one so many times more).
+STAGE_TAU, SIMILAR, NEAREST = 14, 0.8, 16
+#: Bits in which the second fingerprints of candidates may differ: texts that met by chance differ in 32 on
+#: average (one in 2500 in no more than this), those with a similarity of 0.8 in 10 (one in 500 in more).
+SECOND_TAU = 18
 
 
 def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
@@ -47,9 +52,12 @@ def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
     return np.array([h64(joined[s:e], 42) for s, e in zip(starts[: -shingle + 1 or None].tolist(), ends[shingle - 1 :].tolist(), strict=True)], np.uint64)
 
 
-def fingerprint(text: bytes, shingle: int) -> int:
-    """64 bits: bit i is set if it is set in over half of the shingles' XXH64 (seed 42)."""
-    hashes = shingle_hashes(text, shingle)
+def text_key(text: Column) -> Column:
+    """What tells whole texts apart in tables that do not hold them."""
+    return F.sha2(text, 256)
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
     if not len(hashes):
         return 0
     ones = np.zeros(64, np.int64)
@@ -58,21 +66,63 @@ def fingerprint(text: bytes, shingle: int) -> int:
     return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def text_key(text: Column) -> Column:
-    """What tells whole texts apart in tables that do not hold them."""
-    return F.sha2(text, 256)
+def fingerprint(text: bytes, shingle: int) -> int:
+    """64 bits: bit i is set if it is set in over half of the shingles' XXH64 (seed 42)."""
+    return fingerprint_of(shingle_hashes(text, shingle))
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def sketch(distinct: np.ndarray) -> bytes:
+    """How many distinct hashes fall into each of a power of two of buckets, about four in each, a byte each.
+
+    Two sets share at most the sum of the lesser counts. Buckets are doubled until no count is beyond a byte.
+    """
+    k = max(4, len(distinct).bit_length() - 3)
+    while True:
+        counts = np.bincount((distinct & np.uint64((1 << k) - 1)).astype(np.int64), minlength=1 << k)
+        if counts.max() < 256:
+            return counts.astype(np.uint8).tobytes()
+        k += 1
+
+
+def shared_at_most(a: bytes, b: bytes) -> int:
+    """The most that two sets can have in common, from their sketches."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    n = min(len(x), len(y))
+    x, y = (z.reshape(-1, n).sum(axis=0, dtype=np.int64) for z in (x, y))
+    return int(np.minimum(x, y).sum())
 
 
 def fingerprints(docs: DataFrame, shingle: int = 5, keyed: bool = False) -> DataFrame:
-    """(doc_id, fp) with fp as a signed long; null and empty texts have fp 0. keyed: the text's key too."""
+    """(doc_id, fp) with fp as a signed long; null and empty texts have fp 0.
+
+    keyed: the text's key, a second fingerprint (of the same hashes, mixed), the number of its distinct
+    shingles and their sketch too.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.fromiter((fingerprint(t, shingle) for t in b.column(1).cast(pa.large_binary()).to_pylist()), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64)), *b.columns[2:]], ["doc_id", "fp", "key"][: b.num_columns])
+            fps, seconds, sizes, sketches = [], [], [], []
+            for text in b.column(1):
+                hashes = shingle_hashes(text.as_py().encode(), shingle)
+                fps.append(fingerprint_of(hashes))
+                if keyed:
+                    seconds.append(fingerprint_of(_mixed(hashes)))
+                    distinct = np.unique(hashes)
+                    sizes.append(len(distinct))
+                    sketches.append(sketch(distinct))
+            columns = [b.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))]
+            if keyed:
+                columns += [b.column(2), pa.array(np.array(seconds, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", "key", "second", "n", "sketch"][: len(columns)])
 
     texts = documents_of(docs)
-    return texts.withColumn("key", text_key(F.col("text"))).mapInArrow(work, "doc_id long, fp long, key string") if keyed else texts.mapInArrow(work, "doc_id long, fp long")
+    return texts.withColumn("key", text_key(F.col("text"))).mapInArrow(work, "doc_id long, fp long, key string, second long, n long, sketch binary") if keyed else texts.mapInArrow(work, "doc_id long, fp long")
 
 
 @dataclass(frozen=True)
@@ -92,7 +142,9 @@ def _values(fps: np.ndarray, bits: tuple[int, ...]) -> np.ndarray:
 def correlated_parts(sample: np.ndarray, m: int) -> list[tuple[int, ...]]:
     """64 bits in m parts of nearly equal width, each grown from a bit by its strongest correlations."""
     x = ((sample[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)).astype(float)
-    c = np.nan_to_num(np.abs(np.corrcoef(x.T)) if len(sample) > 1 else np.zeros((64, 64)))
+    x = x - x.mean(axis=0) if len(x) else np.zeros((1, 64))
+    size = np.sqrt((x * x).sum(axis=0))
+    c = np.abs(x.T @ x) / np.maximum(np.outer(size, size), 1e-12)  # 0 for bits that never change
     np.fill_diagonal(c, 0)
     free, parts = set(range(64)), []
     for i in range(m):
@@ -143,7 +195,7 @@ def allot(sample: np.ndarray, n: int, tau: int, emit_cost: float = 40.0) -> list
 
 
 def _emit(parts: list[Part]):
-    """(part, key, right, fp): each fingerprint under its own value, and as a right one near it.
+    """(part, key, right, fp and what else is given): each fingerprint under its own value, and as a right one near it.
 
     Of two values at most t bits apart only the smaller emits, towards the larger: each pair of
     values meets once.
@@ -151,23 +203,23 @@ def _emit(parts: list[Part]):
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            for lo in range(0, len(fps), 20_000):
-                own = fps[lo : lo + 20_000]
+            every = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in b.columns])
+            for lo in range(0, b.num_rows, 20_000):
+                own = every[:, lo : lo + 20_000]
                 for i, p in enumerate(parts):
-                    v = _values(own.view(np.uint64), p.bits)
+                    v = _values(own[0].view(np.uint64), p.bits)
                     yield _rows(i, v, np.zeros(len(v), np.int8), own)
                     for r in range(1, p.threshold + 1):
                         for flip in combinations(range(len(p.bits)), r):
                             w = v ^ np.uint64(sum(1 << f for f in flip))
                             up = w > v
-                            yield _rows(i, w[up], np.ones(up.sum(), np.int8), own[up])
+                            yield _rows(i, w[up], np.ones(up.sum(), np.int8), own[:, up])
 
     return work
 
 
-def _rows(part: int, key: np.ndarray, right: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), part, np.int8)), pa.array(key.view(np.int64)), pa.array(right), pa.array(fp)], ["part", "key", "right", "fp"])
+def _rows(part: int, key: np.ndarray, right: np.ndarray, own: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), part, np.int8)), pa.array(key.view(np.int64)), pa.array(right), *map(pa.array, own)], ["part", "key", "right", "fp", "root", "second", "node"][: 3 + len(own)])
 
 
 def group_links(fp: np.ndarray, right: np.ndarray, within: bool, tau: int) -> list[tuple[int, int]]:
@@ -206,30 +258,58 @@ def group_links(fp: np.ndarray, right: np.ndarray, within: bool, tau: int) -> li
     return out
 
 
-def group_pairs(fp: np.ndarray, right: np.ndarray, within: bool, tau: int) -> list[tuple[int, int]]:
-    """Every pair of one group: left with left (if within) and left with right."""
-    left, out = fp[right == 0], []
-    for rows in [fp[right != 0], *([left] if within else [])]:
-        for lo in range(0, len(rows), 256):
-            i, j = np.nonzero(np.bitwise_count(rows[lo : lo + 256, None] ^ left) <= tau)
-            out += zip(left[j].tolist(), rows[lo + i].tolist(), strict=True)
-    return out
+def group_pairs(fp: np.ndarray, extra: tuple[np.ndarray, ...], right: np.ndarray, within: bool, tau: int, most: int, fresh) -> tuple[np.ndarray, bool]:
+    """Pairs of nodes of one group, left with left (if within) and left with right, that have different
+    roots, agree in their second fingerprints and are fresh: for each row the nearest most ones. Whether
+    some row has more. extra: root, second fingerprint and node of each row."""
+    is_left, out, more = right == 0, [np.empty((0, 2), np.int64)], False
+    left, (own, other, nodes) = fp[is_left], (x[is_left] for x in extra)
+    for rows, (roots, seconds, ends) in [(fp[~is_left], [x[~is_left] for x in extra]), *([(left, (own, other, nodes))] if within else [])]:
+        step = max(1, 400_000 // max(1, len(left)))
+        for lo in range(0, len(rows), step):
+            bits = np.bitwise_count(rows[lo : lo + step, None] ^ left)
+            i, k = np.nonzero((bits <= tau) & (roots[lo : lo + step, None] != own) & (np.bitwise_count(seconds[lo : lo + step, None] ^ other) <= SECOND_TAU))
+            new = fresh(rows[lo + i] ^ left[k])
+            i, k = i[new], k[new]
+            order = np.lexsort((bits[i, k], i))
+            i, k = i[order], k[order]
+            place = np.arange(len(i)) - np.searchsorted(i, i)
+            more = more or bool((place >= most).any())
+            i, k = i[place < most], k[place < most]
+            out.append(np.stack((nodes[k], ends[lo + i]), axis=1))
+    return np.concatenate(out), more
+
+
+def _compare(tau: int, parts: list[Part], most: int | None = None):
+    """Over rows sorted by group with left ones first: links found in each group (a, b, more).
+
+    A group is held up to its BLOCK of left rows; right ones are streamed past it. most: rows have a root,
+    a second fingerprint and a node too, and what is given are pairs of nodes with different roots and
+    second fingerprints at SECOND_TAU or fewer bits, each in the first part in which it meets, of a row in
+    a large group the nearest most ones only; more says that this left some out.
+    """
+    masks = [(np.uint64(sum(1 << x for x in p.bits)), p.threshold) for p in parts]
 
+    def fresh_in(part: int):
+        """Whether fingerprints with these differing bits meet in no part before."""
 
-def _compare(tau: int, pairs_of=group_links):
-    """Over rows sorted by group with left ones first: links found in each group.
+        def fresh(x: np.ndarray) -> np.ndarray:
+            out = np.ones(len(x), bool)
+            for mask, threshold in masks[:part]:
+                out &= np.bitwise_count(x & mask) > threshold
+            return out
 
-    A group is held up to its BLOCK of left rows; right ones are streamed past it.
-    """
+        return fresh
 
-    def pack(pairs) -> pa.RecordBatch:
-        x = np.array(pairs, np.uint64).reshape(-1, 2).view(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1])], ["a", "b"])
+    def pack(pairs, more: bool = False) -> pa.RecordBatch:
+        nodes = isinstance(pairs, np.ndarray) and pairs.dtype == np.int64
+        x = pairs if nodes else np.array(pairs, np.uint64).reshape(-1, 2).view(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1]), pa.array(np.full(len(x), more))], ["a", "b", "more"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
-        def settle(part, key, bi, bj, right, fp):
+        def settle(part, key, bi, bj, right, fp, *extra):
             """All groups in these rows, each whole or a left block with some of its right ones."""
             new = np.concatenate(([True], (key[1:] != key[:-1]) | (part[1:] != part[:-1]) | (bi[1:] != bi[:-1]) | (bj[1:] != bj[:-1])))
             starts = np.flatnonzero(new)
@@ -243,18 +323,31 @@ def _compare(tau: int, pairs_of=group_links):
                 ok = (g[d:] == g[:-d]) & (r[:-d] == 0) & ((r[d:] != 0) | w[d:])
                 i = np.flatnonzero(ok)
                 i = i[np.bitwise_count(f[i] ^ f[i + d]) <= tau]
-                if len(i):
+                if extra:
+                    root, second, node = (x[small] for x in extra)
+                    i = i[(root[i] != root[i + d]) & (np.bitwise_count(second[i] ^ second[i + d]) <= SECOND_TAU)]
+                    ours = part[small][i]
+                    for at in np.unique(ours).tolist():
+                        j = i[ours == at]
+                        j = j[fresh_in(at)(f[j] ^ f[j + d])]
+                        if len(j):
+                            yield pack(np.stack((node[j], node[j + d]), axis=1))
+                elif len(i):
                     yield pack(np.stack((f[i], f[i + d]), axis=1))
             for at in np.flatnonzero(sizes > SMALL):
                 s = slice(starts[at], starts[at] + sizes[at])
                 if right[s][0] == 0:
-                    pairs = pairs_of(fp[s], right[s], bool(bi[s][0] == bj[s][0]), tau)
-                    if pairs:
-                        yield pack(pairs)
+                    own = bool(bi[s][0] == bj[s][0])
+                    if extra:
+                        pairs, more = group_pairs(fp[s], tuple(x[s] for x in extra), right[s], own, tau, most, fresh_in(int(part[s][0])))
+                    else:
+                        pairs, more = group_links(fp[s], right[s], own, tau), False
+                    if len(pairs):
+                        yield pack(pairs, more)
 
         for b in batches:
-            cols = [b.column(i).to_numpy(zero_copy_only=False) for i in range(6)]
-            cols[5] = cols[5].astype(np.int64).view(np.uint64)
+            cols = [b.column(i).to_numpy(zero_copy_only=False) for i in range(b.num_columns)]
+            cols[5:] = [c.astype(np.int64).view(np.uint64) if k != 3 else c.astype(np.int64) for k, c in enumerate(cols[5:])]
             if held:
                 cols = [np.concatenate(x) for x in zip(held, cols, strict=True)]
             part, key, bi, bj = cols[:4]
@@ -283,29 +376,38 @@ def near_links(fps: DataFrame, tau: int = 4, block: int = BLOCK) -> DataFrame:
 
     Enough of them that everything within tau bits is connected, and none beyond tau bits.
     """
-    return _met(fps, tau, block).mapInArrow(_compare(tau), "a long, b long")
+    met, parts = _met(fps.select("fp"), tau, block)
+    return met.mapInArrow(_compare(tau, parts), "a long, b long, more boolean").select("a", "b")
 
 
-def near_pairs(fps: DataFrame, tau: int, block: int = BLOCK) -> DataFrame:
-    """(a, b): every pair of distinct fingerprints that differ in at most tau bits, once, with a < b."""
-    found = _met(fps, tau, block, emit_cost=300.0).mapInArrow(_compare(tau, group_pairs), "a long, b long")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
+def near_pairs(rooted: DataFrame, tau: int, most: int, block: int = BLOCK) -> DataFrame:
+    """(a, b, more): pairs of nodes (fp, root, second, node) with different roots whose fingerprints differ in
+    at most tau bits, and in at most SECOND_TAU in the second one, once, with a < b. In large groups of a
+    part each gets its nearest most ones; more is true where that left some out. So a dense group gives a
+    number of pairs that is linear in its size.
+    """
+    met, parts = _met(rooted.select("fp", "root", "second", "node"), tau, block, emit_cost=300.0)
+    found = met.mapInArrow(_compare(tau, parts, most), "a long, b long, more boolean")
+    return found.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("more").alias("more"))
 
 
-def _met(fps: DataFrame, tau: int, block: int, emit_cost: float = 40.0) -> DataFrame:
-    """Rows for _compare, sorted by group: part, key, two block numbers, right, fp."""
+def _met(fps: DataFrame, tau: int, block: int, emit_cost: float = 40.0) -> tuple[DataFrame, list[Part]]:
+    """Rows for _compare, sorted by group: part, key, two block numbers, right, fp (and root, second
+    fingerprint and node, if given), and the parts."""
     n = fps.count()
-    sample = fps.where(share_of("fp", SAMPLE / max(n, 1), 3)).toPandas()["fp"]
+    sample = fps.select("fp").where(share_of("fp", SAMPLE / max(n, 1), 3)).toPandas()["fp"]
     parts = allot(np.random.default_rng(0).permutation(np.sort(sample.to_numpy(np.int64))).view(np.uint64), n, tau, emit_cost)
-    rows = fps.mapInArrow(_emit(parts), "part byte, key long, right byte, fp long")
+    given = fps.columns
+    shape = "part byte, key long, right byte, " + ", ".join(f"{c} long" for c in given)
+    rows = fps.mapInArrow(_emit(parts), shape)
 
     # Buckets beyond a block are dealt into blocks by a hash; every two of its blocks meet in a task of their own.
-    held = fps.mapInArrow(_emit([Part(p.bits, 0) for p in parts]), "part byte, key long, right byte, fp long")
+    held = fps.select("fp").mapInArrow(_emit([Part(p.bits, 0) for p in parts]), "part byte, key long, right byte, fp long")
     hot = materialize(held.groupBy("part", "key").agg(F.count("*").alias("size")).where(F.col("size") > block).select("part", "key", F.ceil(F.col("size") / block).cast("int").alias("blocks")), "hot")
     if hot.isEmpty():
-        dealt = rows.select("part", "key", F.lit(0).alias("bi"), F.lit(0).alias("bj"), "right", "fp")
+        dealt = rows.select("part", "key", F.lit(0).alias("bi"), F.lit(0).alias("bj"), "right", *given)
     else:
-        mine = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
+        mine = F.pmod(F.xxhash64(given[-1]), F.col("blocks")).cast("int")
         every = rows.join(hot, ["part", "key"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("mine", mine).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         right = F.col("right") == 1
         dealt = every.select(
@@ -313,10 +415,10 @@ def _met(fps: DataFrame, tau: int, block: int, emit_cost: float = 40.0) -> DataF
             F.when(right, F.col("j")).otherwise(F.least("mine", "j")).alias("bi"),
             F.when(right, F.col("j")).otherwise(F.greatest("mine", "j")).alias("bj"),
             F.when(right | (F.col("mine") > F.col("j")), F.lit(1)).otherwise(F.lit(0)).cast("byte").alias("right"),
-            "fp",
+            *given,
         )
     keys = ["part", "key", "bi", "bj"]
-    return dealt.repartition(*keys).sortWithinPartitions(*keys, "right")
+    return dealt.repartition(*keys).sortWithinPartitions(*keys, "right"), parts
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, tau: int = 4) -> DataFrame:
@@ -329,12 +431,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, tau: int = 4) -> DataFram
     gives an empty result.
     """
     fps = materialize(fingerprints(docs, shingle), "fingerprints")
-    distinct = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+    distinct = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies")), "distinct")
     roots = connected_components(near_links(distinct.select("fp"), tau))
     joined = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    named = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = joined.select("fp", "root").join(named, "root").select("fp", "component_id")
-    return fps.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    named = materialize(joined.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n")), "named")
+    classes = materialize(spread_join(joined.select("fp", "root", "copies"), named, "root", "n").select("fp", "component_id", "copies"), "classes")
+    return spread_join(fps, classes, "fp", "copies").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def near_dedup(docs: DataFrame, shingle: int = 5, tau: int = 4) -> DataFrame:
@@ -350,9 +452,9 @@ def near_dedup(docs: DataFrame, shingle: int = 5, tau: int = 4) -> DataFrame:
 def _one_of_each(docs: DataFrame, rooted: DataFrame) -> DataFrame:
     """The row of docs with the smallest (doc_id, key) of each root; rooted: doc_id, key, root."""
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
-    rows = rooted.select("doc_id", "key", order.alias("order"), "root")
-    best = rows.groupBy("root").agg(F.min("order").alias("best"))
-    return without(docs, rows.join(best, "root").select("doc_id", "key", F.col("order").eqNullSafe(F.col("best")).alias("kept")), text_key)
+    rows = materialize(rooted.select("doc_id", "key", order.alias("order"), "root"), "rooted")
+    best = materialize(rows.groupBy("root").agg(F.min("order").alias("best"), F.count("*").alias("n")), "best")
+    return without(docs, spread_join(rows, best, "root", "n").select("doc_id", "key", F.col("order").eqNullSafe(F.col("best")).alias("kept")), text_key)
 
 
 def _shingle_sets(docs: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
@@ -363,61 +465,77 @@ def _shingle_sets(docs: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
             for lo in range(0, b.num_rows, 128):  # sets are larger than their texts
                 part = b.slice(lo, 128)
                 sets = [np.unique(shingle_hashes(t, shingle)).tobytes() for t in part.column(1).cast(pa.large_binary()).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], ["key", "words"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], ["node", "words"])
 
     maybe = member_test(nodes, "key")
-    texts = documents_of(docs).select(text_key(F.col("text")).alias("key"), "text").where(maybe(F.col("key")))
-    sets = texts.mapInArrow(work, "key string, words binary").join(nodes, "key")
-    return materialize(sets.groupBy("node").agg(F.min("words").alias("words")), "sets")
+    # of texts that stand there several times one is taken, so that no set is made twice
+    texts = documents_of(docs).select(text_key(F.col("text")).alias("key"), "text").where(maybe(F.col("key"))).join(nodes, "key")
+    return materialize(texts.groupBy("node").agg(F.min("text").alias("text")).mapInArrow(work, "node long, words binary"), "sets")
 
 
-def _similar(similarity: float):
+def _possible(similarity: float):
     @F.pandas_udf("boolean")
-    def alike(a: pd.Series, b: pd.Series) -> pd.Series:
-        def test(x: bytes, y: bytes) -> bool:
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            return both >= similarity * (len(x) + len(y) - both)
+    def possible(a: pd.Series, b: pd.Series, n: pd.Series) -> pd.Series:
+        """n: sizes of both sets together."""
+        both = np.fromiter((shared_at_most(x, y) for x, y in zip(a, b, strict=True)), np.int64, len(a))
+        return pd.Series(both >= similarity * (n.to_numpy() - both))
 
-        return pd.Series([test(x, y) for x, y in zip(a, b, strict=True)], dtype=bool)
+    return possible
 
-    return alike
 
+def _similar(similarity: float):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            take = []
+            for x, y in zip(b.column(2), b.column(3), strict=True):
+                x, y = (np.frombuffer(z.as_buffer(), np.uint64) for z in (x, y))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                take.append(both >= similarity * (len(x) + len(y) - both))
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(take, pa.bool_())) for c in b.columns[:2]], ["a", "b"])
+
+    return work
 
-def similar_dedup(docs: DataFrame, shingle: int = 5, tau: int = STAGE_TAU, similarity: float = SIMILAR) -> DataFrame:
+
+def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """(a, b): the pairs (x, y) of nodes whose sets of shingles are similar. Sizes and sketches rule out
+    first what cannot be; the whole sets are made of the texts of those that are left only."""
+    side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
+    met = pairs.join(side("x"), "x").where("nx > 0").join(side("y"), "y").where("ny > 0")
+    met = met.where(F.least("nx", "ny") >= similarity * F.greatest("nx", "ny")).where(_possible(similarity)("sx", "sy", F.col("nx") + F.col("ny")))
+    open_ = materialize(met.select("x", "y"), "possible")
+    asked = open_.select(F.col("x").alias("node")).union(open_.select("y")).distinct()
+    sets = _shingle_sets(docs, materialize(nodes.join(asked, "node").select("key", "node"), "asked"), shingle)
+    both = open_.join(sets.toDF("x", "wx"), "x").join(sets.toDF("y", "wy"), "y").select("x", "y", "wx", "wy")
+    return materialize(both.mapInArrow(_similar(similarity), "a long, b long"), "linked")
+
+
+def similar_dedup(docs: DataFrame, shingle: int = 5, tau: int = STAGE_TAU, similarity: float = SIMILAR, most: int = NEAREST) -> DataFrame:
     """One document of each group of near copies stays (the smallest doc_id), with all its columns.
 
-    Candidates are all pairs of texts whose fingerprints differ in at most tau bits; linked are those
-    whose sets of word shingles have a Jaccard similarity of at least similarity, computed in full.
-    Candidates are tested in rounds, nearest first; those already joined by tested links are left out.
+    Candidates are texts whose fingerprints differ in at most tau bits (and second ones in SECOND_TAU);
+    linked are those whose sets of word shingles have a Jaccard similarity of at least similarity,
+    computed in full. Equal texts are one node. Nodes meet in rounds, each with its nearest ones that it
+    is not joined to yet, and with more of them in each round until none is left out, so a dense group is
+    joined by few pairs and yet no candidate pair goes untested that could join two groups. Texts
+    without words have no shingles: they are alike as equal texts only. Null and repeated doc_ids, empty
+    tables and columns of any name: as in near_dedup.
     """
     fps = materialize(fingerprints(docs, shingle, keyed=True), "fingerprints")
-    nodes = materialize(fps.groupBy("key").agg(F.min("fp").alias("fp")).withColumn("node", F.monotonically_increasing_id()), "nodes")
-    near = materialize(near_pairs(materialize(nodes.select("fp").distinct(), "distinct"), tau), "near")
-    ends = nodes.select("fp", "node")
-    left, right = ends.toDF("a", "x"), ends.toDF("b", "y")
-    pairs = near.join(left, "a").join(right, "b").select("x", "y", F.bit_count(F.col("a").bitwiseXOR(F.col("b"))).alias("bits"))
-    equal = ends.toDF("fp", "x").join(ends.toDF("fp", "y"), "fp").where("x < y").select("x", "y", F.lit(0).alias("bits"))
-    todo = materialize(pairs.unionByName(equal), "pairs")
-    asked = todo.select(F.col("x").alias("node")).union(todo.select("y")).distinct()
-    sets = _shingle_sets(docs, nodes.join(asked, "node").select("key", "node"), shingle)
-    size = sets.select("node", F.length("words").alias("size"))
-    sized = todo.join(size.toDF("x", "sx"), "x").join(size.toDF("y", "sy"), "y")
-    todo = materialize(sized.where(F.least("sx", "sy") >= similarity * F.greatest("sx", "sy")).select("x", "y", "bits"), "pairs")
-    alike, links, roots, most = _similar(similarity), None, None, 4
-    while not todo.isEmpty():
-        turn = F.row_number().over(Window.partitionBy("x").orderBy("bits", F.xxhash64("y")))
-        ranked = materialize(todo.withColumn("turn", turn), "ranked")
-        now = ranked.where(F.col("turn") <= most).join(sets.toDF("x", "wx"), "x").join(sets.toDF("y", "wy"), "y")
-        found = materialize(now.where(alike("wx", "wy")).select(F.col("x").alias("a"), F.col("y").alias("b")), "linked")
+    nodes = fps.groupBy("key").agg(F.min(F.struct("fp", "second", "n", "sketch")).alias("r")).select("key", "r.*").withColumn("node", F.monotonically_increasing_id())
+    nodes = materialize(nodes, "nodes")
+    tested = links = roots = None
+    while True:
+        rooted = nodes.select("fp", "second", "node") if roots is None else nodes.select("fp", "second", "node").join(roots, "node", "left")
+        rooted = rooted.withColumn("root", F.col("node") if roots is None else F.coalesce("root", "node"))
+        near = materialize(near_pairs(materialize(rooted, "rooted"), tau, most), "near")
+        now = near.select(F.col("a").alias("x"), F.col("b").alias("y"))
+        now = now if tested is None else materialize(now.join(tested, ["x", "y"], "left_anti"), "pairs")
+        tested = now if tested is None else tested.unionByName(now)
+        found = _verified(docs, nodes, now, shingle, similarity)
         links = found if links is None else links.unionByName(found)
         roots = materialize(connected_components(links), "roots")
-        rest = ranked.where(F.col("turn") > most).join(roots.toDF("x", "rx"), "x", "left").join(roots.toDF("y", "ry"), "y", "left")
-        todo = materialize(rest.where("coalesce(rx, x) <> coalesce(ry, y)").select("x", "y", "bits"), "pairs")
-        most *= 8
-    rooted = fps.join(nodes.select("key", "node"), "key")
-    if roots is not None:
-        rooted = rooted.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    else:
-        rooted = rooted.withColumn("root", F.col("node"))
+        if not near.where("more").head(1):
+            break
+        most *= NEAREST
+    rooted = fps.select("doc_id", "key").join(nodes.select("key", "node"), "key").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     return _one_of_each(docs, rooted)

@@ -85,3 +85,17 @@ def test_simhash_stage_finds_planted_near_copies(spark):
     assert set(range(60)) <= left and set(range(2000, 2060)) <= left
     assert sum(c in left for c in copies) <= 3
     assert sum(r.doc_id is None for r in got) == 2 and sum(r.doc_id == 5 for r in got) == 2
+
+
+def test_columns_of_any_name_and_ids_of_any_kind(spark):
+    """Exact and near stages keep columns whose names are used inside, and lose no text for its id."""
+    names = ["_id", "_maybe", "_drop", "_row", "_key", "_salt", "h", "key", "root", "node", "a.b", "kept"]
+    texts = [(1, "same  text"), (5, "same text"), (5, "unique words that occur once"), (2, "A b"), (2, "B c"), (None, "C d"), (None, "D e"), (None, "C d"), (7, None), (8, "")]
+    docs = spark.createDataFrame([(i, t, *range(len(names))) for i, t in texts], "doc_id long, text string, " + ", ".join(f"`{n}` int" for n in names))
+    exact = corpus_pipeline.STAGES[2][1](spark, docs, "")
+    left = [{"same  text", "unique words that occur once", "A b", "B c", "C d", "D e"}, {(r.doc_id, r.text) for r in exact.collect()}]
+    assert {t for _, t in left[1] if t} == left[0] and len(left[1]) == 7 and exact.count() == 7
+    near = corpus_pipeline.STAGES[3][1](spark, docs, "")
+    assert exact.columns == near.columns == docs.columns and {r.text for r in near.collect() if r.text} >= {"unique words that occur once", "A b", "B c", "C d", "D e"}
+    for stage in corpus_pipeline.STAGES[2:4]:
+        assert stage[1](spark, docs.limit(0), "").count() == 0
