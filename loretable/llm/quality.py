@@ -199,7 +199,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows:
 
 
 def score(docs: DataFrame, model: QualityModel | None) -> DataFrame:
-    """doc_id, score in [0, 1]: the probability of label 1 for each whole text (null: empty)."""
+    """doc_id, score in [0, 1]: the probability of label 1 for each whole text (null: empty).
+
+    Long texts are convolved piece by piece in bounded memory; of equal activations in a cell either gives
+    the same maximum. Repeated rows and null ids give a row each; an empty table gives an empty result.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,7 +216,8 @@ def score(docs: DataFrame, model: QualityModel | None) -> DataFrame:
 
 
 def good(docs: DataFrame, model: QualityModel | None, threshold: float = 0.3) -> DataFrame:
-    """The rows of docs, all columns, that score at least the threshold; nothing is shuffled."""
+    """The rows of docs, all columns, that score at least the threshold; nothing is shuffled. Null texts are
+    scored as empty ones, repeated rows stay or go alike, an empty table stays empty."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("boolean")

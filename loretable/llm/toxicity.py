@@ -59,7 +59,7 @@ class ToxicityModel:
 class Scores(dict):
     """Word as it stands in the lower-cased text -> score; unknown words are derived once."""
 
-    LIMIT = 300_000
+    LIMIT = 150_000
 
     def __init__(self, model: ToxicityModel):
         super().__init__()
@@ -168,23 +168,24 @@ def _counted(sample: DataFrame) -> DataFrame:
 
 
 def _apart(sample: DataFrame) -> DataFrame:
-    """sample without all but one of near copies: of texts that agree in any of a few min-hashes of their
-    word triples, the smallest doc_id stays. A group of copies says no more than one text."""
+    """sample without all but one of near copies of one label: of texts with that label that agree in any of
+    a few min-hashes of their word triples, the smallest doc_id stays. A group of copies says no more than
+    one text; near copies of different labels all stay, as they say what makes the difference."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for text in b.column(1).to_pylist():
+            for text in b.column(2).to_pylist():
                 words = text.lower().encode().split()
                 triples = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
                 out.append([min(xxhash.xxh3_64_intdigest(t, seed) for t in triples) for seed in range(SKETCH)])
             columns = np.array(out, np.uint64).reshape(-1, SKETCH).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c) for c in columns.T]], ["doc_id", *[f"m{k}" for k in range(SKETCH)]])
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], *[pa.array(c) for c in columns.T]], ["doc_id", "y", *[f"m{k}" for k in range(SKETCH)]])
 
     names = [f"m{k}" for k in range(SKETCH)]
-    rows = sample.select("doc_id", "text").mapInArrow(work, "doc_id long, " + ", ".join(f"{m} long" for m in names))
+    rows = sample.select("doc_id", "y", "text").mapInArrow(work, "doc_id long, y int, " + ", ".join(f"{m} long" for m in names))
     for m in names:
-        rows = rows.groupBy(m).agg(F.min(F.struct("doc_id", *[n for n in names if n != m])).alias("r")).select(m, "r.*")
+        rows = rows.groupBy("y", m).agg(F.min(F.struct("doc_id", *[n for n in names if n != m])).alias("r")).select("y", m, "r.*")
     ids = materialize(rows.select("doc_id"), "apart")
     # as many ids as the sample has rows at most
     return sample.join(F.broadcast(ids), "doc_id", "left_semi")
@@ -193,7 +194,8 @@ def _apart(sample: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> ToxicityModel:
     """A model from the labelled rows of docs, at most about sample_rows of them.
 
-    Without rows of both labels the model scores every text alike, below one half.
+    Near copies of one label count once. Without rows of both labels (so with empty tables too) the model
+    scores every text alike, below one half.
     """
     sample = _apart(materialize(labelled_sample(docs, labels, label, sample_rows), "labelled"))
     part = share_of("doc_id", CALIBRATION, 11)
@@ -287,7 +289,8 @@ PASSAGES = "array<struct<start:int,end:int,score:double,e_value:double>>"
 def score(docs: DataFrame, model: ToxicityModel, passages: bool = False) -> DataFrame:
     """doc_id, score in [0, 1], and if asked for the significant passages as token ranges.
 
-    Reads whole texts; null and empty ones have no segment and the lowest score.
+    Reads whole texts, of any length in one scan each; null and empty ones have no segment and the lowest
+    score. Repeated rows and null ids give a row each; an empty table gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -311,7 +314,8 @@ def score(docs: DataFrame, model: ToxicityModel, passages: bool = False) -> Data
 
 
 def not_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = 0.7) -> DataFrame:
-    """The rows of docs, all columns, whose score is below the threshold; nothing is shuffled."""
+    """The rows of docs, all columns, whose score is below the threshold; nothing is shuffled. Null and empty
+    texts stay, repeated rows stay or go alike, an empty table stays empty."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("boolean")
