@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loretable.llm.common import documents_of, materialize, member_test, without
+from loretable.llm.common import documents_of, materialize, member_test, spread_join, without
 
 #: Deleted before texts are compared: space, tab, line feed, vertical tab, form feed, carriage return.
 BLANKS = "[\\x20\\x09-\\x0D]+"
@@ -15,49 +15,46 @@ def normalized(text: Column) -> Column:
     return F.regexp_replace(text, BLANKS, "")
 
 
-def exact_groups(docs: DataFrame, content_hash=F.md5) -> DataFrame:
+def exact_groups(docs: DataFrame, content_hash=lambda text: F.unhex(F.md5(text))) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical without blanks (null counts as empty). Of equal texts the row
     with the most code points in its original text stays, then the smallest doc_id. Rows are grouped
-    by the 128-bit hash of the normalised text; only hash, digest, length and id are shuffled. Then
-    the members of groups with several rows (and only they) are joined to the text of their group's
-    representative and compared byte by byte; rows that differ from it (a hash collision) are grouped
-    again by the text itself. A row repeated with the same doc_id counts as often as it stands there,
-    and every repetition is returned; null doc_ids sort last. An empty table gives an empty result.
+    by the 128-bit hash of the normalised text, and only hash, length and id are shuffled, combined
+    before. Texts of groups with several rows (and only they) are compared byte by byte: the least and
+    the greatest text of each hash are taken, combined before the shuffle too, so a group of very many
+    copies sends one text a task. Where they differ (a hash collision) rows are grouped again by the
+    text itself. Rows of large groups meet their group's row in several tasks. A row repeated with the
+    same doc_id counts as often as it stands there, and every repetition is returned; null doc_ids sort
+    last. An empty table gives an empty result.
 
     content_hash: column function for the 128-bit hash of the normalised text.
     """
-    texts = documents_of(docs).select("doc_id", F.length("text").alias("n"), normalized(F.col("text")).alias("norm"))
-    rows = materialize(texts.select("doc_id", "n", content_hash("norm").alias("h"), F.sha2("norm", 256).alias("sha")), "hashes")
+    texts = documents_of(docs)
+    norm = normalized(F.col("text"))
+    made = texts.select("doc_id", F.length("text").alias("n"), norm.alias("norm"))
+    rows = materialize(made.select("doc_id", "n", content_hash("norm").alias("h"), F.sha2("norm", 256).alias("sha")), "hashes")
 
     # (most code points, smallest id) as one orderable struct: the smallest of it stays
     order = F.struct((-F.col("n")).alias("n"), F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"))
-    best = rows.groupBy("h").agg(F.min(order).alias("best"), F.count("*").alias("size"))
-    several = materialize(best.where("size > 1").select("h", "best"), "several")
-
-    # Only texts of groups with several rows move (and what the filter takes for one).
+    several = rows.groupBy("h").agg(F.min(order).alias("best"), F.count("*").alias("size")).where("size > 1")
+    several = materialize(several.select("h", F.col("best.id").alias("keep"), "size"), "several")
     maybe = member_test(several, "h")
-    members = texts.withColumn("h", content_hash("norm")).where(maybe(F.col("h"))).join(several, "h")
-    ids = F.struct((-F.col("n")).alias("n"), F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"))
-    reps = members.where(ids.eqNullSafe(F.col("best"))).groupBy("h").agg(F.min("norm").alias("rep"))
-    other = materialize(
-        members.select("h", "doc_id", "n", "norm").join(reps, "h").where("norm <> rep").groupBy("h", "norm")
-        .agg(F.min(order).alias("own"), F.count("*").alias("own_size")).select("h", F.sha2("norm", 256).alias("sha"), "own", "own_size"), "collided"
-    )
-    lost = other.groupBy("h").agg(F.sum("own_size").alias("lost"))
-    groups = best.join(lost, "h", "left").select("h", F.col("best.id").alias("keep"), (F.col("size") - F.coalesce("lost", F.lit(0))).alias("size"))
-    return (
-        rows.join(groups, "h").join(other.select("h", "sha", F.col("own.id").alias("own_keep"), "own_size", F.lit(True).alias("apart")), ["h", "sha"], "left")
-        .select(
-            "doc_id",
-            F.when(F.col("apart"), F.col("own_keep")).otherwise(F.col("keep")).alias("keep_id"),
-            F.coalesce("own_size", "size").cast("long").alias("group_size"),
-            F.col("sha").alias("text_sha256"),
-        )
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
-        .select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
-    )
+
+    # Texts are read again only where the id is one of a row in such a group (or taken for one).
+    asked = member_test(rows.where(maybe(F.col("h"))), "doc_id")
+    members = texts.where(asked(F.col("doc_id"))).select(norm.alias("norm"), F.length("text").alias("n"), "doc_id").withColumn("h", content_hash("norm"))
+    mixed = materialize(members.where(maybe(F.col("h"))).groupBy("h").agg(F.min("norm").alias("a"), F.max("norm").alias("z")).where("a <> z").select("h"), "mixed")
+
+    single = rows.where(~maybe(F.col("h"))).select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "sha")
+    grouped = spread_join(rows.where(maybe(F.col("h"))), several, "h", "size")
+    if mixed.head(1):
+        apart = members.join(mixed, "h", "left_semi").groupBy("h", "norm").agg(F.min(order).alias("own"), F.count("*").alias("own_size"))
+        apart = materialize(apart.select("h", F.sha2("norm", 256).alias("sha"), F.col("own.id").alias("own_keep"), "own_size", F.lit(True).alias("apart")), "collided")
+        grouped = grouped.join(apart, ["h", "sha"], "left").withColumn("keep", F.when(F.col("apart"), F.col("own_keep")).otherwise(F.col("keep"))).withColumn("size", F.coalesce("own_size", "size"))
+    found = grouped.select("doc_id", F.when(F.col("size").isNull(), F.col("doc_id")).otherwise(F.col("keep")).alias("keep_id"), F.coalesce("size", F.lit(1)).cast("long").alias("group_size"), "sha")
+    out = single.unionByName(found).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    return out.select("doc_id", "keep_id", "group_size", "kept", F.col("sha").alias("text_sha256"))
 
 
 def exact_dedup(docs: DataFrame) -> DataFrame:
