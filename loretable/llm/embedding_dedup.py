@@ -19,11 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loretable.llm.common import materialize, share_of
+from loretable.llm.common import materialize, share_of, spread_join
 from loretable.llm.components import connected_components
 
 #: Vectors (chosen by a hash) that the codebooks are fitted on, and codebook sizes at most.
-SAMPLE, CODES = 16_384, 1024
+SAMPLE, CODES = 32_768, 4096
 #: Vectors wanted in a cell on average when the codebooks' size is chosen.
 PER_CELL = 16
 #: Query vectors (chosen by a hash) in the first block for measuring recall (each next one is twice as
@@ -42,8 +42,9 @@ def unit(vectors: np.ndarray) -> np.ndarray:
 def kmeans(x: np.ndarray, k: int, rounds: int = 12, seed: int = 0) -> np.ndarray:
     rng = np.random.default_rng(seed)
     centres = x[rng.choice(len(x), k, replace=False)]
+    step = max(1, 8_000_000 // k)
     for _ in range(rounds):
-        near = distances(x, centres).argmin(axis=1)
+        near = np.concatenate([distances(x[lo : lo + step], centres).argmin(axis=1) for lo in range(0, len(x), step)])
         counts = np.bincount(near, minlength=k)
         sums = np.zeros_like(centres)
         np.add.at(sums, near, x)
@@ -73,6 +74,10 @@ class Grid:
         The n-th cell in multi-sequence order lies within the first n codes of each half, and at
         place (i, j) of the two sorted halves only if (i + 1)(j + 1) <= n.
         """
+        # rows at once, so that places x rows stay bounded
+        step = max(1, 2_000_000 // int(cells * (1 + np.log(cells))))
+        if len(x) > step:
+            return np.concatenate([self.visits(x[lo : lo + step], cells) for lo in range(0, len(x), step)])
         a, b = self.parts(x)
         cells = min(cells, a.shape[1] * b.shape[1])
         na, nb = min(cells, a.shape[1]), min(cells, b.shape[1])
@@ -131,7 +136,7 @@ def least_cells(grid: Grid, x: np.ndarray, threshold: float, recall: float = LEA
 
 def _partner_ranks(distinct: DataFrame, grid: Grid, q: pd.DataFrame, threshold: float) -> pd.DataFrame:
     """(query, rank, n): how many true partners in the whole table each query has at each rank."""
-    uid, label = q["uid"].to_numpy(np.int64), q["label"].to_numpy(np.int64)
+    uid, label = q["uid"].to_numpy(np.int64), q["label"].to_numpy()
     x = unit(np.stack([np.asarray(v, np.float64) for v in q["embedding"]]))
     shared = distinct.sparkSession.sparkContext.broadcast((uid, label, x, grid))
 
@@ -189,10 +194,16 @@ def near_embeddings(vectors: DataFrame, threshold: float = 0.93, recall: float =
     Vectors with equal, non-null labels are linked at cosine >= threshold. Null and zero vectors, and
     those with null or non-finite components, link with nothing, as do vectors without a label.
     Vectors of other lengths than most never meet the threshold's test with them: each length is
-    indexed on its own. Equal vectors of one label are one row of the index with a count, so copies
-    cost nothing and are linked to each other always. Null vec_ids keep a row of their own.
+    indexed on its own. Labels of any type are compared as they are, and vectors in double precision.
+    Of cells at one distance the one with the smaller number is visited first. Equal vectors of one label are one row of the index with a count, so copies
+    cost nothing and are linked to each other always. Null vec_ids keep a row of their own, repeated
+    ones each of theirs. An empty table gives an empty result.
     """
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), F.col("embedding").cast("array<float>").alias("embedding"))
+    kinds = {f.name: f.dataType for f in vectors.schema.fields}
+    whole = kinds["label"].typeName() in ("byte", "short", "integer", "long", "boolean")
+    label = F.col("label").cast("int").cast("long") if kinds["label"].typeName() == "boolean" else F.col("label").cast("long" if whole else "string")
+    number = "float" if kinds["embedding"].elementType.typeName() == "float" else "double"
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), label.alias("label"), F.col("embedding").cast(f"array<{number}>").alias("embedding"))
     usable = rows.where(_usable())
     same = usable.groupBy("label", "embedding").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"))
     distinct = materialize(same.withColumn("uid", F.monotonically_increasing_id()).withColumn("width", F.size("embedding")), "vectors")
@@ -205,9 +216,10 @@ def near_embeddings(vectors: DataFrame, threshold: float = 0.93, recall: float =
     counts = links.where("kind = 0").groupBy(F.col("a").alias("uid")).agg(F.sum("b").alias("others"))
     roots = connected_components(links.where("kind = 1").select("a", "b")).select(F.col("node").alias("uid"), "root")
     ids = distinct.select("uid", "label", "embedding", "least", "copies").join(counts, "uid", "left").join(roots, "uid", "left").withColumn("root", F.coalesce("root", "uid"))
-    named = ids.groupBy("root").agg(F.min("least").alias("component_id"))
-    full = ids.join(named, "root").select("label", "embedding", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"), "component_id")
-    linked = usable.join(full, ["label", "embedding"]).select("vec_id", "n_links", "component_id")
+    named = materialize(ids.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n")), "named")
+    full = spread_join(ids, named, "root", "n").select(F.struct("label", "embedding").alias("key"), (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"), "component_id", "copies")
+    keyed = usable.select("vec_id", F.struct("label", "embedding").alias("key"))
+    linked = spread_join(keyed, materialize(full, "classes"), "key", "copies").select("vec_id", "n_links", "component_id")
     alone = rows.where(~_usable()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
@@ -228,13 +240,17 @@ def _search(distinct: DataFrame, threshold: float, recall: float, block: int) ->
                 offsets = np.arange(part.num_rows + 1, dtype=np.int32) * visits.shape[1]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(offsets, visits.ravel())], ["uid", "label", "embedding", "copies", "visits"])
 
-    placed = materialize(distinct.mapInArrow(place, "uid long, label long, embedding array<float>, copies long, visits array<int>"), "placed")
+    types = dict(distinct.dtypes)
+    placed = materialize(distinct.mapInArrow(place, f"uid long, label {types['label']}, embedding {types['embedding']}, copies long, visits array<int>"), "placed")
     # a vector stands in the first cell it visits; cells are dealt into blocks by their size
-    home = F.col("visits")[0]
-    sizes = placed.groupBy("label", home.alias("cell")).count().select("label", "cell", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
-    standing = placed.withColumn("cell", home).join(sizes, ["label", "cell"]).withColumn("block", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int")).withColumn("role", F.lit(0).cast("byte"))
-    visiting = placed.withColumn("cell", F.explode("visits")).join(sizes, ["label", "cell"]).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("role", F.lit(1).cast("byte"))
-    columns = ["label", "cell", "block", "role", "uid", "copies", "embedding", "visits"]
+    home = F.col("visits")[0].alias("home")
+    sizes = placed.groupBy("label", F.col("visits")[0].alias("cell")).count().select("label", "cell", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
+    rows = placed.select("uid", "label", "embedding", "copies", "visits", home)
+    standing = rows.withColumn("cell", F.col("home")).join(sizes, ["label", "cell"]).withColumn("block", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int")).withColumn("role", F.lit(0).cast("byte"))
+    # those who visit bring the cell they stand in, not their whole way
+    visiting = rows.withColumn("cell", F.explode("visits")).withColumn("visits", F.lit(None).cast("array<int>")).join(sizes, ["label", "cell"])
+    visiting = visiting.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("role", F.lit(1).cast("byte"))
+    columns = ["label", "cell", "block", "role", "uid", "copies", "embedding", "visits", "home"]
     keys = columns[:3]
     met = standing.select(columns).unionByName(visiting.select(columns)).repartition(*keys).sortWithinPartitions(*keys, "role")
     found = met.mapInArrow(_verify(threshold), "kind byte, a long, b long")
@@ -263,7 +279,7 @@ def _verify(threshold: float):
         def links(s, visitors):
             uid, copies = visitors.column("uid").to_numpy(), visitors.column("copies").to_numpy()
             x = unit(matrix(visitors.column("embedding")))
-            home = visitors.column("visits").flatten().to_numpy(zero_copy_only=False).reshape(len(uid), -1)[:, 0]
+            home = visitors.column("home").to_numpy()
             near = (x @ s["x"].T >= threshold) & (uid[:, None] != s["uid"])
             rows = np.flatnonzero(near.any(axis=1))
             if not len(rows):
@@ -295,7 +311,7 @@ def _verify(threshold: float):
             new = np.concatenate(([True], np.any([k[1:] != k[:-1] for k in keys], axis=0))) if b.num_rows else np.zeros(0, bool)
             starts = np.flatnonzero(new).tolist()
             for lo, hi in zip(starts, [*starts[1:], b.num_rows], strict=True):
-                here = tuple(int(k[lo]) for k in keys[:3])
+                here = tuple(k[lo] for k in keys[:3])
                 if here != at:
                     if state is not None:
                         yield batch(settled(state))

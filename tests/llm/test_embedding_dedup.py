@@ -61,6 +61,28 @@ def test_against_all_pairs(spark, block):
     assert got[9011].component_id == 9010 and got[9010].n_links == 1
 
 
+def test_rare_pairs_are_found(spark):
+    """Few pairs at just above the threshold in many unrelated vectors: nearly all links are found."""
+    rng = np.random.default_rng(7)
+    x = e.unit(rng.normal(size=(20_000, 32)))
+    away = rng.normal(size=(40, 32))
+    away -= (away * x[:40]).sum(axis=1, keepdims=True) * x[:40]
+    near = 0.94 * x[:40] + math.sqrt(1 - 0.94**2) * e.unit(away)
+    rows = [(i, v.tolist(), "one") for i, v in enumerate(np.concatenate((x, near)))]
+    got = e.near_embeddings(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string"), 0.93).where("n_links > 0").collect()
+    assert len([r for r in got if r.vec_id in range(40) or r.vec_id >= 20_000]) >= 0.98 * 80
+
+
+def test_double_precision_and_types(spark):
+    """Vectors of doubles are not rounded, labels of text and truth values are compared as they are."""
+    a, b = [1.0, 0.0], [0.93, math.sqrt(1 - 0.93**2)]
+    near = [0.93 * (1 - 1e-9), math.sqrt(1 - (0.93 * (1 - 1e-9)) ** 2)]
+    for kind, label, other in (("string", "x", "y"), ("boolean", True, False), ("double", 1.5, 2.5)):
+        rows = [(1, a, label), (2, [0.93 * (1 + 1e-9), math.sqrt(1 - (0.93 * (1 + 1e-9)) ** 2)], label), (3, near, label), (4, a, other), (5, b, None)]
+        got = {r.vec_id: (r.n_links, r.component_id) for r in e.near_embeddings(spark.createDataFrame(rows, f"vec_id long, embedding array<double>, label {kind}"), 0.93).collect()}
+        assert got[4] == (0, 4) and got[5] == (0, 5) and got[1] == (1, 1), (kind, got)
+
+
 def test_empty_and_unusable(spark):
     assert e.near_embeddings(table(spark, []), 0.93).count() == 0
     assert e.near_embeddings(table(spark, ODD[:8]), 0.93).count() == 8
