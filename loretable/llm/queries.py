@@ -36,16 +36,19 @@ def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document enters with a quick estimate, is revised to its exact count, and gets a second
-    version; the last batch is sent twice, as after a lost answer."""
+    version; that batch is sent twice, as after a lost answer. Then the estimates of a third version go
+    for all documents that have a word, so what is left of it are the documents without any."""
     from loretable.llm import token_counts
     from loretable.llm.common import shared_dir
 
     docs = table(spark, sf_dir, "documents")
     ledger = token_counts.TokenLedger(spark, f"{shared_dir(spark)}/ledger-{uuid4().hex}")
-    ledger.apply("estimates", token_counts.estimated_counts(docs, "word_bpe_49k"))
+    estimates = token_counts.estimated_counts(docs, "word_bpe_49k")
+    ledger.apply("estimates", estimates.unionByName(estimates.withColumn("version", F.lit("words"))))
     exact = token_counts.count_tokens(docs, op="revise")
     ledger.apply("exact", exact)
     ledger.apply("exact", exact)
+    ledger.apply("counted", token_counts.deleted(docs.where(F.coalesce(F.trim("text"), F.lit("")) != ""), ["words"]))
     return ledger.totals()
 
 

@@ -1,26 +1,32 @@
 """Token counts kept as additive totals by source, language and tokenizer version.
 
 A ledger is a folder of batches. A batch says for some documents and versions what their counts are
-now (insert, revise) or that they are gone (delete). Applying it writes two tables under the batch's
-name: the documents' new states, and its signed effect on the totals. A batch counts once it is
-completely written (Spark's success file), and a name that was committed is never applied again, so
+now (insert, revise) or that they are gone (delete). Applying it writes two tables in a folder of its
+own: the documents' new states, and its signed effect on the totals. It counts once a file with the
+next number has been created that names it; such a file is created once only, so of two writers one
+commits and the other works out its effect anew. A name that was committed is never applied again, so
 batches may be sent twice or retried after a loss. Totals are the sum of all committed effects.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loretable.llm.common import member_test
+
 CHANGES = "op string, doc_id long, source string, lang string, version string, n_tokens long"
-STATES = "doc_id long, version string, source string, lang string, n_tokens long, alive boolean, seq long"
+STATES = "doc_id long, version string, source string, lang string, n_tokens long, alive boolean"
 EFFECTS = "source string, lang string, version string, documents long, tokens long"
 GROUP = ["source", "lang", "version"]
+#: Times that a batch is worked out anew because another writer committed meanwhile.
+ATTEMPTS = 10
 
 
 class TokenLedger:
@@ -32,29 +38,59 @@ class TokenLedger:
         root = jvm.org.apache.hadoop.fs.Path(self.path)
         return jvm, root, root.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def batches(self) -> list[str]:
-        """Names of committed batches, in the order of their commits."""
+    def commits(self) -> list[tuple[int, str, str]]:
+        """(number, name, folder) of committed batches, in the order of their commits."""
         jvm, root, fs = self._fs()
-        folder = jvm.org.apache.hadoop.fs.Path(root, "effects")
+        folder = jvm.org.apache.hadoop.fs.Path(root, "commits")
         if not fs.exists(folder):
             return []
-        names = [s.getPath().getName() for s in fs.listStatus(folder)]
-        return sorted(n for n in names if fs.exists(jvm.org.apache.hadoop.fs.Path(folder, f"{n}/_SUCCESS")))
+        out = []
+        for status in fs.listStatus(folder):
+            file = fs.open(status.getPath())
+            try:
+                text = jvm.org.apache.commons.io.IOUtils.toString(file, "UTF-8")
+            finally:
+                file.close()
+            own, name = text.split("\n", 1) if "\n" in text else ("", "")
+            if own:
+                out.append((int(status.getPath().getName()), name, own))
+        return sorted(out)
 
-    def _read(self, kind: str, schema: str, names: list[str]) -> DataFrame:
-        if not names:
+    def batches(self) -> list[str]:
+        """Names of committed batches, in the order of their commits."""
+        return [name for _, name, _ in self.commits()]
+
+    def _commit(self, number: int, name: str, own: str) -> bool:
+        """Creates the file of that number; False if another writer has."""
+        jvm, root, fs = self._fs()
+        path = jvm.org.apache.hadoop.fs.Path(root, f"commits/{number:08d}")
+        try:
+            file = fs.create(path, False)
+        except Exception as e:  # noqa: BLE001
+            if fs.exists(path):
+                return False
+            raise e
+        file.write(bytearray(f"{own}\n{name}".encode()))
+        file.close()
+        return True
+
+    def _read(self, kind: str, schema: str, folders: list[str]) -> DataFrame:
+        if not folders:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{kind}/{n}" for n in names])
+        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{kind}/{n}" for n in folders])
+
+    def _states(self, commits: list[tuple[int, str, str]]) -> DataFrame:
+        """All states written so far, with their batch's number."""
+        rows = [self._read("states", STATES, [own]).withColumn("seq", F.lit(n).cast("long")) for n, _, own in commits]
+        return reduce(DataFrame.unionByName, rows) if rows else self._read("states", STATES, []).withColumn("seq", F.lit(0).cast("long"))
 
     def current(self) -> DataFrame:
         """The state of each document and version that is not deleted."""
-        rows = self._read("states", STATES, self.batches())
-        last = rows.groupBy("doc_id", "version").agg(F.max_by(F.struct("source", "lang", "n_tokens", "alive"), "seq").alias("s"))
-        return last.where("s.alive").select("doc_id", "version", "s.source", "s.lang", "s.n_tokens")
+        return _last(self._states(self.commits()))
 
     def totals(self) -> DataFrame:
         """source, lang, version, documents, tokens: sums of all effects; empty groups are left out."""
-        sums = self._read("effects", EFFECTS, self.batches()).groupBy(*GROUP).agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
+        sums = self._read("effects", EFFECTS, [own for _, _, own in self.commits()]).groupBy(*GROUP).agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
         return sums.where("documents <> 0 or tokens <> 0")
 
     def apply(self, batch: str, changes: DataFrame) -> bool:
@@ -64,27 +100,41 @@ class TokenLedger:
         revisions both set a document's count under a version, whether or not it had one; its old
         count leaves its old group. Deletes of what is not there have no effect. If a batch names a
         document and version several times, a set count wins over a delete, and the largest wins.
-        Nulls are values like others (null counts: 0); rows with another op are ignored.
+        Nulls are values like others (null counts: 0; documents without an id are one document, as nothing
+        tells them apart); rows with another op are ignored; an empty batch is committed without effect.
         """
-        done = self.batches()
-        if any(n.split("-", 1)[1] == batch for n in done):
-            return False
-        seq = 1 + max((int(n.split("-", 1)[0]) for n in done), default=-1)
-        name = f"{seq:08d}-{batch}"
+        own = uuid.uuid4().hex
         asked = changes.where(F.col("op").isin("insert", "revise", "delete")).select("doc_id", "version", F.struct((F.col("op") != "delete").alias("alive"), F.coalesce("n_tokens", F.lit(0)).alias("n"), "source", "lang").alias("new"))
         asked = asked.groupBy("doc_id", "version").agg(F.max("new").alias("new"))
-        states = asked.select("doc_id", "version", "new.source", "new.lang", F.col("new.n").alias("n_tokens"), "new.alive", F.lit(seq).cast("long").alias("seq"))
-        states.write.mode("overwrite").parquet(f"{self.path}/states/{name}")
-        states = self.spark.read.schema(STATES).parquet(f"{self.path}/states/{name}")
-        added = states.where("alive").select(*GROUP, F.lit(1).alias("documents"), F.col("n_tokens").alias("tokens"))
-        if done:
-            before = self.current()
-            same = states["doc_id"].eqNullSafe(before["doc_id"]) & states["version"].eqNullSafe(before["version"])
-            gone = before.join(states, same, "left_semi").select(*GROUP, F.lit(-1).alias("documents"), (-F.col("n_tokens")).alias("tokens"))
-            added = added.unionByName(gone)
-        effect = added.groupBy(*GROUP).agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
-        effect.write.mode("overwrite").parquet(f"{self.path}/effects/{name}")
-        return True
+        states = asked.select("doc_id", "version", "new.source", "new.lang", F.col("new.n").alias("n_tokens"), "new.alive")
+        written = None
+        for attempt in range(ATTEMPTS):
+            commits = self.commits()
+            if any(name == batch for _, name, _ in commits):
+                return False
+            if written is None:
+                states.write.parquet(f"{self.path}/states/{own}")
+                written = self.spark.read.schema(STATES).parquet(f"{self.path}/states/{own}")
+            added = written.where("alive").select(*GROUP, F.lit(1).alias("documents"), F.col("n_tokens").alias("tokens"))
+            if commits:
+                # only the batch's own documents are looked for, before anything is aggregated
+                before, keys = self._states(commits), written.select("doc_id", "version")
+                maybe = member_test(keys.select(F.xxhash64("doc_id", "version").alias("k")), "k")
+                before = before.where(maybe(F.xxhash64("doc_id", "version")))
+                same = keys["doc_id"].eqNullSafe(before["doc_id"]) & keys["version"].eqNullSafe(before["version"])
+                gone = _last(before.join(keys, same, "left_semi")).select(*GROUP, F.lit(-1).alias("documents"), (-F.col("n_tokens")).alias("tokens"))
+                added = added.unionByName(gone)
+            effect = added.groupBy(*GROUP).agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
+            effect.write.mode("overwrite").parquet(f"{self.path}/effects/{own}")
+            if self._commit(1 + max((n for n, _, _ in commits), default=-1), batch, own):
+                return True
+        raise RuntimeError(f"{batch} was overtaken by other writers {ATTEMPTS} times")
+
+
+def _last(states: DataFrame) -> DataFrame:
+    """The latest state of each document and version, if it is not deleted."""
+    last = states.groupBy("doc_id", "version").agg(F.max_by(F.struct("source", "lang", "n_tokens", "alive"), "seq").alias("s"))
+    return last.where("s.alive").select("doc_id", "version", "s.source", "s.lang", "s.n_tokens")
 
 
 def vocabularies() -> dict[str, str]:
@@ -107,6 +157,7 @@ def count_tokens(docs: DataFrame, versions: dict[str, str] | None = None, op: st
     """Changes that set every document's count of tokens under each version; whole texts, null: 0.
 
     versions: version name -> vocabulary file, ending in .tiktoken (byte-level) or .json (by words).
+    Repeated rows give repeated changes (of which the ledger takes the largest); an empty table gives none.
     """
     files = versions or vocabularies()
 
@@ -136,3 +187,10 @@ def estimated_counts(docs: DataFrame, version: str) -> DataFrame:
     """Changes that set a quick estimate: the number of words between blanks."""
     words = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != ""))
     return docs.select(F.lit("insert").alias("op"), F.col("doc_id").cast("long").alias("doc_id"), "source", "lang", F.lit(version).alias("version"), words.cast("long").alias("n_tokens"))
+
+
+def deleted(docs: DataFrame, versions: list[str]) -> DataFrame:
+    """Changes that take documents out of the totals of some versions."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(F.array(*map(F.lit, versions))).alias("version"))
+    none = F.lit(None).cast("string")
+    return rows.select(F.lit("delete").alias("op"), "doc_id", none.alias("source"), none.alias("lang"), "version", F.lit(None).cast("long").alias("n_tokens"))

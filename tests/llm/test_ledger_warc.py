@@ -34,18 +34,38 @@ def test_ledger(spark, tmp_path):
     for r in ledger.current().collect():
         sums[r.source, r.lang, r.version] += r.n_tokens
     assert sums == {k: v[1] for k, v in totals(ledger).items()}
-    assert ledger.apply("empty", changes(spark, [])) and ledger.batches()[-1].endswith("-empty")
+    assert ledger.apply("empty", changes(spark, [])) and ledger.batches()[-1] == "empty"
 
 
 def test_unfinished_batch_is_retried(spark, tmp_path):
     ledger = tc.TokenLedger(spark, str(tmp_path / "l"))
     rows = changes(spark, [("insert", 1, "a", "en", "v", 3)])
     ledger.apply("one", rows)
-    next(tmp_path.glob("l/effects/*one/_SUCCESS")).unlink()
+    next(tmp_path.glob("l/commits/0*")).unlink()
     assert totals(ledger) == {}
     assert ledger.apply("one", rows) and totals(ledger) == {("a", "en", "v"): (1, 3)}
 
 
+def test_two_writers(spark, tmp_path, monkeypatch):
+    """A batch that is overtaken by another one takes its effect into account; each number is given once."""
+    ledger, other = (tc.TokenLedger(spark, str(tmp_path / "l")) for _ in range(2))
+    ledger.apply("first", changes(spark, [("insert", 1, "a", "en", "v", 3)]))
+    commit, done = tc.TokenLedger._commit, []
+
+    def overtaken(self, *x):
+        if not done:
+            done.append(1)
+            assert other.apply("other", changes(spark, [("revise", 1, "b", "en", "v", 10)]))
+        return commit(self, *x)
+
+    monkeypatch.setattr(tc.TokenLedger, "_commit", overtaken)
+    assert ledger.apply("mine", changes(spark, [("revise", 1, "c", "en", "v", 7)]))
+    assert totals(ledger) == {("c", "en", "v"): (1, 7)} and ledger.batches() == ["first", "other", "mine"]
+    docs = spark.createDataFrame([(1, "x"), (None, None)], "doc_id long, text string")
+    assert ledger.apply("gone", tc.deleted(docs, ["v", "w"])) and totals(ledger) == {}
+    assert tc.count_tokens(docs.withColumns({"source": F.lit("s"), "lang": F.lit("en")}).limit(0)).count() == 0
+
+
 def test_counts_against_libraries(spark):
     import public_tokenizers
     from tokenizers import Tokenizer
