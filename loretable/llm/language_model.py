@@ -28,6 +28,8 @@ from loretable.llm.common import documents_of, materialize
 
 #: Bytes of text in a block, and distinct n-grams that a slice takes in from all blocks on average.
 BLOCK_BYTES, SLICE_KEYS = 8_000_000, 1_500_000
+#: Blocks whose answers a task brings together.
+BLOCKS_AT_ONCE = 4
 #: Every so many-th learning text is held out while the weights are learned.
 HELD_EVERY = 10
 #: Buckets of context frequency: 0, then powers of two.
@@ -186,7 +188,8 @@ def counted(blocks: DataFrame, order: int, keys: int) -> DataFrame:
     """Totals of the n-grams of one order, for each block those it asked for (block -1: sums)."""
     slices = max(1, -(-keys // SLICE_KEYS))
     asked = blocks.select("block", "role", "lens", "words", "seq").mapInPandas(_ask(order, slices), ASK)
-    return asked.groupBy("slice").applyInPandas(_answer(order), ANSWER)
+    # as many partitions as slices, so that what a task reads does not grow with the input
+    return asked.repartition(slices, "slice").groupBy("slice").applyInPandas(_answer(order), ANSWER)
 
 
 def _totals(b: Block, answers: list, order: int):
@@ -329,8 +332,10 @@ def score_documents(docs: DataFrame, learns: Column, order: int = 2, block_bytes
     sums = answers.where((F.col("block") == -1) & (F.col("gram_order") == 1)).agg(F.sum("distinct"), F.sum("total")).first()
     types, total = int(sums[0] or 0), int(sums[1] or 0)
 
-    gathered = answers.where("block >= 0").groupBy("block").agg(F.collect_list(F.struct("gram_order", "slice", "counts", "held", "distinct")).alias("answers"))
-    full = blocks.join(gathered, "block")
+    number = blocks.count()
+    tasks = max(1, -(-number // BLOCKS_AT_ONCE))
+    gathered = answers.where("block >= 0").repartition(tasks, "block").groupBy("block").agg(F.collect_list(F.struct("gram_order", "slice", "counts", "held", "distinct")).alias("answers"))
+    full = blocks.repartition(tasks, "block").join(gathered, "block")
     cells = full.where(F.col("role") == HELD).mapInPandas(_gather(order, total, held_total), "cell long, bucket long, n long, " + ", ".join(f"p{k} double" for k in range(1, order + 1)))
     sums = [F.sum(f"p{k}").alias(f"p{k}") for k in range(1, order + 1)]
     learned = cells.groupBy("cell").agg(F.first("bucket").alias("bucket"), F.sum("n").alias("n"), *sums).toPandas().sort_values("cell")
