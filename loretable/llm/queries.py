@@ -7,7 +7,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loretable.llm import warc
+from loretable.llm import fill_in_middle, filter_audit, warc
 from loretable.llm.common import id_remainder, table
 
 
@@ -89,6 +89,22 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    outputs = fill_in_middle.restored(fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"), seed=1))
+    return outputs.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(spark, f"{sf_dir.rstrip('/')}/documents.parquet", table(spark, sf_dir, "labels"))
+
+
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loretable.llm.hnsw import nearest_vectors
+
+    embeddings = table(spark, sf_dir, "embeddings")
+    return nearest_vectors(embeddings, embeddings.where("vec_id % 20 = 0"), k=20)
+
+
 OP10_SQL = r"""
 WITH t AS (
   SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS norm
@@ -113,5 +129,13 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_quality": op9_quality,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_nearest_neighbours": op13_nearest_neighbours,
+}
+ORACLE_SQL = {
+    "op6_warc_derivatives": warc.ORACLE_SQL,
+    "op10_exact_dedup": OP10_SQL,
+    "op11_fill_in_middle": fill_in_middle.ORACLE_SQL,
+    "op12_filter_audit": filter_audit.ORACLE_SQL,
 }
-ORACLE_SQL = {"op6_warc_derivatives": warc.ORACLE_SQL, "op10_exact_dedup": OP10_SQL}
