@@ -37,6 +37,8 @@ BLANKS = r"[\x20\x09-\x0D]+"
 ROCKS = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # many small stores: no disk is claimed before it is needed
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
 }
 
@@ -55,19 +57,17 @@ def own_mask(text: Column, words: Column) -> Column:
 
 def combined(pages: int):
     """A function over frames of rows: of each text the rows of its smallest id, counted; the others are copies for certain
-    and are counted by part and mask, with no key."""
+    and, like rows without an id, are counted by part and mask, with no key."""
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             f = f.assign(rows=1)
-            least = f.groupby("key", sort=False)["id"].transform("min")
-            copy = (f["id"] > least).fillna(False)
-            first = f[~copy].groupby(ROW_FIELDS[:-1], dropna=False, sort=False, as_index=False)["rows"].sum()
-            first["page"] = [int.from_bytes(k[:8], "little") % pages for k in first["key"]]
-            others = f[copy].assign(mask=lambda x: x["mask"] | COPY).groupby(["part", "mask", "good", "toxic"], sort=False, as_index=False)["rows"].sum()
-            others = others.assign(key=None, id=None, page=[hash_page(*x, pages) for x in zip(others["part"], others["mask"], strict=True)])
-            out = pd.concat([first, others], ignore_index=True) if len(others) else first
-            yield out[["page", *ROW_FIELDS]]
+            loose, f = f[~f["has_id"]], f[f["has_id"]]
+            copy = f["id"] > f.groupby("key", sort=False)["id"].transform("min")
+            first = f[~copy].groupby(ROW_FIELDS[:-1], sort=False, as_index=False)["rows"].sum()
+            yield first.assign(page=[int.from_bytes(k[:8], "little") % pages for k in first["key"]])[["page", *ROW_FIELDS]]
+            settled = pd.concat([loose, f[copy].assign(mask=lambda x: x["mask"] | COPY)]).groupby(["part", "mask", "good", "toxic"], sort=False, as_index=False)["rows"].sum()
+            yield settled.assign(key=None, id=0, page=[hash_page(*x, pages) for x in zip(settled["part"], settled["mask"], strict=True)])[["page", *ROW_FIELDS]]
 
     return work
 
@@ -99,7 +99,7 @@ class LeastIds(StatefulProcessor):
         changed = False
         for r in rows:
             values = [r.part, r.mask, r.good, r.toxic, r.rows]
-            if r.key is None or r.id is None:
+            if r.key is None:
                 count(*values)
                 continue
             old = texts.get(bytes(r.key))
@@ -159,7 +159,7 @@ def part_counters(spark: SparkSession, path: str, labels: DataFrame, batches: in
     rows = texts.withColumn("words", words_of(F.col("text"))).select(F.unhex(F.sha2("text", 256)).alias("key"), "id", "part", own_mask(F.col("text"), F.col("words")).alias("mask"))
     # a null id has no label: it is dealt by its text instead
     rows = rows.withColumn("_id", F.coalesce(F.col("id").cast("string"), F.concat(F.lit("-"), F.hex("key"))))
-    rows = rows.join(materialize(marked(labels), "marked"), "_id", "left").select(*ROW_FIELDS[:4], *[F.coalesce(c, F.lit(0)).alias(c) for c in ("good", "toxic")])
+    rows = rows.join(materialize(marked(labels), "marked"), "_id", "left").select("key", F.coalesce("id", F.lit(0)).alias("id"), F.col("id").isNotNull().alias("has_id"), "part", "mask", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("good", "toxic")])
     before = {k: spark.conf.get(k, None) for k in ROCKS}
     for k, v in ROCKS.items():
         spark.conf.set(k, v)

@@ -2,96 +2,112 @@
 
 A ledger is a folder of batches. A batch says for some documents and versions what their counts are
 now (insert, revise) or that they are gone (delete). Applying it writes two tables in a folder of its
-own: the documents' new states, and its signed effect on the totals. It counts once a file with the
-next number has been created that names it; such a file is created once only, so of two writers one
-commits and the other works out its effect anew. A name that was committed is never applied again, so
-batches may be sent twice or retried after a loss. Totals are the sum of all committed effects.
+own: the documents' new states, and its signed effect on the totals. It counts once a complete file that
+names it has been moved to the next number, which is done once only, so of two writers one commits and
+the other works out its effect anew. A writer that is lost leaves no file under a number, and a number
+whose file says nothing is passed over. A name that was committed is never applied again, so batches may
+be sent twice or retried after a loss. Totals are the sum of all committed effects. Every few commits a
+snapshot of states, totals and names is added, so that readers never go through the whole history.
 """
 
 from __future__ import annotations
 
+import random
+import time
 import uuid
 from collections.abc import Iterator
-from functools import cache, reduce
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loretable.functions.files import Files
 from loretable.llm.common import member_test
 
 CHANGES = "op string, doc_id long, source string, lang string, version string, n_tokens long"
 STATES = "doc_id long, version string, source string, lang string, n_tokens long, alive boolean"
 EFFECTS = "source string, lang string, version string, documents long, tokens long"
 GROUP = ["source", "lang", "version"]
-#: Times that a batch is worked out anew because another writer committed meanwhile.
-ATTEMPTS = 10
+#: Times that a batch is worked out anew because another writer committed meanwhile, the longest pause before (seconds), and commits to a snapshot.
+ATTEMPTS, PAUSE, SNAPSHOT = 20, 2.0, 16
 
 
 class TokenLedger:
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-
-    def _fs(self):
-        jvm = self.spark._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        return jvm, root, root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def commits(self) -> list[tuple[int, str, str]]:
-        """(number, name, folder) of committed batches, in the order of their commits."""
-        jvm, root, fs = self._fs()
-        folder = jvm.org.apache.hadoop.fs.Path(root, "commits")
-        if not fs.exists(folder):
-            return []
+    def __init__(self, spark: SparkSession, path: str, snapshot: int = SNAPSHOT):
+        self.spark, self.path, self.snapshot = spark, path.rstrip("/"), snapshot
+        self.files = Files(spark, self.path)
+
+    def _base(self) -> tuple[int, str | None]:
+        """Number up to which the last snapshot holds everything, and its folder."""
+        for name in reversed(self.files.names("snapshots")):
+            if name.isdigit() and (own := self.files.read(f"snapshots/{name}")):
+                return int(name), own
+        return -1, None
+
+    def _commits(self, after: int) -> tuple[int, list[tuple[int, str, str]]]:
+        """The next free number, and (number, name, folder) of the commits behind a number, in their order."""
+        numbers = [n for n in self.files.names("commits") if n.isdigit()]
         out = []
-        for status in fs.listStatus(folder):
-            file = fs.open(status.getPath())
-            try:
-                text = jvm.org.apache.commons.io.IOUtils.toString(file, "UTF-8")
-            finally:
-                file.close()
-            own, name = text.split("\n", 1) if "\n" in text else ("", "")
-            if own:
-                out.append((int(status.getPath().getName()), name, own))
-        return sorted(out)
+        for n in numbers:
+            if int(n) > after:
+                own, _, name = self.files.read(f"commits/{n}").partition("\n")
+                if own:
+                    out.append((int(n), name, own))
+        return max((int(n) for n in numbers), default=-1) + 1, out
+
+    def _names(self, own: str | None) -> DataFrame:
+        return self._read(f"held/{own}/names" if own else None, "number long, name string")
 
     def batches(self) -> list[str]:
         """Names of committed batches, in the order of their commits."""
-        return [name for _, name, _ in self.commits()]
+        after, own = self._base()
+        return [r.name for r in self._names(own).orderBy("number").collect()] + [name for _, name, _ in self._commits(after)[1]]
+
+    def _publish(self, name: str, text: str) -> bool:
+        draft = f"drafts/{uuid.uuid4().hex}"
+        self.files.write(draft, text)
+        return self.files.publish(draft, name)
 
     def _commit(self, number: int, name: str, own: str) -> bool:
-        """Creates the file of that number; False if another writer has."""
-        jvm, root, fs = self._fs()
-        path = jvm.org.apache.hadoop.fs.Path(root, f"commits/{number:08d}")
-        try:
-            file = fs.create(path, False)
-        except Exception as e:  # noqa: BLE001
-            if fs.exists(path):
-                return False
-            raise e
-        file.write(bytearray(f"{own}\n{name}".encode()))
-        file.close()
-        return True
+        """Moves a complete file to that number; False if another writer has."""
+        return self._publish(f"commits/{number:08d}", f"{own}\n{name}")
 
-    def _read(self, kind: str, schema: str, folders: list[str]) -> DataFrame:
-        if not folders:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{kind}/{n}" for n in folders])
+    def _read(self, folder: str | None, schema: str) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{folder}") if folder else self.spark.createDataFrame([], schema)
 
-    def _states(self, commits: list[tuple[int, str, str]]) -> DataFrame:
-        """All states written so far, with their batch's number."""
-        rows = [self._read("states", STATES, [own]).withColumn("seq", F.lit(n).cast("long")) for n, _, own in commits]
-        return reduce(DataFrame.unionByName, rows) if rows else self._read("states", STATES, []).withColumn("seq", F.lit(0).cast("long"))
+    def _behind(self, kind: str, schema: str, base: str | None, commits: list[tuple[int, str, str]]) -> DataFrame:
+        """A snapshot's table and those of the commits behind it, each in one scan, with seq, the commit's number (snapshot: -1)."""
+        rows = self._read(f"held/{base}/{kind}" if base else None, schema).withColumn("seq", F.lit(-1).cast("long"))
+        if not commits:
+            return rows
+        numbers = F.create_map(*[F.lit(x) for n, _, own in commits for x in (own, n)])
+        new = self.spark.read.schema(f"{schema}, own string").option("basePath", f"{self.path}/{kind}").parquet(*[f"{self.path}/{kind}/own={own}" for _, _, own in commits])
+        return rows.unionByName(new.withColumn("seq", numbers[F.col("own")].cast("long")).drop("own"))
 
     def current(self) -> DataFrame:
         """The state of each document and version that is not deleted."""
-        return _last(self._states(self.commits()))
+        after, own = self._base()
+        return _last(self._behind("states", STATES, own, self._commits(after)[1]))
 
     def totals(self) -> DataFrame:
         """source, lang, version, documents, tokens: sums of all effects; empty groups are left out."""
-        sums = self._read("effects", EFFECTS, [own for _, _, own in self.commits()]).groupBy(*GROUP).agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
-        return sums.where("documents <> 0 or tokens <> 0")
+        after, own = self._base()
+        return _sums(self._behind("effects", EFFECTS, own, self._commits(after)[1])).where("documents <> 0 or tokens <> 0")
+
+    def _hold(self) -> None:
+        """A snapshot of all commits so far, if enough were made since the last. If it is lost or late, nothing depends on it."""
+        after, own = self._base()
+        commits = self._commits(after)[1]
+        if len(commits) < self.snapshot:
+            return
+        new, last = uuid.uuid4().hex, commits[-1][0]
+        names = self._names(own).unionByName(self.spark.createDataFrame([(n, name) for n, name, _ in commits], "number long, name string"))
+        states = _last(self._behind("states", STATES, own, commits)).withColumn("alive", F.lit(True))
+        for kind, rows in (("states", states), ("effects", _sums(self._behind("effects", EFFECTS, own, commits))), ("names", names)):
+            rows.write.parquet(f"{self.path}/held/{new}/{kind}")
+        self._publish(f"snapshots/{last:08d}", new)
 
     def apply(self, batch: str, changes: DataFrame) -> bool:
         """Commits a batch; False and no effect if its name was committed before.
@@ -109,28 +125,35 @@ class TokenLedger:
         states = asked.select("doc_id", "version", "new.source", "new.lang", F.col("new.n").alias("n_tokens"), "new.alive")
         written = None
         for attempt in range(ATTEMPTS):
-            commits = self.commits()
-            if any(name == batch for _, name, _ in commits):
+            if attempt:
+                time.sleep(random.uniform(0, min(PAUSE, 0.05 * 2**attempt)))
+            after, base = self._base()
+            number, commits = self._commits(after)
+            if any(name == batch for _, name, _ in commits) or (base and self._names(base).where(F.col("name") == batch).head(1)):
                 return False
             if written is None:
-                states.write.parquet(f"{self.path}/states/{own}")
-                written = self.spark.read.schema(STATES).parquet(f"{self.path}/states/{own}")
+                states.write.parquet(f"{self.path}/states/own={own}")
+                written = self.spark.read.schema(STATES).parquet(f"{self.path}/states/own={own}")
             added = written.where("alive").select(*GROUP, F.lit(1).alias("documents"), F.col("n_tokens").alias("tokens"))
-            if commits:
+            if commits or base:
                 # only the batch's own documents are looked for, before anything is aggregated
-                before, keys = self._states(commits), written.select("doc_id", "version")
+                before, keys = self._behind("states", STATES, base, commits), written.select("doc_id", "version")
                 maybe = member_test(keys.select(F.xxhash64("doc_id", "version").alias("k")), "k")
                 before = before.where(maybe(F.xxhash64("doc_id", "version")))
                 same = keys["doc_id"].eqNullSafe(before["doc_id"]) & keys["version"].eqNullSafe(before["version"])
                 gone = _last(before.join(keys, same, "left_semi")).select(*GROUP, F.lit(-1).alias("documents"), (-F.col("n_tokens")).alias("tokens"))
                 added = added.unionByName(gone)
-            effect = added.groupBy(*GROUP).agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
-            effect.write.mode("overwrite").parquet(f"{self.path}/effects/{own}")
-            if self._commit(1 + max((n for n, _, _ in commits), default=-1), batch, own):
+            _sums(added).write.mode("overwrite").parquet(f"{self.path}/effects/own={own}")
+            if self._commit(number, batch, own):
+                self._hold()
                 return True
         raise RuntimeError(f"{batch} was overtaken by other writers {ATTEMPTS} times")
 
 
+def _sums(effects: DataFrame) -> DataFrame:
+    return effects.groupBy(*GROUP).agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
+
+
 def _last(states: DataFrame) -> DataFrame:
     """The latest state of each document and version, if it is not deleted."""
     last = states.groupBy("doc_id", "version").agg(F.max_by(F.struct("source", "lang", "n_tokens", "alive"), "seq").alias("s"))

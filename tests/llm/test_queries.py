@@ -87,6 +87,11 @@ def test_op4(spark, documents):
     assert got["word_bpe_49k", "documents"] == got["byte_bpe_50k", "documents"] == len(documents)
     assert got["word_bpe_49k", "tokens"] == sum(len(model.encode(t, add_special_tokens=False).ids) for t in documents.values())
     assert got["words", "documents"] == sum(not t.strip(" ") for t in documents.values())
+    groups, want = {(r.source, r.lang): (r.documents, r.tokens) for r in rows if r.version == "word_bpe_49k"}, Counter()
+    for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "source", "lang").collect():
+        want[r.source, r.lang, 0] += 1
+        want[r.source, r.lang, 1] += len(model.encode(documents[r.doc_id], add_special_tokens=False).ids)
+    assert groups == {(s, x): (want[s, x, 0], want[s, x, 1]) for s, x, _ in want}
 
 
 def test_op5(spark, documents):
