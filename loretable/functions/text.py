@@ -30,6 +30,13 @@ def distinct_in_order(items: Column) -> Column:
     return F.array_distinct(F.filter(F.transform(items, strip), lambda x: x.isNotNull() & (x != "")))
 
 
+def grams(text: Column, q: int | Column) -> Column:
+    """The distinct runs of q characters of a text; none if it is shorter."""
+    last, none = F.length(text) - q + 1, F.array().cast("array<string>")
+    width = F.lit(q) if isinstance(q, int) else q
+    return F.array_distinct(F.when(last > 0, F.transform(F.sequence(F.lit(1), last), lambda a: text.substr(a, width))).otherwise(none))
+
+
 def two_decimals(c: Column) -> Column:
     """The number with two decimals, as text; ties by the binary value, as C's printf rounds."""
     return F.bround(c.cast("decimal(38,18)"), 2).cast("string")
