@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loretable.functions.text import strip
+from loretable.sources.lines import read_lines, read_pieces  # noqa: F401
 
 ENCODINGS = ("utf-8-sig", "gb18030")
 
@@ -64,10 +65,8 @@ def load_records(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame
 
 def read_jsonl(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """Records of JSON lines with their line_no, and malformed lines (file, line_no, line); blank lines are
-    dropped, but count. A line's number is found in its file: files are read whole for it (each is one
-    task's work), so very large files are better cut before."""
-    texts = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("at", "line"))
-    lines = texts.where("trim(line) <> ''").select("file", (F.col("at") + 1).cast("long").alias("line_no"), "line")
+    dropped, but count. A file is read by as many tasks as it has ranges (`read_lines`)."""
+    lines = read_lines(spark, path).where("trim(line) <> ''")
     fields = T.StructType.fromDDL(schema).add("_bad", T.StringType())
     rows = lines.withColumn("r", F.from_json("line", fields, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))
     bad = F.col("r").isNull() | F.col("r._bad").isNotNull()
@@ -91,8 +90,25 @@ def read_block_pairs(spark: SparkSession, path: str) -> DataFrame:
     return unordered(alone.unionByName(under))
 
 
-def write_chunks(chunks: DataFrame, path: str) -> None:
-    chunks.write.mode("overwrite").partitionBy("source_name").parquet(path)
+def write_chunks(chunks: DataFrame, path: str, buckets: int | None = None) -> None:
+    """A folder for each source, or for each of so many buckets of sources (column source_bucket): folders of
+    millions of sources are better read by bucket. A bucket's rows are gathered first, large ones in several files."""
+    if buckets is None:
+        chunks.write.mode("overwrite").partitionBy("source_name").parquet(path)
+        return
+    rows = chunks.withColumn("source_bucket", F.pmod(F.xxhash64("source_name"), F.lit(buckets)).cast("int"))
+    rows.hint("rebalance", "source_bucket").write.mode("overwrite").partitionBy("source_bucket").parquet(path)
+
+
+def read_chunks(spark: SparkSession, path: str, sources: list[str] | None = None, buckets: int | None = None) -> DataFrame:
+    """Chunks of all or some sources; with buckets only the folders of the asked sources' buckets are read."""
+    rows = spark.read.parquet(path)
+    if sources is None:
+        return rows
+    if buckets is not None:
+        asked = spark.createDataFrame([(s,) for s in sources], "s string").select(F.pmod(F.xxhash64("s"), F.lit(buckets)).cast("int")).distinct().collect()
+        rows = rows.where(F.col("source_bucket").isin(*[r[0] for r in asked]))
+    return rows.where(F.col("source_name").isin(*sources))
 
 
 def write_table(rows: DataFrame, path: str, form: str = "parquet") -> None:
@@ -100,6 +116,16 @@ def write_table(rows: DataFrame, path: str, form: str = "parquet") -> None:
     rows.write.mode("overwrite").format(form).save(path)
 
 
+def encoded(text: Column, encoding: str, after: bytes = b"") -> Column:
+    """Text in another encoding, as raw bytes in a text column: write_texts and Spark's text writer store them as they are."""
+
+    @F.pandas_udf("binary")
+    def encode(t: pd.Series) -> pd.Series:
+        return t.map(lambda x: None if x is None else x.encode(encoding, "replace") + after)
+
+    return encode(text).cast("string")
+
+
 def write_texts(rows: DataFrame, column: str, path: str, order: str | None = None) -> None:
     """One text column; ordered inside each file if asked for."""
     out = rows.repartitionByRange(order).sortWithinPartitions(order) if order else rows
