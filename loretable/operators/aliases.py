@@ -5,27 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loretable.functions.text import strip, two_decimals
+from loretable.functions.text import grams, strip, two_decimals
+from loretable.operators.ranks import TASK_ROWS, placed
 
 CLOSE, RATIO, LEAST_ALIAS, LEAST_CANONICAL, LEAST_COUNT, REVIEW_COUNT = 0.5, 0.4, 2, 3, 10, 5
-LONGEST = 64
 
 
-def containment(names: DataFrame, longest: int = LONGEST) -> DataFrame:
+def containment(names: DataFrame, q: int = 3) -> DataFrame:
     """(alias, canonical_candidate, alias_count, canonical_count): names of two or more characters that
     stand inside another one, which has a positive count.
 
-    Each name is spread into its distinct inner parts of at most longest characters, which are looked up by
-    an equi-join. An alias beyond that length is looked up by its first longest characters, and whether
-    the whole of it stands there is tested on what meets; so no name is compared with all others.
+    A name stands in another one only if all its grams of q characters do. So an alias is looked up by one gram
+    of it, the one that the fewest names have, among the grams of the longer names, and whether the whole of it
+    stands there is tested on what meets. A name is spread into as many grams as it has characters, and no name is
+    compared with all others. Aliases shorter than q are looked up by themselves, among grams of their length.
     """
     base = names.select("name", F.col("count").cast("bigint").alias("count")).where("name is not null")
     n = F.length("name")
-    parts = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda a: F.transform(F.sequence(F.lit(2), F.greatest(F.least(n - 1, F.lit(longest)), F.lit(2))), lambda k: F.when((a + k - 1 <= n) & (k < n), F.substring(F.col("name"), a, k)))))
-    inner = base.where("length(name) > 2 and count > 0").select(F.col("name").alias("canonical_candidate"), F.col("count").alias("canonical_count"), F.explode(F.array_distinct(F.filter(parts, lambda p: p.isNotNull()))).alias("part"))
-    asked = base.where("length(name) >= 2").select(F.substring("name", 1, longest).alias("part"), F.col("name").alias("alias"), F.col("count").alias("alias_count"))
-    whole = (F.length("alias") <= longest) | (F.col("canonical_candidate").contains(F.col("alias")) & (F.col("alias") != F.col("canonical_candidate")))
-    return inner.join(asked, "part").where(whole).select("alias", "canonical_candidate", "alias_count", "canonical_count")
+    held = base.where("length(name) > 2 and count > 0").select(F.col("name").alias("canonical_candidate"), F.col("count").alias("canonical_count"), F.explode(F.flatten(F.array(*[grams(F.col("name"), k) for k in range(2, q + 1)]))).alias("gram"))
+    asked = base.where("length(name) >= 2").select(F.col("name").alias("alias"), F.col("count").alias("alias_count"), grams(F.col("name"), F.least(n, F.lit(q))).alias("grams"))
+    often = held.groupBy("gram").agg(F.count("*").alias("n"))
+    # a gram that no longer name has is the rarest of all: nothing is found
+    by_gram = asked.select("alias", "alias_count", F.explode("grams").alias("gram")).join(often, "gram", "left")
+    rarest = by_gram.groupBy("alias", "alias_count").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("r")).where("r.n > 0").select("alias", "alias_count", "r.gram")
+    met = held.join(rarest, "gram").where(F.col("canonical_candidate").contains(F.col("alias")) & (F.length("alias") < F.length("canonical_candidate")))
+    return met.select("alias", "canonical_candidate", "alias_count", "canonical_count")
 
 
 def classified(pairs: DataFrame) -> DataFrame:
@@ -99,14 +103,14 @@ def query_aliases(nicknames: DataFrame, confirmed: DataFrame, auto: DataFrame, b
     return layered({"nickname": nicknames, "confirmed": confirmed, "auto": auto}, blocked)
 
 
-def review_rows(candidates: DataFrame) -> DataFrame:
+def review_rows(candidates: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
     """(section, place, line): lines of a review table in three sections; ratio only where it is shown."""
     section = F.when(F.col("auto_accept"), 1).when(F.col("confidence") == "medium", 2).otherwise(3)
-    rows = candidates.withColumn("section", section)
-    w = Window.partitionBy("section").orderBy(F.desc("canonical_count"), F.desc(F.length("canonical_candidate")), "canonical_candidate", "alias")
     ratio = F.when(F.col("section") < 3, F.concat(two_decimals(F.col("ratio")), F.lit(" | "))).otherwise("")
     line = F.concat(F.lit("| "), "alias", F.lit(" | "), "canonical_candidate", F.lit(" | "), F.col("alias_count").cast("string"), F.lit(" | "), F.col("canonical_count").cast("string"), F.lit(" | "), ratio, "reason", F.lit(" |"))
-    return rows.select("section", F.row_number().over(w).alias("place"), line.alias("line"))
+    rows = candidates.withColumn("section", section).select("section", "canonical_count", F.length("canonical_candidate").alias("n"), "canonical_candidate", "alias", line.alias("line"))
+    order = [F.desc("canonical_count"), F.desc("n"), "canonical_candidate", "alias"]
+    return placed(rows, ["section"], order, task_rows=task_rows).select("section", F.col("place").cast("int").alias("place"), "line")
 
 
 def review_totals(candidates: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loretable.functions.text import is_blank, lines, strip
+from loretable.operators.ranks import page, page_after  # noqa: F401
 from loretable.schemas import DONE_STATUSES
 
 LEAST_CHARS = 200
@@ -41,12 +42,6 @@ def pending(chunks: DataFrame, log: DataFrame) -> DataFrame:
     return chunks.where(~is_blank("text")).join(done_ids(log), "chunk_id", "left_anti")
 
 
-def page(rows: DataFrame, offset: int = 0, limit: int | None = None, by: str = "chunk_id") -> DataFrame:
-    """A page of rows in the order of a column."""
-    out = rows.orderBy(by).offset(offset)
-    return out if limit is None else out.limit(limit)
-
-
 def log_rows(results: DataFrame, ts: Column | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """State, structural and bad log rows of results(chunk_id, status, reason, char_count, raw)."""
     at = (ts if ts is not None else F.current_timestamp()).alias("ts")

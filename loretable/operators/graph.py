@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loretable.functions.tables import kept
 from loretable.functions.text import strip
-
-#: Ranges of chunks within which places are counted.
-RANGES = 64
-
+from loretable.operators.ranks import TASK_ROWS, placed
 
 def triples(facts: DataFrame, places: DataFrame, relations: DataFrame, evidence: int = 5, salts: int = 16) -> DataFrame:
     """(subject, predicate, object, n, first_chunk, evidence): persons in chunks, at places, with persons.
@@ -43,52 +40,20 @@ def markdown_rows(rows: DataFrame) -> DataFrame:
     return rows.select(F.concat(F.lit("| "), F.concat_ws(" | ", *[cell(c) for c in ("subject", "predicate", "object", "n", "first_chunk")]), F.lit(" |")).alias("line"))
 
 
-def _ranges(rows: DataFrame, column: str, most: int, sample: int = 20_000) -> Column:
-    """Number of the range of a text column that a row stands in: about most ranges of equal size, cut at
-    values of a sample (of a bounded size, chosen by a hash of the value, so the same on every run)."""
-    n = rows.count()
-    share = F.pmod(F.xxhash64(column), F.lit(1 << 30)) < int(min(1.0, sample / max(n, 1)) * (1 << 30))
-    values = sorted(rows.where(share).select(column).dropna().toPandas()[column])
-    cuts = sorted({values[len(values) * k // most] for k in range(1, most)}) if values else []
-    if not cuts:
-        return F.lit(0)
-
-    def choose(lo: int, hi: int) -> Column:
-        """Binary search as nested conditions."""
-        if lo == hi:
-            return F.lit(lo)
-        half = (lo + hi) // 2
-        return F.when(F.col(column) < cuts[half], choose(lo, half)).otherwise(choose(half + 1, hi))
-
-    return choose(0, len(cuts))
-
-
-def _placed(rows: DataFrame, order: list[str], name: str, ranges: int) -> DataFrame:
-    """rows(source, chunk_id, ...) with their place per source and the source's total. Places are counted
-    in ranges of chunks, and the few rows of the ranges' sizes give where each begins, so a source with a
-    large share of all rows is no one task's work."""
-    rows = rows.withColumn("range", _ranges(rows.select("chunk_id"), "chunk_id", ranges))
-    here = rows.withColumn("here", F.row_number().over(Window.partitionBy("source", "range").orderBy(*order)))
-    sizes = here.groupBy("source", "range").agg(F.max("here").alias("size"))
-    w = Window.partitionBy("source").orderBy("range")
-    begin = sizes.withColumn("before", F.sum("size").over(w) - F.col("size")).withColumn("total", F.sum("size").over(Window.partitionBy("source"))).drop("size")
-    return here.join(begin, ["source", "range"]).withColumn(name, F.col("here") + F.col("before")).drop("here", "range", "before")
-
-
-def timeline(records: DataFrame, source: str = "source_file", ranges: int = RANGES) -> DataFrame:
+def timeline(records: DataFrame, source: str = "source_file", task_rows: int = TASK_ROWS) -> DataFrame:
     """(source, place, chunk_id, kind, text): time markers and events in chunk order per source."""
     item = lambda k, c: F.struct(F.lit(k).alias("kind"), strip(c).alias("text"))
     none = F.array().cast("array<struct<kind:string,text:string>>")
     both = F.concat(F.coalesce(F.transform("time_markers", lambda t: item("time", t)), none), F.coalesce(F.transform("events", lambda e: item("event", e["event"])), none))
-    rows = kept(records.select(F.coalesce(F.col(source), F.lit("")).alias("source"), "chunk_id", F.posexplode(both).alias("pos", "x")).select("source", "chunk_id", "pos", "x.kind", "x.text").where("text <> ''"))
-    return _placed(rows, ["chunk_id", "pos"], "place", ranges).select("source", F.col("place").cast("int").alias("place"), "chunk_id", "kind", "text")
+    rows = records.select(F.coalesce(F.col(source), F.lit("")).alias("source"), "chunk_id", F.posexplode(both).alias("pos", "x")).select("source", "chunk_id", "pos", "x.kind", "x.text").where("text <> ''")
+    return placed(rows, ["source"], ["chunk_id", "pos"], task_rows=task_rows).select("source", F.col("place").cast("int").alias("place"), "chunk_id", "kind", "text")
 
 
 # Thresholds of our own: a chunk scores a point for each sign.
 SIGNS = {"middle": (0.3, 0.7), "time_markers": 3, "characters": 6, "events": 4, "known_relations": 3}
 
 
-def risk_levels(records: DataFrame, source: str = "source_file", signs: dict = SIGNS, levels: tuple[int, int] = (2, 4), ranges: int = RANGES) -> DataFrame:
+def risk_levels(records: DataFrame, source: str = "source_file", signs: dict = SIGNS, levels: tuple[int, int] = (2, 4), task_rows: int = TASK_ROWS) -> DataFrame:
     """(chunk_id, source, points, level): L1 to L3 by place in the source, density of times, persons and
     events, and reuse of relations known from earlier chunks of the source."""
     n = lambda c: F.coalesce(F.size(c), F.lit(0))
@@ -98,7 +63,7 @@ def risk_levels(records: DataFrame, source: str = "source_file", signs: dict = S
     first = pairs.groupBy("source", "a", "b").agg(F.min("chunk_id").alias("first"))
     reused = pairs.join(first, ["source", "a", "b"]).where("chunk_id > first").groupBy("chunk_id").agg(F.count("*").alias("reused"))
     share = F.when(F.col("total") > 1, (F.col("place") - 1) / (F.col("total") - 1)).otherwise(0.0)
-    rows = _placed(base.drop("pairs"), ["chunk_id"], "place", ranges).withColumn("share", share).join(reused, "chunk_id", "left")
+    rows = placed(base.drop("pairs"), ["source"], ["chunk_id"], total="total", task_rows=task_rows).withColumn("share", share).join(reused, "chunk_id", "left")
     point = lambda c: F.when(c, 1).otherwise(0)
     points = point(F.col("share").between(*signs["middle"])) + point(F.col("times") >= signs["time_markers"]) + point(F.col("persons") >= signs["characters"]) + point(F.col("events_n") >= signs["events"]) + point(F.col("reused") >= signs["known_relations"])
     level = F.when(F.col("points") >= levels[1], "L3").when(F.col("points") >= levels[0], "L2").otherwise("L1")
