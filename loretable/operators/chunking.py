@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate, pairwise
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -50,36 +52,27 @@ def paragraphs(text: Column, gap: str = PARAGRAPH_GAP) -> Column:
 
 
 def packed_sentences(text: str, most: int, ends: str = SENTENCE_ENDS) -> list[str]:
-    """Sentences joined while they fit; one that is too long is cut every most characters."""
-    out, open_ = [], ""
-    for sentence in re.split(f"(?<=[{re.escape(ends)}])", text):
-        if len(open_) + len(sentence) <= most:
-            open_ += sentence
-            continue
-        if open_:
-            out.append(open_)
-        whole = (len(sentence) - 1) // most * most if len(sentence) > most else 0
-        out += [sentence[at : at + most] for at in range(0, whole, most)]
-        open_ = sentence[whole:]
-    return [*out, open_] if open_ else out
+    """A text cut at the last sentence end within reach (most characters) of the cut before, or at full reach if none is."""
+    stops = [m.end() for m in re.finditer(f"[{re.escape(ends)}]", text)] + [len(text)]
+    cuts = [0]
+    while cuts[-1] < len(text):
+        reach = cuts[-1] + most
+        stop = stops[bisect_right(stops, reach) - 1] if stops[0] <= reach else 0
+        cuts.append(stop if stop > cuts[-1] else reach)
+    return [text[a:z] for a, z in pairwise(cuts)]
 
 
 def packed_paragraphs(parts: list[str], most: int, ends: str = SENTENCE_ENDS) -> list[str]:
-    """Paragraphs of one section joined by line ends while they fit (the joint counts as one)."""
+    """Paragraphs of one section in the longest runs that hold most characters with their joints (a line end each);
+    a longer paragraph is cut by sentences."""
+    total = [0, *accumulate(len(p) + 1 for p in parts)]
     out: list[str] = []
-    open_: list[str] = []
-    size = 0
-    for p in parts:
-        if open_ and size + len(p) + 1 <= most or not open_ and len(p) + 1 <= most:
-            size += len(p) + bool(open_)
-            open_.append(p)
-            continue
-        if open_:
-            out.append("\n".join(open_))
-        open_, size = ([p], len(p)) if len(p) <= most else ([], 0)
-        if not open_:
-            out += packed_sentences(p, most, ends)
-    return [*out, "\n".join(open_)] if open_ else out
+    first = 0
+    while first < len(parts):
+        after = bisect_right(total, total[first] + most + 1) - 1
+        out += ["\n".join(parts[first:after])] if after > first else packed_sentences(parts[first], most, ends)
+        first = max(after, first + 1)
+    return out
 
 
 def located(text: str, parts: list[str]) -> list[tuple[int, int]]:
