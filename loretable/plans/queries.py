@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loretable.functions.tables import scratch
 from loretable.operators import aliases as al
-from loretable.operators import audit, chunking, context, gates, graph, indexes, lookup, merge, recall, responses, sections
+from loretable.operators import audit, chunking, context, gates, graph, indexes, lookup, merge, recall, responses, search_index, sections, versions
 from loretable.operators import characters as ch
 from loretable.plans import testtables as tt
 from loretable.schemas import CANON
@@ -109,17 +109,19 @@ def m2_character_postings(spark, sf_dir):
     return indexes.postings(_entries(spark, sf_dir, "characters"), ("name",))
 
 
-def _array_sql(key: str, value: str, name: str) -> str:
-    return f"SELECT {key}, string_agg(v, '|' ORDER BY c, p) AS {name} FROM (SELECT {key}, {value} AS v, min(chunk_id) AS c, arg_min(pos, chunk_id || lpad(CAST(pos AS VARCHAR), 9, '0')) AS p FROM facts WHERE {value} <> '' GROUP BY {key}, {value}) x GROUP BY {key}"
+def _array_sql(key: str, value: str, name: str, most: int = indexes.ARRAY_ITEMS) -> str:
+    """The first values of each key, and how many there are; arrays hold so many items, as the index says."""
+    return f"""SELECT {key}, string_agg(v, '|' ORDER BY place) FILTER (place <= {most}) AS {name}, count(*) AS {name}_n FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY c, p, v) AS place FROM (
+  SELECT {key}, {value} AS v, min(chunk_id) AS c, arg_min(pos, chunk_id || lpad(CAST(pos AS VARCHAR), 9, '0')) AS p FROM facts WHERE {value} <> '' GROUP BY {key}, {value}) x) y GROUP BY {key}"""
 
 
 @query(f"""
 WITH {tt.FACTS}, base AS (SELECT name, count(*) AS count, count(DISTINCT chunk_id) AS chunk_count, min(chunk_id) AS first_chunk, max(chunk_id) AS last_chunk FROM facts GROUP BY name)
-SELECT base.name, count, chunk_count, first_chunk, last_chunk, actions, emotions
+SELECT base.name, count, chunk_count, first_chunk, last_chunk, actions, emotions, actions_n <= 1000 AND emotions_n <= 1000 AND chunk_count <= 1000 AS complete
 FROM base JOIN ({_array_sql('name', 'action', 'actions')}) a ON base.name = a.name JOIN ({_array_sql('name', 'emotion', 'emotions')}) e ON base.name = e.name""")
 def m2_character_index(spark, sf_dir):
     i = indexes.index(tt.canon(spark, sf_dir), "characters")
-    return i.select("name", "count", "chunk_count", "first_chunk", "last_chunk", F.array_join("actions", "|").alias("actions"), F.array_join("emotions", "|").alias("emotions"))
+    return i.select("name", "count", "chunk_count", "first_chunk", "last_chunk", F.array_join("actions", "|").alias("actions"), F.array_join("emotions", "|").alias("emotions"), "complete")
 
 
 @query(f"WITH {tt.FACTS} SELECT location, count(*) AS count, count(DISTINCT chunk_id) AS chunk_count, min(chunk_id) AS first_chunk, max(chunk_id) AS last_chunk FROM facts GROUP BY location")
@@ -129,15 +131,31 @@ def m3_location_index(spark, sf_dir):
 
 @query(f"""
 WITH {tt.FACTS}, base AS (SELECT event, count(*) AS count, count(DISTINCT chunk_id) AS chunk_count FROM facts GROUP BY event)
-SELECT base.event, count, chunk_count, causes, results FROM base JOIN ({_array_sql('event', 'cause', 'causes')}) a ON base.event = a.event JOIN ({_array_sql('event', 'result', 'results')}) e ON base.event = e.event""")
+SELECT base.event, count, chunk_count, causes, results, causes_n <= 1000 AND results_n <= 1000 AND chunk_count <= 1000 AS complete FROM base JOIN ({_array_sql('event', 'cause', 'causes')}) a ON base.event = a.event JOIN ({_array_sql('event', 'result', 'results')}) e ON base.event = e.event""")
 def m4_event_index(spark, sf_dir):
     i = indexes.index(tt.canon(spark, sf_dir), "events")
-    return i.select("event", "count", "chunk_count", F.array_join("causes", "|").alias("causes"), F.array_join("results", "|").alias("results"))
+    return i.select("event", "count", "chunk_count", F.array_join("causes", "|").alias("causes"), F.array_join("results", "|").alias("results"), "complete")
 
 
-@query(f"WITH {tt.FACTS} SELECT person_a, person_b, count(*) AS count, string_agg(DISTINCT chunk_id, '|' ORDER BY chunk_id) AS chunks FROM facts GROUP BY person_a, person_b")
+@query(f"""WITH {tt.FACTS}, base AS (SELECT person_a, person_b, count(*) AS count FROM facts GROUP BY person_a, person_b)
+SELECT base.person_a, base.person_b, count, chunks, chunks_n <= 1000 AND interactions_n <= 1000 AS complete FROM base JOIN ({_array_sql('person_a, person_b', 'chunk_id', 'chunks')}) c ON base.person_a = c.person_a AND base.person_b = c.person_b
+JOIN ({_array_sql('person_a, person_b', 'interaction', 'interactions')}) i ON base.person_a = i.person_a AND base.person_b = i.person_b""")
 def m5_relationship_index(spark, sf_dir):
-    return indexes.index(tt.canon(spark, sf_dir), "relationships").select("person_a", "person_b", "count", F.array_join("chunks", "|").alias("chunks"))
+    return indexes.index(tt.canon(spark, sf_dir), "relationships").select("person_a", "person_b", "count", F.array_join("chunks", "|").alias("chunks"), "complete")
+
+
+@query(f"WITH {tt.FACTS} SELECT event, 'cause' AS list, cause AS value, count(*) AS n FROM facts WHERE cause <> '' GROUP BY event, cause UNION ALL SELECT event, 'result', result, count(*) FROM facts WHERE result <> '' GROUP BY event, result")
+def m4_event_values(spark, sf_dir):
+    """All values of events, however many: the long table that the arrays are cut from."""
+    entries = _entries(spark, sf_dir, "events")
+    long = lambda v: indexes.values_in_order(entries, ("event",), v).select("event", F.lit(v).alias("list"), F.col(v).alias("value"), "n")
+    return long("cause").unionByName(long("result"))
+
+
+@query(f"WITH {tt.FACTS} SELECT person_a, person_b, chunk_id, count(*) AS n, min(pos) AS first_pos FROM facts GROUP BY person_a, person_b, chunk_id")
+def m5_relationship_postings(spark, sf_dir):
+    """All chunks of pairs, however many."""
+    return indexes.postings(_entries(spark, sf_dir, "relationships"), ("person_a", "person_b"))
 
 
 @query(f"""
@@ -335,11 +353,11 @@ def q2_relationship_candidates(spark, sf_dir):
     return lookup.relationship_candidates(_entries(spark, sf_dir, "relationships"))
 
 
-@query(f"""WITH {tt.FACTS}, asked AS (SELECT DISTINCT substr(s_name, 3) AS query FROM supplier WHERE s_suppkey % 3 = 0)
+@query(f"""WITH {tt.FACTS}, asked AS (SELECT DISTINCT substr(s_name, 3) AS query FROM supplier)
 SELECT query, person_a AS related_person, chunk_id, pos, interaction FROM facts JOIN asked ON query = substr(person_b, 3) OR query = substr(person_a, 3)""")
 def q2_loose_relations(spark, sf_dir):
     """Names that stand only inside longer ones: suppliers without the first two letters."""
-    asked = tt.table(spark, sf_dir, "supplier").where("s_suppkey % 3 = 0").select(F.expr("substring(s_name, 3)").alias("query"))
+    asked = tt.table(spark, sf_dir, "supplier").select(F.expr("substring(s_name, 3)").alias("query"))
     return lookup.loose_relations(_entries(spark, sf_dir, "relationships"), asked)
 
 
@@ -390,6 +408,22 @@ def q7_search(spark, sf_dir):
     return lookup.search(_kb(spark, sf_dir), "NO").select("chunk_id", "field", "hit")
 
 
+@query(f"""
+WITH {tt.FACTS}, asked AS (SELECT DISTINCT n_name AS keyword FROM nation UNION SELECT DISTINCT substr(p_type, 1, 5) FROM part UNION SELECT 'R'), hits AS (
+  SELECT keyword, chunk_id, 'characters' AS field, string_agg(v, ', ' ORDER BY pos, k) AS hit FROM (SELECT chunk_id, pos, 1 AS k, name AS v FROM facts UNION ALL SELECT chunk_id, pos, 2, action FROM facts UNION ALL SELECT chunk_id, pos, 3, emotion FROM facts) x, asked WHERE contains(v, keyword) GROUP BY keyword, chunk_id
+  UNION ALL SELECT keyword, chunk_id, 'events', string_agg(v, ', ' ORDER BY pos, k) FROM (SELECT chunk_id, pos, 1 AS k, event AS v FROM facts UNION ALL SELECT chunk_id, pos, 2, cause FROM facts UNION ALL SELECT chunk_id, pos, 3, result FROM facts) x, asked WHERE contains(v, keyword) GROUP BY keyword, chunk_id
+  UNION ALL SELECT keyword, chunk_id, 'locations', string_agg(location, ', ' ORDER BY pos) FROM facts, asked WHERE contains(location, keyword) GROUP BY keyword, chunk_id
+  UNION ALL SELECT keyword, chunk_id, 'summary', max(chapter_hint || ' ' || source_file) FROM facts, asked WHERE contains(chapter_hint || ' ' || source_file, keyword) GROUP BY keyword, chunk_id)
+SELECT keyword, chunk_id, field, CASE WHEN length(hit) > 200 THEN substr(hit, 1, 200) || '...' ELSE hit END AS hit FROM hits""")
+def q7_index_search(spark, sf_dir):
+    """All nations, beginnings of part types and one short keyword, searched at once through the index."""
+    nations = tt.table(spark, sf_dir, "nation").select(F.col("n_name").alias("keyword"))
+    types = tt.table(spark, sf_dir, "part").select(F.substring("p_type", 1, 5)).distinct().toDF("keyword")
+    asked = nations.unionByName(types).unionByName(spark.createDataFrame([("R",)], "keyword string"))
+    index = search_index.SearchIndex(spark, scratch(spark, "search")).build(_kb(spark, sf_dir))
+    return index.search(asked).select("keyword", "chunk_id", "field", "hit")
+
+
 @query(f"WITH {tt.DOCS} SELECT chunk_id, CASE WHEN lang = 'en' THEN chunk_id ELSE chunk_id || ' [' || lang || ']' END AS evidence FROM docs")
 def q8_evidence_tags(spark, sf_dir):
     chunks = tt.doc_chunks(spark, sf_dir)
@@ -753,6 +787,22 @@ def t7_apply_labels(spark, sf_dir):
     return sections.apply_labels(tt.doc_chunks(spark, sf_dir), good)[0].select("chunk_id", "section_type")
 
 
+@query(f"""WITH {LABELS}, {tt.DOCS}, last AS (SELECT chunk_id, arg_max(CASE k WHEN 0 THEN 'author_meta' ELSE 'front_matter' END, line_no) AS section_type FROM marks WHERE k IN (0, 1) GROUP BY chunk_id)
+SELECT docs.chunk_id, CAST(NULL AS VARCHAR) AS first, section_type AS before, CASE WHEN doc_id % 5 = 0 THEN 'setting_exposition' ELSE section_type END AS now, section_type AS restored FROM docs LEFT JOIN last ON docs.chunk_id = last.chunk_id""")
+def t7_label_versions(spark, sf_dir):
+    """Labels of all documents as versions: the first state, a version of the confirmed labels, one of later labels, and one that
+    restores the second; all four are read from the same folder."""
+    good, _ = sections.validated_labels(_label_entries(spark, sf_dir))
+    chunks = tt.doc_chunks(spark, sf_dir)
+    table = versions.LabelVersions(spark, scratch(spark, "labels"))
+    table.start(chunks)
+    table.apply(good)
+    table.apply(chunks.where("doc_id % 5 = 0").select("chunk_id", F.lit("setting_exposition").alias("section_type"), F.col("doc_id").alias("line_no")))
+    table.restore(2)
+    read = lambda v, name: table.read(v).select("chunk_id", F.col("section_type").alias(name))
+    return read(1, "first").join(read(2, "before"), "chunk_id").join(read(3, "now"), "chunk_id").join(read(None, "restored"), "chunk_id")
+
+
 @query(f"""WITH {LABELS}, {tt.DOCS}, good AS (SELECT * FROM marks WHERE k IN (0, 1)), known AS (SELECT good.* FROM good WHERE chunk_id IN (SELECT chunk_id FROM docs))
 SELECT (SELECT count(*) FROM marks) AS entries, (SELECT count(*) FROM known) AS success, (SELECT count(DISTINCT chunk_id) FROM known) AS chunks_labelled, (SELECT count(*) FROM good) - (SELECT count(*) FROM known) AS errors, (SELECT count(*) FROM marks WHERE k IN (3, 4)) AS rejected""")
 def t8_apply_log(spark, sf_dir):
@@ -880,6 +930,39 @@ def st2_running_counts(spark, sf_dir):
     return spark.table(name)
 
 
+@query(f"""WITH {tt.FACTS}, base AS (SELECT name, count(*) AS count, count(DISTINCT chunk_id) AS chunk_count, min(chunk_id) AS first_chunk, max(chunk_id) AS last_chunk FROM facts GROUP BY name)
+SELECT base.name, count, chunk_count, first_chunk, last_chunk, actions, emotions FROM base JOIN ({_array_sql('name', 'action', 'actions', 5)}) a ON base.name = a.name JOIN ({_array_sql('name', 'emotion', 'emotions', 5)}) e ON base.name = e.name""")
+def st2_running_characters(spark, sf_dir):
+    """The character index kept by a stream over records that come in no order; half of the files come after a restart."""
+    from loretable.streaming.intake import chunk_stream
+    from loretable.streaming.running_index import read_running_index, start_running_index
+
+    records = tt.canon(spark, sf_dir).select("chunk_id", "characters")
+    path, out, checkpoint = (scratch(spark, n) for n in ("records", "running", "running_checkpoint"))
+    for half in range(2):
+        records.where(F.pmod(F.xxhash64("chunk_id"), F.lit(2)) == half).repartition(4, "chunk_id").write.mode("append").parquet(path)
+        start_running_index(chunk_stream(spark, path, records.schema, 2), out, checkpoint, most=5).awaitTermination()
+    found = read_running_index(spark, out)
+    return found.select("name", "count", "chunk_count", "first_chunk", "last_chunk", F.array_join("actions", "|").alias("actions"), F.array_join("emotions", "|").alias("emotions"))
+
+
+@query(f"""WITH {tt.ANSWERS}, per AS (SELECT chunk_id, count(*) AS n, least(count(*) FILTER (cut), 2) AS stage, bool_or(valid) AS ok, coalesce(min(CASE WHEN valid THEN attempt END), max(attempt)) AS attempt FROM answers GROUP BY chunk_id)
+SELECT chunk_id, CASE WHEN ok THEN 'success' WHEN n > 2 THEN 'failed' ELSE 'pending' END AS status, CASE WHEN ok OR n > 2 THEN attempt END AS attempt, CASE WHEN ok THEN {RECORD} END AS json,
+  CASE WHEN ok OR n <= 2 THEN NULL WHEN cut THEN 'Unterminated string starting at: line 1 column 38 (char 37)' ELSE '$.summary: missing; $.summmary: not allowed' END AS reason,
+  CASE WHEN NOT ok AND n <= 2 THEN 'retry' END AS ask, n AS attempts, CAST(stage AS INTEGER) AS stage, CASE WHEN NOT ok AND n <= 2 THEN 2048 END AS max_tokens FROM per JOIN answers USING (chunk_id, attempt)""")
+def r11_ladder_stream(spark, sf_dir):
+    """The retry ladder as a stream over answers in no order; half of the files come after a restart."""
+    from loretable.streaming.attempts import situations, start_ladder
+    from loretable.streaming.intake import chunk_stream
+
+    answers = tt.responses(spark, sf_dir)
+    path, out, checkpoint = (scratch(spark, n) for n in ("answers", "ladder", "ladder_checkpoint"))
+    for half in range(2):
+        answers.where(F.pmod(F.xxhash64("chunk_id", "attempt"), F.lit(2)) == half).repartition(4, "attempt", "chunk_id").write.mode("append").parquet(path)
+        start_ladder(chunk_stream(spark, path, answers.schema, 2), out, checkpoint, kind="canon").awaitTermination()
+    return situations(spark, out).select("chunk_id", "status", "attempt", "json", "reason", "ask", "attempts", "stage", "max_tokens")
+
+
 @query(f"WITH {GATED} SELECT chunk_id, coalesce(reason, 'pending') AS went FROM gate")
 def st1_intake(spark, sf_dir):
     """The documents table as a stream of files, gated into two tables; a second start finds nothing new."""
@@ -897,13 +980,12 @@ def st1_intake(spark, sf_dir):
 # ---- sinks and sources, written and read again
 
 
-@query(f"WITH {PACKED} SELECT 'doc' || CAST(doc_id AS VARCHAR) AS source_name, count(*) AS chunks, CAST(sum(length(text)) AS BIGINT) AS chars FROM chunks WHERE doc_id % 50 = 7 GROUP BY doc_id")
+@query(f"WITH {PACKED} SELECT 'doc' || CAST(doc_id AS VARCHAR) AS source_name, count(*) AS chunks, CAST(sum(length(text)) AS BIGINT) AS chars FROM chunks GROUP BY doc_id")
 def s7_chunk_tables(spark, sf_dir):
-    """Chunk tables by source; one source in fifty, as each is a folder."""
-    raw = tt.table(spark, sf_dir, "documents").where("doc_id % 50 = 7").select(F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("source_name"), F.concat("source", F.lit(".txt")).alias("source_file"), "text")
+    """Chunks of all sources, written by buckets of sources and read again."""
     path = scratch(spark, "chunks")
-    io.write_chunks(chunking.chunk_documents(raw, most=500, gap="\\n", ends=".!?"), path)
-    return spark.read.parquet(path).groupBy("source_name").agg(F.count("*").alias("chunks"), F.sum(F.length("text")).alias("chars"))
+    io.write_chunks(chunking.chunk_documents(tt.raw_texts(spark, sf_dir), most=500, gap="\\n", ends=".!?"), path, buckets=16)
+    return io.read_chunks(spark, path).groupBy("source_name").agg(F.count("*").alias("chunks"), F.sum(F.length("text")).alias("chars"))
 
 
 @query(f"WITH {tt.FACTS} SELECT location, count(*) AS count, count(DISTINCT chunk_id) AS chunk_count FROM facts GROUP BY location")
@@ -933,6 +1015,44 @@ def s5_json_lines(spark, sf_dir):
     return good.select(F.lit(True).alias("good"), F.col("kind").alias("what")).unionByName(bad.select(F.lit(False), F.col("line")).toDF("good", "what"))
 
 
+@query("""SELECT row_number() OVER (ORDER BY event_id) AS line_no, CASE WHEN event_id % 10 = 4 THEN '' ELSE CAST(event_id AS VARCHAR) || ' ' || event_type END AS line FROM events""")
+def s5_line_numbers(spark, sf_dir):
+    """Events in order as lines (every tenth is blank), in files that are each read by ranges; a line's number in the whole table is
+    its number in its file and the lines of the files before."""
+    from loretable.sources.lines import read_lines
+
+    e, path = tt.table(spark, sf_dir, "events"), scratch(spark, "ordered")
+    text = F.when(F.col("event_id") % 10 == 4, "").otherwise(F.concat_ws(" ", F.col("event_id").cast("string"), "event_type"))
+    e.select("event_id", text.alias("value")).repartitionByRange(3, "event_id").sortWithinPartitions("event_id").select("value").write.text(path)
+    at = scratch(spark, "numbered")
+    read_lines(spark, path).write.parquet(at)
+    lines = spark.read.parquet(at)
+    per = lines.groupBy("file").agg(F.max("line_no").alias("n"))
+    before = per.select("file", F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    return lines.join(before, "file").select((F.col("before") + F.col("line_no")).alias("line_no"), "line")
+
+
+#: Encodings of documents' texts by doc_id: two of UTF-8, one of GB 18030, one that neither can read in full.
+ENCODED = ("CASE WHEN doc_id % 4 < 2 THEN 'utf-8-sig' ELSE 'gb18030' END", "CASE doc_id % 4 WHEN 3 THEN chr(65533) ELSE '' END")
+
+
+@query(f"""WITH l AS (SELECT doc_id, text, string_split(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(10)) AS p FROM documents WHERE text IS NOT NULL)
+SELECT {ENCODED[0]} AS encoding, CAST(doc_id AS VARCHAR) || ' é ' || md5(string_agg(line, chr(10) ORDER BY k)) || {ENCODED[1]} AS line FROM (SELECT doc_id, unnest(range(1, len(p) + 1)) AS k, unnest(p) AS line FROM l) x GROUP BY doc_id""")
+def s1_text_files(spark, sf_dir):
+    """Documents as text files of four encodings (UTF-8 with \\n and with \\r\\n, GB 18030, and that with a byte that no character has),
+    read back in pieces; each document is a line of its number, an accent and a digest of its lines."""
+    docs = tt.table(spark, sf_dir, "documents").where("text is not null")
+    line = F.concat(F.col("doc_id").cast("string"), F.lit(" é "), F.md5(F.regexp_replace("text", "\r\n?", "\n")))
+    rows = docs.select("doc_id", line.alias("line"))
+    path = scratch(spark, "files")
+    for kind in range(4):
+        part = rows.where(F.col("doc_id") % 4 == kind)
+        out = part.select(io.encoded(F.col("line"), "utf-8" if kind < 2 else "gb18030", b"\xff" if kind == 3 else b"").alias("value"))
+        out.write.option("lineSep", "\r\n" if kind == 1 else "\n").text(f"{path}/kind={kind}")
+    pieces = io.read_pieces(spark, path)
+    return pieces.select("encoding", F.explode(F.split("text", "\n")).alias("line")).where("line <> ''")
+
+
 @query("SELECT trim(p_brand) AS alias, min(p_name) AS canonical FROM part GROUP BY p_brand")
 def s6_alias_maps(spark, sf_dir):
     """Alias objects, one per brand, with blanks around and keys of metadata."""
