@@ -39,6 +39,8 @@ LEAST_DOCUMENTS = 4
 #: Each token loses so many times the mean gain of tokens in clean text, and at least so much, so that
 #: clean text drifts downwards.
 DRIFT, LEAST_DRIFT = 2.0, 0.005
+#: Tokens within which a repeated word's gain shrinks.
+NEAR = 8
 #: A segment is significant if fewer than so many like it are expected in clean text of its length.
 SIGNIFICANT = 0.05
 PUNCTUATION = b".,;:!?\"'()[]{}*%#$&|<>-_"
@@ -78,13 +80,16 @@ class Scores(dict):
 
 
 def token_scores(words: list[bytes], scores: Scores) -> np.ndarray:
-    """The score of each token; a gain counts in full once, then by a half, a third and so on, so that
-    one word repeated over and over is no passage."""
+    """The score of each token; a gain counts in full, and by a half, a third and so on if the same word stood
+    within the NEAR tokens before, so that one word repeated over and over is no passage, while a passage that
+    comes again further on counts like the first one."""
     out = np.fromiter(map(scores.__getitem__, words), float, len(words))
-    seen: dict[bytes, int] = {}
+    last: dict[bytes, tuple[int, int]] = {}
     drift = scores.model.drift
     for i in np.flatnonzero(out > 0).tolist():
-        k = seen[words[i]] = seen.get(words[i], 0) + 1
+        at, k = last.get(words[i], (-NEAR - 1, 0))
+        k = k + 1 if i - at <= NEAR else 1
+        last[words[i]] = i, k
         if k > 1:
             out[i] = (out[i] + drift) / k - drift
     return out
@@ -225,27 +230,30 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: i
 
     gains = calibrating.where("y = 0").select("text").mapInArrow(_gains(sample, model), "n long, gain double").agg(F.sum("gain"), F.sum("n")).first()
     model.drift = max(LEAST_DRIFT, DRIFT * gains[0] / gains[1]) if gains[1] else LEAST_DRIFT
-    rows = calibrating.select("y", "text").mapInArrow(_segment_table(sample, model), "y int, n long, best double, sums array<double>").toPandas()
+    rows = calibrating.select("y", "text").mapInArrow(_strongest(sample, model), "y int, n long, best double").toPandas()
     clean = rows[(rows["y"] == 0) & (rows["n"] > 0)]
     x = clean["best"].to_numpy()
     if len(x) > 20 and x.std() > 0:
         # Gumbel by moments: the mean of -log E is then that of the standard distribution
         model.scale = float(np.pi / np.sqrt(6) / x.std())
         model.log_k = float((model.scale * x - np.log(clean["n"].to_numpy())).mean() - np.euler_gamma)
-    pairs = np.array([evidence(model, [(0, 0, s) for s in sums], n) for sums, n in zip(rows["sums"], rows["n"], strict=True)])
-    if len(pairs) and 0 < rows["y"].sum() < len(rows):
-        model.weights = _logistic(np.log1p(pairs), rows["y"].to_numpy(float))
+    # two numbers a text come back, however long it is
+    pairs = calibrating.select("y", "text").mapInArrow(_evidence(sample, model), "y int, strongest double, total double").toPandas()
+    if 0 < pairs["y"].sum() < len(pairs):
+        model.weights = _logistic(np.log1p(pairs[["strongest", "total"]].to_numpy()), pairs["y"].to_numpy(float))
     return model
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, steps: int = 40) -> tuple[float, float, float]:
-    """Weights of a logistic regression with an intercept, by Newton steps."""
+    """Weights of a logistic regression with an intercept, by Newton steps. A rare label's rows weigh more, by the
+    root of how much rarer they are, as missing a toxic text costs more than doubting a clean one."""
     x = np.column_stack((np.ones(len(x)), x))
     w = np.zeros(x.shape[1])
     keep = ridge * np.diag([0.01] + [1.0] * (x.shape[1] - 1))
+    cost = np.where(y == 1, np.sqrt((y == 0).sum() / (y == 1).sum()), 1.0)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        w -= np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + keep + 1e-9 * np.eye(len(w)), x.T @ (p - y) + keep @ w)
+        w -= np.linalg.solve((x * (cost * p * (1 - p))[:, None]).T @ x + keep + 1e-9 * np.eye(len(w)), x.T @ (cost * (p - y)) + keep @ w)
     return tuple(w.tolist())
 
 
@@ -265,20 +273,33 @@ def _gains(df: DataFrame, model: ToxicityModel):
     return work
 
 
-def _segment_table(df: DataFrame, model: ToxicityModel):
+def _strongest(df: DataFrame, model: ToxicityModel):
+    """(y, n, best): a text's tokens and the sum of its strongest segment."""
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = Scores(shared.value)
         for b in batches:
-            n, best, sums = [], [], []
+            n, best = [], []
             for text in b.column(1).to_pylist():
                 words = text.lower().encode().split()
-                found = [x[2] for x in segments(token_scores(words, scores))]
                 n.append(len(words))
-                best.append(max(found, default=0.0))
-                sums.append(found)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(best, pa.float64()), pa.array(sums, pa.list_(pa.float64()))], ["y", "n", "best", "sums"])
+                best.append(max((x[2] for x in segments(token_scores(words, scores))), default=0.0))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(best, pa.float64())], ["y", "n", "best"])
+
+    return work
+
+
+def _evidence(df: DataFrame, model: ToxicityModel):
+    """(y, strongest, total): a text's evidence by the calibrated model."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, scores = shared.value, Scores(shared.value)
+        for b in batches:
+            words = [t.lower().encode().split() for t in b.column(1).to_pylist()]
+            pairs = np.array([evidence(m, segments(token_scores(w, scores)), len(w)) for w in words]).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["y", "strongest", "total"])
 
     return work
 

@@ -64,6 +64,18 @@ def test_toxicity(spark):
     assert kept == {i for i, _ in fresh if got[i] < 0.7}
 
 
+def test_every_copy_of_a_passage_is_found(spark):
+    """The same passage at the start, in the middle and at the end scores alike; one word over and over is no passage."""
+    passage = "vile nasty foul grim mean base"
+    model = toxicity.ToxicityModel(words={w.encode(): 1.2 for w in passage.split()}, drift=0.05, log_k=-3.0)
+    clean = " ".join(f"word{i}" for i in range(200))
+    texts = [(1, f"{passage} {clean} {passage} {clean} {passage}"), (2, f"{clean} {passage} {clean}"), (3, f"{clean} " + "vile " * 200 + clean), (4, clean)]
+    spans = {r.doc_id: r.passages for r in toxicity.score(frame(spark, texts), model, passages=True).collect()}
+    assert [(p.start, p.end) for p in spans[1]] == [(0, 6), (206, 212), (412, 418)] and len({round(p.score, 9) for p in spans[1]}) == 1
+    assert [(p.start, p.end) for p in spans[2]] == [(200, 206)] and round(spans[2][0].score, 9) == round(spans[1][0].score, 9)
+    assert spans[4] == [] and sum(p.score for p in spans[3]) < 3 * spans[2][0].score
+
+
 def test_toxicity_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity.fit(frame(spark, [(1, "a")]), none)

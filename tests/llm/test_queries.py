@@ -46,6 +46,14 @@ def test_classifiers(spark, documents, name, modulus, held, threshold):
     for r in rows:
         assert r.held_out == (remainder(r.doc_id, modulus) == held)
         assert 0 <= r.score <= 1 and r.predicted == int(r.score >= threshold)
+    # held-out rows are ranked by their label
+    column = {"op1_toxicity": "toxic", "op9_quality": "quality"}[name]
+    label = {r.doc_id: r[column] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    pairs = [(r.score, label[r.doc_id]) for r in rows if r.held_out and label.get(r.doc_id) in (0, 1)]
+    ones, zeros = [s for s, y in pairs if y], [s for s, y in pairs if not y]
+    if ones and zeros:
+        auc = np.mean([(a > b) + 0.5 * (a == b) for a in ones for b in zeros])
+        assert auc > 0.75, (auc, len(ones), len(zeros))
 
 
 def test_op2(spark):
