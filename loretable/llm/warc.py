@@ -8,7 +8,9 @@ lines, and runs of blanks only where a page has any.
 
 from __future__ import annotations
 
+import json
 from functools import reduce
+from html.entities import html5
 from operator import or_
 
 from pyspark.sql import Column, DataFrame
@@ -17,11 +19,12 @@ from pyspark.sql import functions as F
 #: Elements whose content is no text, and elements that end a line.
 SILENT = ("script", "style", "noscript", "template")
 BREAKS = "address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h1|h2|h3|h4|h5|h6|head|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul"
-#: Character references by name that are resolved; references by number are resolved all.
-REFERENCES = {"nbsp": " ", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "copy": "©", "middot": "·", "ndash": "–", "mdash": "—", "hellip": "…", "amp": "&"}
+#: Character references by name, all that HTML has (a space for one that does not break); references by number are resolved all.
+REFERENCES = {n[:-1]: c for n, c in html5.items() if n.endswith(";")} | {"nbsp": " "}
+LONGEST = max(map(len, REFERENCES))
 #: Comments and silent elements, tags that end a line, and all other tags.
 UNSEEN = "(?is)<(?:!--.*?-->|" + "|".join(f"{t}(?:[ \\t\\r\\n/][^>]*)?>.*?</{t}[^>]*>" for t in SILENT) + ")"
-LINE_TAGS, TAGS = f"(?i)</?(?:{BREAKS})(?:[ \\t\\r\\n/][^>]*)?>", "<[^>]*>"
+LINE_TAGS, TAGS = f"(?i)</?(?:{BREAKS})(?:[ \\t\\r\\n/][^>]*)?>", "<[A-Za-z/!?][^>]*>"
 TITLE, LANG, LINKS = "(?is)<title[^>]*>(.*?)</title", "(?i)<html[^>]*[ \\t\\r\\n]lang=[\"']?([^\"' \\t\\r\\n>]*)", "(?i)<a[ \\t\\r\\n][^>]*href="
 
 
@@ -33,7 +36,12 @@ def _reference(name: Column) -> Column:
     """The character that a reference stands for, given what is between & and ;, or null."""
     code = F.when(name.rlike("^#[0-9]{1,7}$"), F.substring(name, 2, 7).cast("long")).when(name.rlike("^#[xX][0-9a-fA-F]{1,6}$"), F.conv(F.substring(name, 3, 6), 16, 10).cast("long"))
     real = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-    named = F.try_element_at(F.create_map(*[F.lit(x) for pair in REFERENCES.items() for x in pair]), name)
+    # a map of maps, so that a look-up goes through the names of one first letter only; it is a constant of the plan
+    letters: dict[str, dict[str, str]] = {}
+    for n, c in REFERENCES.items():
+        letters.setdefault(n[0], {})[n] = c
+    names = F.from_json(F.lit(json.dumps(letters)), "map<string,map<string,string>>")
+    named = F.try_element_at(F.try_element_at(names, F.substring(name, 1, 1)), name)
     return F.coalesce(named, F.when(real, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")))
 
 
@@ -41,7 +49,7 @@ def _resolved(text: Column) -> Column:
     """Character references are resolved once, from left to right; what is none stays as it stands."""
 
     def piece(p: Column, i: Column) -> Column:
-        end = F.instr(F.substring(p, 1, 9), ";")
+        end = F.instr(F.substring(p, 1, LONGEST + 1), ";")
         char = F.when((i > 0) & (end > 2), _reference(F.substring(p, F.lit(1), end - 1)))
         return F.when(char.isNotNull(), F.concat(char, F.substring(p, end + 1, F.length(p)))).when(i > 0, F.concat(F.lit("&"), p)).otherwise(p)
 
@@ -87,7 +95,9 @@ def derive(
     conversion record the plain text. record_id, date and source_headers name columns of the source
     that are carried over; what it does not give is derived (identifier) or null. Null payloads
     count as empty and null addresses stay null; repeated rows give equal records again. Column
-    names of the source do not matter beyond those named.
+    names of the source do not matter beyond those named. An empty table gives no records. A very long page is
+    read as a whole by one task, in a fixed number of passes. A `<` that starts no tag (no letter, /, ! or ? behind
+    it) is text. Names of references are those of HTML, with their semicolon.
     """
     body = F.coalesce(F.col(payload), F.lit(""))
     named = responses.select(F.col(key).alias("key"), F.col(uri).alias("target_uri"), body.alias("body"), digest(body).alias("source_digest"), *[c.alias(n) for n, c in (
@@ -139,11 +149,10 @@ def _sql_text(c: str) -> str:
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     for pattern, to in ((UNSEEN, "''"), (LINE_TAGS, "chr(10)"), (TAGS, "''")):
         c = f"regexp_replace({c}, {quote(pattern)}, {to}, 'g')"
-    names = " ".join(f"WHEN {quote(n)} THEN {quote(ch)}" for n, ch in REFERENCES.items())
     name = "split_part(p, ';', 1)"
     code = f"CASE WHEN regexp_full_match({name}, '#[0-9]{{1,7}}') THEN CAST(substr({name}, 2) AS BIGINT) WHEN regexp_full_match({name}, '#[xX][0-9a-fA-F]{{1,6}}') THEN CAST('0x' || substr({name}, 3) AS BIGINT) END"
-    char = f"coalesce(CASE {name} {names} END, CASE WHEN {code} BETWEEN 1 AND 55295 OR {code} BETWEEN 57344 AND 1114111 THEN chr(CAST({code} AS INTEGER)) END)"
-    piece = f"CASE WHEN contains(p, ';') AND length({name}) BETWEEN 2 AND 8 THEN coalesce({char} || substr(p, length({name}) + 2), '&' || p) ELSE '&' || p END"
+    char = f"coalesce((MAP {{{', '.join(f'{quote(n)}: {quote(ch)}' for n, ch in REFERENCES.items())}}})[{name}], CASE WHEN {code} BETWEEN 1 AND 55295 OR {code} BETWEEN 57344 AND 1114111 THEN chr(CAST({code} AS INTEGER)) END)"
+    piece = f"CASE WHEN contains(p, ';') AND length({name}) BETWEEN 2 AND {LONGEST} THEN coalesce({char} || substr(p, length({name}) + 2), '&' || p) ELSE '&' || p END"
     c = f"(SELECT split_part(t, '&', 1) || array_to_string(list_transform(string_split(t, '&')[2:], lambda p: {piece}), '') FROM (SELECT {c} AS t) q)"
     c = f"regexp_replace({c}, '[ \\t\\r\\x0b\\x0c]+', ' ', 'g')"
     return f"regexp_replace(regexp_replace({c}, ' ?\\n[ \\n]*', chr(10), 'g'), '^[ \\n]+|[ \\n]+$', '', 'g')"

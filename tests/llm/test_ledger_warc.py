@@ -154,6 +154,8 @@ def test_references_and_attributes(spark):
         "a\t\r b<p><br/> <i>c</i> </p>\n\n d": "a b\nc\nd",
         "<style\n>x</style><!-- <p> --><noscript>y</noscript>z": "z",
         "<scripts>kept</scripts>": "kept",
+        "if a < b and c > d then &eacute; &ouml; &CounterClockwiseContourIntegral; &NotEqualTilde;": "if a < b and c > d then é ö ∳ ≂̸",
+        "1 <2 <b>x</b> 3<4 <!DOCTYPE x><?pi?>y &nbsp;z &amp &AMP; &Eacute;&eacute": "1 <2 x 3<4 y z &amp & É&eacute",
     }
     rows = [(k, "u", f"<html class=q lang='fr'><body><a\nhref=x></a>{html}") for k, html in enumerate(cases)]
     got = warc.derive(spark.createDataFrame(rows, "page_id int, url string, html string")).collect()
