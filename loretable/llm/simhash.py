@@ -33,9 +33,9 @@ SMALL = 16
 #: and how many of its nearest ones a text of a large group meets in the first round (in each
 #: further one so many times more).
 STAGE_TAU, SIMILAR, NEAREST = 14, 0.8, 16
-#: Bits in which the second fingerprints of candidates may differ: texts that met by chance differ in 32 on
-#: average (one in 2500 in no more than this), those with a similarity of 0.8 in 10 (one in 500 in more).
-SECOND_TAU = 18
+#: Further fingerprints of candidates, and bits in which they may differ together: of their 192 bits texts that met by
+#: chance differ in 96 on average, those with a similarity of 0.8 in 29 (one in 500 in more), of 0.6 in 44, of 0.5 in 51.
+OTHERS, OTHERS_TAU = ["second", "third", "fourth"], 44
 
 
 def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
@@ -101,28 +101,31 @@ def shared_at_most(a: bytes, b: bytes) -> int:
 def fingerprints(docs: DataFrame, shingle: int = 5, keyed: bool = False) -> DataFrame:
     """(doc_id, fp) with fp as a signed long; null and empty texts have fp 0.
 
-    keyed: the text's key, a second fingerprint (of the same hashes, mixed), the number of its distinct
+    keyed: the text's key, further fingerprints (of the same hashes, mixed), the number of its distinct
     shingles and their sketch too.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps, seconds, sizes, sketches = [], [], [], []
+            fps, others, sizes, sketches = [], [], [], []
             for text in b.column(1):
                 hashes = shingle_hashes(text.as_py().encode(), shingle)
                 fps.append(fingerprint_of(hashes))
                 if keyed:
-                    seconds.append(fingerprint_of(_mixed(hashes)))
+                    mixed = hashes
+                    for _ in OTHERS:
+                        others.append(fingerprint_of(mixed := _mixed(mixed)))
                     distinct = np.unique(hashes)
                     sizes.append(len(distinct))
                     sketches.append(sketch(distinct))
             columns = [b.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))]
             if keyed:
-                columns += [b.column(2), pa.array(np.array(seconds, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", "key", "second", "n", "sketch"][: len(columns)])
+                further = np.array(others, np.uint64).view(np.int64).reshape(-1, len(OTHERS))
+                columns += [b.column(2), *map(pa.array, further.T.copy()), pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", "key", *OTHERS, "n", "sketch"][: len(columns)])
 
     texts = documents_of(docs)
-    return texts.withColumn("key", text_key(F.col("text"))).mapInArrow(work, "doc_id long, fp long, key string, second long, n long, sketch binary") if keyed else texts.mapInArrow(work, "doc_id long, fp long")
+    return texts.withColumn("key", text_key(F.col("text"))).mapInArrow(work, f"doc_id long, fp long, key string, {', '.join(f'{c} long' for c in OTHERS)}, n long, sketch binary") if keyed else texts.mapInArrow(work, "doc_id long, fp long")
 
 
 @dataclass(frozen=True)
@@ -219,7 +222,7 @@ def _emit(parts: list[Part]):
 
 
 def _rows(part: int, key: np.ndarray, right: np.ndarray, own: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), part, np.int8)), pa.array(key.view(np.int64)), pa.array(right), *map(pa.array, own)], ["part", "key", "right", "fp", "root", "second", "node"][: 3 + len(own)])
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), part, np.int8)), pa.array(key.view(np.int64)), pa.array(right), *map(pa.array, own)], ["part", "key", "right", "fp", "root", "node", *OTHERS][: 3 + len(own)])
 
 
 def group_links(fp: np.ndarray, right: np.ndarray, within: bool, tau: int) -> list[tuple[int, int]]:
@@ -258,17 +261,24 @@ def group_links(fp: np.ndarray, right: np.ndarray, within: bool, tau: int) -> li
     return out
 
 
+def apart(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Bits in which several fingerprints differ together."""
+    return sum((np.bitwise_count(x ^ y).astype(np.int64) for x, y in zip(a, b, strict=True)), 0)
+
+
 def group_pairs(fp: np.ndarray, extra: tuple[np.ndarray, ...], right: np.ndarray, within: bool, tau: int, most: int, fresh) -> tuple[np.ndarray, bool]:
     """Pairs of nodes of one group, left with left (if within) and left with right, that have different
-    roots, agree in their second fingerprints and are fresh: for each row the nearest most ones. Whether
-    some row has more. extra: root, second fingerprint and node of each row."""
+    roots, agree in their further fingerprints and are fresh: for each row the nearest most ones. Whether
+    some row has more. extra: root, node and further fingerprints of each row."""
     is_left, out, more = right == 0, [np.empty((0, 2), np.int64)], False
-    left, (own, other, nodes) = fp[is_left], (x[is_left] for x in extra)
-    for rows, (roots, seconds, ends) in [(fp[~is_left], [x[~is_left] for x in extra]), *([(left, (own, other, nodes))] if within else [])]:
+    left, (own, nodes, *others) = fp[is_left], (x[is_left] for x in extra)
+    for rows, (roots, ends, *further) in [(fp[~is_left], [x[~is_left] for x in extra]), *([(left, (own, nodes, *others))] if within else [])]:
         step = max(1, 400_000 // max(1, len(left)))
         for lo in range(0, len(rows), step):
             bits = np.bitwise_count(rows[lo : lo + step, None] ^ left)
-            i, k = np.nonzero((bits <= tau) & (roots[lo : lo + step, None] != own) & (np.bitwise_count(seconds[lo : lo + step, None] ^ other) <= SECOND_TAU))
+            i, k = np.nonzero((bits <= tau) & (roots[lo : lo + step, None] != own))
+            alike = apart([f[lo + i] for f in further], [o[k] for o in others]) <= OTHERS_TAU
+            i, k = i[alike], k[alike]
             new = fresh(rows[lo + i] ^ left[k])
             i, k = i[new], k[new]
             order = np.lexsort((bits[i, k], i))
@@ -284,8 +294,8 @@ def _compare(tau: int, parts: list[Part], most: int | None = None):
     """Over rows sorted by group with left ones first: links found in each group (a, b, more).
 
     A group is held up to its BLOCK of left rows; right ones are streamed past it. most: rows have a root,
-    a second fingerprint and a node too, and what is given are pairs of nodes with different roots and
-    second fingerprints at SECOND_TAU or fewer bits, each in the first part in which it meets, of a row in
+    a node and further fingerprints too, and what is given are pairs of nodes with different roots and
+    further fingerprints at OTHERS_TAU or fewer bits, each in the first part in which it meets, of a row in
     a large group the nearest most ones only; more says that this left some out.
     """
     masks = [(np.uint64(sum(1 << x for x in p.bits)), p.threshold) for p in parts]
@@ -324,8 +334,8 @@ def _compare(tau: int, parts: list[Part], most: int | None = None):
                 i = np.flatnonzero(ok)
                 i = i[np.bitwise_count(f[i] ^ f[i + d]) <= tau]
                 if extra:
-                    root, second, node = (x[small] for x in extra)
-                    i = i[(root[i] != root[i + d]) & (np.bitwise_count(second[i] ^ second[i + d]) <= SECOND_TAU)]
+                    root, node, *others = (x[small] for x in extra)
+                    i = i[(root[i] != root[i + d]) & (apart([o[i] for o in others], [o[i + d] for o in others]) <= OTHERS_TAU)]
                     ours = part[small][i]
                     for at in np.unique(ours).tolist():
                         j = i[ours == at]
@@ -347,7 +357,7 @@ def _compare(tau: int, parts: list[Part], most: int | None = None):
 
         for b in batches:
             cols = [b.column(i).to_numpy(zero_copy_only=False) for i in range(b.num_columns)]
-            cols[5:] = [c.astype(np.int64).view(np.uint64) if k != 3 else c.astype(np.int64) for k, c in enumerate(cols[5:])]
+            cols[5:] = [c.astype(np.int64).view(np.uint64) if k != 2 else c.astype(np.int64) for k, c in enumerate(cols[5:])]
             if held:
                 cols = [np.concatenate(x) for x in zip(held, cols, strict=True)]
             part, key, bi, bj = cols[:4]
@@ -381,19 +391,19 @@ def near_links(fps: DataFrame, tau: int = 4, block: int = BLOCK) -> DataFrame:
 
 
 def near_pairs(rooted: DataFrame, tau: int, most: int, block: int = BLOCK) -> DataFrame:
-    """(a, b, more): pairs of nodes (fp, root, second, node) with different roots whose fingerprints differ in
-    at most tau bits, and in at most SECOND_TAU in the second one, once, with a < b. In large groups of a
+    """(a, b, more): pairs of nodes (fp, root, node, OTHERS) with different roots whose fingerprints differ in
+    at most tau bits, and in at most OTHERS_TAU in the further ones, once, with a < b. In large groups of a
     part each gets its nearest most ones; more is true where that left some out. So a dense group gives a
     number of pairs that is linear in its size.
     """
-    met, parts = _met(rooted.select("fp", "root", "second", "node"), tau, block, emit_cost=300.0)
+    met, parts = _met(rooted.select("fp", "root", "node", *OTHERS), tau, block, emit_cost=300.0)
     found = met.mapInArrow(_compare(tau, parts, most), "a long, b long, more boolean")
     return found.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("more").alias("more"))
 
 
 def _met(fps: DataFrame, tau: int, block: int, emit_cost: float = 40.0) -> tuple[DataFrame, list[Part]]:
-    """Rows for _compare, sorted by group: part, key, two block numbers, right, fp (and root, second
-    fingerprint and node, if given), and the parts."""
+    """Rows for _compare, sorted by group: part, key, two block numbers, right, fp (and root, node and
+    further fingerprints, if given), and the parts."""
     n = fps.count()
     sample = fps.select("fp").where(share_of("fp", SAMPLE / max(n, 1), 3)).toPandas()["fp"]
     parts = allot(np.random.default_rng(0).permutation(np.sort(sample.to_numpy(np.int64))).view(np.uint64), n, tau, emit_cost)
@@ -407,7 +417,7 @@ def _met(fps: DataFrame, tau: int, block: int, emit_cost: float = 40.0) -> tuple
     if hot.isEmpty():
         dealt = rows.select("part", "key", F.lit(0).alias("bi"), F.lit(0).alias("bj"), "right", *given)
     else:
-        mine = F.pmod(F.xxhash64(given[-1]), F.col("blocks")).cast("int")
+        mine = F.pmod(F.xxhash64("node" if "node" in given else "fp"), F.col("blocks")).cast("int")
         every = rows.join(hot, ["part", "key"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("mine", mine).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         right = F.col("right") == 1
         dealt = every.select(
@@ -428,7 +438,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, tau: int = 4) -> DataFram
     fingerprints are linked (those of empty and null texts too: zero); they are joined into one before
     any search, so a large group of copies costs one row. Repeated doc_ids give repeated rows. Null
     doc_ids keep their row and never name a component unless it holds nothing else. An empty table
-    gives an empty result.
+    gives an empty result. A very long text is one pass in one task, which holds it and its shingles' hashes.
     """
     fps = materialize(fingerprints(docs, shingle), "fingerprints")
     distinct = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies")), "distinct")
@@ -512,7 +522,7 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int,
 def similar_dedup(docs: DataFrame, shingle: int = 5, tau: int = STAGE_TAU, similarity: float = SIMILAR, most: int = NEAREST) -> DataFrame:
     """One document of each group of near copies stays (the smallest doc_id), with all its columns.
 
-    Candidates are texts whose fingerprints differ in at most tau bits (and second ones in SECOND_TAU);
+    Candidates are texts whose fingerprints differ in at most tau bits (and further ones in OTHERS_TAU);
     linked are those whose sets of word shingles have a Jaccard similarity of at least similarity,
     computed in full. Equal texts are one node. Nodes meet in rounds, each with its nearest ones that it
     is not joined to yet, and with more of them in each round until none is left out, so a dense group is
@@ -521,11 +531,11 @@ def similar_dedup(docs: DataFrame, shingle: int = 5, tau: int = STAGE_TAU, simil
     tables and columns of any name: as in near_dedup.
     """
     fps = materialize(fingerprints(docs, shingle, keyed=True), "fingerprints")
-    nodes = fps.groupBy("key").agg(F.min(F.struct("fp", "second", "n", "sketch")).alias("r")).select("key", "r.*").withColumn("node", F.monotonically_increasing_id())
+    nodes = fps.groupBy("key").agg(F.min(F.struct("fp", *OTHERS, "n", "sketch")).alias("r")).select("key", "r.*").withColumn("node", F.monotonically_increasing_id())
     nodes = materialize(nodes, "nodes")
     tested = links = roots = None
     while True:
-        rooted = nodes.select("fp", "second", "node") if roots is None else nodes.select("fp", "second", "node").join(roots, "node", "left")
+        rooted = nodes.select("fp", *OTHERS, "node") if roots is None else nodes.select("fp", *OTHERS, "node").join(roots, "node", "left")
         rooted = rooted.withColumn("root", F.col("node") if roots is None else F.coalesce("root", "node"))
         near = materialize(near_pairs(materialize(rooted, "rooted"), tau, most), "near")
         now = near.select(F.col("a").alias("x"), F.col("b").alias("y"))
