@@ -290,6 +290,7 @@ def round_trip(docs: DataFrame, ranks_path: str | None = None, pattern: str | No
 
     Encodes each whole text by the tree (leaf: characters of a leaf) and decodes the ids again in the
     same task, so neither ids nor bytes are moved. Null texts count as empty; repeated rows give repeated rows; an empty table an empty result.
+    A very long text is one task's work, leaf by leaf; its ids are held as it is joined.
     """
     default = vocabulary()
     path, pat = ranks_path or default[0], pattern or default[1]

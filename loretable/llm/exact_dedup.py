@@ -26,7 +26,7 @@ def exact_groups(docs: DataFrame, content_hash=lambda text: F.unhex(F.md5(text))
     copies sends one text a task. Where they differ (a hash collision) rows are grouped again by the
     text itself. Rows of large groups meet their group's row in several tasks. A row repeated with the
     same doc_id counts as often as it stands there, and every repetition is returned; null doc_ids sort
-    last. An empty table gives an empty result.
+    last. An empty table gives an empty result. A very long text is hashed and compared as a whole by one task.
 
     content_hash: column function for the 128-bit hash of the normalised text.
     """

@@ -239,7 +239,8 @@ def best_fit_packing(docs: DataFrame, capacity: int = 4096, tokenizer: str | Non
 
     Sequences hold at most capacity ids; offsets in them have no gaps. Null and empty texts are a
     piece of the end id alone. Repeated rows are packed as often as they stand there. An empty table
-    gives an empty result.
+    gives an empty result. A very long text is encoded as a whole by one task and cut. Pieces of equal length
+    are placed in any order; which of them stands where says nothing.
     """
     cut = materialize(pieces(docs, capacity, tokenizer, end_id).withColumn("row", F.monotonically_increasing_id()), "cut")
     items = cut.select(F.struct("row", "doc_id", "piece", "start", "ids_crc32").alias("key"), "length")

@@ -207,13 +207,13 @@ def count_tokens(docs: DataFrame, versions: dict[str, str] | None = None, op: st
 
 
 def estimated_counts(docs: DataFrame, version: str) -> DataFrame:
-    """Changes that set a quick estimate: the number of words between blanks."""
+    """Changes that set a quick estimate: the number of words between blanks. Null texts count 0, other nulls are kept as they are."""
     words = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != ""))
     return docs.select(F.lit("insert").alias("op"), F.col("doc_id").cast("long").alias("doc_id"), "source", "lang", F.lit(version).alias("version"), words.cast("long").alias("n_tokens"))
 
 
 def deleted(docs: DataFrame, versions: list[str]) -> DataFrame:
-    """Changes that take documents out of the totals of some versions."""
+    """Changes that take documents out of the totals of some versions; rows without an id take out the documents without one."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(F.array(*map(F.lit, versions))).alias("version"))
     none = F.lit(None).cast("string")
     return rows.select(F.lit("delete").alias("op"), "doc_id", none.alias("source"), none.alias("lang"), "version", F.lit(None).cast("long").alias("n_tokens"))
