@@ -32,6 +32,7 @@ def containment(names: DataFrame, q: int = 3) -> DataFrame:
     return met.select("alias", "canonical_candidate", "alias_count", "canonical_count")
 
 
+# The texts of reasons, as they stand in the table of candidates, are part of the functions below.
 def classified(pairs: DataFrame) -> DataFrame:
     """pairs with ratio, rule, confidence, auto_accept and reason."""
     ratio = F.col("alias_count") / F.col("canonical_count")

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from itertools import accumulate, pairwise
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loretable.functions.text import strip
@@ -124,6 +124,23 @@ def chunk_documents(raw: DataFrame, most: int = MAX_CHARS, titles: str | None =
     return raw.where("text is not null").select("source_name", "source_file", "text").mapInArrow(work, CHUNKS)
 
 
+def register_sql(spark: SparkSession, name: str = "chunk_text", titles: str | None = None, gap: str = PARAGRAPH_GAP, ends: str = SENTENCE_ENDS) -> None:
+    """A table function for SQL: SELECT … FROM texts t, LATERAL chunk_text(t.text, 4900), with the columns chunk_idx,
+    chapter_hint, char_start, char_end, text. It gives the chunks that chunk_documents gives; null texts give none."""
+    forms = f"(?:{titles or '|'.join(TITLES)})"
+
+    class ChunkText:
+        def __init__(self) -> None:
+            self.title, self.starts, self.gaps = re.compile(forms), re.compile(f"(?m)^(?={forms})"), re.compile(gap)
+
+        def eval(self, text: str, most: int) -> Iterator[tuple]:
+            hints, made = chunked(text or "", self.title, self.starts, self.gaps, most, ends)
+            for i, (hint, chunk, (start, end)) in enumerate(zip(hints, made, located(text or "", made), strict=True), 1):
+                yield i, hint, start, end, chunk
+
+    spark.udtf.register(name, F.udtf(ChunkText, returnType="chunk_idx int, chapter_hint string, char_start bigint, char_end bigint, text string"))
+
+
 def run_summary(raw: DataFrame, chunks: DataFrame, encoding: str = "encoding", limit_chars: int | None = None, limit_lines: int | None = None) -> DataFrame:
     """Per source: encoding, characters in all and within the limits, the limits, chunks, first and last chunk id."""
     per = chunks.groupBy("source_name").agg(F.count("*").alias("chunk_count"), F.min_by("chunk_id", "chunk_idx").alias("first_chunk"), F.max_by("chunk_id", "chunk_idx").alias("last_chunk"))

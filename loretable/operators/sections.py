@@ -19,6 +19,7 @@ KEYWORDS = {
     "in_universe_document": ("实验记录", "(?:档案|报告)(?:编号|编码)", "(?:日志|日记)(?:条目|记录)", "(?:密级|机密等级)", "(?:收件人|发件人|致：|To：)", "(?:附录|appendix)"),
     "setting_exposition": ("(?:职业|阶级|等级)(?:体系|系统|说明|介绍|一览)", "(?:魔法|技能|能力)(?:体系|系统|分类|说明)", "(?:世界观|背景)(?:设定|说明|介绍)", "(?:种族|势力|阵营)(?:介绍|说明|一览)"),
 }
+# Signs of dialogue, narrative verbs, and numbered lines.
 DIALOGUE = ('["「」『』【】]', "(?:说|道|问|答|喊|叫|笑|叹|吼)(?:道|着|了)?[：:，,]")
 NARRATION = ("(?:走|跑|跳|飞|坐|站|躺|蹲|爬)", "(?:看着|望着|盯着|注视|凝视)", "(?:拿起|放下|举起|扔出|抓住)", "(?:心想|暗想|心中|内心|脑海)")
 NUMBERED = "\\A\\d+[.、)]"

@@ -531,6 +531,14 @@ def k4_chunks(spark, sf_dir):
     return chunking.chunk_documents(tt.raw_texts(spark, sf_dir), most=500, gap="\\n", ends=".!?").withColumn("text_md5", F.md5("text")).drop("text")
 
 
+@query(f"WITH {PACKED} SELECT 'doc' || CAST(doc_id AS VARCHAR) AS source_name, i AS chunk_idx, '正文' AS chapter_hint, start AS char_start, start + length(text) AS char_end, md5(text) AS text_md5 FROM chunks")
+def k4_chunks_sql(spark, sf_dir):
+    """The same through SQL: the chunker as a table function beside each text."""
+    chunking.register_sql(spark, "chunk_text", gap="\\n", ends=".!?")
+    tt.raw_texts(spark, sf_dir).createOrReplaceTempView("texts_to_chunk")
+    return spark.sql("SELECT t.source_name, c.chunk_idx, c.chapter_hint, c.char_start, c.char_end, md5(c.text) AS text_md5 FROM texts_to_chunk t, LATERAL chunk_text(t.text, 500) c")
+
+
 @query("""WITH lines AS (SELECT doc_id, k, x, regexp_matches(x, '^(the|un|der)') AS titled, sum(CASE WHEN regexp_matches(x, '^(the|un|der)') THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY k) AS nth
   FROM (SELECT doc_id, unnest(range(1, len(p) + 1)) AS k, unnest(p) AS x FROM (SELECT doc_id, string_split(lower(text), chr(10)) AS p FROM documents) a) b),
 cut AS (SELECT doc_id, nth, string_agg(x, chr(10) ORDER BY k) AS body, arg_min(x, k) AS head, bool_or(titled) AS titled, min(k) AS k, max(nth) OVER (PARTITION BY doc_id) AS most FROM lines GROUP BY doc_id, nth)
@@ -977,9 +985,43 @@ def st1_intake(spark, sf_dir):
     return pending.unionByName(spark.read.parquet(paths[1]).select("chunk_id", F.col("reason").alias("went")))
 
 
+@query(f"WITH {GATED} SELECT chunk_id, coalesce(reason, 'pending') AS went FROM gate")
+def st1_once_intake(spark, sf_dir):
+    """Documents taken once for ever without state: the table's file comes twice, under two names."""
+    from loretable.streaming.intake import chunk_stream, start_once, taken
+
+    docs = tt.table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.lpad(F.col("doc_id").cast("string"), 9, "0")).alias("chunk_id"), "text")
+    path, root, checkpoint = (scratch(spark, n) for n in ("arrivals", "taken", "once"))
+    for _ in range(2):
+        docs.write.mode("append").parquet(path)
+        start_once(chunk_stream(spark, path, docs.schema), root, checkpoint, titles="Th|Un|De").awaitTermination()
+    return taken(spark, root).select("chunk_id", F.coalesce("structural_reason", F.lit("pending")).alias("went"))
+
+
 # ---- sinks and sources, written and read again
 
 
+@query("""SELECT 's' || CAST(s_suppkey AS VARCHAR) AS chunk_id, s_name AS summary, true AS good FROM supplier WHERE s_suppkey % 7 <> 0 UNION ALL SELECT NULL, CAST(count(*) AS VARCHAR), false FROM supplier WHERE s_suppkey % 7 = 0""")
+def s4_json_folder(spark, sf_dir):
+    """Suppliers as a folder of JSON files, one each; every seventh is cut off and counted as unreadable."""
+    s = tt.table(spark, sf_dir, "supplier")
+    record = F.to_json(F.struct(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("chunk_id"), F.col("s_name").alias("summary")))
+    path = scratch(spark, "records")
+    s.select(F.when(F.col("s_suppkey") % 7 == 0, F.substring(record, 1, 12)).otherwise(record).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    good, bad = io.load_records(spark, path, "chunk_id string, summary string", files="*.txt")
+    return good.withColumn("good", F.lit(True)).unionByName(bad.agg(F.count("*").cast("string").alias("summary")).select(F.lit(None).cast("string").alias("chunk_id"), "summary", F.lit(False).alias("good")))
+
+
+@query("SELECT DISTINCT least(trim(p_type), trim(p_brand)) AS a, greatest(trim(p_type), trim(p_brand)) AS b FROM part")
+def s6_block_pairs(spark, sf_dir):
+    """Pairs that must not be merged, as lists of objects under a key, one file for each size of parts."""
+    pairs = tt.table(spark, sf_dir, "part").select("p_size", F.struct(F.concat(F.lit(" "), "p_type").alias("a"), F.col("p_brand").alias("b")).alias("pair")).distinct()
+    lists = pairs.groupBy("p_size").agg(F.collect_list("pair").alias("pairs")).select(F.to_json(F.struct("pairs")).alias("value"))
+    path = scratch(spark, "pairs")
+    lists.write.option("maxRecordsPerFile", 1).text(path)
+    return io.read_block_pairs(spark, path)
+
+
 @query(f"WITH {PACKED} SELECT 'doc' || CAST(doc_id AS VARCHAR) AS source_name, count(*) AS chunks, CAST(sum(length(text)) AS BIGINT) AS chars FROM chunks GROUP BY doc_id")
 def s7_chunk_tables(spark, sf_dir):
     """Chunks of all sources, written by buckets of sources and read again."""

@@ -51,11 +51,11 @@ def load_chunks(spark: SparkSession, path: str) -> DataFrame:
     return texts.join(meta.where("chunk_id is not null"), "chunk_id", "left")
 
 
-def load_records(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
-    """Records of a folder of JSON files (without chunk_id: the file's name; of several with one id the
+def load_records(spark: SparkSession, path: str, schema: str, files: str = "*.json") -> tuple[DataFrame, DataFrame]:
+    """Records of a folder's files with one JSON object each (without chunk_id: the file's name; of several with one id the
     last file by name), and the names of unreadable files."""
     fields = T.StructType.fromDDL(schema).add("_bad", T.StringType())
-    texts = spark.read.option("pathGlobFilter", "*.json").text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), _stem().alias("stem"), "value")
+    texts = spark.read.option("pathGlobFilter", files).text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), _stem().alias("stem"), "value")
     rows = texts.withColumn("r", F.from_json("value", fields, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))
     bad = F.col("r").isNull() | F.col("r._bad").isNotNull()
     good = rows.where(~bad).select("file", "stem", "r.*").drop("_bad").withColumn("chunk_id", F.coalesce(F.nullif("chunk_id", F.lit("")), "stem")).drop("stem")

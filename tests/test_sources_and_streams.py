@@ -63,6 +63,27 @@ def test_intake_resumes_and_takes_each_chunk_once(spark, tmp_path):
     assert [(r.chunk_id, r.reason) for r in spark.read.parquet(out[1]).collect()] == [("2", "too_short (5 chars < 200)")]
 
 
+def test_once_for_ever_without_state(spark, tmp_path):
+    path, root, checkpoint = (str(tmp_path / x) for x in ("in", "out", "check"))
+    schema = "chunk_id string, text string, status string"
+    for n in range(4):
+        rows = [(str(i), ("x" if i % 2 else "y" * 250), f"b{n}") for i in range(3 * n, 3 * n + 6)] + [("0", "again", "late"), (None, "x", "none"), (str(3 * n + 5), "y" * 250, f"b{n}")]
+        batch(spark, path, rows)
+        intake.start_once(intake.chunk_stream(spark, path, schema, 1), root, checkpoint).awaitTermination()
+    got = intake.taken(spark, root).collect()
+    assert sorted(int(r.chunk_id) for r in got) == list(range(15))
+    assert {int(r.chunk_id): r.status for r in got if r.chunk_id != "0"} == {i: f"b{max(0, (i - 3) // 3)}" for i in range(1, 15)}
+    assert all((r.structural_reason is None) == (len(r.text) > 200) for r in got)
+    assert not list((tmp_path / "check").glob("state")) and intake.taken(spark, str(tmp_path / "none")) is None
+    # a batch that runs again writes the same
+    before = sorted(map(str, got))
+    last = max((tmp_path / "check/commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    last.unlink()
+    (last.parent / f".{last.name}.crc").unlink(missing_ok=True)
+    intake.start_once(intake.chunk_stream(spark, path, schema, 1), root, checkpoint).awaitTermination()
+    assert sorted(map(str, intake.taken(spark, root).collect())) == before
+
+
 def test_running_counts_equal_batch_counts(spark, tmp_path):
     path = str(tmp_path / "in")
     batch(spark, path, [("1", "x", "a"), ("2", "x", "b"), ("3", "x", "a")])

@@ -50,6 +50,15 @@ def test_hints_and_numbers(spark):
     assert chunking.chunk_documents(raw(spark, None)).count() == 0 and chunking.chunk_documents(raw(spark, " \n ")).count() == 0
 
 
+def test_chunks_through_sql(spark):
+    text = NOVEL.replace("\r\n", "\n")
+    chunking.register_sql(spark)
+    raw(spark, text).unionByName(raw(spark, None, "none")).createOrReplaceTempView("novels")
+    got = spark.sql("SELECT c.* FROM novels n, LATERAL chunk_text(n.text, 50) c ORDER BY c.chunk_idx").collect()
+    want = chunking.chunk_documents(raw(spark, text), 50).orderBy("chunk_idx").select("chunk_idx", "chapter_hint", "char_start", "char_end", "text").collect()
+    assert [tuple(r) for r in got] == [tuple(r) for r in want] and len(got) > 5
+
+
 def test_packing_rules():
     assert chunking.packed_sentences("一。二！三", 4) == ["一。二！", "三"]
     assert chunking.packed_sentences("abcdefghij。k", 4) == ["abcd", "efgh", "ij。k"]
