@@ -54,7 +54,7 @@ def test_run(spark, folder):
 def test_stage_list():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "quality classifier", "exact dedup", "simhash near-dedup", "best-fit packing"]
     entry = importlib.import_module("__spark_entry__")
-    assert {f"op{n}_" for n in range(1, 11)} == {k.split("_")[0] + "_" for k in entry.queries() if k.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 14)} == {k.split("_")[0] + "_" for k in entry.queries() if k.startswith("op")}
     assert "pipeline" in entry.queries()
 
 
