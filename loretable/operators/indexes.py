@@ -1,8 +1,7 @@
 """Inverted indexes of extracted records: who, where, what and with whom, by chunk.
 
 The primary product is a long table (entity, chunk, n): it is made by one aggregation with map-side
-combining, so an entity in half of all chunks is no hot group. Arrays of a bounded length are made from
-it for export.
+combining, so an entity in half of all chunks is no hot group. Whole arrays are made from it for export.
 Order is always that of (chunk, place in the chunk), never that of arrival.
 """
 
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 
 from loretable.functions.text import strip
 
-#: Items of an exported array; longer lists are read from the long tables.
+#: Items of a profile's array; longer lists are read from the long tables.
 ARRAY_ITEMS = 1000
 KINDS = {
     "characters": (("name",), ("action", "emotion")),
@@ -57,16 +56,19 @@ def values_in_order(entries: DataFrame, keys: tuple[str, ...], value: str) -> Da
     return entries.where(F.col(value) != "").groupBy(*keys, value).agg(F.count("*").alias("n"), F.min(F.struct("chunk_id", "pos")).alias("first_at"))
 
 
-def index(records: DataFrame, kind: str, most: int = ARRAY_ITEMS) -> DataFrame:
-    """An entity's count, number of chunks, first and last chunk, and its first chunks and distinct values as
-    arrays in the order of first sight, for export.
+def index(records: DataFrame, kind: str, most: int | None = None) -> DataFrame:
+    """An entity's count, number of chunks, first and last chunk, and its chunks and distinct values as arrays
+    in the order of first sight, for export.
 
     One pass over the records: entries are spread into (entity, list, value), counted with their first
-    place by one aggregation. Arrays hold the first most items each (ranks are limited before they are
-    shuffled, so no entity is gathered whole); complete says whether all are there. The whole lists stay
-    in the long tables: postings and values_in_order.
+    place by one aggregation. Arrays are whole: values are dealt by ranges of (entity, list, place), each range
+    sorts its own, and an entity's row only puts its ranges' values together, so a list that holds most of
+    the table is sorted by many tasks. most: arrays hold the first so many items each, for a preview (ranks
+    are limited before they are shuffled), and complete says whether all are there. The long tables of the
+    same are postings and values_in_order.
     """
     keys, values = KINDS[kind]
+    lists = ("chunk", *values)
     item = lambda name, c: F.struct(F.lit(name).alias("list"), F.col(c).alias("value"))
     spread = mentions(records, kind).select(*keys, "chunk_id", "pos", F.inline(F.array(item("chunk", "chunk_id"), *[item(v, v) for v in values]))).where("value <> ''")
     counted = spread.groupBy(*keys, "list", "value").agg(F.count("*").alias("n"), F.min(F.struct("chunk_id", "pos")).alias("first_at"))
@@ -75,10 +77,16 @@ def index(records: DataFrame, kind: str, most: int = ARRAY_ITEMS) -> DataFrame:
         F.sum(of("chunk", F.col("n"))).alias("count"), F.count(of("chunk", F.col("n"))).alias("chunk_count"), F.min(of("chunk", F.col("value"))).alias("first_chunk"), F.max(of("chunk", F.col("value"))).alias("last_chunk"),
         F.min(of("chunk", F.col("first_at"))).alias("first_at"), *[F.count(of(v, F.col("n"))).alias(f"{v}_count") for v in values],
     )
+    if most is None:
+        ranged = counted.repartitionByRange(*keys, "list", "first_at", "value").withColumn("range", F.spark_partition_id())
+        sorted_ = F.transform(F.array_sort(F.collect_list(F.struct("first_at", "value"))), lambda x: x["value"])
+        parts = ranged.groupBy(*keys, "list", "range").agg(sorted_.alias("part"))
+        arrays = [F.flatten(F.transform(F.array_sort(F.collect_list(of(v, F.struct("range", "part")))), lambda x: x["part"])).alias(f"{v}s") for v in lists]
+        return per.join(parts.groupBy(*keys).agg(*arrays), [*keys]).drop(*[f"{v}_count" for v in values])
     place = F.row_number().over(Window.partitionBy(*keys, "list").orderBy("first_at", "value"))
     first = counted.withColumn("place", place).where(F.col("place") <= most)
-    arrays = [F.transform(F.array_sort(F.collect_list(of(v, F.struct("place", "value")))), lambda x: x["value"]).alias(f"{v}s") for v in ("chunk", *values)]
-    whole = reduce(and_, [F.col(f"{v}_count") <= most for v in ("chunk", *values)])
+    arrays = [F.transform(F.array_sort(F.collect_list(of(v, F.struct("place", "value")))), lambda x: x["value"]).alias(f"{v}s") for v in lists]
+    whole = reduce(and_, [F.col(f"{v}_count") <= most for v in lists])
     return per.join(first.groupBy(*keys).agg(*arrays), [*keys]).withColumn("complete", whole).drop(*[f"{v}_count" for v in values])
 
 

@@ -109,19 +109,21 @@ def m2_character_postings(spark, sf_dir):
     return indexes.postings(_entries(spark, sf_dir, "characters"), ("name",))
 
 
-def _array_sql(key: str, value: str, name: str, most: int = indexes.ARRAY_ITEMS) -> str:
-    """The first values of each key, and how many there are; arrays hold so many items, as the index says."""
+def _array_sql(key: str, value: str, name: str, most: int | None = None) -> str:
+    """The values of each key in the order of first sight, or the first ones and how many there are."""
+    if most is None:
+        return f"SELECT {key}, string_agg(v, '|' ORDER BY c, p) AS {name} FROM (SELECT {key}, {value} AS v, min(chunk_id) AS c, arg_min(pos, chunk_id || lpad(CAST(pos AS VARCHAR), 9, '0')) AS p FROM facts WHERE {value} <> '' GROUP BY {key}, {value}) x GROUP BY {key}"
     return f"""SELECT {key}, string_agg(v, '|' ORDER BY place) FILTER (place <= {most}) AS {name}, count(*) AS {name}_n FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY c, p, v) AS place FROM (
   SELECT {key}, {value} AS v, min(chunk_id) AS c, arg_min(pos, chunk_id || lpad(CAST(pos AS VARCHAR), 9, '0')) AS p FROM facts WHERE {value} <> '' GROUP BY {key}, {value}) x) y GROUP BY {key}"""
 
 
 @query(f"""
 WITH {tt.FACTS}, base AS (SELECT name, count(*) AS count, count(DISTINCT chunk_id) AS chunk_count, min(chunk_id) AS first_chunk, max(chunk_id) AS last_chunk FROM facts GROUP BY name)
-SELECT base.name, count, chunk_count, first_chunk, last_chunk, actions, emotions, actions_n <= 1000 AND emotions_n <= 1000 AND chunk_count <= 1000 AS complete
+SELECT base.name, count, chunk_count, first_chunk, last_chunk, actions, emotions
 FROM base JOIN ({_array_sql('name', 'action', 'actions')}) a ON base.name = a.name JOIN ({_array_sql('name', 'emotion', 'emotions')}) e ON base.name = e.name""")
 def m2_character_index(spark, sf_dir):
     i = indexes.index(tt.canon(spark, sf_dir), "characters")
-    return i.select("name", "count", "chunk_count", "first_chunk", "last_chunk", F.array_join("actions", "|").alias("actions"), F.array_join("emotions", "|").alias("emotions"), "complete")
+    return i.select("name", "count", "chunk_count", "first_chunk", "last_chunk", F.array_join("actions", "|").alias("actions"), F.array_join("emotions", "|").alias("emotions"))
 
 
 @query(f"WITH {tt.FACTS} SELECT location, count(*) AS count, count(DISTINCT chunk_id) AS chunk_count, min(chunk_id) AS first_chunk, max(chunk_id) AS last_chunk FROM facts GROUP BY location")
@@ -131,17 +133,17 @@ def m3_location_index(spark, sf_dir):
 
 @query(f"""
 WITH {tt.FACTS}, base AS (SELECT event, count(*) AS count, count(DISTINCT chunk_id) AS chunk_count FROM facts GROUP BY event)
-SELECT base.event, count, chunk_count, causes, results, causes_n <= 1000 AND results_n <= 1000 AND chunk_count <= 1000 AS complete FROM base JOIN ({_array_sql('event', 'cause', 'causes')}) a ON base.event = a.event JOIN ({_array_sql('event', 'result', 'results')}) e ON base.event = e.event""")
+SELECT base.event, count, chunk_count, causes, results, causes_n <= 1000 AND results_n <= 1000 AND chunk_count <= 1000 AS complete FROM base JOIN ({_array_sql('event', 'cause', 'causes', indexes.ARRAY_ITEMS)}) a ON base.event = a.event JOIN ({_array_sql('event', 'result', 'results', indexes.ARRAY_ITEMS)}) e ON base.event = e.event""")
 def m4_event_index(spark, sf_dir):
-    i = indexes.index(tt.canon(spark, sf_dir), "events")
+    i = indexes.index(tt.canon(spark, sf_dir), "events", indexes.ARRAY_ITEMS)
     return i.select("event", "count", "chunk_count", F.array_join("causes", "|").alias("causes"), F.array_join("results", "|").alias("results"), "complete")
 
 
 @query(f"""WITH {tt.FACTS}, base AS (SELECT person_a, person_b, count(*) AS count FROM facts GROUP BY person_a, person_b)
-SELECT base.person_a, base.person_b, count, chunks, chunks_n <= 1000 AND interactions_n <= 1000 AS complete FROM base JOIN ({_array_sql('person_a, person_b', 'chunk_id', 'chunks')}) c ON base.person_a = c.person_a AND base.person_b = c.person_b
-JOIN ({_array_sql('person_a, person_b', 'interaction', 'interactions')}) i ON base.person_a = i.person_a AND base.person_b = i.person_b""")
+SELECT base.person_a, base.person_b, count, chunks, chunks_n <= 1000 AND interactions_n <= 1000 AS complete FROM base JOIN ({_array_sql('person_a, person_b', 'chunk_id', 'chunks', indexes.ARRAY_ITEMS)}) c ON base.person_a = c.person_a AND base.person_b = c.person_b
+JOIN ({_array_sql('person_a, person_b', 'interaction', 'interactions', indexes.ARRAY_ITEMS)}) i ON base.person_a = i.person_a AND base.person_b = i.person_b""")
 def m5_relationship_index(spark, sf_dir):
-    return indexes.index(tt.canon(spark, sf_dir), "relationships").select("person_a", "person_b", "count", F.array_join("chunks", "|").alias("chunks"), "complete")
+    return indexes.index(tt.canon(spark, sf_dir), "relationships", indexes.ARRAY_ITEMS).select("person_a", "person_b", "count", F.array_join("chunks", "|").alias("chunks"), "complete")
 
 
 @query(f"WITH {tt.FACTS} SELECT event, 'cause' AS list, cause AS value, count(*) AS n FROM facts WHERE cause <> '' GROUP BY event, cause UNION ALL SELECT event, 'result', result, count(*) FROM facts WHERE result <> '' GROUP BY event, result")
