@@ -32,7 +32,7 @@ def wide(spark, tmp_path_factory):
     return out
 
 
-WHOLE = {"m2_character_index": "actions", "m4_event_index": "causes"}
+WHOLE = {"m2_character_index": "actions", "m4_event_index": "causes", "m5_relationship_index": "chunks"}
 
 
 @pytest.mark.parametrize("name", WHOLE)
