@@ -14,7 +14,6 @@ from itertools import combinations
 from math import comb
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -30,9 +29,10 @@ BLOCK = 4096
 #: Groups up to this size are compared all at once, larger ones node by node.
 SMALL = 16
 #: The pipeline's stage: bits within which texts become candidates, the Jaccard similarity of near copies,
-#: and how many of its nearest ones a text of a large group meets in the first round (in each
-#: further one so many times more).
+#: and with how many of its nearest candidates a text is compared at once (16 times as many in each further step).
 STAGE_TAU, SIMILAR, NEAREST = 14, 0.8, 16
+#: Texts and shingles of a group of candidates that one task compares; larger groups are dealt into blocks.
+GROUP_ROWS, GROUP_SHINGLES = 1024, 1 << 19
 #: Further fingerprints of candidates, and bits in which they may differ together: of their 448 bits texts that met by
 #: chance differ in 224 on average, those with a similarity of 0.8 in 65 (one in 200 in over 86), of 0.7 in 84, of 0.6 in 100.
 OTHERS, OTHERS_TAU = [f"more{k}" for k in range(7)], 86
@@ -77,37 +77,16 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def sketch(distinct: np.ndarray) -> bytes:
-    """How many distinct hashes fall into each of a power of two of buckets, about four in each, a byte each.
-
-    Two sets share at most the sum of the lesser counts. Buckets are doubled until no count is beyond a byte.
-    """
-    k = max(4, len(distinct).bit_length() - 3)
-    while True:
-        counts = np.bincount((distinct & np.uint64((1 << k) - 1)).astype(np.int64), minlength=1 << k)
-        if counts.max() < 256:
-            return counts.astype(np.uint8).tobytes()
-        k += 1
-
-
-def shared_at_most(a: bytes, b: bytes) -> int:
-    """The most that two sets can have in common, from their sketches."""
-    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-    n = min(len(x), len(y))
-    x, y = (z.reshape(-1, n).sum(axis=0, dtype=np.int64) for z in (x, y))
-    return int(np.minimum(x, y).sum())
-
-
 def fingerprints(docs: DataFrame, shingle: int = 5, keyed: bool = False) -> DataFrame:
     """(doc_id, fp) with fp as a signed long; null and empty texts have fp 0.
 
-    keyed: the text's key, further fingerprints (of the same hashes, mixed), the number of its distinct
-    shingles and their sketch too.
+    keyed: the text's key, further fingerprints (of the same hashes, mixed) and the number of its distinct
+    shingles too.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps, others, sizes, sketches = [], [], [], []
+            fps, others, sizes = [], [], []
             for text in b.column(1):
                 hashes = shingle_hashes(text.as_py().encode(), shingle)
                 fps.append(fingerprint_of(hashes))
@@ -115,17 +94,15 @@ def fingerprints(docs: DataFrame, shingle: int = 5, keyed: bool = False) -> Data
                     mixed = hashes
                     for _ in OTHERS:
                         others.append(fingerprint_of(mixed := _mixed(mixed)))
-                    distinct = np.unique(hashes)
-                    sizes.append(len(distinct))
-                    sketches.append(sketch(distinct))
+                    sizes.append(len(np.unique(hashes)))
             columns = [b.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))]
             if keyed:
                 further = np.array(others, np.uint64).view(np.int64).reshape(-1, len(OTHERS))
-                columns += [b.column(2), *map(pa.array, further.T.copy()), pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", "key", *OTHERS, "n", "sketch"][: len(columns)])
+                columns += [b.column(2), *map(pa.array, further.T.copy()), pa.array(sizes, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", "key", *OTHERS, "n"][: len(columns)])
 
     texts = documents_of(docs)
-    return texts.withColumn("key", text_key(F.col("text"))).mapInArrow(work, f"doc_id long, fp long, key string, {', '.join(f'{c} long' for c in OTHERS)}, n long, sketch binary") if keyed else texts.mapInArrow(work, "doc_id long, fp long")
+    return texts.withColumn("key", text_key(F.col("text"))).mapInArrow(work, f"doc_id long, fp long, key string, {', '.join(f'{c} long' for c in OTHERS)}, n long") if keyed else texts.mapInArrow(work, "doc_id long, fp long")
 
 
 @dataclass(frozen=True)
@@ -222,40 +199,45 @@ def _emit(parts: list[Part]):
 
 
 def _rows(part: int, key: np.ndarray, right: np.ndarray, own: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), part, np.int8)), pa.array(key.view(np.int64)), pa.array(right), *map(pa.array, own)], ["part", "key", "right", "fp", "root", "node", *OTHERS][: 3 + len(own)])
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), part, np.int8)), pa.array(key.view(np.int64)), pa.array(right), *map(pa.array, own)], ["part", "key", "right", "fp", "node", *OTHERS][: 3 + len(own)])
 
 
-def group_links(fp: np.ndarray, right: np.ndarray, within: bool, tau: int) -> list[tuple[int, int]]:
-    """Links that join what is linked in one group: left with left (if within) and left with right.
+def group_links(fp: np.ndarray, right: np.ndarray, within: bool, tau: int, further: tuple[np.ndarray, ...] = ()) -> list[tuple[int, int]]:
+    """Links (places of rows) that join what is linked in one group, in which left rows stand first: left with
+    left (if within) and left with right. further: further fingerprints, which must agree in OTHERS_TAU bits too.
 
     Walks the left ones breadth first, each compared with all not yet reached, so the number of
     links stays below the number of rows however dense the group is.
     """
-    left, rest = fp[right == 0], fp[right != 0]
-    label = np.full(len(left), -1, np.int64)
+    n = int((right == 0).sum())
+
+    def near(rows: np.ndarray, at: int) -> np.ndarray:
+        hit = rows[np.bitwise_count(fp[rows] ^ fp[at]) <= tau]
+        return hit[apart([x[hit] for x in further], [x[at] for x in further]) <= OTHERS_TAU] if further and len(hit) else hit
+
+    label, every = np.full(n, -1, np.int64), np.arange(n)
     out = []
     if within:
-        todo = np.arange(len(left))
+        todo = every
         while len(todo):
             front, todo = [int(todo[0])], todo[1:]
             root = label[front[0]] = front[0]
             while front and len(todo):
                 at = front.pop()
-                hit = np.bitwise_count(left[todo] ^ left[at]) <= tau
-                if hit.any():
-                    found = todo[hit]
+                found = near(todo, at)
+                if len(found):
                     label[found] = root
-                    out += [(int(left[at]), int(x)) for x in left[found]]
+                    out += [(at, x) for x in found.tolist()]
                     front += found.tolist()
-                    todo = todo[~hit]
+                    todo = todo[label[todo] < 0]
     else:
-        label = np.arange(len(left))
-    for x in rest:
-        hit = np.flatnonzero(np.bitwise_count(left ^ x) <= tau)
+        label = every.copy()
+    for x in range(n, len(fp)):
+        hit = near(every, x)
         if len(hit):
             # what these are linked to, they share from now on
             roots = np.unique(label[hit])
-            out += [(int(left[hit[np.argmax(label[hit] == r)]]), int(x)) for r in roots]
+            out += [(int(hit[np.argmax(label[hit] == r)]), x) for r in roots]
             if len(roots) > 1:
                 label[np.isin(label, roots)] = roots[0]
     return out
@@ -266,98 +248,49 @@ def apart(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     return sum((np.bitwise_count(x ^ y).astype(np.int64) for x, y in zip(a, b, strict=True)), 0)
 
 
-def group_pairs(fp: np.ndarray, extra: tuple[np.ndarray, ...], right: np.ndarray, within: bool, tau: int, most: int, fresh) -> tuple[np.ndarray, bool]:
-    """Pairs of nodes of one group, left with left (if within) and left with right, that have different
-    roots, agree in their further fingerprints and are fresh: for each row the nearest most ones. Whether
-    some row has more. extra: root, node and further fingerprints of each row."""
-    is_left, out, more = right == 0, [np.empty((0, 2), np.int64)], False
-    left, (own, nodes, *others) = fp[is_left], (x[is_left] for x in extra)
-    for rows, (roots, ends, *further) in [(fp[~is_left], [x[~is_left] for x in extra]), *([(left, (own, nodes, *others))] if within else [])]:
-        step = max(1, 400_000 // max(1, len(left)))
-        for lo in range(0, len(rows), step):
-            bits = np.bitwise_count(rows[lo : lo + step, None] ^ left)
-            i, k = np.nonzero((bits <= tau) & (roots[lo : lo + step, None] != own))
-            alike = apart([f[lo + i] for f in further], [o[k] for o in others]) <= OTHERS_TAU
-            i, k = i[alike], k[alike]
-            new = fresh(rows[lo + i] ^ left[k])
-            i, k = i[new], k[new]
-            order = np.lexsort((bits[i, k], i))
-            i, k = i[order], k[order]
-            place = np.arange(len(i)) - np.searchsorted(i, i)
-            more = more or bool((place >= most).any())
-            i, k = i[place < most], k[place < most]
-            out.append(np.stack((nodes[k], ends[lo + i]), axis=1))
-    return np.concatenate(out), more
-
-
-def _compare(tau: int, parts: list[Part], most: int | None = None):
-    """Over rows sorted by group with left ones first: links found in each group (a, b, more).
-
-    A group is held up to its BLOCK of left rows; right ones are streamed past it. most: rows have a root,
-    a node and further fingerprints too, and what is given are pairs of nodes with different roots and
-    further fingerprints at OTHERS_TAU or fewer bits, each in the first part in which it meets, of a row in
-    a large group the nearest most ones only; more says that this left some out.
-    """
-    masks = [(np.uint64(sum(1 << x for x in p.bits)), p.threshold) for p in parts]
-
-    def fresh_in(part: int):
-        """Whether fingerprints with these differing bits meet in no part before."""
-
-        def fresh(x: np.ndarray) -> np.ndarray:
-            out = np.ones(len(x), bool)
-            for mask, threshold in masks[:part]:
-                out &= np.bitwise_count(x & mask) > threshold
-            return out
+def _compare(tau: int):
+    """Over rows sorted by group with left ones first: links found in each group (a, b).
 
-        return fresh
+    A group is held up to its BLOCK of left rows; right ones are streamed past it. Links are those of
+    fingerprints, or where rows have a node and further fingerprints too, those of nodes.
+    """
 
-    def pack(pairs, more: bool = False) -> pa.RecordBatch:
-        nodes = isinstance(pairs, np.ndarray) and pairs.dtype == np.int64
-        x = pairs if nodes else np.array(pairs, np.uint64).reshape(-1, 2).view(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1]), pa.array(np.full(len(x), more))], ["a", "b", "more"])
+    def pack(ends: np.ndarray, i, j) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(ends[np.asarray(x, np.int64)].view(np.int64)) for x in (i, j)], ["a", "b"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
         def settle(part, key, bi, bj, right, fp, *extra):
             """All groups in these rows, each whole or a left block with some of its right ones."""
+            ends, further = (extra[0], extra[1:]) if extra else (fp, ())
             new = np.concatenate(([True], (key[1:] != key[:-1]) | (part[1:] != part[:-1]) | (bi[1:] != bi[:-1]) | (bj[1:] != bj[:-1])))
             starts = np.flatnonzero(new)
             sizes = np.diff(np.concatenate((starts, [len(key)])))
             gid = np.repeat(np.arange(len(starts)), sizes)
             small = (sizes <= SMALL)[gid]
-            k, r, f, g, w = key[small], right[small], fp[small], gid[small], (bi == bj)[small]
+            k, r, f, g, w, e = key[small], right[small], fp[small], gid[small], (bi == bj)[small], ends[small]
+            others = [x[small] for x in further]
             for d in range(1, SMALL):
                 if len(k) <= d:
                     break
                 ok = (g[d:] == g[:-d]) & (r[:-d] == 0) & ((r[d:] != 0) | w[d:])
                 i = np.flatnonzero(ok)
                 i = i[np.bitwise_count(f[i] ^ f[i + d]) <= tau]
-                if extra:
-                    root, node, *others = (x[small] for x in extra)
-                    i = i[(root[i] != root[i + d]) & (apart([o[i] for o in others], [o[i + d] for o in others]) <= OTHERS_TAU)]
-                    ours = part[small][i]
-                    for at in np.unique(ours).tolist():
-                        j = i[ours == at]
-                        j = j[fresh_in(at)(f[j] ^ f[j + d])]
-                        if len(j):
-                            yield pack(np.stack((node[j], node[j + d]), axis=1))
-                elif len(i):
-                    yield pack(np.stack((f[i], f[i + d]), axis=1))
+                if further:
+                    i = i[apart([o[i] for o in others], [o[i + d] for o in others]) <= OTHERS_TAU]
+                if len(i):
+                    yield pack(e, i, i + d)
             for at in np.flatnonzero(sizes > SMALL):
                 s = slice(starts[at], starts[at] + sizes[at])
                 if right[s][0] == 0:
-                    own = bool(bi[s][0] == bj[s][0])
-                    if extra:
-                        pairs, more = group_pairs(fp[s], tuple(x[s] for x in extra), right[s], own, tau, most, fresh_in(int(part[s][0])))
-                    else:
-                        pairs, more = group_links(fp[s], right[s], own, tau), False
-                    if len(pairs):
-                        yield pack(pairs, more)
+                    found = group_links(fp[s], right[s], bool(bi[s][0] == bj[s][0]), tau, tuple(x[s] for x in further))
+                    if found:
+                        yield pack(ends[s], *zip(*found, strict=True))
 
         for b in batches:
             cols = [b.column(i).to_numpy(zero_copy_only=False) for i in range(b.num_columns)]
-            cols[5:] = [c.astype(np.int64).view(np.uint64) if k != 2 else c.astype(np.int64) for k, c in enumerate(cols[5:])]
+            cols[5:] = [c.astype(np.int64).view(np.uint64) for c in cols[5:]]
             if held:
                 cols = [np.concatenate(x) for x in zip(held, cols, strict=True)]
             part, key, bi, bj = cols[:4]
@@ -386,24 +319,20 @@ def near_links(fps: DataFrame, tau: int = 4, block: int = BLOCK) -> DataFrame:
 
     Enough of them that everything within tau bits is connected, and none beyond tau bits.
     """
-    met, parts = _met(fps.select("fp"), tau, block)
-    return met.mapInArrow(_compare(tau, parts), "a long, b long, more boolean").select("a", "b")
+    return _met(fps.select("fp"), tau, block).mapInArrow(_compare(tau), "a long, b long")
 
 
-def near_pairs(rooted: DataFrame, tau: int, most: int, block: int = BLOCK) -> DataFrame:
-    """(a, b, more): pairs of nodes (fp, root, node, OTHERS) with different roots whose fingerprints differ in
-    at most tau bits, and in at most OTHERS_TAU in the further ones, once, with a < b. In large groups of a
-    part each gets its nearest most ones; more is true where that left some out. So a dense group gives a
-    number of pairs that is linear in its size.
+def near_nodes(nodes: DataFrame, tau: int, block: int = BLOCK) -> DataFrame:
+    """(a, b): links among nodes (fp, node, OTHERS) whose fingerprints differ in at most tau bits, and in at
+    most OTHERS_TAU in the further ones; enough of them, as in near_links, so a dense group gives a
+    number of links that is linear in its size.
     """
-    met, parts = _met(rooted.select("fp", "root", "node", *OTHERS), tau, block, emit_cost=300.0)
-    found = met.mapInArrow(_compare(tau, parts, most), "a long, b long, more boolean")
-    return found.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("more").alias("more"))
+    return _met(nodes.select("fp", "node", *OTHERS), tau, block, emit_cost=300.0).mapInArrow(_compare(tau), "a long, b long")
 
 
-def _met(fps: DataFrame, tau: int, block: int, emit_cost: float = 40.0) -> tuple[DataFrame, list[Part]]:
-    """Rows for _compare, sorted by group: part, key, two block numbers, right, fp (and root, node and
-    further fingerprints, if given), and the parts."""
+def _met(fps: DataFrame, tau: int, block: int, emit_cost: float = 40.0) -> DataFrame:
+    """Rows for _compare, sorted by group: part, key, two block numbers, right, fp (and node and further
+    fingerprints, if given)."""
     n = fps.count()
     sample = fps.select("fp").where(share_of("fp", SAMPLE / max(n, 1), 3)).toPandas()["fp"]
     parts = allot(np.random.default_rng(0).permutation(np.sort(sample.to_numpy(np.int64))).view(np.uint64), n, tau, emit_cost)
@@ -428,7 +357,7 @@ def _met(fps: DataFrame, tau: int, block: int, emit_cost: float = 40.0) -> tuple
             *given,
         )
     keys = ["part", "key", "bi", "bj"]
-    return dealt.repartition(*keys).sortWithinPartitions(*keys, "right"), parts
+    return dealt.repartition(*keys).sortWithinPartitions(*keys, "right")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, tau: int = 4) -> DataFrame:
@@ -480,72 +409,137 @@ def _shingle_sets(docs: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
     maybe = member_test(nodes, "key")
     # of texts that stand there several times one is taken, so that no set is made twice
     texts = documents_of(docs).select(text_key(F.col("text")).alias("key"), "text").where(maybe(F.col("key"))).join(nodes, "key")
-    return materialize(texts.groupBy("node").agg(F.min("text").alias("text")).mapInArrow(work, "node long, words binary"), "sets")
+    return texts.groupBy("node").agg(F.min("text").alias("text")).mapInArrow(work, "node long, words binary")
 
 
-def _possible(similarity: float):
-    @F.pandas_udf("boolean")
-    def possible(a: pd.Series, b: pd.Series, n: pd.Series) -> pd.Series:
-        """n: sizes of both sets together."""
-        both = np.fromiter((shared_at_most(x, y) for x, y in zip(a, b, strict=True)), np.int64, len(a))
-        return pd.Series(both >= similarity * (n.to_numpy() - both))
+def unite(prints: list[np.ndarray], sets: list[np.ndarray], label: np.ndarray, left: int, tau: int, similarity: float) -> list[tuple[int, int]]:
+    """Links of labels of rows with similar sets: of each row with those before it, or if left is given, of
+    those from there on with those before it.
 
-    return possible
+    prints: fingerprints and further ones, which say what is a candidate. Rows of one label are joined
+    already; what is linked has one label from then on. So each link joins two labels, and rows that
+    belong together are hardly compared.
+    """
+    sizes = np.array([len(x) for x in sets])
+    ends = np.cumsum(sizes)
+    distinct, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    of = lambda k: ids[ends[k] - sizes[k] : ends[k]]
+    label, mark, out = label.copy(), np.zeros(len(distinct), bool), []
+    for i in range(left or 1, len(sets)):
+        rows = np.flatnonzero(label[: left or i] != label[i])
+        bits = np.bitwise_count(prints[0][rows] ^ prints[0][i])
+        ok = (bits <= tau) & (np.minimum(sizes[rows], sizes[i]) >= similarity * np.maximum(sizes[rows], sizes[i]))
+        rows, bits = rows[ok], bits[ok]
+        if not len(rows):
+            continue
+        ok = apart([p[rows] for p in prints[1:]], [p[i] for p in prints[1:]]) <= OTHERS_TAU
+        rows = rows[ok][np.argsort(bits[ok], kind="stable")]
+        mark[of(i)] = True
+        step = NEAREST
+        while len(rows):
+            both = np.fromiter((np.count_nonzero(mark[of(k)]) for k in rows[:step]), np.int64, len(rows[:step]))
+            hit = rows[:step][both >= similarity * (sizes[i] + sizes[rows[:step]] - both)]
+            for r in np.unique(label[hit]).tolist():
+                out.append((int(label[i]), r))
+                label[label == r] = label[i]
+            rows = rows[step:]
+            rows = rows[label[rows] != label[i]]
+            step *= NEAREST
+        mark[of(i)] = False
+    return out
 
 
-def _similar(similarity: float):
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            take = []
-            for x, y in zip(b.column(2), b.column(3), strict=True):
-                x, y = (np.frombuffer(z.as_buffer(), np.uint64) for z in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                take.append(both >= similarity * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(take, pa.bool_())) for c in b.columns[:2]], ["a", "b"])
+def _united(rows: DataFrame, keys: list[str], tau: int, similarity: float) -> DataFrame:
+    """(a, b): links of roots found in each group of keys; rows: words, root, right, fp and further ones."""
 
-    return work
+    def work(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("right", "ascending"), ("node", "ascending")])
+        column = lambda c: table.column(c).to_numpy()
+        left, found = int((column("right") == 0).sum()), []
+        if table.num_rows > 1:
+            prints = [column(c).astype(np.int64).view(np.uint64) for c in ("fp", *OTHERS)]
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("words")]
+            if left:
+                found = unite(prints, sets, column("root"), left if left < len(sets) else 0, tau, similarity)
+        a, b = np.array(found, np.int64).reshape(-1, 2).T
+        return pa.table({"a": a, "b": b})
+
+    return rows.select(*keys, "right", "node", "root", "fp", *OTHERS, "words").groupBy(*keys).applyInArrow(work, "a long, b long")
 
 
-def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """(a, b): the pairs (x, y) of nodes whose sets of shingles are similar. Sizes and sketches rule out
-    first what cannot be; the whole sets are made of the texts of those that are left only."""
-    side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
-    met = pairs.join(side("x"), "x").where("nx > 0").join(side("y"), "y").where("ny > 0")
-    met = met.where(F.least("nx", "ny") >= similarity * F.greatest("nx", "ny")).where(_possible(similarity)("sx", "sy", F.col("nx") + F.col("ny")))
-    open_ = materialize(met.select("x", "y"), "possible")
-    asked = open_.select(F.col("x").alias("node")).union(open_.select("y")).distinct()
-    sets = _shingle_sets(docs, materialize(nodes.join(asked, "node").select("key", "node"), "asked"), shingle)
-    both = open_.join(sets.toDF("x", "wx"), "x").join(sets.toDF("y", "wy"), "y").select("x", "y", "wx", "wy")
-    return materialize(both.mapInArrow(_similar(similarity), "a long, b long"), "linked")
+def _blocks(rows: str, shingles: str) -> Column:
+    return F.ceil(F.greatest(F.col(rows) / GROUP_ROWS, F.col(shingles) / GROUP_SHINGLES)).cast("long")
 
 
-def similar_dedup(docs: DataFrame, shingle: int = 5, tau: int = STAGE_TAU, similarity: float = SIMILAR, most: int = NEAREST) -> DataFrame:
+def _dealt(blocks: str, seed: int) -> Column:
+    return F.pmod(F.xxhash64("node", F.lit(seed)), F.col(blocks))
+
+
+def _meeting(big: DataFrame, roots: DataFrame) -> tuple[DataFrame, list[str]] | None:
+    """Rows of big groups dealt so that all of different roots meet, and the keys of what meets.
+
+    Roots of more rows than a block have blocks of their own, which do not meet each other; the other rows of a group
+    share blocks. Of two blocks that meet the second one's rows are right. None: nothing has to meet.
+    """
+    big = materialize(big.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "big")
+    parts = big.groupBy("cluster", "root").agg(F.count("*").alias("rows"), F.sum("n").alias("shingles"))
+    parts = materialize(parts.withColumn("slot", F.when(_blocks("rows", "shingles") > 1, F.col("root")).otherwise(-1 - F.col("cluster"))), "parts")
+    slots = parts.groupBy("slot").agg(F.min("cluster").alias("cluster"), F.sum("rows").alias("rows"), F.sum("shingles").alias("shingles"))
+    slots = materialize(slots.withColumn("blocks", _blocks("rows", "shingles")), "slots")
+    each = slots.select("cluster", "slot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
+    a, b = each.toDF("cluster", "slot", "block"), each.toDF("cluster", "slot2", "block2")
+    shared = F.col("slot") < 0
+    earlier = (F.col("slot") < F.col("slot2")) | (F.col("slot") == F.col("slot2")) & shared & (F.col("block") <= F.col("block2"))
+    meets = materialize(a.join(b, "cluster").where(earlier).drop("cluster"), "meets")
+    if not meets.head(1):
+        return None
+    rows = spread_join(big, parts.select("root", "slot", "rows"), "root", "rows").drop("rows", "blocks")
+    rows = spread_join(rows, slots.select("slot", "blocks", "rows"), "slot", "rows").withColumn("block", _dealt("blocks", 2)).drop("rows")
+    first = rows.join(meets, ["slot", "block"]).withColumn("right", F.lit(0))
+    second = rows.withColumnsRenamed({"slot": "slot2", "block": "block2"}).join(meets.where("slot <> slot2 or block <> block2"), ["slot2", "block2"]).withColumn("right", F.lit(1))
+    return first.unionByName(second), ["slot", "block", "slot2", "block2"]
+
+
+def _similar_roots(docs: DataFrame, nodes: DataFrame, shingle: int, tau: int, similarity: float) -> DataFrame:
+    """(node, root) for nodes that are linked to others.
+
+    Candidates are joined to groups first. Each group is compared where its rows stand, so no table of
+    pairs is made. A group of several blocks is compared within its blocks, dealt anew and compared once
+    more, which joins what is dense; then all its rows that have different roots meet.
+    """
+    groups = connected_components(near_nodes(nodes.where("n > 0"), tau)).toDF("node", "cluster")
+    asked = materialize(nodes.join(groups, "node"), "asked")
+    sizes = materialize(asked.groupBy("cluster").agg(F.count("*").alias("rows"), F.sum("n").alias("shingles")).withColumn("blocks", _blocks("rows", "shingles")), "sizes")
+    sets = _shingle_sets(docs, asked.select("key", "node"), shingle)
+    held = materialize(sets.join(spread_join(asked.drop("key"), sizes.drop("shingles"), "cluster", "rows").drop("rows"), "node"), "held")
+    once = lambda rows, seed: rows.withColumns({"right": F.lit(0), "block": _dealt("blocks", seed)})
+    links = materialize(_united(once(held.withColumn("root", F.col("node")), 0), ["cluster", "block"], tau, similarity), "links")
+    roots = connected_components(links)
+    if not sizes.where("blocks > 1").head(1):
+        return roots
+    big = held.where("blocks > 1")
+    again = once(big.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), 1)
+    links = links.unionByName(materialize(_united(again, ["cluster", "block"], tau, similarity), "links"))
+    roots = connected_components(links)
+    left = _meeting(big, roots)
+    if left is None:
+        return roots
+    return connected_components(links.unionByName(materialize(_united(*left, tau, similarity), "links")))
+
+
+def similar_dedup(docs: DataFrame, shingle: int = 5, tau: int = STAGE_TAU, similarity: float = SIMILAR) -> DataFrame:
     """One document of each group of near copies stays (the smallest doc_id), with all its columns.
 
     Candidates are texts whose fingerprints differ in at most tau bits (and further ones in OTHERS_TAU);
     linked are those whose sets of word shingles have a Jaccard similarity of at least similarity,
-    computed in full. Equal texts are one node. Nodes meet in rounds, each with its nearest ones that it
-    is not joined to yet, and with more of them in each round until none is left out, so a dense group is
-    joined by few pairs and yet no candidate pair goes untested that could join two groups. Texts
-    without words have no shingles: they are alike as equal texts only. Null and repeated doc_ids, empty
-    tables and columns of any name: as in near_dedup.
+    computed in full. Equal texts are one node. Candidates are grouped and compared in their groups; no
+    candidate pair goes untested that could join two components. Texts without words have no shingles:
+    they are alike as equal texts only. Null and repeated doc_ids, empty tables and columns of any
+    name: as in near_dedup.
     """
     fps = materialize(fingerprints(docs, shingle, keyed=True), "fingerprints")
-    nodes = fps.groupBy("key").agg(F.min(F.struct("fp", *OTHERS, "n", "sketch")).alias("r")).select("key", "r.*").withColumn("node", F.monotonically_increasing_id())
+    nodes = fps.groupBy("key").agg(F.min(F.struct("fp", *OTHERS, "n")).alias("r")).select("key", "r.*").withColumn("node", F.monotonically_increasing_id())
     nodes = materialize(nodes, "nodes")
-    tested = links = roots = None
-    while True:
-        rooted = nodes.select("fp", *OTHERS, "node") if roots is None else nodes.select("fp", *OTHERS, "node").join(roots, "node", "left")
-        rooted = rooted.withColumn("root", F.col("node") if roots is None else F.coalesce("root", "node"))
-        near = materialize(near_pairs(materialize(rooted, "rooted"), tau, most), "near")
-        now = near.select(F.col("a").alias("x"), F.col("b").alias("y"))
-        now = now if tested is None else materialize(now.join(tested, ["x", "y"], "left_anti"), "pairs")
-        tested = now if tested is None else tested.unionByName(now)
-        found = _verified(docs, nodes, now, shingle, similarity)
-        links = found if links is None else links.unionByName(found)
-        roots = materialize(connected_components(links), "roots")
-        if not near.where("more").head(1):
-            break
-        most *= NEAREST
+    roots = _similar_roots(docs, nodes, shingle, tau, similarity)
     rooted = fps.select("doc_id", "key").join(nodes.select("key", "node"), "key").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     return _one_of_each(docs, rooted)
