@@ -87,3 +87,9 @@ def test_only_asked_buckets_of_postings_are_read(spark, tmp_path):
     assert found.count() == 50
     filters = found._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
     assert "bucket" in filters and len([d for d in (tmp_path / "i/postings").glob("bucket=*")]) > 2
+
+
+def test_a_text_in_all_chunks_is_posted_once(spark, tmp_path):
+    kb = spark.createDataFrame([(f"c{i}", "same title", 0, 1, None) for i in range(50)], KB)
+    search_index.SearchIndex(spark, str(tmp_path / "i"), buckets=4).build(kb)
+    assert spark.read.parquet(str(tmp_path / "i/postings")).where("gram = 'tit'").count() == 1
