@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import wraps
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -21,10 +22,15 @@ ORACLE_SQL: dict[str, str] = {}
 
 def query(sql: str | None = None):
     def register(f):
-        QUERIES[f.__name__] = f
+        @wraps(f)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            with tt.one_query():
+                return f(spark, sf_dir)
+
+        QUERIES[f.__name__] = run
         if sql:
             ORACLE_SQL[f.__name__] = sql.strip()
-        return f
+        return run
 
     return register
 

@@ -2,9 +2,26 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loretable.functions.tables import staged
+
+_held: ContextVar[dict | None] = ContextVar("held", default=None)
+
+
+@contextmanager
+def one_query():
+    """Within one query the records are made once, however often it asks for them; nothing is held beyond it."""
+    token = _held.set({})
+    try:
+        yield
+    finally:
+        _held.reset(token)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -16,21 +33,31 @@ def order_chunk(key) -> F.Column:
 
 def canon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An order is a chunk; its lines are characters, events, places, times and relations, in line order."""
+    held = _held.get()
+    if held is None:
+        return _canon(spark, sf_dir)
+    if sf_dir not in held:
+        held[sf_dir] = _canon(spark, sf_dir)
+    return held[sf_dir]
+
+
+def _canon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each join and the grouping is a step of its own, so that lines lie on disk shuffled once at a time, not three times."""
     t = lambda n: table(spark, sf_dir, n)
-    lines = (
-        t("lineitem").join(t("part").select("p_partkey", "p_name", "p_type", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(t("supplier").select("s_suppkey", "s_name", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(t("nation").select("n_nationkey", "n_name"), F.col("s_nationkey") == F.col("n_nationkey"))
-    )
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
     name = F.when(F.col("l_linenumber") % 2 == 1, F.element_at(F.split("p_name", " "), 2)).otherwise(F.col("p_name"))
     emotion = F.concat("l_returnflag", F.lit("、"), "l_linestatus")
     item = F.struct(*order, name.alias("name"), "p_type", emotion.alias("emotion"), "n_name", F.year("l_shipdate").cast("string").alias("y"), "s_name", "p_brand")
+    lines = t("lineitem").select("l_orderkey", *order).join(t("part").select("p_partkey", "p_name", "p_type", "p_brand"), F.col("l_partkey") == F.col("p_partkey")).drop("p_partkey")
+    lines, with_parts = staged(lines, "parts")
+    suppliers = t("supplier").select("s_suppkey", "s_name", "s_nationkey").join(t("nation").select("n_nationkey", "n_name"), F.col("s_nationkey") == F.col("n_nationkey"))
+    lines, with_suppliers = staged(lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")).drop("s_suppkey", "s_nationkey", "n_nationkey"), "suppliers", with_parts)
     per = lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(item)).alias("x"))
     heads = t("orders").join(t("customer").select("c_custkey", "c_name"), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "o_orderpriority", "o_orderstatus", "c_name")
+    heads, with_heads = staged(heads, "heads")
     rows = per.join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
     each = lambda f: F.transform("x", f)
-    return rows.select(
+    records = rows.select(
         order_chunk("o_orderkey").alias("chunk_id"), F.col("o_orderpriority").alias("source_file"), F.col("o_orderstatus").alias("chapter_hint"),
         (F.col("o_orderkey") * 1000).alias("char_start"), (F.col("o_orderkey") * 1000 + F.size("x")).alias("char_end"), F.concat_ws(" ", "o_orderstatus", "o_orderpriority").alias("summary"),
         each(lambda e: F.struct(e["name"].alias("name"), e["p_type"].alias("action"), e["emotion"].alias("emotion"))).alias("characters"),
@@ -38,6 +65,7 @@ def canon(spark: SparkSession, sf_dir: str) -> DataFrame:
         each(lambda e: e["n_name"]).alias("locations"), each(lambda e: e["y"]).alias("time_markers"),
         each(lambda e: F.struct(e["s_name"].alias("person_a"), F.col("c_name").alias("person_b"), e["p_brand"].alias("interaction"))).alias("relationships"),
     )
+    return staged(records, "records", with_suppliers, with_heads)[0]
 
 
 #: SQL of the same, one row per line: chunk_id, pos and the fields of all lists.
