@@ -56,7 +56,7 @@ def values_in_order(entries: DataFrame, keys: tuple[str, ...], value: str) -> Da
     return entries.where(F.col(value) != "").groupBy(*keys, value).agg(F.count("*").alias("n"), F.min(F.struct("chunk_id", "pos")).alias("first_at"))
 
 
-def index(records: DataFrame, kind: str, most: int | None = None) -> DataFrame:
+def index(records: DataFrame, kind: str, most: int | None = None, of: tuple[str, ...] | None = None) -> DataFrame:
     """An entity's count, number of chunks, first and last chunk, and its chunks and distinct values as arrays
     in the order of first sight, for export.
 
@@ -65,27 +65,27 @@ def index(records: DataFrame, kind: str, most: int | None = None) -> DataFrame:
     sorts its own, and an entity's row only puts its ranges' values together, so a list that holds most of
     the table is sorted by many tasks. most: arrays hold the first so many items each, for a preview (ranks
     are limited before they are shuffled), and complete says whether all are there. The long tables of the
-    same are postings and values_in_order.
+    same are postings and values_in_order. of: the values whose arrays are wanted (none named: all).
     """
-    keys, values = KINDS[kind]
+    keys, values = KINDS[kind][0], KINDS[kind][1] if of is None else of
     lists = ("chunk", *values)
     item = lambda name, c: F.struct(F.lit(name).alias("list"), F.col(c).alias("value"))
     spread = mentions(records, kind).select(*keys, "chunk_id", "pos", F.inline(F.array(item("chunk", "chunk_id"), *[item(v, v) for v in values]))).where("value <> ''")
     counted = spread.groupBy(*keys, "list", "value").agg(F.count("*").alias("n"), F.min(F.struct("chunk_id", "pos")).alias("first_at"))
-    of = lambda name, c: F.when(F.col("list") == name, c)
+    only = lambda name, c: F.when(F.col("list") == name, c)
     per = counted.groupBy(*keys).agg(
-        F.sum(of("chunk", F.col("n"))).alias("count"), F.count(of("chunk", F.col("n"))).alias("chunk_count"), F.min(of("chunk", F.col("value"))).alias("first_chunk"), F.max(of("chunk", F.col("value"))).alias("last_chunk"),
-        F.min(of("chunk", F.col("first_at"))).alias("first_at"), *[F.count(of(v, F.col("n"))).alias(f"{v}_count") for v in values],
+        F.sum(only("chunk", F.col("n"))).alias("count"), F.count(only("chunk", F.col("n"))).alias("chunk_count"), F.min(only("chunk", F.col("value"))).alias("first_chunk"), F.max(only("chunk", F.col("value"))).alias("last_chunk"),
+        F.min(only("chunk", F.col("first_at"))).alias("first_at"), *[F.count(only(v, F.col("n"))).alias(f"{v}_count") for v in values],
     )
     if most is None:
         ranged = counted.repartitionByRange(*keys, "list", "first_at", "value").withColumn("range", F.spark_partition_id())
         sorted_ = F.transform(F.array_sort(F.collect_list(F.struct("first_at", "value"))), lambda x: x["value"])
         parts = ranged.groupBy(*keys, "list", "range").agg(sorted_.alias("part"))
-        arrays = [F.flatten(F.transform(F.array_sort(F.collect_list(of(v, F.struct("range", "part")))), lambda x: x["part"])).alias(f"{v}s") for v in lists]
+        arrays = [F.flatten(F.transform(F.array_sort(F.collect_list(only(v, F.struct("range", "part")))), lambda x: x["part"])).alias(f"{v}s") for v in lists]
         return per.join(parts.groupBy(*keys).agg(*arrays), [*keys]).drop(*[f"{v}_count" for v in values])
     place = F.row_number().over(Window.partitionBy(*keys, "list").orderBy("first_at", "value"))
     first = counted.withColumn("place", place).where(F.col("place") <= most)
-    arrays = [F.transform(F.array_sort(F.collect_list(of(v, F.struct("place", "value")))), lambda x: x["value"]).alias(f"{v}s") for v in lists]
+    arrays = [F.transform(F.array_sort(F.collect_list(only(v, F.struct("place", "value")))), lambda x: x["value"]).alias(f"{v}s") for v in lists]
     whole = reduce(and_, [F.col(f"{v}_count") <= most for v in lists])
     return per.join(first.groupBy(*keys).agg(*arrays), [*keys]).withColumn("complete", whole).drop(*[f"{v}_count" for v in values])
 

@@ -147,7 +147,7 @@ def m4_event_index(spark, sf_dir):
 
 @query(f"WITH {tt.FACTS} SELECT person_a, person_b, count(*) AS count, string_agg(DISTINCT chunk_id, '|' ORDER BY chunk_id) AS chunks FROM facts GROUP BY person_a, person_b")
 def m5_relationship_index(spark, sf_dir):
-    return indexes.index(tt.canon(spark, sf_dir), "relationships").select("person_a", "person_b", "count", F.array_join("chunks", "|").alias("chunks"))
+    return indexes.index(tt.canon(spark, sf_dir), "relationships", of=()).select("person_a", "person_b", "count", F.array_join("chunks", "|").alias("chunks"))
 
 
 @query(f"WITH {tt.FACTS} SELECT event, 'cause' AS list, cause AS value, count(*) AS n FROM facts WHERE cause <> '' GROUP BY event, cause UNION ALL SELECT event, 'result', result, count(*) FROM facts WHERE result <> '' GROUP BY event, result")

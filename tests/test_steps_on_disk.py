@@ -3,8 +3,10 @@
 from pyspark.sql import functions as F
 
 from loretable.functions import tables
+from loretable.operators import indexes
 from loretable.plans import queries as core
 from loretable.plans import testtables as tt
+from loretable.schemas import CANON
 
 SF = "/root/testdata/sf0.001"
 
@@ -25,3 +27,9 @@ def test_a_step_reads_no_shuffle_and_drops_what_is_over(spark):
     assert {r["count"]: r.n for r in second.collect()} == {14: 5, 15: 2}
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(at)
     assert not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
+def test_only_wanted_arrays_are_made(spark):
+    rows = spark.createDataFrame([("c1", "", [], [], [], [], [("b", "a", "x"), ("a", "b", "y")])], CANON)
+    one = indexes.index(rows, "relationships", of=())
+    assert "interactions" not in one.columns and one.first().chunks == ["c1"] and one.first()["count"] == 2
