@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loretable.functions.tables import kept
 from loretable.functions.text import strip
+from loretable.operators.characters import in_chunks
 from loretable.operators.ranks import TASK_ROWS, placed
 
 def triples(facts: DataFrame, places: DataFrame, relations: DataFrame, evidence: int = 5, salts: int = 16) -> DataFrame:
@@ -18,9 +19,9 @@ def triples(facts: DataFrame, places: DataFrame, relations: DataFrame, evidence:
     """
     e = lambda c: F.array_sort(F.collect_list(c))
     spo = ["subject", "predicate", "object"]
-    in_chunk = facts.groupBy(F.col("canonical_name").alias("subject"), F.col("chunk_id").alias("object")).agg(F.count("*").alias("n"))
-    in_chunk = in_chunk.select("subject", F.lit("appears_in").alias("predicate"), "object", "n", F.col("object").alias("first_chunk"), F.array("object").alias("evidence"))
-    at = facts.select("canonical_name", "chunk_id").distinct().join(places.select("location", "chunk_id").distinct(), "chunk_id")
+    named = in_chunks(facts)
+    in_chunk = named.select(F.col("canonical_name").alias("subject"), F.lit("appears_in").alias("predicate"), F.col("chunk_id").alias("object"), "n", F.col("chunk_id").alias("first_chunk"), F.array("chunk_id").alias("evidence"))
+    at = named.select("canonical_name", "chunk_id").join(places.select("location", "chunk_id").repartition("chunk_id").distinct(), "chunk_id")
     at_place = at.select(F.col("canonical_name").alias("subject"), F.lit("appears_at").alias("predicate"), F.col("location").alias("object"), "chunk_id", F.lit(1).cast("long").alias("n"))
     met = relations.groupBy(F.col("person_a").alias("subject"), F.lit("interacts_with").alias("predicate"), F.col("person_b").alias("object"), "chunk_id").agg(F.count("*").alias("n"))
     rows = at_place.unionByName(met).withColumn("part", F.pmod(F.xxhash64("chunk_id"), F.lit(salts)))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loretable.functions.text import distinct_in_order, joined_or, strip
+from loretable.operators.characters import in_chunks
 
 HIT_CHARS, PREVIEW = 200, 5
 ORDER_NOTE = "Resolution order is canonical -> observed_alias -> query_alias."
@@ -31,18 +32,19 @@ def resolve(queries: DataFrame, counts: DataFrame, observed: DataFrame, query_al
 def relationship_candidates(relations: DataFrame, most: int | None = 3) -> DataFrame:
     """(person, related_person, overlap_chunk_count, interaction_sample, sample_chunk_id, rank) from
     relation entries (person_a, person_b, chunk_id, pos, interaction), for all persons at once."""
+    one = relations.select(F.least("person_a", "person_b").alias("a"), F.greatest("person_a", "person_b").alias("b"), "chunk_id", "pos", "interaction")
+    by_chunk = one.groupBy("a", "b", "chunk_id").agg(F.min(F.when(F.col("interaction") != "", F.struct("pos", "interaction"))).alias("first"))
+    pairs = by_chunk.groupBy("a", "b").agg(F.count("*").alias("overlap_chunk_count"), F.min(F.when(F.col("first").isNotNull(), F.struct("chunk_id", "first"))).alias("s"), F.min("chunk_id").alias("sample_chunk_id"))
+    # a pair is counted once, and then stands for both of its persons
     way = lambda a, b: F.struct(F.col(a).alias("person"), F.col(b).alias("related_person"))
-    both = relations.select("chunk_id", "pos", "interaction", F.inline(F.array_distinct(F.array(way("person_a", "person_b"), way("person_b", "person_a")))))
-    by_chunk = both.groupBy("person", "related_person", "chunk_id").agg(F.min(F.when(F.col("interaction") != "", F.struct("pos", "interaction"))).alias("first"))
-    pairs = by_chunk.groupBy("person", "related_person").agg(F.count("*").alias("overlap_chunk_count"), F.min(F.when(F.col("first").isNotNull(), F.struct("chunk_id", "first"))).alias("s"), F.min("chunk_id").alias("sample_chunk_id"))
-    rows = pairs.select("person", "related_person", "overlap_chunk_count", F.col("s.first.interaction").alias("interaction_sample"), "sample_chunk_id")
+    rows = pairs.select(F.inline(F.array_distinct(F.array(way("a", "b"), way("b", "a")))), "overlap_chunk_count", F.col("s.first.interaction").alias("interaction_sample"), "sample_chunk_id")
     return _top(rows, "person", "related_person", most)
 
 
 def location_candidates(facts: DataFrame, places: DataFrame, most: int | None = 3) -> DataFrame:
     """(canonical_name, location, overlap_chunk_count, sample_chunk_id, rank): chunks shared by a person
     and a place. Both sides are made distinct before they meet on the chunk."""
-    met = facts.select("canonical_name", "chunk_id").distinct().join(places.select("location", "chunk_id").distinct(), "chunk_id")
+    met = in_chunks(facts).join(places.select("location", "chunk_id").repartition("chunk_id").distinct(), "chunk_id")
     pairs = met.groupBy("canonical_name", "location").agg(F.count("*").alias("overlap_chunk_count"), F.min("chunk_id").alias("sample_chunk_id"))
     return _top(pairs, "canonical_name", "location", most)
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from loretable.functions import tables
-from loretable.operators import indexes
+from loretable.operators import indexes, lookup
 from loretable.plans import queries as core
 from loretable.plans import testtables as tt
 from loretable.schemas import CANON
@@ -33,3 +33,11 @@ def test_only_wanted_arrays_are_made(spark):
     rows = spark.createDataFrame([("c1", "", [], [], [], [], [("b", "a", "x"), ("a", "b", "y")])], CANON)
     one = indexes.index(rows, "relationships", of=())
     assert "interactions" not in one.columns and one.first().chunks == ["c1"] and one.first()["count"] == 2
+
+
+def test_pairs_in_both_orders_count_together(spark):
+    rows = spark.createDataFrame([("a", "b", "c1", 0, ""), ("b", "a", "c1", 1, "y"), ("b", "a", "c2", 0, "z"), ("a", "a", "c3", 0, "s")], "person_a string, person_b string, chunk_id string, pos int, interaction string")
+    got = lookup.relationship_candidates(rows)
+    assert sorted(tuple(r)[:5] for r in got.collect()) == [("a", "a", 1, "s", "c3"), ("a", "b", 2, "y", "c1"), ("b", "a", 2, "y", "c1")]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Aggregate")  # pairs are mirrored above the counts, not before them
