@@ -1013,7 +1013,9 @@ def s4_json_folder(spark, sf_dir):
     s = tt.table(spark, sf_dir, "supplier")
     record = F.to_json(F.struct(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("chunk_id"), F.col("s_name").alias("summary")))
     path = scratch(spark, "records")
-    s.select(F.when(F.col("s_suppkey") % 7 == 0, F.substring(record, 1, 12)).otherwise(record).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    # files take their time one by one, so all cores write, and each task moves its own
+    values = s.repartition(4 * spark.sparkContext.defaultParallelism, "s_suppkey").select(F.when(F.col("s_suppkey") % 7 == 0, F.substring(record, 1, 12)).otherwise(record).alias("value"))
+    values.write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(path)
     good, bad = io.load_records(spark, path, "chunk_id string, summary string", files="*.txt")
     return good.withColumn("good", F.lit(True)).unionByName(bad.agg(F.count("*").cast("string").alias("summary")).select(F.lit(None).cast("string").alias("chunk_id"), "summary", F.lit(False).alias("good")))
 

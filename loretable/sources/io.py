@@ -13,6 +13,8 @@ from loretable.functions.text import strip
 from loretable.sources.lines import read_lines, read_pieces  # noqa: F401
 
 ENCODINGS = ("utf-8-sig", "gb18030")
+#: Bytes of small files that one task reads.
+TASK_BYTES = 64 << 20
 
 
 def decoded(data: bytes) -> tuple[str, str]:
@@ -53,9 +55,16 @@ def load_chunks(spark: SparkSession, path: str) -> DataFrame:
 
 def load_records(spark: SparkSession, path: str, schema: str, files: str = "*.json") -> tuple[DataFrame, DataFrame]:
     """Records of a folder's files with one JSON object each (without chunk_id: the file's name; of several with one id the
-    last file by name), and the names of unreadable files."""
+    last file by name), and the names of unreadable files.
+
+    Spark deals few files to a task, since it counts 4 MB for opening one; small files are read by four tasks a core,
+    more only where their bytes ask for it.
+    """
     fields = T.StructType.fromDDL(schema).add("_bad", T.StringType())
     texts = spark.read.option("pathGlobFilter", files).text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), _stem().alias("stem"), "value")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    held = folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+    texts = texts.coalesce(max(4 * spark.sparkContext.defaultParallelism, -(-held // TASK_BYTES)))
     rows = texts.withColumn("r", F.from_json("value", fields, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))
     bad = F.col("r").isNull() | F.col("r._bad").isNotNull()
     good = rows.where(~bad).select("file", "stem", "r.*").drop("_bad").withColumn("chunk_id", F.coalesce(F.nullif("chunk_id", F.lit("")), "stem")).drop("stem")

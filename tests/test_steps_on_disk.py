@@ -7,6 +7,7 @@ from loretable.operators import indexes, lookup
 from loretable.plans import queries as core
 from loretable.plans import testtables as tt
 from loretable.schemas import CANON
+from loretable.sources import io
 
 SF = "/root/testdata/sf0.001"
 
@@ -41,3 +42,16 @@ def test_pairs_in_both_orders_count_together(spark):
     assert sorted(tuple(r)[:5] for r in got.collect()) == [("a", "a", 1, "s", "c3"), ("a", "b", 2, "y", "c1"), ("b", "a", 2, "y", "c1")]
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Generate") < plan.index("Aggregate")  # pairs are mirrored above the counts, not before them
+
+
+def test_many_small_files_are_read_by_few_tasks(spark, tmp_path):
+    for i in range(150):
+        (tmp_path / f"r{i}.json").write_text(f'{{"chunk_id": "c{i}"}}' if i % 3 else "{")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5m")  # two files a task, as for a folder that is larger than this one
+    try:
+        good, bad = io.load_records(spark, str(tmp_path), "chunk_id string")
+        assert bad.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+        assert good.count() == 100 and bad.count() == 50
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
